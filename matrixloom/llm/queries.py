@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, simhash
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -17,6 +17,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(documents(spark, sf_dir))
+    return found.select("doc_id", simhash.hexadecimal(F.col("bits")).alias("fingerprint"), "component_id")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(documents(spark, sf_dir), RANKS, outputs=("ids", "decoded"))
     return coded.select(
@@ -28,7 +33,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_byte_bpe": op10_byte_bpe}
+    return {
+        "op7_simhash": op7_simhash,
+        "op10_byte_bpe": op10_byte_bpe,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
