@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
@@ -33,7 +36,12 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    was = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")  # what this write has shuffled is not needed again
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, was)
     return spark.read.schema(df.schema).parquet(path)
 
 
