@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, simhash, suffix
+from . import bpe, packing, simhash, suffix
 
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -17,6 +18,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op4_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.matrices(documents(spark, sf_dir), WORDS)
+
+
 def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     cut = suffix.cut(docs, suffix.repeats(docs))
@@ -35,6 +40,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("bits")).alias("fingerprint"), "component_id")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(documents(spark, sf_dir), WORDS)
+    return packing.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(documents(spark, sf_dir), RANKS, outputs=("ids", "decoded"))
     return coded.select(
@@ -47,8 +57,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_matrices": op4_matrices,
         "op6_suffix": op6_suffix,
         "op7_simhash": op7_simhash,
+        "op8_packing": op8_packing,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
