@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, simhash, suffix
+from . import bpe, language, packing, simhash, suffix
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -18,6 +18,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    found = language.predict(docs, language.fit(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op4_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.matrices(documents(spark, sf_dir), WORDS)
 
@@ -57,6 +63,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_language": op2_language,
         "op4_matrices": op4_matrices,
         "op6_suffix": op6_suffix,
         "op7_simhash": op7_simhash,
