@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, packing, simhash, suffix
+from . import bpe, language, packing, quality, simhash, suffix
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -51,6 +51,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(documents(spark, sf_dir).select("doc_id", "text", "source")).drop("source")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.encode(documents(spark, sf_dir), RANKS, outputs=("ids", "decoded"))
     return coded.select(
@@ -68,9 +72,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_suffix": op6_suffix,
         "op7_simhash": op7_simhash,
         "op8_packing": op8_packing,
+        "op9_quality": op9_quality,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_quality": quality.ORACLE}
