@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, packing, quality, simhash, suffix
+from . import bpe, language, packing, pii, quality, simhash, suffix
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -24,6 +24,17 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detected(documents(spark, sf_dir))
+    base = F.col("base")
+    return found.select(
+        "doc_id",
+        *(pii.of_kind(base, k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)),
+        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+        pii.listed(F.col("every")).alias("spans"),
+    )
+
+
 def op4_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.matrices(documents(spark, sf_dir), WORDS)
 
@@ -68,6 +79,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_language": op2_language,
+        "op3_pii": op3_pii,
         "op4_matrices": op4_matrices,
         "op6_suffix": op6_suffix,
         "op7_simhash": op7_simhash,
