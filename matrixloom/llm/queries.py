@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, packing, pii, quality, simhash, suffix
+from . import bpe, language, licences, packing, pii, quality, simhash, suffix, topk
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -18,6 +18,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.recognised(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", F.size("licence_sentences").cast("long").alias("n_sentences"), F.array_join("licences", ",").alias("licences"), F.array_join("unmatched", ",").alias("unmatched"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     found = language.predict(docs, language.fit(docs))
@@ -39,6 +44,11 @@ def op4_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.matrices(documents(spark, sf_dir), WORDS)
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=50)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     cut = suffix.cut(docs, suffix.repeats(docs))
@@ -78,9 +88,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_licences": op1_licences,
         "op2_language": op2_language,
         "op3_pii": op3_pii,
         "op4_matrices": op4_matrices,
+        "op5_topk": op5_topk,
         "op6_suffix": op6_suffix,
         "op7_simhash": op7_simhash,
         "op8_packing": op8_packing,
@@ -90,4 +102,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_quality": quality.ORACLE}
+    return {"op5_topk": topk.ORACLE, "op9_quality": quality.ORACLE}
