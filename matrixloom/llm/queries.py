@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_quality": op9_quality,
         "op10_byte_bpe": op10_byte_bpe,
+        "pipeline": corpus_pipeline.run,
     }
 
 
