@@ -1,9 +1,654 @@
-"""All registered queries of the matrix operators with their SQL twins."""
+"""All registered queries of the matrix operators with their SQL twins.
 
+Roles over the given tables: feature l_partkey, entity p_type or p_brand, sample l_suppkey, group l_returnflag, second group
+l_linestatus, position l_linenumber or a month or an hour, coverage types the four measures of lineitem. Floating results are rounded on both
+sides, since sums of doubles depend on their order.
+"""
 
-def queries():
-    return {}
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def oracle_sql():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import positions
+from .operators import checks, cluster, differ, logo, matrix, merge, scale, select, summarise
+from .plans import build
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+def items_of_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand", "p_name", "p_size")
+    return table(spark, sf_dir, "lineitem").join(parts, "l_partkey")
+
+
+ITEMS = "SELECT * FROM lineitem JOIN part ON l_partkey = p_partkey"
+
+# --- Differential abundance -------------------------------------------------------------------------------------------
+
+
+def p_value_sql() -> str:
+    """The p-value from nu, spread, t2 and x, by the positive series of the incomplete beta function on either side of x = 0.9."""
+    a = "(nu / 2.0)"
+    log_beta = f"(lgamma({a}) + lgamma(0.5) - lgamma({a} + 0.5))"
+    near = f"list_sum(list_transform(range(0, 400), lambda k: exp(lgamma({a} + 0.5 + k) - lgamma({a} + 0.5) - lgamma({a} + 1 + k) + lgamma({a} + 1) + k * ln(x))))"
+    far = f"list_sum(list_transform(range(0, 400), lambda k: exp(lgamma({a} + 0.5 + k) - lgamma({a} + 0.5) - lgamma(1.5 + k) + lgamma(1.5) + k * ln(1 - x))))"
+    return f"""CASE WHEN nu <= 0 THEN NULL WHEN spread = 0 THEN CASE WHEN z1 <> z2 THEN 0.0 END WHEN t2 = 0 THEN 1.0
+      WHEN x <= 0.9 THEN exp({a} * ln(x) + 0.5 * ln(1 - x) - ln({a}) - {log_beta}) * {near}
+      ELSE 1 - exp(0.5 * ln(1 - x) + {a} * ln(x) - ln(0.5) - {log_beta}) * {far} END"""
+
+
+def tested_sql(pairs: str) -> str:
+    """CTEs from ``pairs`` (k..., g1, g2, m1, s1, n1, m2, s2, n2) to ``tested`` with log2fc and pval."""
+    return f"""
+zz AS (SELECT *, CASE WHEN m1 = 0 THEN 1e-20 ELSE m1 END AS z1, CASE WHEN m2 = 0 THEN 1e-20 ELSE m2 END AS z2 FROM {pairs}),
+sp AS (SELECT *, CAST(n1 + n2 - 2 AS DOUBLE) AS nu, ((n1 - 1) * s1 * s1 + (n2 - 1) * s2 * s2) / (n1 + n2 - 2) * (1.0 / n1 + 1.0 / n2) AS spread FROM zz),
+tt AS (SELECT *, CASE WHEN spread = 0 THEN NULL ELSE (z1 - z2) * (z1 - z2) / spread END AS t2 FROM sp),
+xx AS (SELECT *, nu / (nu + t2) AS x FROM tt),
+tested AS (SELECT *, log2(z2) - log2(z1) AS log2fc, {p_value_sql()} AS pval FROM xx)"""
+
+
+def diff_sql(source: str, by: str, cutoff: str) -> str:
+    """CTEs to ``tested`` for rows (r, f, g, v) of ``source``; ``by``: read type. ``cutoff``: SQL condition on level."""
+    return f"""
+src AS ({source}),
+st AS (SELECT r, f, g, avg(v) AS m, stddev_samp(v) AS s, count(v) AS n FROM src WHERE r IS NOT NULL AND f IS NOT NULL AND g IS NOT NULL GROUP BY ALL),
+ng AS (SELECT r, count(DISTINCT g) AS k FROM src WHERE g IS NOT NULL GROUP BY r),
+lv AS (SELECT r, f, avg(m) AS level, count(s) AS has FROM st GROUP BY r, f),
+ok AS (SELECT lv.r, f, level FROM lv JOIN ng ON lv.r = ng.r WHERE has = k AND {cutoff}),
+pr AS (SELECT a.r, a.f, ok.level, a.g AS g1, b.g AS g2, a.m AS m1, a.s AS s1, a.n AS n1, b.m AS m2, b.s AS s2, b.n AS n2
+       FROM st a JOIN st b ON a.r = b.r AND a.f = b.f AND a.g < b.g JOIN ok ON ok.r = a.r AND ok.f = a.f),{tested_sql("pr")}"""
+
+
+QUANTITY = "SELECT 'q' AS r, l_partkey AS f, l_returnflag AS g, l_quantity AS v FROM lineitem"
+READS = "SELECT r, f, g, v FROM (SELECT l_partkey AS f, l_returnflag AS g, l_quantity, l_extendedprice / 1000 AS price, 1000 * l_tax AS tax FROM lineitem) UNPIVOT (v FOR r IN (l_quantity, price, tax))"
+
+
+def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("feature"), "l_returnflag", "l_quantity", (F.col("l_extendedprice") / 1000).alias("price"), (1000 * F.col("l_tax")).alias("tax"))
+    return matrix.to_long(wide, ["feature", "l_returnflag"], ["l_quantity", "price", "tax"], "readtype")
+
+
+@query(f"WITH {diff_sql(QUANTITY, 'r', 'level >= 20')} SELECT f AS feature, g1, g2, round(log2fc, 6) AS log2fc, round(pval, 6) AS pval FROM tested")
+def log2fc_pairs(spark, sf_dir):
+    return rounded(differ.log2fc(table(spark, sf_dir, "lineitem"), "l_partkey", "l_returnflag", "l_quantity", 20), "log2fc", "pval")
+
+
+@query(f"WITH {diff_sql(READS, 'r', 'level >= 20')} SELECT r AS readtype, c AS cutoff, f AS feature, g1, g2, round(log2fc, 6) AS log2fc, round(pval, 6) AS pval FROM tested JOIN (SELECT unnest([20, 24, 28, 32, 36]) AS c) ON level >= c")
+def log2fc_multi_cutoff(spark, sf_dir):
+    return rounded(build.default_diffs(reads(spark, sf_dir), "l_returnflag", (20, 24, 28, 32, 36)), "log2fc", "pval")
+
+
+COMPARE = f"""
+src AS (SELECT p_type AS f, l_linestatus AS h, l_returnflag AS g, l_quantity AS v FROM ({ITEMS})),
+nf AS (SELECT count(DISTINCT h) AS k FROM src),
+cm AS (SELECT g FROM (SELECT DISTINCT h, g FROM src) GROUP BY g HAVING count(*) = (SELECT k FROM nf)),
+st AS (SELECT f, h, g, avg(v) AS m, stddev_samp(v) AS s, count(v) AS n FROM src WHERE g IN (SELECT g FROM cm) GROUP BY ALL),
+nc AS (SELECT count(*) AS k FROM (SELECT DISTINCT h, g FROM src WHERE g IN (SELECT g FROM cm))),
+ok AS (SELECT f FROM st WHERE s IS NOT NULL GROUP BY f HAVING count(*) = (SELECT k FROM nc)),
+pr AS (SELECT a.f, a.h, a.g AS g1, b.g AS g2, a.m AS m1, a.s AS s1, a.n AS n1, b.m AS m2, b.s AS s2, b.n AS n2
+       FROM st a JOIN st b ON a.f = b.f AND a.h = b.h AND a.g < b.g WHERE a.f IN (SELECT f FROM ok)),{tested_sql("pr")}"""
+
+
+@query(f"WITH {COMPARE} SELECT f AS entity, h AS cgrp1, g1, g2, round(log2fc, 6) AS log2fc, round(pval, 6) AS pval FROM tested")
+def log2fc_compare(spark, sf_dir):
+    return rounded(differ.log2fc_compare(items_of_parts(spark, sf_dir), "p_type", "l_linestatus", "l_returnflag", "l_quantity"), "log2fc", "pval")
+
+
+@query(f"WITH {COMPARE}, e AS (SELECT f AS entity, round(avg(abs(log2fc)), 9) AS mean_abs FROM tested GROUP BY f) SELECT entity, round(mean_abs, 6) AS mean_abs, CAST(row_number() OVER (ORDER BY mean_abs, entity) - 1 AS INTEGER) AS place FROM e")
+def compare_entity_order(spark, sf_dir):
+    compared = differ.log2fc_compare(items_of_parts(spark, sf_dir), "p_type", "l_linestatus", "l_returnflag", "l_quantity")
+    return rounded(differ.entity_order(compared), "mean_abs")
+
+
+HEAT = f"""WITH {diff_sql(READS, 'r', 'level >= 20')},
+w AS (SELECT *, row_number() OVER (PARTITION BY r, g1, g2 ORDER BY log2fc DESC, f) AS up, row_number() OVER (PARTITION BY r, g1, g2 ORDER BY log2fc, f) AS down FROM tested)
+SELECT r AS readtype, f AS feature, g1, g2, round(log2fc, 6) AS log2fc, round(CASE WHEN pval <= 0 THEN CAST('inf' AS DOUBLE) ELSE -log10(pval) END, 6) AS log10p FROM w WHERE (up <= 25 OR down <= 25) AND r <> 'tax'"""
+
+
+@query(HEAT)
+def heatmap_table(spark, sf_dir):
+    return rounded(build.heatmap(reads(spark, sf_dir), "l_returnflag", "value", 20, 25, ("tax",)), "log2fc", "log10p").drop("pval")
+
+
+@query(f"""WITH {diff_sql(QUANTITY, 'r', 'level >= 20')}, l AS (SELECT *, CASE WHEN pval <= 0 THEN CAST('inf' AS DOUBLE) ELSE -log10(pval) END AS lp FROM tested)
+SELECT f AS feature, g1, g2, round(log2fc, 6) AS log2fc, round(lp, 6) AS log10p, log2fc >= 1.5 AS is_up, log2fc <= -1.5 AS is_down, coalesce(lp >= 1.3, false) AS sig_05, coalesce(lp >= 3, false) AS sig_001 FROM l""")
+def volcano_table(spark, sf_dir):
+    diff = differ.log2fc(table(spark, sf_dir, "lineitem"), "l_partkey", "l_returnflag", "l_quantity", 20)
+    return rounded(differ.volcano(diff), "log2fc", "log10p").drop("pval")
+
+
+# --- Summaries --------------------------------------------------------------------------------------------------------
+
+BARS = """WITH i AS ({source}),
+st AS (SELECT c, g, CAST(avg(v) AS DOUBLE) AS mean, CAST(median(v) AS DOUBLE) AS median, CAST(max(v) AS DOUBLE) AS max, CAST(sum(v) AS DOUBLE) AS sum, CAST(count(v) AS DOUBLE) AS count FROM i WHERE c IS NOT NULL AND g IS NOT NULL GROUP BY c, g),
+d AS (SELECT c, g, coalesce(mean, 0) AS mean, coalesce(median, 0) AS median, coalesce(max, 0) AS max, coalesce(sum, 0) AS sum, coalesce(count, 0) AS count
+      FROM (SELECT DISTINCT c FROM st) CROSS JOIN (SELECT DISTINCT g FROM st) LEFT JOIN st USING (c, g)),
+o AS (SELECT c, CAST(dense_rank() OVER (ORDER BY k, c) - 1 AS INTEGER) AS place FROM (SELECT c, {key} AS k FROM i WHERE c IS NOT NULL AND g IS NOT NULL GROUP BY c)),
+s AS (SELECT *, mean / sum(mean) OVER (PARTITION BY g) AS a, median / sum(median) OVER (PARTITION BY g) AS b, max / sum(max) OVER (PARTITION BY g) AS e, sum / sum(sum) OVER (PARTITION BY g) AS f, count / sum(count) OVER (PARTITION BY g) AS h FROM d JOIN o USING (c))
+SELECT c AS {c}, g AS {g}, round(mean, 6) AS mean, round(median, 6) AS median, round(max, 6) AS max, round(sum, 4) AS sum, count,
+       round(a, 6) AS mean_share, round(b, 6) AS median_share, round(e, 6) AS max_share, round(f, 6) AS sum_share, round(h, 6) AS count_share, place,
+       round(coalesce(sum(f) OVER (PARTITION BY g ORDER BY place, c ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 6) AS stack_from FROM s"""
+SHARES = ["mean", "median", "max", "mean_share", "median_share", "max_share", "sum_share", "count_share", "stack_from"]
+
+
+@query(BARS.format(source=f"SELECT p_brand AS c, l_returnflag AS g, l_quantity AS v, p_size FROM ({ITEMS})", key="round(avg(CAST(p_size AS DOUBLE)), 9)", c="p_brand", g="l_returnflag"))
+def bar_shares(spark, sf_dir):
+    return rounded(rounded(summarise.bars(items_of_parts(spark, sf_dir), "p_brand", "l_returnflag", "l_quantity", "p_size"), *SHARES), "sum", digits=4)
+
+
+@query(BARS.format(source=f"SELECT p_type || '/' || o_orderpriority AS c, l_returnflag AS g, l_quantity AS v FROM ({ITEMS}) JOIN orders ON l_orderkey = o_orderkey", key="0.0", c="sub", g="l_returnflag"))
+def bar_subgroups(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
+    rows = items_of_parts(spark, sf_dir).join(orders, "l_orderkey").withColumn("sub", F.concat_ws("/", "p_type", "o_orderpriority"))
+    return rounded(rounded(summarise.bars(rows, "sub", "l_returnflag", "l_quantity"), *SHARES), "sum", digits=4)
+
+
+@query("SELECT l_suppkey, min(l_shipmode) AS l_shipmode FROM (SELECT l_suppkey, l_returnflag || l_linestatus AS l_shipmode FROM lineitem) GROUP BY l_suppkey")
+def label_lookup(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select("l_suppkey", F.concat("l_returnflag", "l_linestatus").alias("l_shipmode"))
+    return summarise.labels(rows, "l_suppkey", "l_shipmode")
+
+
+RADAR = """, st AS (SELECT {e} c, g, avg(v) AS mean, median(v) AS median, max(v) AS max, sum(v) AS sum FROM i GROUP BY ALL),
+u AS (SELECT {e} c, g, 'mean' AS method, mean AS value FROM st UNION ALL SELECT {e} c, g, 'median', median FROM st UNION ALL SELECT {e} c, g, 'max', max FROM st UNION ALL SELECT {e} c, g, 'sum', sum FROM st),
+p AS (SELECT *, 100 * value / nullif(sum(value) OVER (PARTITION BY {e} c, method), 0) AS percent FROM u),
+q AS (SELECT *, min(percent) OVER (PARTITION BY {e} c, method) AS least FROM p)
+SELECT {e} c AS {c}, g AS l_returnflag, method, round(value, 4) AS value, round(percent, 6) AS percent FROM q WHERE least > 1"""
+
+
+@query(f"WITH i AS (SELECT p_brand AS c, l_returnflag AS g, l_quantity AS v FROM ({ITEMS}))" + RADAR.format(e="", c="p_brand"))
+def radar_shares(spark, sf_dir):
+    out = summarise.radar(items_of_parts(spark, sf_dir), "p_brand", "l_returnflag", "l_quantity")
+    return rounded(rounded(out, "percent"), "value", digits=4)
+
+
+@query(f"""WITH x AS (SELECT p_type, p_brand AS c, l_returnflag AS g, l_quantity AS v FROM ({ITEMS})), rich AS (SELECT p_type FROM x GROUP BY p_type HAVING count(DISTINCT c) >= 3),
+i AS (SELECT p_type, c, g, v FROM x WHERE p_type IN (SELECT p_type FROM rich) AND c NOT IN ('Brand#11', 'Brand#12'))""" + RADAR.format(e="p_type,", c="p_brand"))
+def radar_by_entity(spark, sf_dir):
+    out = summarise.radar(items_of_parts(spark, sf_dir), "p_brand", "l_returnflag", "l_quantity", entity="p_type", dropped=("Brand#11", "Brand#12"))
+    return rounded(rounded(out, "percent"), "value", digits=4)
+
+
+@query("""WITH c AS (SELECT event_type AS key, user_id % 10 AS sample, CAST(count(*) AS DOUBLE) AS value FROM events GROUP BY ALL),
+p AS (SELECT *, 100 * value / sum(value) OVER (PARTITION BY sample) AS percent FROM c)
+SELECT key, sample, value, round(percent, 6) AS percent, round(coalesce(sum(percent) OVER (PARTITION BY sample ORDER BY key DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 6) AS stack_from FROM p""")
+def count_percent(spark, sf_dir):
+    counts = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("key"), (F.col("user_id") % 10).alias("sample")).agg(F.count("*").cast("double").alias("value"))
+    return rounded(summarise.percentages(counts, "key", "sample", "value"), "percent", "stack_from")
+
+
+@query("""WITH c AS (SELECT l_returnflag AS key, l_suppkey, s_nationkey, sum(l_quantity) AS value FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL)
+SELECT key, s_nationkey, round(avg(value), 6) AS mean, round(sum(value), 4) AS sum FROM c GROUP BY ALL""")
+def count_combined(spark, sf_dir):
+    groups = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    counts = table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("key"), "l_suppkey").agg(F.sum("l_quantity").alias("value"))
+    return rounded(rounded(summarise.combined(counts.join(groups, "l_suppkey"), "key", "s_nationkey", "value"), "mean"), "sum", digits=4)
+
+
+@query("""SELECT l_suppkey, l_linenumber, l_returnflag, round(avg(l_quantity), 6) AS mean, round(CAST(median(l_quantity) AS DOUBLE), 6) AS median, max(l_quantity) AS max, min(l_quantity) AS min, round(sum(l_quantity), 4) AS sum
+FROM lineitem GROUP BY ALL""")
+def coverage_profile(spark, sf_dir):
+    out = summarise.profile(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_linenumber", "l_returnflag", "l_quantity")
+    return rounded(rounded(out, "mean", "median"), "sum", digits=4)
+
+
+@query("""WITH s AS (SELECT l_suppkey, l_linenumber, l_returnflag, avg(l_quantity) AS mean, coalesce(stddev_samp(l_quantity) / sqrt(count(l_quantity)), 0) AS se FROM lineitem GROUP BY ALL),
+b AS (SELECT *, mean - 2 * se AS lower, mean + 2 * se AS upper FROM s)
+SELECT l_suppkey, l_linenumber, l_returnflag, round(mean, 6) AS mean, round(lower, 6) AS lower, round(upper, 6) AS upper, max(upper) OVER (PARTITION BY l_suppkey) < 35 AS low_coverage FROM b""")
+def coverage_band(spark, sf_dir):
+    return rounded(summarise.band(table(spark, sf_dir, "lineitem"), "l_suppkey", "l_linenumber", "l_returnflag", "l_quantity", 35), "mean", "lower", "upper")
+
+
+@query("""WITH p AS (SELECT l_linenumber, l_returnflag, avg(l_extendedprice) AS mean FROM lineitem GROUP BY ALL), g AS (SELECT l_returnflag, avg(mean) AS level FROM p GROUP BY 1)
+SELECT l_returnflag, round(level, 4) AS level, CAST(row_number() OVER (ORDER BY level DESC, l_returnflag) - 1 AS INTEGER) AS place FROM g""")
+def coverage_group_order(spark, sf_dir):
+    profiles = table(spark, sf_dir, "lineitem").groupBy("l_linenumber", "l_returnflag").agg(F.avg("l_extendedprice").alias("mean"))
+    return rounded(summarise.profile_order(profiles, "l_returnflag"), "level", digits=4)
+
+
+HOURS = """h AS (SELECT event_type, CAST(hour(ts) AS INTEGER) AS hour, sum(value) AS value FROM events GROUP BY ALL),
+s AS (SELECT event_type, hour, value / sum(value) OVER (PARTITION BY event_type) AS share FROM h QUALIFY sum(value) OVER (PARTITION BY event_type) <> 0)"""
+
+
+def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").withColumn("hour", F.hour("ts"))
+    return summarise.scaled_profile(events, ["event_type"], "hour", "value")
+
+
+@query(f"WITH {HOURS} SELECT event_type, hour, round(share, 6) AS share FROM s")
+def start_end_shares(spark, sf_dir):
+    return rounded(hourly(spark, sf_dir), "share")
+
+
+@query(f"""WITH {HOURS}, i AS (SELECT event_type, hour, hour - row_number() OVER (PARTITION BY event_type ORDER BY hour) AS island FROM s WHERE share >= 0.042),
+r AS (SELECT event_type, min(hour) AS a, max(hour) AS b FROM i GROUP BY event_type, island)
+SELECT event_type, a AS start, b AS end, (a + b) / 2 AS midpoint, CASE WHEN a = b THEN CAST(a AS VARCHAR) ELSE a || '-' || b END AS label FROM r""")
+def peak_intervals(spark, sf_dir):
+    return summarise.peaks(hourly(spark, sf_dir), ["event_type"], "hour", 0.042)
+
+
+@query("""WITH n AS (SELECT DISTINCT c_name FROM customer) SELECT c_name, CAST(row_number() OVER (ORDER BY regexp_extract(c_name, '^(.*)#[^#]*$', 1), TRY_CAST(regexp_extract(c_name, '#([^#]*)$', 1) AS INTEGER), c_name) AS INTEGER) AS place FROM n
+ORDER BY place LIMIT 100""")
+def natural_sort(spark, sf_dir):
+    names = table(spark, sf_dir, "customer").select("c_name").distinct().withColumn("feature", F.translate("c_name", "#", "-"))
+    first = names.orderBy(*summarise.natural_order("feature")).limit(100)  # a top-k report
+    from pyspark.sql import Window as W
+
+    return first.withColumn("place", F.row_number().over(W.orderBy(*summarise.natural_order("feature")))).select("c_name", "place")
+
+
+# --- The long matrix --------------------------------------------------------------------------------------------------
+
+UNPIVOT = "(SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, coverage, value FROM lineitem UNPIVOT (value FOR coverage IN (l_quantity, l_extendedprice, l_discount, l_tax)))"
+KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"]
+
+
+def long_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matrix.to_long(table(spark, sf_dir, "lineitem"), KEYS, MEASURES)
+
+
+@query(f"SELECT l_partkey, coverage, l_linenumber, round(sum(value), 4) AS value FROM {UNPIVOT} GROUP BY ALL")
+def long_matrix(spark, sf_dir):
+    return rounded(long_items(spark, sf_dir).groupBy("l_partkey", "coverage", "l_linenumber").agg(F.sum("value").alias("value")), "value", digits=4)
+
+
+@query("SELECT l_partkey, l_returnflag, " + ", ".join(f'round(sum(l_quantity) FILTER (l_linenumber = {i}), 4) AS "{i}"' for i in range(1, 8)) + " FROM lineitem GROUP BY ALL")
+def wide_matrix(spark, sf_dir):
+    long = table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_returnflag", "l_linenumber").agg(F.round(F.sum("l_quantity"), 4).alias("value"))
+    return matrix.to_wide(long, ["l_partkey", "l_returnflag"], "l_linenumber", "value", list(range(1, 8)))
+
+
+FACTORS = "(SELECT s_suppkey AS l_suppkey, s_nationkey, 1 + abs(s_acctbal) / 1000 AS size_factor FROM supplier)"
+
+
+def factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), (1 + F.abs("s_acctbal") / 1000).alias("size_factor"))
+
+
+@query(f"SELECT l_partkey, coverage, round(sum(CASE WHEN coverage IN ('l_quantity', 'l_tax') THEN value / size_factor ELSE value END), 4) AS norm FROM {UNPIVOT} LEFT JOIN {FACTORS} USING (l_suppkey) GROUP BY ALL")
+def size_factor_norm(spark, sf_dir):
+    norm = matrix.normalised(long_items(spark, sf_dir), factors(spark, sf_dir), "l_suppkey", raw_types=["l_quantity", "l_tax"])
+    return rounded(norm.groupBy("l_partkey", "coverage").agg(F.sum("norm").alias("norm")), "norm", digits=4)
+
+
+@query(f"SELECT n_name, coverage, round(sum(CASE WHEN coverage IN ('l_quantity', 'l_tax') THEN value ELSE value * size_factor END), 2) AS raw FROM {UNPIVOT} LEFT JOIN {FACTORS} USING (l_suppkey) LEFT JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL")
+def raw_layer(spark, sf_dir):
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    meta = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey").join(nations, "s_nationkey", "left").drop("s_nationkey")
+    raw = matrix.raw_layer(matrix.normalised(long_items(spark, sf_dir), factors(spark, sf_dir), "l_suppkey", raw_types=["l_quantity", "l_tax"]))
+    return rounded(matrix.with_metadata(raw, meta, "l_suppkey").groupBy("n_name", "coverage").agg(F.sum("raw").alias("raw")), "raw", digits=2)
+
+
+READ_TYPES = "CASE l_linenumber WHEN 1 THEN 'fiveprime' WHEN 2 THEN 'threeprime' WHEN 3 THEN 'wholecounts' WHEN 4 THEN 'other' ELSE 'antisense' END"
+
+
+@query(f"""WITH c AS (SELECT l_partkey, {READ_TYPES} AS readtype, l_suppkey, sum(l_quantity) AS value FROM lineitem GROUP BY ALL),
+u AS (SELECT * FROM c WHERE l_partkey % 3 <> 0 AND l_suppkey % 5 <> 0), seen AS (SELECT DISTINCT l_partkey FROM u),
+r AS (SELECT c.*, size_factor, CASE WHEN seen.l_partkey IS NULL THEN 0.0 ELSE u.value END AS raw FROM c LEFT JOIN u USING (l_partkey, readtype, l_suppkey) LEFT JOIN seen ON seen.l_partkey = c.l_partkey LEFT JOIN {FACTORS} USING (l_suppkey))
+SELECT l_partkey, l_suppkey, round(coalesce(sum(raw), 0), 6) AS total_unique_raw, round(coalesce(sum(raw / size_factor), 0), 6) AS total_unique_norm, round(coalesce(sum(value * size_factor), 0), 6) AS total_all_raw, round(coalesce(sum(value), 0), 6) AS total_all_norm
+FROM r WHERE readtype IN ('fiveprime', 'threeprime', 'wholecounts', 'other') GROUP BY ALL""")
+def read_totals(spark, sf_dir):
+    every = table(spark, sf_dir, "lineitem").withColumn("readtype", F.expr(READ_TYPES)).groupBy("l_partkey", "readtype", "l_suppkey").agg(F.sum("l_quantity").alias("value"))
+    unique = every.filter("l_partkey % 3 <> 0 and l_suppkey % 5 <> 0")
+    counts = matrix.read_counts(unique, every, factors(spark, sf_dir), ("l_partkey", "readtype", "l_suppkey"))
+    totals = matrix.read_totals(counts, ["l_partkey", "l_suppkey"])
+    return rounded(totals, "total_unique_norm", "total_unique_raw", "total_all_raw", "total_all_norm")
+
+
+@query("""WITH k AS (SELECT 'tRNA-' || p_type || '-' || replace(p_brand, '#', '') || '-' || p_size AS f, 's_' || p_partkey % 100 AS s FROM part)
+SELECT f || '_' || s AS key, f AS feature, s AS sample, string_split(f, '-')[1] AS pseudogene, string_split(f, '-')[2] AS amino, string_split(f, '-')[3] AS iso FROM k""")
+def key_parse(spark, sf_dir):
+    name = F.concat_ws("-", F.lit("tRNA"), "p_type", F.translate("p_brand", "#", ""), F.col("p_size").cast("string"))
+    keys = table(spark, sf_dir, "part").select(F.concat_ws("_", name, F.lit("s"), (F.col("p_partkey") % 100).cast("string")).alias("key"))
+    return matrix.parse_keys(keys, "key")
+
+
+@query("SELECT DISTINCT string_split(s_name, '#')[2] AS readtype FROM supplier")
+def read_type_names(spark, sf_dir):
+    return matrix.read_types(table(spark, sf_dir, "supplier").select(F.translate("s_name", "#", "_").alias("key")), "key")
+
+
+@query("SELECT l_linenumber, min(l_orderkey) AS first_seen FROM lineitem GROUP BY 1")
+def position_order(spark, sf_dir):
+    return matrix.ordered_positions(table(spark, sf_dir, "lineitem"), "l_linenumber", "l_orderkey")
+
+
+DIMENSION = "(VALUES " + ", ".join(
+    f"('{p}', {i}, {str(any(c in p for c in 'abe') or '-1' in p).lower()}, " + ", ".join("NULL" if x is None else f"'{x}'" for x in positions.region(p)) + ")" for i, p in enumerate(positions.labels())
+) + ") AS d(position, pos_ord, gap, location, half)"
+
+
+@query(f"""WITH x AS (SELECT CASE WHEN l_partkey % 100 > 76 THEN 'e' || (l_partkey % 23) ELSE CAST(l_partkey % 100 AS VARCHAR) END AS position, l_quantity FROM lineitem)
+SELECT position, pos_ord, gap, location, half, count(*) AS n, round(sum(l_quantity), 4) AS total FROM x LEFT JOIN {DIMENSION} USING (position) GROUP BY ALL""")
+def position_annotate(spark, sf_dir):
+    spot = F.col("l_partkey") % 100
+    rows = table(spark, sf_dir, "lineitem").select(F.when(spot > 76, F.concat(F.lit("e"), (F.col("l_partkey") % 23).cast("string"))).otherwise(spot.cast("string")).alias("position"), "l_quantity")
+    out = rows.join(F.broadcast(positions.dimension(spark)), "position", "left")
+    return rounded(out.groupBy("position", "pos_ord", "gap", "location", "half").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("total")), "total", digits=4)
+
+
+SPOTS = f"""x AS (SELECT l_partkey, l_suppkey % 10 AS sample, location, half, l_quantity AS value FROM (SELECT *, CAST((l_orderkey * 7 + l_linenumber * 11) % 77 AS VARCHAR) AS position FROM lineitem) JOIN {DIMENSION} USING (position)),
+r AS (SELECT l_partkey, sample, avg(value) FILTER (half = 'fiveprime') AS mean_fiveprime, avg(value) FILTER (half = 'center') AS mean_center, avg(value) FILTER (half = 'threeprime') AS mean_threeprime,
+ stddev_pop(value) FILTER (half = 'fiveprime') AS sd_fiveprime, stddev_pop(value) FILTER (half = 'center') AS sd_center, stddev_pop(value) FILTER (half = 'threeprime') AS sd_threeprime,
+ avg(value) FILTER (location = 'fiveprime_acceptorstem') AS mean_stem5, avg(value) FILTER (location = 'threeprime_acceptorstem') AS mean_stem3, stddev_pop(value) AS sd_all,
+ sum(value) FILTER (half = 'fiveprime') AS fp, sum(value) FILTER (half = 'threeprime') AS tp, sum(value) AS total FROM x GROUP BY ALL)"""
+REGION_COLUMNS = ["mean_fiveprime", "mean_center", "mean_threeprime", "sd_fiveprime", "sd_center", "sd_threeprime", "mean_stem5", "mean_stem3", "sd_all"]
+
+
+def spots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "lineitem").select("l_partkey", (F.col("l_suppkey") % 10).alias("sample"), ((F.col("l_orderkey") * 7 + F.col("l_linenumber") * 11) % 77).cast("string").alias("position"), F.col("l_quantity").alias("value"))
+    return rows.join(F.broadcast(positions.dimension(spark)), "position")
+
+
+@query(f"WITH {SPOTS} SELECT l_partkey, sample, " + ", ".join(f"round({c}, 6) AS {c}" for c in REGION_COLUMNS) + " FROM r")
+def region_stats(spark, sf_dir):
+    return rounded(matrix.region_stats(spots(spark, sf_dir), ["l_partkey", "sample"]), *REGION_COLUMNS)
+
+
+@query(f"""WITH {SPOTS} SELECT l_partkey, sample, CASE WHEN coalesce(total, 0) <= 20 THEN 'low_coverage'
+ WHEN coalesce(fp, 0) > abs(coalesce(tp, 0) + 2 * sd_all) THEN CASE WHEN abs(mean_center - mean_stem5) < sd_fiveprime THEN 'fiveprime_half' ELSE 'fiveprime_fragment' END
+ WHEN coalesce(tp, 0) > abs(coalesce(fp, 0) + 2 * sd_all) THEN CASE WHEN abs(mean_center - mean_stem3) < sd_threeprime THEN 'threeprime_half' ELSE 'threeprime_fragment' END
+ WHEN abs(mean_fiveprime - mean_threeprime) > sd_all THEN 'other_fragment' WHEN abs(mean_stem5 - mean_stem3) > mean_center + sd_center THEN 'multiple_fragment' ELSE 'whole' END AS fragment FROM r""")
+def fragment_class(spark, sf_dir):
+    x, keys = spots(spark, sf_dir), ["l_partkey", "sample"]
+    reads_ = x.groupBy(*keys).agg(F.sum(F.when(F.col("half") == "fiveprime", F.col("value"))).alias("fp"), F.sum(F.when(F.col("half") == "threeprime", F.col("value"))).alias("tp"), F.sum("value").alias("total"))
+    return matrix.fragment_class(matrix.region_stats(x, keys).join(reads_, keys)).select(*keys, "fragment")
+
+
+#: A document's first 32 characters stand for a feature's positions: the operator's feature, not a prefix of the input.
+BASES = "SELECT doc_id, lang, i AS position, CASE WHEN c IN ('a', 'e', 'i') THEN 'A' WHEN c IN ('o', 'u', 'n') THEN 'C' WHEN c IN ('t', 's', 'r') THEN 'G' WHEN c = ' ' THEN '-' ELSE 'T' END AS base FROM (SELECT doc_id, lang, unnest(range(1, 33)) AS i, lower(substr(text, i, 1)) AS c FROM documents WHERE length(text) >= 32)"
+
+
+def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").filter(F.length("text") >= 32)
+    rows = docs.select("doc_id", "lang", F.substring("text", 1, 32).alias("text")).select("doc_id", "lang", "text", F.explode(F.sequence(F.lit(1), F.lit(32))).alias("position"))
+    c = F.lower(F.expr("substring(text, position, 1)"))
+    base = F.when(c.isin("a", "e", "i"), "A").when(c.isin("o", "u", "n"), "C").when(c.isin("t", "s", "r"), "G").when(c == " ", "-").otherwise("T")
+    return rows.select("doc_id", "lang", "position", base.alias("base"))
+
+
+@query(f"SELECT doc_id, replace(string_agg(base, '' ORDER BY position), 'T', 'U') AS sequence FROM ({BASES}) WHERE position NOT IN (30, 31, 32) GROUP BY doc_id")
+def ref_sequence(spark, sf_dir):
+    rows = letters(spark, sf_dir).filter(~F.col("position").isin(30, 31, 32))
+    return matrix.sequences(rows, ["doc_id"], "position", rna=True)
+
+
+@query("""WITH r AS (SELECT l_partkey, l_returnflag, avg(l_quantity) AS reads, min_by(p_brand, (l_orderkey, l_linenumber, p_brand)) AS brand FROM (SELECT * FROM lineitem JOIN part ON l_partkey = p_partkey) WHERE p_type <> 'TIN' GROUP BY ALL),
+m AS (SELECT l_partkey, l_returnflag, l_linenumber, avg(l_extendedprice) AS mean FROM lineitem GROUP BY ALL)
+SELECT l_partkey, l_returnflag, l_linenumber, round(mean, 4) AS mean, round(reads, 6) AS reads, brand FROM m JOIN r USING (l_partkey, l_returnflag) WHERE reads >= 20""")
+def group_mean_profile(spark, sf_dir):
+    items = items_of_parts(spark, sf_dir)
+    info = items.select("l_partkey", "l_returnflag", F.struct("l_orderkey", "l_linenumber").alias("order"), F.col("p_type").alias("amino"), F.col("l_quantity").alias("reads"), F.col("p_brand").alias("brand"))
+    out = matrix.mean_profiles(items, info, "l_partkey", "l_returnflag", ["l_linenumber"], "l_extendedprice", ["brand"], "order", 20, ("TIN",))
+    return rounded(rounded(out, "reads"), "mean", digits=4)
+
+
+# --- Checks -----------------------------------------------------------------------------------------------------------
+
+
+@query("""WITH o AS (SELECT c_custkey, o_orderkey, o_orderpriority, o_orderdate FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_totalprice > 200000)
+SELECT column, nulls FROM (SELECT 'o_orderkey' AS column, count_if(o_orderkey IS NULL) AS nulls FROM o UNION ALL SELECT 'o_orderpriority', count_if(o_orderpriority IS NULL) FROM o UNION ALL SELECT 'c_custkey', count_if(c_custkey IS NULL) FROM o) WHERE nulls > 0""".replace("SELECT column, nulls", 'SELECT "column", CAST(nulls AS BIGINT) AS nulls').replace("AS column,", 'AS "column",'))
+def null_report(spark, sf_dir):
+    big = table(spark, sf_dir, "orders").filter("o_totalprice > 200000").withColumnRenamed("o_custkey", "c_custkey")
+    rows = table(spark, sf_dir, "customer").join(big, "c_custkey", "left")
+    return checks.null_report(rows, ["o_orderkey", "o_orderpriority", "c_custkey"])
+
+
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def dup_keys(spark, sf_dir):
+    return checks.duplicates(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("""SELECT k, 'left' AS side FROM (SELECT DISTINCT c_custkey AS k FROM customer) WHERE k NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)
+UNION ALL SELECT k, 'right' FROM (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_custkey IS NOT NULL) WHERE k NOT IN (SELECT c_custkey FROM customer)""")
+def key_mismatch(spark, sf_dir):
+    return checks.key_mismatch(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")), ["k"])
+
+
+@query("SELECT p_brand, count(DISTINCT p_type) AS n_labels FROM part GROUP BY 1 HAVING count(DISTINCT p_type) > 1")
+def label_dependency(spark, sf_dir):
+    return checks.broken_dependencies(table(spark, sf_dir, "part"), "p_brand", "p_type")
+
+
+# --- Selection and merging --------------------------------------------------------------------------------------------
+
+CONFIG = {"name": "some", "obs": {"l_returnflag": ["A", "R"]}, "obs_r": {"l_linestatus": ["O"]}, "var": {"l_linenumber": [1, 2, 3]}, "var_r": {"coverage": ["l_tax"]}}
+
+
+@query(f"SELECT l_partkey, l_returnflag, coverage, round(sum(value), 4) AS value FROM (SELECT * FROM lineitem UNPIVOT (value FOR coverage IN (l_quantity, l_extendedprice, l_discount, l_tax))) WHERE l_returnflag IN ('A', 'R') AND l_linestatus <> 'O' AND l_linenumber IN (1, 2, 3) AND coverage <> 'l_tax' GROUP BY ALL")
+def config_filter(spark, sf_dir):
+    kept = select.rows(table(spark, sf_dir, "lineitem"), CONFIG)
+    x = select.columns(matrix.to_long(kept, KEYS, MEASURES), CONFIG)
+    return rounded(x.groupBy("l_partkey", "l_returnflag", "coverage").agg(F.sum("value").alias("value")), "value", digits=4)
+
+
+@query("""WITH c AS (SELECT l_returnflag AS key, CAST(l_suppkey AS VARCHAR) AS sample, sum(l_quantity) AS value FROM lineitem GROUP BY ALL)
+SELECT key, sample, round(value, 4) AS value FROM c WHERE sample IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey IN (1, 2))""")
+def side_filter(spark, sf_dir):
+    nations = table(spark, sf_dir, "nation").filter("n_regionkey in (1, 2)").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    kept = table(spark, sf_dir, "supplier").join(nations, "s_nationkey").select(F.col("s_suppkey").cast("string").alias("sample"), F.col("n_name").alias("group"))
+    counts = table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("key"), F.col("l_suppkey").cast("string").alias("sample")).agg(F.sum("l_quantity").alias("value"))
+    return rounded(select.side_table(counts, kept, "sample", ["sample", "group"]), "value", digits=4)
+
+
+@query("SELECT l_partkey, l_suppkey, l_quantity FROM lineitem WHERE l_partkey IN (SELECT l_partkey FROM lineitem GROUP BY 1 HAVING avg(l_quantity) >= 27)")
+def enough_reads(spark, sf_dir):
+    return select.enough(table(spark, sf_dir, "lineitem"), ["l_partkey"], "l_quantity", 27).select("l_partkey", "l_suppkey", "l_quantity")
+
+
+def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    items = table(spark, sf_dir, "lineitem").filter("l_partkey % 7 <> 0 or l_suppkey % 2 = 0")
+    counts = items.groupBy(F.col("l_partkey").alias("key"), (F.col("l_suppkey") % 10).alias("sample")).agg(F.sum("l_quantity").alias("value"))
+    return counts.filter("sample % 2 = 0"), counts.filter("sample % 2 = 1")
+
+
+HALVES = "c AS (SELECT l_partkey AS key, l_suppkey % 10 AS sample, sum(l_quantity) AS value FROM lineitem WHERE l_partkey % 7 <> 0 OR l_suppkey % 2 = 0 GROUP BY ALL)"
+
+
+@query(f"WITH {HALVES} SELECT key, sample, round(coalesce(value, 0), 4) AS value FROM (SELECT DISTINCT key FROM c) CROSS JOIN (SELECT DISTINCT sample FROM c) LEFT JOIN c USING (key, sample)")
+def merge_outer(spark, sf_dir):
+    return rounded(merge.counts(*halves(spark, sf_dir), "key", "sample", "value"), "value", digits=4)
+
+
+@query(f"WITH {HALVES} SELECT key, sample, round(value, 4) AS value FROM c WHERE key IN (SELECT key FROM c WHERE sample % 2 = 0) AND key IN (SELECT key FROM c WHERE sample % 2 = 1)")
+def merge_inner(spark, sf_dir):
+    return rounded(merge.counts(*halves(spark, sf_dir), "key", "sample", "value", drop=True), "value", digits=4)
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
+def merge_rows(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    a = orders.filter("o_orderkey % 2 = 0").drop("o_totalprice")
+    return merge.rows(a, orders.filter("o_orderkey % 2 <> 0").drop("o_orderdate"), ["o_orderkey"])
+
+
+@query("""SELECT l_linenumber, l_returnflag, count(*) AS n FROM lineitem WHERE l_linenumber IN (SELECT l_linenumber FROM lineitem WHERE l_suppkey % 2 = 0 AND l_linenumber <> 7) AND NOT (l_suppkey % 2 = 0 AND l_linenumber = 7) GROUP BY ALL""")
+def merge_matrices(spark, sf_dir):
+    items = table(spark, sf_dir, "lineitem")
+    out = merge.matrices(items.filter("l_suppkey % 2 = 0 and l_linenumber <> 7"), items.filter("l_suppkey % 2 <> 0"), ["l_linenumber"])
+    return out.groupBy("l_linenumber", "l_returnflag").agg(F.count("*").alias("n"))
+
+
+# --- Correlation, scaling, components ---------------------------------------------------------------------------------
+
+MEANS = "m AS (SELECT {f} AS f, {g} AS g, avg(l_quantity) AS v FROM ({items}) WHERE {g} IS NOT NULL GROUP BY ALL), p AS (SELECT a.f, a.g AS g1, b.g AS g2, a.v AS x, b.v AS y FROM m a JOIN m b ON a.f = b.f AND a.g <= b.g)"
+
+
+@query(f"WITH {MEANS.format(f='l_partkey', g='l_returnflag', items='SELECT * FROM lineitem')}, r AS (SELECT g1, g2, corr(x, y) AS r FROM p GROUP BY ALL) SELECT g1, g2, round(r, 6) AS r, round(r * r, 6) AS r2 FROM r")
+def corr_pearson(spark, sf_dir):
+    means = scale.group_means(table(spark, sf_dir, "lineitem"), "l_partkey", "l_returnflag", "l_quantity", 20)
+    return rounded(scale.correlations(means, "l_partkey"), "r", "r2")
+
+
+@query(f"""WITH {MEANS.format(f='l_partkey', g='l_returnflag', items='SELECT * FROM lineitem')},
+k AS (SELECT g1, g2, rank() OVER (PARTITION BY g1, g2 ORDER BY x) + (count(*) OVER (PARTITION BY g1, g2, x) - 1) / 2 AS rx, rank() OVER (PARTITION BY g1, g2 ORDER BY y) + (count(*) OVER (PARTITION BY g1, g2, y) - 1) / 2 AS ry FROM p),
+r AS (SELECT g1, g2, corr(rx, ry) AS r FROM k GROUP BY ALL) SELECT g1, g2, round(r, 4) AS r, round(r * r, 4) AS r2 FROM r""")
+def corr_spearman(spark, sf_dir):
+    means = scale.group_means(table(spark, sf_dir, "lineitem"), "l_partkey", "l_returnflag", "l_quantity")
+    return rounded(scale.correlations(means, "l_partkey", "spearman"), "r", "r2", digits=4)
+
+
+@query(f"""WITH {MEANS.format(f='p_name', g='l_returnflag', items=ITEMS)}, q AS (SELECT a.g1, a.g2, sign(a.x - b.x) AS dx, sign(a.y - b.y) AS dy FROM p a JOIN p b ON a.g1 = b.g1 AND a.g2 = b.g2),
+r AS (SELECT g1, g2, sum(dx * dy) / (sqrt(sum(dx * dx)) * sqrt(sum(dy * dy))) AS r FROM q GROUP BY ALL) SELECT g1, g2, round(r, 6) AS r, round(r * r, 6) AS r2 FROM r""")
+def corr_kendall(spark, sf_dir):
+    means = scale.group_means(items_of_parts(spark, sf_dir), "p_name", "l_returnflag", "l_quantity")
+    return rounded(scale.correlations(means, "p_name", "kendall"), "r", "r2")
+
+
+EXPLODED = "e AS (SELECT vec_id, CAST(i - 1 AS INTEGER) AS dim, CAST(embedding[i] AS DOUBLE) AS value FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings))"
+
+
+def exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("dim", "value")).withColumn("value", F.col("value").cast("double"))
+
+
+@query(f"WITH {EXPLODED}, s AS (SELECT dim, avg(value) AS m, stddev_pop(value) AS d FROM e GROUP BY dim) SELECT vec_id, dim, round((value - m) / CASE WHEN d = 0 THEN 1 ELSE d END, 5) AS scaled FROM e JOIN s USING (dim)")
+def standard_scale(spark, sf_dir):
+    return rounded(scale.standard_scaled(exploded(spark, sf_dir), "dim", "value"), "scaled", digits=5).drop("value")
+
+
+@query(f"WITH {EXPLODED}, s AS (SELECT dim, quantile_cont(value, 0.5) AS m, quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS d FROM e GROUP BY dim) SELECT vec_id, dim, round((value - m) / CASE WHEN d = 0 THEN 1 ELSE d END, 5) AS scaled FROM e JOIN s USING (dim)")
+def robust_scale(spark, sf_dir):
+    return rounded(scale.robust_scaled(exploded(spark, sf_dir), ["dim"], "value"), "scaled", digits=5).drop("value")
+
+
+@query()
+def pca_loadings(spark, sf_dir):
+    loadings, variance = scale.pca(exploded(spark, sf_dir), "vec_id", "dim", "value", list(range(64)))
+    return loadings.join(variance, "component")
+
+
+@query()
+def embed_2d(spark, sf_dir):
+    return scale.embedded(table(spark, sf_dir, "embeddings"), "embedding").select("vec_id", "label", "d1", "d2")
+
+
+# --- Logos ------------------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH b AS ({BASES}) SELECT lang, position, t AS base, round(20 + avg(CASE WHEN base = t THEN 1.0 ELSE 0 END), 6) AS n FROM b CROSS JOIN (SELECT unnest(['A', 'C', 'G', 'T']) AS t) WHERE lang IS NOT NULL GROUP BY ALL")
+def base_matrix(spark, sf_dir):
+    return rounded(bases_by_language(spark, sf_dir), "n")
+
+
+def bases_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = letters(spark, sf_dir).select("lang", "position", *((F.col("base") == b).cast("double").alias(n) for b, n in zip("ACGT", ("adenines", "cytosines", "guanines", "thymines"), strict=True)))
+    types = {"adenines": "A", "cytosines": "C", "guanines": "G", "thymines": "T"}
+    return logo.base_matrix(matrix.to_long(wide, ["lang", "position"], list(types)), "lang", "position", "coverage", "value", types)
+
+
+WEIGHTED = f"""b AS ({BASES}), w AS (SELECT doc_id, n_chars / 100.0 AS weight FROM documents WHERE n_chars >= 20), s AS (SELECT lang, position, base, sum(weight) AS n FROM b JOIN w USING (doc_id) WHERE base <> '-' GROUP BY ALL),
+m AS (SELECT lang, position, base, coalesce(n, 0) + 20 AS n FROM (SELECT DISTINCT lang, position FROM s) CROSS JOIN (SELECT unnest(['A', 'C', 'G', 'T']) AS base) LEFT JOIN s USING (lang, position, base))"""
+
+
+def weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reads_ = table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").alias("reads"))
+    weights = select.enough(reads_, ["doc_id"], "reads", 20).select("doc_id", (F.col("reads") / 100).alias("weight"))
+    return logo.weighted_matrix(letters(spark, sf_dir), weights, "doc_id", ["lang", "position"])
+
+
+@query(f"WITH {WEIGHTED} SELECT lang, position, base, round(n, 4) AS n FROM m")
+def weighted_base_matrix(spark, sf_dir):
+    return rounded(weighted(spark, sf_dir), "n", digits=4)
+
+
+@query(f"""WITH {WEIGHTED}, p AS (SELECT lang, position, base, (n + 1) / sum(n + 1) OVER (PARTITION BY lang, position) AS p FROM m), i AS (SELECT *, sum(p * log2(4 * p)) OVER (PARTITION BY lang, position) AS bits FROM p)
+SELECT lang, position, base, round(p, 6) AS p, round(bits, 6) AS bits, round(p * bits, 6) AS height FROM i""")
+def information_content(spark, sf_dir):
+    return rounded(logo.information(weighted(spark, sf_dir), ["lang", "position"], 1).drop("n"), "p", "bits", "height")
+
+
+REFERENCE = f"""b AS ({BASES}), c AS (SELECT lang, position, base, count(*) AS n FROM b GROUP BY ALL), k AS (SELECT *, n / sum(n) OVER (PARTITION BY lang, position) AS share, row_number() OVER (PARTITION BY lang, position ORDER BY n DESC, base) AS place FROM c),
+ref AS (SELECT lang, position, CASE WHEN share < 0.35 THEN '' ELSE base END AS consensus, share FROM k WHERE place = 1)"""
+
+
+@query(f"WITH {REFERENCE} SELECT lang, position, consensus, round(share, 6) AS share FROM ref")
+def consensus(spark, sf_dir):
+    return rounded(logo.reference_consensus(letters(spark, sf_dir), ["lang", "position"]), "share")
+
+
+@query(f"""WITH {REFERENCE}, m AS (SELECT lang, position, t AS base, round(20 + avg(CASE WHEN base = t THEN 1.0 ELSE 0 END), 9) AS n FROM b CROSS JOIN (SELECT unnest(['A', 'C', 'G', 'T']) AS t) GROUP BY ALL),
+r AS (SELECT *, n / sum(n) OVER (PARTITION BY lang, position) AS share, row_number() OVER (PARTITION BY lang, position ORDER BY n DESC, base) AS place FROM m)
+SELECT lang, position, CASE WHEN ref.consensus = '-' THEN '-' WHEN r.share < 0.25 THEN '' ELSE base END AS consensus, round(r.share, 6) AS share FROM r JOIN ref USING (lang, position) WHERE place = 1""")
+def read_consensus(spark, sf_dir):
+    keys = ["lang", "position"]
+    reference = logo.reference_consensus(letters(spark, sf_dir), keys)
+    return rounded(logo.read_consensus(rounded(bases_by_language(spark, sf_dir), "n", digits=9), reference, keys, 0.25), "share")
+
+
+@query(f"SELECT lang, position, count(DISTINCT base) = 1 AS is_identical FROM ({BASES}) GROUP BY ALL")
+def column_identity(spark, sf_dir):
+    return logo.identical(letters(spark, sf_dir), ["lang", "position"])
+
+
+@query("WITH m AS (SELECT l_returnflag, l_linenumber, sum(l_discount) AS v FROM lineitem GROUP BY ALL) SELECT l_returnflag, l_linenumber, round(v / max(v) OVER (PARTITION BY l_returnflag), 6) AS scaled FROM m")
+def mismatch_scale(spark, sf_dir):
+    sums = table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linenumber").agg(F.sum("l_discount").alias("v"))
+    return rounded(sums.withColumn("scaled", logo.scaled_to_largest("v", "l_returnflag")).drop("v"), "scaled")
+
+
+# --- Clusters ---------------------------------------------------------------------------------------------------------
+
+EPS = 1.05
+CLUSTERS = f"""v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+n AS (SELECT a.id AS a, b.id AS b FROM v a JOIN v b ON a.id <> b.id AND list_distance(a.e, b.e) <= {EPS}),
+core AS (SELECT a AS id FROM n GROUP BY a HAVING count(*) + 1 >= 6),
+l AS (SELECT a, b FROM n WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+reach(id, root) AS (SELECT id, id FROM core UNION SELECT l.b, reach.root FROM reach JOIN l ON l.a = reach.id),
+c AS (SELECT id, min(root) AS root FROM reach GROUP BY id),
+s AS (SELECT root, CAST(row_number() OVER (ORDER BY count(*) DESC, root) - 1 AS INTEGER) AS label FROM c GROUP BY root HAVING count(*) >= 10),
+labels AS (SELECT v.id, coalesce(s.label, -1) AS label FROM v LEFT JOIN c ON c.id = v.id LEFT JOIN s ON s.root = c.root)"""
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster.density_clusters(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", EPS)
+
+
+@query(f"WITH RECURSIVE {CLUSTERS} SELECT * FROM labels")
+def density_clusters(spark, sf_dir):
+    return labelled(spark, sf_dir)
+
+
+@query(f"WITH RECURSIVE {CLUSTERS} SELECT l.label AS label, round(avg(CAST(embedding[1] AS DOUBLE)), 6) AS d1, round(avg(CAST(embedding[2] AS DOUBLE)), 6) AS d2, min(CAST(e.label AS VARCHAR)) AS name, count(*) AS n FROM labels l JOIN embeddings e ON vec_id = id WHERE l.label >= 0 GROUP BY l.label")
+def cluster_centroids(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding")[0].cast("double").alias("d1"), F.col("embedding")[1].cast("double").alias("d2"), F.col("label").alias("given"))
+    return rounded(cluster.centroids(cluster.attach(rows, labelled(spark, sf_dir), ["id"]), "label", ["d1", "d2"], "given"), "d1", "d2")
+
+
+@query(f"""WITH RECURSIVE {CLUSTERS} SELECT e.label AS given, count(*) AS n, CAST(count_if(l.label < 0) AS BIGINT) AS n_masked,
+CASE WHEN count_if(l.label < 0) = 0 THEN 'none' WHEN count_if(l.label < 0) = count(*) THEN 'full' ELSE 'partial' END AS state FROM labels l JOIN embeddings e ON vec_id = id GROUP BY e.label""")
+def masked_categories(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("given"))
+    return cluster.masked_categories(cluster.attach(rows, labelled(spark, sf_dir), ["id"]), "given", F.col("label") < 0)
