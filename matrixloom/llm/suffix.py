@@ -5,11 +5,13 @@ exactly the repeated windows. A digit here is as wide as it helps:
 
 1. The first digit is a window's least ``GRAM``-byte string (by a fixed scramble). Equal windows have it at
    the same place, so windows next to each other share one occurrence of it, an *anchor*, and are sorted as one run.
-   Groups of one anchor end here: none of their windows repeats.
-2. The second digit is the whole stretch of text that a run's windows cover. In a group of equal stretches all but
-   the first repeat it, window by window. A first digit with a single stretch ends here.
-3. What is left, the first of each stretch whose anchor also lies in another stretch, is sorted by the windows'
-   full ``length`` bytes. In each group all but the first repeat.
+2. A run in doubt is sorted again by a digit nearly as wide as the threshold: runs are cut into blocks of up to
+   ``BLOCK`` windows at fixed distances from the anchor, and the digit is what all windows of such a block have in common.
+3. A block in doubt is sorted by its windows' full ``length`` bytes.
+
+On each level a digit that occurs once ends there: none of its windows repeats. Of equal digits whose windows' whole stretch
+of text is equal too, all but the first repeat it, window by window. The first of each stretch is in doubt only if its digit
+also lies in another stretch.
 
 Digits are compared by 64-bit hashes (the last by 128 bits). All groups are counted and cut by aggregation and equi-joins; none is
 gathered, so a passage in a third of all documents is no special case.
@@ -20,7 +22,7 @@ text) are one document and are cut alike; extra columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,6 +33,8 @@ from pyspark.sql import functions as F
 from .common import fresh, quoted, stored, text_slices
 
 GRAM = 28
+#: Windows of a block on the second level.
+BLOCK = 16
 #: Window starts handled at once; positions fit in the packed order's 24 low bits.
 CHUNK = 1 << 22
 MASK = np.uint64((1 << 24) - 1)
@@ -72,7 +76,7 @@ class Hashes:
 
 
 def anchors(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Of each run of windows with one anchor: text number, start of the first window, number of windows, both digits."""
+    """Of each run of windows with one anchor: text number, digit, stretch and run."""
     whole = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(sizes)
@@ -97,15 +101,31 @@ def anchors(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]
         heads = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)]))
         count = np.diff(np.append(heads, len(start)))
         first, place = start[heads], place[heads]
-        stretch = h.of(first, first + count - 1 + length)
-        stretch = scramble(stretch ^ ((place - first) * 256 + count).astype(np.uint64))
         text = owner[first + a]
-        yield text, first + a - (ends - sizes)[text], count, grams[place], stretch
+        gram, runs = grams[place], packed(first + a - (ends - sizes)[text], place - first, count)
+        yield text, gram, stretch_of(h, first, place, count, length), runs
+
+
+def stretch_of(h: Hashes, first: np.ndarray, place: np.ndarray, count: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the text that a run's windows cover, and of where the anchor lies in it."""
+    return scramble(h.of(first, first + count - 1 + length) ^ ((place - first) * 256 + count).astype(np.uint64))
+
+
+def packed(first: np.ndarray, anchor: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Start of the first window, the anchor's distance from it (below 128) and the number of windows (at most 128) in one long."""
+    return first << 14 | anchor << 7 | count - 1
+
+
+def unpacked(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return runs >> 14, runs >> 7 & 127, (runs & 127) + 1
+
 
+def spread(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the run, and place in the run, of each of ``count`` parts."""
+    return np.repeat(np.arange(len(count)), count), np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
 
-def run_column(first: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Start of the first window and number of windows (at most 128) in one long."""
-    return first << 7 | count - 1
+
+COLUMNS = ["gram", "stretch", "doc_id", "run"]
 
 
 def anchor_rows(docs: DataFrame, length: int, whole: bool) -> DataFrame:
@@ -116,34 +136,68 @@ def anchor_rows(docs: DataFrame, length: int, whole: bool) -> DataFrame:
             for part in text_slices(batch, "text"):
                 ids = part.column(0).to_numpy(zero_copy_only=False)
                 texts = part.column(1).cast(pa.binary()).to_pylist()
-                for text, first, count, gram, stretch in anchors(texts, length):
-                    if whole:
-                        columns = [gram.view(np.int64), stretch.view(np.int64), ids[text], run_column(first, count)]
-                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["gram", "stretch", "doc_id", "run"])
-                    else:
-                        yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64))], ["gram"])
+                for text, gram, stretch, runs in anchors(texts, length):
+                    columns = [gram.view(np.int64), stretch.view(np.int64), ids[text], runs] if whole else [gram.view(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], COLUMNS[: len(columns)])
 
     return docs.mapInArrow(rows, "gram long, stretch long, doc_id long, run long" if whole else "gram long")
 
 
-def windows(docs: DataFrame, length: int) -> DataFrame:
-    """(high, low: 128-bit hash, doc_id, at) of every window of the runs. ``docs``: doc_id, text, runs."""
+def blocks(data: np.ndarray, runs: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Second level: digit, stretch and run of each block of the runs of one text."""
+    first, anchor, count = unpacked(runs)
+    low = (anchor - count + 1) // BLOCK
+    run, number = spread(anchor // BLOCK - low + 1)
+    block = low[run] + number
+    # The windows of a block lie between these distances left of the anchor.
+    far = np.minimum(block * BLOCK + BLOCK - 1, anchor[run])
+    near = np.maximum(block * BLOCK, (anchor - count + 1)[run])
+    place = (first + anchor)[run]
+    h = Hashes(data, BASES[0])
+    core = h.of(place - block * BLOCK, place - np.minimum(block * BLOCK + BLOCK - 1, length - GRAM) + length)
+    start, n = place - far, far - near + 1
+    return scramble(core ^ (block + 1).astype(np.uint64)), stretch_of(h, start, place, n, length), packed(start, far, n)
+
+
+def windows(data: np.ndarray, runs: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Third level: two hashes and a run of one for each window of the runs of one text."""
+    first, anchor, count = unpacked(runs)
+    run, number = spread(count)
+    start = first[run] + number
+    high, low = (Hashes(data, b).of(start, start + length) for b in BASES)
+    return high, low, packed(start, anchor[run] - number, np.ones(len(start), np.int64))
+
+
+def sorted_again(docs: DataFrame, doubt: DataFrame, level: Callable[..., tuple[np.ndarray, ...]], length: int) -> DataFrame:
+    """(gram, stretch, doc_id, run) of the next level for the runs in ``doubt`` (doc_id, run)."""
+    lists = stored(doubt.groupBy("doc_id").agg(F.collect_list("run").alias("runs")), "doubt")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
-                for key, text, packed in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), part.column(2), strict=True):
-                    runs = packed.values.to_numpy(zero_copy_only=False)
-                    for a in range(0, len(runs), 1 << 14):
-                        first, count = runs[a : a + (1 << 14)] >> 7, (runs[a : a + (1 << 14)] & 127) + 1
-                        low, high = int(first.min()), int((first + count).max()) - 1 + length
-                        data = np.frombuffer(text, np.uint8)[low:high]
-                        at = np.repeat(first - low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                        at = at[at + length <= len(data)]
-                        both = [Hashes(data, b).of(at, at + length).view(np.int64) for b in BASES]
-                        yield pa.RecordBatch.from_arrays([*map(pa.array, both), pa.array(np.full(len(at), key, np.int64)), pa.array(at + low)], ["high", "low", "doc_id", "at"])
-
-    return docs.mapInArrow(rows, "high long, low long, doc_id long, at long")
+                for key, text, listed in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), part.column(2), strict=True):
+                    runs = np.sort(listed.values.to_numpy(zero_copy_only=False))
+                    runs = runs[(runs >> 14) + (runs & 127) + length <= len(text)]
+                    for a in range(0, len(runs), 1 << 12):
+                        some = runs[a : a + (1 << 12)]
+                        low = int(some[0] >> 14)
+                        high = int(((some >> 14) + (some & 127)).max()) + length
+                        gram, stretch, out = level(np.frombuffer(text, np.uint8)[low:high], some - (low << 14), length)
+                        yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(stretch.view(np.int64)), pa.array(np.full(len(out), key, np.int64)), pa.array(out + (low << 14))], COLUMNS)
+
+    return stored(docs.join(lists, "doc_id").select("doc_id", "text", "runs").mapInArrow(rows, "gram long, stretch long, doc_id long, run long"), "level")
+
+
+def divided(held: DataFrame, last: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """(doc_id, run) of the runs that repeat an earlier one, and of the runs in doubt. ``held``: in the shared folder."""
+    firsts = held.groupBy("gram", "stretch").agg(F.min(F.struct("doc_id", "run")).alias("first"), F.count("*").alias("n"))
+    firsts = stored(firsts.filter("n > 1").drop("n") if last else firsts, "stretches")
+    repeated = firsts if last else firsts.filter("n > 1")
+    later = held.join(repeated, ["gram", "stretch"]).filter(F.struct("doc_id", "run") > F.col("first")).select("doc_id", "run")
+    if last:
+        return later, None
+    mixed = stored(firsts.groupBy("gram").count().filter("count > 1").select("gram"), "mixed")
+    return later, firsts.join(mixed, "gram", "left_semi").select("first.doc_id", "first.run")
 
 
 def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = 100) -> DataFrame:
@@ -152,22 +206,17 @@ def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         raise ValueError(f"length must be from {GRAM} to {GRAM + 127}")
     texts = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text_column).cast("string").alias("text")).filter("doc_id is not null and text is not null")
     twice = stored(anchor_rows(texts, length, False).groupBy("gram").count().filter("count > 1").select("gram"), "grams")
-    held = stored(anchor_rows(texts, length, True).join(twice, "gram", "left_semi"), "anchors")
-    firsts = stored(held.groupBy("gram", "stretch").agg(F.min(F.struct("doc_id", "run")).alias("first")), "stretches")
-    later = held.join(firsts, ["gram", "stretch"]).filter(F.struct("doc_id", "run") > F.col("first")).select("doc_id", "run")
-    mixed = stored(firsts.groupBy("gram").count().filter("count > 1").select("gram"), "mixed")
-    unsure = firsts.join(mixed, "gram", "left_semi").select("first.doc_id", "first.run")
-    unsure = stored(unsure.groupBy("doc_id").agg(F.collect_list("run").alias("runs")), "unsure")
-    every = stored(windows(texts.join(unsure, "doc_id").select("doc_id", "text", "runs"), length), "windows")
-    first = stored(every.groupBy("high", "low").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "windows-first")
-    single = every.join(first, ["high", "low"]).filter(F.struct("doc_id", "at") > F.col("first")).select("doc_id", F.shiftleft("at", 7).alias("run"))
-    return stored(later.unionByName(single).groupBy("doc_id").agg(F.collect_set("run").alias("runs")), "repeats")
+    later, doubt = divided(stored(anchor_rows(texts, length, True).join(twice, "gram", "left_semi"), "anchors"))
+    later2, doubt2 = divided(sorted_again(texts, doubt, blocks, length))
+    later3, _ = divided(sorted_again(texts, doubt2, windows, length), last=True)
+    every = later.unionByName(later2).unionByName(later3)
+    return stored(every.groupBy("doc_id").agg(F.collect_set("run").alias("runs")), "repeats")
 
 
 def spans_of(runs: np.ndarray, length: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Maximal covered stretches: starts and ends."""
-    start = runs >> 7
-    end = np.minimum(start + (runs & 127) + length, size)
+    start, _, count = unpacked(runs)
+    end = np.minimum(start + count - 1 + length, size)
     order = np.argsort(start, kind="stable")
     start, end = start[order], np.maximum.accumulate(end[order])
     heads = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
