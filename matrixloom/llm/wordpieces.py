@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import re
+from array import array
 from functools import lru_cache
+from itertools import pairwise
 
-import numpy as np
 from tokenizers import Tokenizer
 
 #: Words kept by a worker's cache before it starts anew, and the longest word it keeps.
-CACHE_WORDS, LONGEST = 400_000, 64
+CACHE_WORDS, LONGEST = 1_000_000, 64
+
+
+#: A full stop or comma at the end of a word is a token of its own; apart from the word, both are cached better.
+STOP = re.compile(rb"(?<=[a-z])([.,])(?=\s)")
 
 
 class WordEncoder:
     """Ids of texts whose tokens never span ASCII white space.
 
     That holds where the tokenizer's pre-tokeniser drops white space and nothing before it looks across it, as in
-    the public word vocabulary; texts are then encoded word by word, and a word's ids can be kept.
+    the public word vocabulary, which also lowers case; texts are then encoded word by word, and a word's ids can be kept.
+    Texts that may hold a special token are left as they are.
     """
 
     def __init__(self, path: str):
@@ -27,23 +34,26 @@ class WordEncoder:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         known = self.known
-        split = [t.split() for t in texts]
-        out: list[list[bytes] | None] = []
-        missing: dict[bytes, None] = {}
-        for words in split:
-            found = list(map(known.get, words))
-            if None in found:
-                missing.update(dict.fromkeys(w for w, ids in zip(words, found, strict=True) if ids is None))
-                out.append(None)
-            else:
-                out.append(found)
-        new: dict[bytes, bytes] = {}
+        words: list[bytes] = []
+        cuts = [0]
+        for t in texts:
+            words += (t if b"<|" in t else STOP.sub(rb" \1", t.lower())).split()
+            cuts.append(len(words))
+        found = list(map(known.get, words))
+        missing, i = [], -1
+        try:
+            while True:
+                missing.append(i := found.index(None, i + 1))
+        except ValueError:
+            pass
         if missing:
-            words = list(missing)
-            codes = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-            new = {w: np.array(c.ids, "<u4").tobytes() for w, c in zip(words, codes, strict=True)}
+            names = list(dict.fromkeys(map(words.__getitem__, missing)))
+            codes = self.tokenizer.encode_batch_fast([w.decode() for w in names], add_special_tokens=False)
+            new = {w: array("I", c.ids).tobytes() for w, c in zip(names, codes, strict=True)}
+            for i in missing:
+                found[i] = new[words[i]]
             known.update((w, c) for w, c in new.items() if len(w) <= LONGEST)
-        return [b"".join([*(found if found is not None else [known[w] if w in known else new[w] for w in words]), end]) for words, found in zip(split, out, strict=True)]
+        return [b"".join(found[a:b]) + end for a, b in pairwise(cuts)]
 
 
 @lru_cache(4)
