@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import quoted, text_slices
+from .common import quoted, stored, text_slices
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Words kept by a worker's cache of backoff scores before it starts anew, and the longest word it keeps.
@@ -104,8 +104,8 @@ def fit(docs: DataFrame, sample: int = 2000, languages: int = 64, words: int = 2
     rate = F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, sample / r["count"])))))
     chance = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40)) / float(1 << 40)
     taken = rows.filter(F.col("lang").isin(names)).filter(chance < rate[F.col("lang")]).select("lang", "text")
-    word_names, word_scores = table(counted(taken, longest, False), names, words)
-    gram_names, gram_scores = table(counted(taken, longest, True), names, grams)
+    word_names, word_scores = table(stored(counted(taken, longest, False), "words"), names, words)
+    gram_names, gram_scores = table(stored(counted(taken, longest, True), "grams"), names, grams)
     return Model(names, word_names, word_scores, gram_names, gram_scores, longest)
 
 
