@@ -2,47 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where the session has none (local tests) is a temporary folder set.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def stored(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    Cuts the lineage: what is read survives the loss of any executor, is computed once, and has a
-    known size from which the optimiser picks a join.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    was = spark.conf.get(CLEANUP)
-    spark.conf.set(CLEANUP, "true")  # what this write has shuffled is not needed again
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, was)
-    return spark.read.schema(df.schema).parquet(path)
+from ..tables import shared_dir, stored  # noqa: F401
 
 
 def fresh(base: str, taken: Sequence[str]) -> str:

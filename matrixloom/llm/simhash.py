@@ -26,8 +26,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from .common import quoted, stored, text_slices
-from .components import components
 
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 ONE = np.uint64(1)
