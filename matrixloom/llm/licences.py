@@ -97,7 +97,8 @@ def recognised(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: li
         pattern = other.join(f" {x} " for x in order)
         kept = "".join(f"${k}" for k in range(1, len(order)))
         held.append(F.when(F.col(left[i]).rlike(pattern), F.lit(licence)))
-        out = out.withColumn(left[i + 1], F.when(F.size(made[0]) > 0, F.regexp_replace(left[i], pattern, kept)).otherwise(F.col(left[i])))
+        # Each column refers to the last one once, so that substituting them into a filter stays small.
+        out = out.withColumn(left[i + 1], F.regexp_replace(left[i], pattern, kept))
     licences = F.array_distinct(F.array_compact(F.array(*held)))
     out = out.withColumn(made[1], licences).withColumn(made[2], F.array_remove(F.split(left[-1], " +"), ""))
     return out.drop(found, *left)
