@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Lanczos coefficients (g = 7, nine terms): fixed values.
@@ -30,37 +30,44 @@ def log_gamma(x: Column) -> Column:
 
 
 def beta_fraction(a: Column, b: Column, x: Column) -> Column:
-    """The continued fraction of the incomplete beta function, by the modified Lentz scheme."""
-    rounds = (F.lit(60) + 2 * F.sqrt(F.greatest(a, b))).cast("int")
+    """The continued fraction of the incomplete beta function, by the modified Lentz scheme.
+
+    The arguments should be plain columns: the lambda evaluates them anew in each round.
+    """
+    rounds = 2 * (F.lit(20) + 3 * F.sqrt(F.greatest(a, b))).cast("int")
     first = 1 / (1 - (a + b) * x / (a + 1))
     start = F.struct(F.lit(1.0).alias("c"), first.alias("d"), first.alias("h"))
 
-    def step(s: Column, m: Column) -> Column:
-        even = m * (b - m) * x / ((a - 1 + 2 * m) * (a + 2 * m))
-        d = 1 / (1 + even * s["d"])
-        c = 1 + even / s["c"]
-        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 1 + 2 * m))
-        d2 = 1 / (1 + odd * d)
-        c2 = 1 + odd / c
-        return F.struct(c2.alias("c"), d2.alias("d"), (s["h"] * d * c * d2 * c2).alias("h"))
+    def step(s: Column, i: Column) -> Column:
+        m = F.floor(i / 2)
+        even = m * (b - m) * x / ((a - 1 + i) * (a + i))
+        odd = -(a + m) * (a + b + m) * x / ((a - 1 + i) * (a + i))
+        e = F.when(i % 2 == 0, even).otherwise(odd)
+        c, d = 1 + e / s["c"], 1 / (1 + e * s["d"])
+        return F.struct(c.alias("c"), d.alias("d"), (s["h"] * c * d).alias("h"))
 
-    return F.aggregate(F.sequence(F.lit(1), rounds), start, step)["h"]
+    return F.aggregate(F.sequence(F.lit(2), rounds + 1), start, step)["h"]
 
 
-def t_test(m1: Column, s1: Column, n1: Column, m2: Column, s2: Column, n2: Column) -> Column:
-    """Two-sided p-value of the t-test with pooled variance, from means, sample deviations and counts.
+def with_t_test(df: DataFrame, m1: Column, s1: Column, n1: Column, m2: Column, s2: Column, n2: Column, out: str = "pval") -> DataFrame:
+    """``df`` with the two-sided p-value of the t-test with pooled variance, from means, sample deviations and counts.
 
-    Zero variance in both groups: 0 if the means differ, else null.
+    Zero variance in both groups: 0 if the means differ, else null. Each step is a column of its own, so that
+    no expression is copied into another many times.
     """
+    c = F.col
     nu = (n1 + n2 - 2).cast("double")
-    pooled = ((n1 - 1) * s1 * s1 + (n2 - 1) * s2 * s2) / nu
-    spread = pooled * (1.0 / n1 + 1.0 / n2)
-    square = F.try_divide((m1 - m2) * (m1 - m2), spread)
-    x = nu / (nu + square)
-    a, b = nu / 2, F.lit(0.5)
-    front = F.exp(log_gamma(a + b) - log_gamma(a) - log_gamma(b) + a * F.log(x) + b * F.log(1 - x))
-    p = F.when(x < (a + 1) / (a + b + 2), front * beta_fraction(a, b, x) / a).otherwise(1 - front * beta_fraction(b, a, 1 - x) / b)
-    return F.when(nu <= 0, None).when(spread == 0, F.when(m1 != m2, 0.0)).when(square == 0, 1.0).otherwise(p)
+    df = df.withColumns({"t_nu": nu, "t_gap": (m1 - m2) * (m1 - m2), "t_sum": (n1 - 1) * s1 * s1 + (n2 - 1) * s2 * s2, "t_inverse": 1.0 / n1 + 1.0 / n2})
+    df = df.withColumn("t_spread", c("t_sum") / F.when(c("t_nu") > 0, c("t_nu")) * c("t_inverse"))
+    df = df.withColumns({"t_a": c("t_nu") / 2, "t_x": c("t_nu") / (c("t_nu") + F.try_divide("t_gap", "t_spread"))})
+    df = df.withColumn("t_flip", c("t_x") >= (c("t_a") + 1) / (c("t_a") + 2.5))
+    df = df.withColumns({"t_fa": F.when(c("t_flip"), 0.5).otherwise(c("t_a")), "t_fb": F.when(c("t_flip"), c("t_a")).otherwise(0.5), "t_fx": F.when(c("t_flip"), 1 - c("t_x")).otherwise(c("t_x"))})
+    df = df.withColumns({"t_half": c("t_a") + 0.5, "t_known": (c("t_nu") > 0) & (c("t_spread") > 0) & (c("t_gap") > 0)})
+    front = F.exp(log_gamma(c("t_half")) - log_gamma(F.greatest(c("t_a"), F.lit(0.5))) - F.lit(0.5723649429247001) + c("t_a") * F.log("t_x") + 0.5 * F.log(1 - c("t_x")))
+    df = df.withColumns({"t_front": front, "t_fraction": F.when(c("t_known"), beta_fraction(c("t_fa"), c("t_fb"), c("t_fx")))})
+    df = df.withColumn("t_tail", c("t_front") * c("t_fraction") / c("t_fa"))
+    p = F.when(c("t_nu") <= 0, None).when(c("t_spread") == 0, F.when(c("t_gap") > 0, 0.0)).when(c("t_gap") == 0, 1.0).when(c("t_flip"), 1 - c("t_tail")).otherwise(c("t_tail"))
+    return df.withColumn(out, p).drop(*(n for n in df.columns if n.startswith("t_")))
 
 
 def nonzero(x: Column, tiny: float = 1e-20) -> Column:

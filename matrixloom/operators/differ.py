@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.stats import log2_ratio, minus_log10, nonzero, t_test
+from ..functions.stats import log2_ratio, minus_log10, nonzero, with_t_test
 
 
 def group_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -20,14 +20,12 @@ def pairs_of(groups: Column) -> Column:
     return F.flatten(F.transform(groups, lambda x: F.transform(F.filter(groups, lambda y: y["g"] > x["g"]), lambda y: F.struct(x.alias("x"), y.alias("y")))))
 
 
-def tested(pairs: DataFrame) -> list[Column]:
-    x, y = F.col("pair.x"), F.col("pair.y")
-    return [
-        x["g"].alias("g1"),
-        y["g"].alias("g2"),
-        log2_ratio(x["mean"], y["mean"]).alias("log2fc"),
-        t_test(nonzero(x["mean"]), x["sd"], x["n"], nonzero(y["mean"]), y["sd"], y["n"]).alias("pval"),
-    ]
+def tested(pairs: DataFrame, keep: list[str]) -> DataFrame:
+    """(keep..., g1, g2, log2fc, pval) of rows with a ``pair``."""
+    parts = {f"{n}{i}": F.col(f"pair.{side}.{f}") for i, side in ((1, "x"), (2, "y")) for n, f in (("g", "g"), ("m", "mean"), ("s", "sd"), ("n", "n"))}
+    flat = pairs.select(*keep, *(v.alias(k) for k, v in parts.items()))
+    flat = flat.withColumn("log2fc", log2_ratio(F.col("m1"), F.col("m2"))).withColumns({"m1": nonzero(F.col("m1")), "m2": nonzero(F.col("m2"))})
+    return with_t_test(flat, *(F.col(x) for x in ("m1", "s1", "n1", "m2", "s2", "n2"))).select(*keep, "g1", "g2", "log2fc", "pval")
 
 
 def log2fc(df: DataFrame, feature: str, group: str, value: str, cutoff: float = 80, by: tuple[str, ...] = ()) -> DataFrame:
@@ -48,7 +46,7 @@ def log2fc_cutoffs(df: DataFrame, feature: str, group: str, value: str, cutoffs:
     wide = wide.join(F.broadcast(number), list(by)) if by else wide.crossJoin(F.broadcast(number))  # one row
     full = wide.filter((F.size("groups") == F.col("n_groups")) & (F.col("level") >= min(cutoffs)))
     pairs = full.select(*by, F.col(feature).alias("feature"), "level", F.explode(pairs_of(F.col("groups"))).alias("pair"))
-    out = pairs.select(*by, "feature", "level", *tested(pairs))
+    out = tested(pairs, [*by, "feature", "level"])
     limits = F.explode(F.filter(F.array(*map(F.lit, cutoffs)), lambda c: F.col("level") >= c)).alias("cutoff")
     return out.select(*by, limits, "feature", "g1", "g2", "log2fc", "pval")
 
@@ -65,7 +63,7 @@ def log2fc_compare(df: DataFrame, entity: str, first: str, second: str, value: s
     one = F.struct(F.col(second).alias("g"), "mean", "sd", "n")
     wide = whole.groupBy(entity, first).agg(F.collect_list(one).alias("groups"))
     pairs = wide.select(F.col(entity).alias("entity"), F.col(first).alias("cgrp1"), F.explode(pairs_of(F.col("groups"))).alias("pair"))
-    return pairs.select("entity", "cgrp1", *tested(pairs))
+    return tested(pairs, ["entity", "cgrp1"])
 
 
 def entity_order(compared: DataFrame) -> DataFrame:

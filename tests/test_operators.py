@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matrixloom.functions import positions
-from matrixloom.functions.stats import minus_log10, t_test
+from matrixloom.functions.stats import minus_log10, with_t_test
 from matrixloom.operators import checks, cluster, differ, matrix, merge, scale, select, summarise
 from matrixloom.operators.components import components
 from matrixloom.plans import build
@@ -21,7 +21,7 @@ def test_t_test_values(spark):
         sd = 1.0
         d = t * math.sqrt(2 * sd * sd / n)
         df = spark.createDataFrame([(d, 0.0, sd, float(n))], "m1 double, m2 double, s double, n double")
-        got.append(df.select(t_test(*(F.col(c) for c in ("m1", "s", "n", "m2", "s", "n"))).alias("p")).first().p)
+        got.append(with_t_test(df, *(F.col(c) for c in ("m1", "s", "n", "m2", "s", "n"))).first().pval)
     assert got[0] == pytest.approx(0.116116523516816, rel=1e-9)
     assert got[1] == pytest.approx(0.05, rel=1e-6)
     assert got[2] == pytest.approx(0.05005, abs=2e-5)
@@ -29,7 +29,7 @@ def test_t_test_values(spark):
 
 def test_zero_variance_and_zero_p(spark):
     df = spark.createDataFrame([(1.0, 2.0, 0.0, 3.0), (1.0, 1.0, 0.0, 3.0)], "a double, b double, s double, n double")
-    p = [r.p for r in df.select(t_test(F.col("a"), F.col("s"), F.col("n"), F.col("b"), F.col("s"), F.col("n")).alias("p")).collect()]
+    p = [r.pval for r in with_t_test(df, F.col("a"), F.col("s"), F.col("n"), F.col("b"), F.col("s"), F.col("n")).collect()]
     assert p == [0.0, None]
     assert spark.range(1).select(minus_log10(F.lit(0.0)).alias("x")).first().x == math.inf
 
