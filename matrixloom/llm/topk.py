@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from .common import quoted, stored
 
 BLOCK, QUERIES = 8192, 512
 #: Segments between two looks at the proof, and the share of rows that may remain possible when it stops.
-LOOK, FEW = 128, 1 / 16
+LOOK, FEW = 256, 1 / 16
 
 
 class Index:
@@ -62,28 +63,25 @@ class Index:
         gain = upper - least[self.dims]
         error = int(np.abs(query).sum()) * (self.step - 1)
         order = np.lexsort((self.dims, -gain))
-        next_of = [gain[order][self.dims[order] == d] for d in range(len(query))]
-        used = np.zeros(len(query), int)
-        rest = sum(int(x[0]) for x in next_of)
-        sums = np.zeros(n, np.int64)
-        dims, gains = self.dims[order].tolist(), gain[order].tolist()
+        dims, gain = self.dims[order], gain[order]
+        sums = np.zeros(n)  # whole numbers below 2**53, so exact
         open_ = np.ones(n, bool)
         open_[own] = False
-        for at in range(0, len(dims), LOOK):
-            for i in range(at, min(len(dims), at + LOOK)):
-                d, g = dims[i], gains[i]
-                if g:
-                    sums[self.rows[order[i]]] += g
-                used[d] += 1
-                ahead = int(next_of[d][used[d]]) if used[d] < len(next_of[d]) else 0
-                rest += ahead - g
+        if open_.sum() < k:
+            return np.flatnonzero(open_)
+        ahead = np.zeros(len(query), np.int64)
+        may = open_
+        for at in range(0, len(order), LOOK):
+            parts = [self.rows[i] for i in order[at : at + LOOK].tolist()]
+            sums += np.bincount(np.concatenate(parts), np.repeat(gain[at : at + LOOK], [len(p) for p in parts]), n)
+            # Of each dimension the largest contribution still to come: the first that follows, so it is assigned last.
+            ahead[:] = 0
+            ahead[dims[at + LOOK :][::-1]] = gain[at + LOOK :][::-1]
             live = sums[open_]
-            if len(live) < k:
-                return np.flatnonzero(open_)
             bar = np.partition(live, len(live) - k)[len(live) - k] - error
-            may = open_ & (sums + rest >= bar)
+            may = open_ & (sums + int(ahead.sum()) >= bar)
             if may.sum() <= max(4 * k, FEW * n):
-                return np.flatnonzero(may)
+                break
         return np.flatnonzero(may)
 
     def best(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -124,11 +122,11 @@ def top(table: DataFrame, every: int, k: int = 5, scale: int = 256, step: int =
     def meet(group: pa.Table) -> pa.Table:
         asks = group.column("asks").to_numpy(zero_copy_only=False)
         ids = group.column("id").to_numpy()
-        vectors = group.column("v").to_pylist()
-        width = max(map(len, vectors))
+        vectors = group.column("v").combine_chunks()
+        sizes = pc.list_value_length(vectors).to_numpy()
+        width = int(sizes.max())
         matrix = np.zeros((len(ids), width), np.int64)
-        for i, v in enumerate(vectors):
-            matrix[i, : len(v)] = v
+        matrix[np.arange(width) < sizes[:, None]] = vectors.flatten().to_numpy()
         out: list[tuple[np.ndarray, ...]] = []
         if asks.any() and not asks.all() and width:
             index = Index(ids[~asks], matrix[~asks], step)
