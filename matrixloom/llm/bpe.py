@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, quoted, text_slices
+from .common import fresh, quoted, small_batches, text_slices
 
 #: Classes of code points.
 LETTER, NUMBER, OTHER, SPACE, BLANK, APOSTROPHE, END, TAIL = range(8)
@@ -301,6 +301,7 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
                             made["decoded"].append(b"".join(pieces))
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(made[x], pa.binary()) for x in outputs)], [key, *outputs])
 
+    small_batches(docs.sparkSession)
     source = docs.select(quoted(id_column).alias(key), quoted(text_column).cast("string").alias("text"))
     kind = source.schema[key].dataType.simpleString()
     out = source.mapInArrow(run, f"`{key}` {kind}, " + ", ".join(f"{x} binary" for x in outputs))

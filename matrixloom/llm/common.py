@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..tables import shared_dir, stored  # noqa: F401
@@ -39,6 +39,26 @@ def runs(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let no more than ``rows`` rows of whole texts be on their way between Spark and Python at once."""
+    if not 0 < int(spark.conf.get(BATCH)) <= rows:
+        spark.conf.set(BATCH, str(rows))
+
+
+def row_slices(batch: pa.RecordBatch, name: str, limit: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """Like ``text_slices`` for batches whose first column is a whole row; also gives the texts in its field ``name``."""
+    if batch.num_rows == 0:
+        return
+    rows = batch.column(0)
+    texts = rows.field(rows.type.get_field_index(name)).cast(pa.string()).cast(pa.binary())
+    sizes = np.nan_to_num(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False).astype(float))
+    for a, b in runs(sizes, limit):
+        yield batch.slice(a, b - a), texts.slice(a, b - a).to_pylist()
+
+
 def text_slices(batch: pa.RecordBatch, name: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a record batch that hold about ``limit`` bytes of text each (a longer text alone)."""
     if batch.num_rows == 0:

@@ -23,11 +23,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import quoted, stored, text_slices
+from .common import quoted, row_slices, small_batches, stored, text_slices
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Words kept by a worker's cache of backoff scores before it starts anew, and the longest word it keeps.
@@ -82,12 +83,12 @@ def table(counts: DataFrame, languages: list[str], most: int) -> tuple[list[str]
     top = counts.withColumn("place", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "term"))).filter(F.col("place") <= share)
     total = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     terms = top.select("term").distinct()
-    rows = counts.join(terms, "term", "left_semi").toPandas()  # at most ``most`` terms of each language
-    names = sorted(set(rows.term))
-    place = {t: i for i, t in enumerate(names)}
+    rows = counts.join(terms, "term", "left_semi").toArrow()  # at most ``most`` terms, a row for each language
+    names = pc.unique(rows["term"]).sort()
     number = np.zeros((len(names), len(languages)))
-    at = {x: i for i, x in enumerate(languages)}
-    number[rows.term.map(place).to_numpy(int), rows.lang.map(at).to_numpy(int)] = rows.n
+    place = pc.index_in(rows["term"], names).to_numpy(), pc.index_in(rows["lang"], pa.array(languages, pa.string())).to_numpy()
+    number[place] = rows["n"].to_numpy()
+    names = names.to_pylist()
     whole = np.array([total.get(x, 0) for x in languages], float)
     scores = np.log((number + 0.5) / (whole + 0.5 * max(1, len(names))))
     return names, (scores - scores.mean(1, keepdims=True)).astype(np.float64)
@@ -95,6 +96,7 @@ def table(counts: DataFrame, languages: list[str], most: int) -> tuple[list[str]
 
 def fit(docs: DataFrame, sample: int = 2000, languages: int = 64, words: int = 200_000, grams: int = 100_000, longest: int = 4, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> Model:
     """Learn from rows that are not held out. ``sample``: rows of a language that are read, about, whatever the input's size."""
+    small_batches(docs.sparkSession)
     rows = docs.select(quoted(id_column).alias("doc_id"), quoted(text_column).cast("string").alias("text"), quoted(lang_column).cast("string").alias("lang"))
     rows = rows.filter("text is not null and lang is not null").filter(~held_out(F.col("doc_id")))
     sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
@@ -168,16 +170,20 @@ def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colum
     """(doc_id, lang_pred, score) of every whole text; with ``keep`` instead all columns of docs in ``row``. Map-only."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)  # of a documented size
-    first = F.struct(*(quoted(c) for c in docs.columns)).alias("row") if keep else quoted(id_column).alias("row")
-    source = docs.select(first, quoted(text_column).cast("string").alias("text"))
-    kind = source.schema["row"].dataType.simpleString()
+    small_batches(spark)
+    names = docs.columns if keep else list(dict.fromkeys([id_column, text_column]))
+    source = docs.select(F.struct(*(quoted(c) for c in names)).alias("row"))
+    given = source.schema["row"].dataType
+    kind = (given if keep else given[id_column].dataType).simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
         for batch in batches:
-            for part in text_slices(batch, "text", 8 << 20):
-                made = [scorer.score(t) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())], ["row", "lang_pred", "score"])
+            for part, texts in row_slices(batch, text_column):
+                made = [scorer.score(None if t is None else t.decode()) for t in texts]
+                whole = part.column(0)
+                first = whole if keep else whole.field(whole.type.get_field_index(id_column))
+                yield pa.RecordBatch.from_arrays([first, pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())], ["row", "lang_pred", "score"])
 
     out = source.mapInArrow(rows, f"row {kind}, lang_pred string, score double")
     return out if keep else out.withColumnRenamed("row", id_column)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bins import best_fit_decreasing, lower_bound
-from .common import fresh, quoted, stored, text_slices
+from .common import fresh, quoted, small_batches, stored, text_slices
 from .wordpieces import encoder
 
 #: Pieces of a part or pool: bounds what a task holds.
@@ -38,6 +38,7 @@ def cut_up(ids: bytes, length: int) -> list[bytes]:
 
 
 def source(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text_column).cast("string").alias("text"))
 
 

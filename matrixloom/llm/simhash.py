@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
-from .common import quoted, stored, text_slices
+from .common import quoted, small_batches, stored, text_slices
 
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 ONE = np.uint64(1)
@@ -61,6 +61,7 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
                 out = np.array([fingerprint(t or b"", shingle) for t in texts], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out)], ["doc_id", "bits"])
 
+    small_batches(docs.sparkSession)
     source = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text_column).cast("string").alias("text"))
     return source.mapInArrow(run, "doc_id long, bits long")
 

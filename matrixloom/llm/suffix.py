@@ -30,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, quoted, stored, text_slices
+from .common import fresh, quoted, row_slices, small_batches, stored, text_slices
 
 GRAM = 28
 #: Windows of a block on the second level.
 BLOCK = 16
 #: Window starts handled at once; positions fit in the packed order's 24 low bits.
-CHUNK = 1 << 22
+CHUNK = 1 << 19
 MASK = np.uint64((1 << 24) - 1)
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -133,7 +133,7 @@ def anchor_rows(docs: DataFrame, length: int, whole: bool) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", CHUNK):
                 ids = part.column(0).to_numpy(zero_copy_only=False)
                 texts = part.column(1).cast(pa.binary()).to_pylist()
                 for text, gram, stretch, runs in anchors(texts, length):
@@ -174,7 +174,7 @@ def sorted_again(docs: DataFrame, doubt: DataFrame, level: Callable[..., tuple[n
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", CHUNK):
                 for key, text, listed in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist(), part.column(2), strict=True):
                     runs = np.sort(listed.values.to_numpy(zero_copy_only=False))
                     runs = runs[(runs >> 14) + (runs & 127) + length <= len(text)]
@@ -204,6 +204,7 @@ def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     """(doc_id, runs: array of longs) of every document with windows that also start earlier, in the shared folder."""
     if not GRAM <= length <= GRAM + 127:
         raise ValueError(f"length must be from {GRAM} to {GRAM + 127}")
+    small_batches(docs.sparkSession)
     texts = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text_column).cast("string").alias("text")).filter("doc_id is not null and text is not null")
     twice = stored(anchor_rows(texts, length, False).groupBy("gram").count().filter("count > 1").select("gram"), "grams")
     later, doubt = divided(stored(anchor_rows(texts, length, True).join(twice, "gram", "left_semi"), "anchors"))
@@ -229,14 +230,15 @@ def cut(docs: DataFrame, repeated: DataFrame, id_column: str = "doc_id", text_co
     key, kept, removed, runs = (fresh(x, [*names, "kept", "removed"]) for x in ("key", "kept_bytes", "removed_spans", "runs"))
     marks = repeated.select(F.col("doc_id").alias(key), F.col("runs").alias(runs))
     joined = docs.join(marks, quoted(id_column).cast("long") == F.col(key), "left")
-    source = joined.select(quoted(text_column).cast("string").alias("text"), F.col(runs).alias("runs"), F.struct(*(quoted(c) for c in names)).alias("row"))
+    source = joined.select(F.struct(*(quoted(c) for c in names)).alias("row"), F.col(runs).alias("runs"))
+    small_batches(docs.sparkSession)
     row_type = source.schema["row"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text", 8 << 20):
+            for part, texts in row_slices(batch, text_column):
                 stay, gone = [], []
-                for text, packed in zip(part.column(0).cast(pa.binary()).to_pylist(), part.column(1), strict=True):
+                for text, packed in zip(texts, part.column(1), strict=True):
                     text = text or b""
                     spans: list[list[int]] = []
                     if packed.is_valid and len(packed) and text:
@@ -248,7 +250,7 @@ def cut(docs: DataFrame, repeated: DataFrame, id_column: str = "doc_id", text_co
                         at = y
                     stay.append(b"".join([*left, text[at:]]))
                     gone.append(spans)
-                yield pa.RecordBatch.from_arrays([part.column(2), pa.array(stay, pa.binary()), pa.array(gone, pa.list_(pa.list_(pa.int64())))], ["row", "kept", "removed"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(stay, pa.binary()), pa.array(gone, pa.list_(pa.list_(pa.int64())))], ["row", "kept", "removed"])
 
     out = source.mapInArrow(rows, f"row {row_type}, kept binary, removed array<array<long>>")
     return out.select("row.*", "kept", "removed")

@@ -10,7 +10,7 @@ from itertools import pairwise
 from tokenizers import Tokenizer
 
 #: Words kept by a worker's cache before it starts anew, and the longest word it keeps.
-CACHE_WORDS, LONGEST = 1_000_000, 64
+CACHE_WORDS, LONGEST = 600_000, 64
 
 
 #: A full stop or comma at the end of a word is a token of its own; apart from the word, both are cached better.
