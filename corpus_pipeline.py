@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matrixloom.llm import language, packing, pii, simhash, suffix
+from matrixloom.llm import copies, language, packing, pii, simhash, suffix
 from matrixloom.llm.common import quoted, stored
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -30,8 +30,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id."""
-    return simhash.one_of_each(docs, simhash.groups(docs))
+    """One document of each group of near duplicates: the one with the smallest doc_id.
+
+    Groups are joined by pairs whose exact similarity of five-word shingles is 0.8 or more. The four words and four bits of
+    ``simhash.groups`` are the contract of operator 7's query and too narrow for that.
+    """
+    return simhash.one_of_each(docs, copies.groups(docs, shingle=5, least=0.8))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,132 @@
+"""Near duplicates by exact similarity of word shingles: candidates by MinHash bands, each link verified.
+
+Two documents are linked if the Jaccard similarity of their sets of shingles (64-bit hashes of ``shingle`` words) is at least
+``least``. Documents that agree in all minima of one of ``bands`` bands of ``rows`` minima are candidates. With 40 bands of 5 a pair
+at similarity 0.8 is no candidate with probability (1 - 0.8**5)**40 = 1.3e-7, the method's only loss; more similar pairs are lost less often.
+
+Equal sets are one node. In each bucket every node is first verified against the least one, which joins large groups of copies in a
+linear number of comparisons. Buckets that still hold several components are then compared in full: nodes of one component are
+not compared again, a pair is compared only in the first band it shares, and buckets above ``tile`` nodes are cut into
+tiles that meet pairwise, so none is skipped. The components of the verified links are the groups.
+
+Defined results: texts without words are equal; a text below ``shingle`` words is one shingle; rows without doc_id are in no group.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators.components import components
+from .common import quoted, small_batches, stored, text_slices
+
+
+def grams(text: bytes, shingle: int) -> np.ndarray:
+    """Sorted distinct hashes of the text's shingles."""
+    words = text.lower().split()  # of bytes: A-Z and ASCII white space only
+    k = min(shingle, len(words))
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(b" ".join(words[i : i + k]), 42) for i in range(len(words) - k + 1)] if words else [], np.uint64))
+
+
+def key_of(hashes: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(hashes.tobytes())
+
+
+def band_hashes(hashes: np.ndarray, factors: np.ndarray, bands: int) -> np.ndarray:
+    """A hash for each band of minima; none for an empty set."""
+    if not len(hashes):
+        return np.zeros(0, np.int64)
+    least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
+    for a in range(0, len(hashes), 1024):
+        np.minimum(least, (factors[:, None] * hashes[a : a + 1024]).min(1), out=least)
+    return np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in least.reshape(bands, -1)], np.uint64).view(np.int64)
+
+
+def lists(parts: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *(len(p) for p in parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)))
+
+
+def mapped(docs: DataFrame, each: Callable[[np.ndarray], np.ndarray], name: str, id_column: str, text_column: str, shingle: int) -> DataFrame:
+    """doc_id, key (of the set of shingles) and ``each`` of the set. Map-only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                sets = [grams(t or b"", shingle) for t in part.column(1).cast(pa.binary()).to_pylist()]
+                keys = np.array([key_of(s) for s in sets], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys), lists([each(s) for s in sets])], ["doc_id", "key", name])
+
+    small_batches(docs.sparkSession)
+    source = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text_column).cast("string").alias("text"))
+    return source.filter("doc_id is not null").mapInArrow(run, f"doc_id long, key long, {name} array<long>")
+
+
+def meetings(rows: DataFrame, least: float) -> DataFrame:
+    """Verified links (u, v) that join what is similar within each (band, h, lo, hi) of ``rows``, over its given roots."""
+
+    def meet(group: pa.Table) -> pa.Table:
+        node, own, band = group.column("node").to_numpy(), group.column("own").to_numpy(), group.column("band")[0].as_py()
+        across = group.column("lo")[0].as_py() != group.column("hi")[0].as_py()
+        label = np.unique(group.column("root").to_numpy(), return_inverse=True)[1]
+        hashes = np.stack([x.values.to_numpy() for x in group.column("hashes")])
+        sets = [x.values.to_numpy() for x in group.column("grams")]
+        u, v = [], []
+        for i in range(1, len(node)):
+            other = label[:i] != label[i]
+            if across:
+                other &= own[:i] != own[i]
+            other &= ~(hashes[:i, :band] == hashes[i, :band]).any(1)
+            for j in np.flatnonzero(other).tolist():
+                a, b = sets[i], sets[j]
+                if label[j] == label[i] or min(len(a), len(b)) < least * max(len(a), len(b)) - 1e-6:
+                    continue
+                same = len(np.intersect1d(a, b, assume_unique=True))
+                if same / (len(a) + len(b) - same) >= least:
+                    u.append(node[i])
+                    v.append(node[j])
+                    label[label == label[j]] = label[i]
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return rows.groupBy("band", "h", "lo", "hi").applyInArrow(meet, "u long, v long")
+
+
+def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5, least: float = 0.8, bands: int = 40, rows: int = 5, tile: int = 256) -> DataFrame:
+    """One row per document with an id: doc_id and component_id (the least doc_id reachable by links)."""
+    factors = np.random.default_rng(7).integers(0, 1 << 63, bands * rows, np.uint64) * np.uint64(2) + np.uint64(1)
+    sketches = stored(mapped(docs, lambda s: band_hashes(s, factors, bands), "hashes", id_column, text_column, shingle), "sketches")
+    nodes = stored(sketches.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("hashes").alias("hashes")).withColumnRenamed("key", "node"), "nodes")
+    buckets = nodes.select("node", F.posexplode("hashes").alias("band", "h"))
+    shared = buckets.groupBy("band", "h").agg(F.min("node").alias("lead"), F.count("*").alias("n")).filter("n > 1")
+    members = stored(buckets.join(shared, ["band", "h"]), "members")
+    met = members.select("node").distinct()
+    # Only candidates' shingles are written.
+    found = docs.join(nodes.join(met, "node", "left_semi").select(F.col("rep").alias("rep_")), quoted(id_column).cast("long") == F.col("rep_"), "left_semi")
+    sets = mapped(found, lambda s: s, "grams", id_column, text_column, shingle).withColumnRenamed("key", "node")
+    sets = stored(sets.join(met, "node", "left_semi").groupBy("node").agg(F.first("grams").alias("grams")), "sets")
+
+    pairs = members.filter("node <> lead").select("node", "lead").distinct()
+    both = pairs.join(sets, "node").join(sets.select(F.col("node").alias("lead"), F.col("grams").alias("others")), "lead")
+    same = F.size(F.array_intersect("grams", "others"))
+    links = stored(both.filter(same / (F.size("grams") + F.size("others") - same) >= least).select(F.col("node").alias("u"), F.col("lead").alias("v")), "links")
+
+    roots = components(links)
+    labelled = stored(members.join(roots, "node", "left").select("band", "h", "n", "node", F.coalesce("root", "node").alias("root")), "labelled")
+    mixed = labelled.groupBy("band", "h").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("band", "h")
+    tiles = F.ceil(F.col("n") / tile).cast("int")
+    cut = labelled.join(mixed, ["band", "h"]).withColumn("tiles", tiles).withColumn("own", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    cut = cut.select("band", "h", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "root")
+    more = meetings(cut.join(sets, "node").join(nodes.select("node", "hashes"), "node"), least)
+
+    last = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
+    named = stored(nodes.join(last, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "rooted")
+    first = named.groupBy("root").agg(F.min("rep").alias("component_id"))
+    named = stored(named.join(first, "root").select(F.col("node").alias("key"), "component_id"), "named")
+    return sketches.select("doc_id", "key").join(named, "key").select("doc_id", "component_id")

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from matrixloom.llm import simhash, suffix
+from matrixloom.llm import copies, simhash, suffix
 
 
 def brute_fingerprint(text):
@@ -127,3 +127,52 @@ def test_cut_of_odd_rows(spark):
     assert [x[1][1] for x in got if x[0] in (1, None)] == [0, 0, 0]
     assert [x[1][1] for x in got if x[0] == 2] == [len(passage)]
     assert own_cut(spark.createDataFrame([], "doc_id long, text string")) == []
+
+
+def five_word_similarity(a, b):
+    a, b = ({" ".join(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.lower().split(), b.lower().split()))
+    return len(a & b) / len(a | b)
+
+
+def test_pipeline_drops_by_exact_similarity(spark):
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    new = lambda: f"w{rng.randrange(50000)}"
+    rows, linked, apart = [], set(), set()
+    for k in range(150):
+        base = [new() for _ in range(rng.choice([60, 200, 600]))]
+        other = list(base)
+        # A changed word changes five shingles, so the pairs lie around 0.8.
+        for at in rng.sample(range(len(base)), max(1, round(len(base) * rng.uniform(0.01, 0.04)))):
+            other[at] = new()
+        a, b = " ".join(base), " ".join(other)
+        rows += [(2 * k, a, "en", "h", len(a)), (2 * k + 1, b, "en", "h", len(b))]
+        (linked if five_word_similarity(a, b) >= 0.8 else apart).add(2 * k + 1)
+    assert len(linked) > 30 and len(apart) > 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    assert kept == set(range(0, 300, 2)) | apart
+
+
+def test_copies_against_brute_force(spark):
+    rng = random.Random(6)
+    new = lambda: f"w{rng.randrange(300)}"
+    base = [new() for _ in range(120)]
+    texts = [None, "", "One two", "one  TWO"]
+    for _ in range(60):  # one large bucket of texts of which some are linked; it is cut into tiles
+        t = list(base)
+        for at in rng.sample(range(len(t)), rng.randrange(6)):
+            t[at] = new()
+        texts.append(" ".join(t))
+    words = [(t or "").lower().split() for t in texts]
+    sets = [{" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in words]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in copies.groups(docs, tile=8).collect()}
+    assert got == dict(enumerate(root))
