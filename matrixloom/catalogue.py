@@ -269,6 +269,12 @@ def natural_sort(spark, sf_dir):
     return first.withColumn("place", F.row_number().over(W.orderBy(*summarise.natural_order("feature")))).select("c_name", "place")
 
 
+@query("""WITH n AS (SELECT DISTINCT c_name FROM customer) SELECT c_name, row_number() OVER (ORDER BY regexp_extract(c_name, '^(.*)#[^#]*$', 1), TRY_CAST(regexp_extract(c_name, '#([^#]*)$', 1) AS INTEGER) NULLS FIRST, c_name) AS place FROM n""")
+def natural_sort_all(spark, sf_dir):
+    names = table(spark, sf_dir, "customer").select("c_name").distinct().withColumn("feature", F.translate("c_name", "#", "-"))
+    return summarise.natural_places(names, "feature").select("c_name", "place")
+
+
 # --- The long matrix --------------------------------------------------------------------------------------------------
 
 UNPIVOT = "(SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, coverage, value FROM lineitem UNPIVOT (value FOR coverage IN (l_quantity, l_extendedprice, l_discount, l_tax)))"

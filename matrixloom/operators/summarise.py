@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..tables import stored
+
 METHODS = {"mean": F.avg, "median": F.median, "max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
 
 
@@ -101,6 +103,19 @@ def natural_order(name: str | Column) -> list[Column]:
     return [F.regexp_extract(c, "^(.*)-[^-]*$", 1), F.expr(f"try_cast(regexp_extract({name}, '-([^-]*)$', 1) as int)") if isinstance(name, str) else F.regexp_extract(c, "-([^-]*)$", 1), c]
 
 
+def natural_places(names: DataFrame, name: str) -> DataFrame:
+    """``names`` with the place of every row in natural order, from 1: numbers within ranges of the keys, and the ranges' offsets."""
+    keys = natural_order(name)
+    dealt = names.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # A row's id is its range's number times 2**33 and its place in the range. Ranges come from a sample, so they are drawn once.
+    dealt = stored(dealt.withColumn("id_", F.monotonically_increasing_id()), "natural-order")
+    dealt = dealt.withColumns({"range_": F.shiftright("id_", 33), "place_": F.col("id_").bitwiseAND((1 << 33) - 1)})
+    counts = dealt.groupBy("range_").agg(F.count("*").alias("n_"))
+    before = F.coalesce(F.sum("n_").over(W.orderBy("range_").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row a range
+    out = dealt.join(F.broadcast(counts.select("range_", before.alias("before_"))), "range_")
+    return out.withColumn("place", F.col("before_") + F.col("place_") + 1).drop("id_", "range_", "place_", "before_", "n_")
+
+
 def scaled_profile(df: DataFrame, keys: list[str], position: str, value: str, method: str = "sum") -> DataFrame:
     """(keys, position, share): values by position scaled to 1 within ``keys``; keys without signal go."""
     table = df.groupBy(*keys, position).agg(METHODS[method](value).cast("double").alias("value"))

@@ -229,6 +229,15 @@ def test_cached_diff(spark, tmp_path):
     assert len(calls) == 2
 
 
+def test_natural_places_cover_all_names(spark):
+    names = [f"{p}-{i}" for p in "abc" for i in range(1, 301)] + ["c", "c-x"]
+    df = spark.createDataFrame([(n,) for n in reversed(names)], "f string").repartition(7)
+    got = [r.f for r in summarise.natural_places(df, "f").orderBy("place").collect()]
+    assert got == ["c", *names[:600], "c-x", *names[600:900]]
+    places = [r.place for r in summarise.natural_places(df, "f").collect()]
+    assert sorted(places) == list(range(1, 903))
+
+
 def test_natural_order(spark):
     df = spark.createDataFrame([("a-10",), ("a-2",), ("b-1",)], "f string")
     assert [r.f for r in df.orderBy(*summarise.natural_order("f")).collect()] == ["a-2", "a-10", "b-1"]
