@@ -180,6 +180,22 @@ def test_top_of_odd_rows(spark):
     assert topk.top(df.limit(0), 20).count() == 0
 
 
+def test_top_of_repeated_rows_and_large_components(spark):
+    rows = [(0, [1.0, 0.0])] * 2 + [(1, [9.0, 0.0])] * 5 + [(2, [8.0, 0.0])] + [(i, [0.001 * i, 0.0]) for i in range(3, 19)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.rank, r.id) for r in topk.top(df, 20).collect())
+    assert got == [(k, 1) for k in range(1, 6)]
+    got = sorted((r.rank, r.id) for r in topk.top(df, 20, k=7).collect())
+    assert got == [(k, 1) for k in range(1, 6)] + [(6, 2), (7, 16)]  # 16, 17 and 18 are equal after scaling
+    # 2**40 and one more after scaling: a product that doubles would round.
+    rows = [(0, [1.0, 1.0]), (1, [2.0**32, 0.0]), (2, [2.0**32 + 2.0**-8, 0.0]), (3, [-(2.0**32), 0.0]), (4, [0.5, 0.0]), (20, [-(2.0**13), 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.id, r.score) for r in topk.top(df, 20, k=6).collect())
+    a = 256 * (2**40 + 1)
+    assert got[:5] == [(0, 1, 2, a), (0, 2, 1, a - 256), (0, 3, 4, 128 * 256), (0, 4, 20, 256 * (256 - 2**21)), (0, 5, 3, -(2**48))]
+    assert got[5] == (20, 1, 3, 2**61)
+
+
 # --- Quality
 
 
