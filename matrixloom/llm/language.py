@@ -5,9 +5,9 @@ its character n-grams, the longest first: where an n-gram of the longest length
 are tried. A text's language is the one with the largest mean score of its words; its score is that language's share
 after a softmax of the mean scores.
 
-The model is fitted on a sample of labelled rows of documented size, so it has a documented size too and may be
-broadcast: about ``sample`` rows a language, ``languages`` languages (the most frequent), ``words`` words and
-``grams`` n-grams in all.
+The model is fitted on a sample of labelled rows of documented size, about ``sample`` rows in all, as many of each language as
+there are, so it has a bounded size too and may be broadcast. Every language of the learned rows can be predicted, and every
+word and n-gram that the sample has at least ``least`` times is in the model; rarer words are left to the n-grams.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, and so is every text if nothing could be
 learned; rows without lang or text teach nothing; rows without doc_id count as held out; ties go to the more
@@ -25,7 +25,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import quoted, row_slices, small_batches, stored, text_slices
@@ -77,37 +76,37 @@ def counted(texts: DataFrame, longest: int, grams: bool) -> DataFrame:
     return texts.mapInArrow(rows, "lang string, term string, n long").groupBy("lang", "term").agg(F.sum("n").alias("n"))
 
 
-def table(counts: DataFrame, languages: list[str], most: int) -> tuple[list[str], np.ndarray]:
-    """The most frequent terms of each language, ``most`` in all, and their centred log frequencies."""
-    share = max(1, most // max(1, len(languages)))
-    top = counts.withColumn("place", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "term"))).filter(F.col("place") <= share)
+def table(counts: DataFrame, languages: list[str], least: int) -> tuple[list[str], np.ndarray]:
+    """The terms that occur at least ``least`` times, and their centred log frequencies by language."""
     total = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    terms = top.select("term").distinct()
-    rows = counts.join(terms, "term", "left_semi").toArrow()  # at most ``most`` terms, a row for each language
-    names = pc.unique(rows["term"]).sort()
+    place = F.create_map(*(x for i, lang in enumerate(languages) for x in (F.lit(lang), F.lit(i))))
+    by_term = counts.groupBy("term").agg(F.sum("n").alias("all"), F.collect_list(F.struct(place[F.col("lang")].alias("lang"), "n")).alias("by"))
+    rows = by_term.filter(F.col("all") >= least).select("term", "by.lang", "by.n").toArrow().sort_by("term").combine_chunks()  # of the sample's size
+    names = rows["term"].to_pylist()
     number = np.zeros((len(names), len(languages)))
-    place = pc.index_in(rows["term"], names).to_numpy(), pc.index_in(rows["lang"], pa.array(languages, pa.string())).to_numpy()
-    number[place] = rows["n"].to_numpy()
-    names = names.to_pylist()
+    if names:
+        lists = rows["lang"].combine_chunks()
+        row = np.repeat(np.arange(len(names)), pc.list_value_length(lists).to_numpy())
+        number[row, lists.flatten().to_numpy()] = rows["n"].combine_chunks().flatten().to_numpy()
     whole = np.array([total.get(x, 0) for x in languages], float)
     scores = np.log((number + 0.5) / (whole + 0.5 * max(1, len(names))))
-    return names, (scores - scores.mean(1, keepdims=True)).astype(np.float64)
+    return names, scores - scores.mean(1, keepdims=True)
 
 
-def fit(docs: DataFrame, sample: int = 2000, languages: int = 64, words: int = 200_000, grams: int = 100_000, longest: int = 4, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> Model:
-    """Learn from rows that are not held out. ``sample``: rows of a language that are read, about, whatever the input's size."""
+def fit(docs: DataFrame, sample: int = 8000, least: int = 2, longest: int = 4, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> Model:
+    """Learn from rows that are not held out. ``sample``: how many rows are read, about, whatever the input's size."""
     small_batches(docs.sparkSession)
     rows = docs.select(quoted(id_column).alias("doc_id"), quoted(text_column).cast("string").alias("text"), quoted(lang_column).cast("string").alias("lang"))
     rows = rows.filter("text is not null and lang is not null").filter(~held_out(F.col("doc_id")))
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()  # a row a language
     names = [r["lang"] for r in sizes]
     if not names:
         return Model([], [], np.zeros((0, 0)), [], np.zeros((0, 0)), longest)
-    rate = F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, sample / r["count"])))))
+    rate = F.create_map(*(x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(1.0, sample / len(sizes) / r["count"])))))
     chance = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40)) / float(1 << 40)
-    taken = rows.filter(F.col("lang").isin(names)).filter(chance < rate[F.col("lang")]).select("lang", "text")
-    word_names, word_scores = table(stored(counted(taken, longest, False), "words"), names, words)
-    gram_names, gram_scores = table(stored(counted(taken, longest, True), "grams"), names, grams)
+    taken = rows.filter(chance < rate[F.col("lang")]).select("lang", "text")
+    word_names, word_scores = table(stored(counted(taken, longest, False), "words"), names, least)
+    gram_names, gram_scores = table(stored(counted(taken, longest, True), "grams"), names, least)
     return Model(names, word_names, word_scores, gram_names, gram_scores, longest)
 
 
@@ -138,28 +137,32 @@ class Scorer:
                     break
         return [x / n for x in total] if n else total
 
-    def learn(self, words: list[str]) -> None:
-        for w in words:
-            if w in self.known:
-                continue
-            self.scores[self.used] = self.backoff(w)
-            self.known[w] = self.used
-            self.used += 1
+    def places(self, words: list[str]) -> list[int]:
+        """Rows of ``scores``; there are at most CACHE_WORDS words."""
+        at = list(map(self.known.get, words))
+        if None in at:
+            new = dict.fromkeys(w for w, i in zip(words, at, strict=True) if i is None)
+            if self.used + len(new) > self.base + CACHE_WORDS:
+                self.forget()
+                new = dict.fromkeys(w for w in words if w not in self.known)
+            for w in new:
+                self.scores[self.used] = self.backoff(w)
+                self.known[w] = self.used
+                self.used += 1
+            at = list(map(self.known.__getitem__, words))
+        return at
 
     def score(self, text: str | None) -> tuple[str, float]:
         words = WORD.findall(text.lower()) if text else []
         if not self.model.languages or not any(any(map(str.isalpha, w)) for w in words):
             return UNKNOWN, 0.0
         total = np.zeros(len(self.model.languages))
-        for a in range(0, len(words), CACHE_WORDS // 4):
-            part = words[a : a + CACHE_WORDS // 4]
-            at = list(map(self.known.get, part))
-            if None in at:
-                if self.used + len(part) > self.base + CACHE_WORDS:
-                    self.forget()
-                self.learn([w for w, i in zip(part, at, strict=True) if i is None])
-                at = list(map(self.known.__getitem__, part)) if self.used else at
-            total += self.scores[at].sum(0)
+        for w in words:
+            if len(w) > LONGEST:
+                total += self.scores[self.known[w]] if w in self.known else self.backoff(w)
+        short = [w for w in words if len(w) <= LONGEST]
+        for a in range(0, len(short), CACHE_WORDS):
+            total += self.scores[self.places(short[a : a + CACHE_WORDS])].sum(0)
         mean = total / len(words)
         share = np.exp(mean - mean.max())
         best = int(share.argmax())

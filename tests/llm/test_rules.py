@@ -1,6 +1,9 @@
 import hashlib
+import math
 import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -75,6 +78,64 @@ def test_language_of_odd_rows(spark):
     assert language.predict(df.limit(0), nothing).count() == 0
 
 
+def brute_language(docs, text, longest=4):
+    """Prediction from counts in plain dictionaries; all rows that are not held out are learned."""
+    learned = [(t, g) for i, t, g in docs if None not in (i, t, g) and zlib.crc32(str(i).encode()) % 5]
+    names = [g for g, _ in sorted(Counter(g for _, g in learned).items(), key=lambda x: (-x[1], x[0]))]
+    pieces = lambda w: [w[i : i + n] for n in range(1, longest + 1) for i in range(len(w) - n + 1)]
+    words = {g: Counter(w for t, h in learned if h == g for w in language.WORD.findall(t.lower())) for g in names}
+    grams = {g: Counter(x for w, n in words[g].items() for x in pieces(f"<{w}>") * n) for g in names}
+
+    def scores(counts):
+        terms = [x for x, n in sum(counts.values(), Counter()).items() if n >= 2]
+        rows = {x: np.array([math.log((counts[g][x] + 0.5) / (counts[g].total() + 0.5 * max(1, len(terms)))) for g in names]) for x in terms}
+        return {x: r - r.mean() for x, r in rows.items()}
+
+    by_word, by_gram = scores(words), scores(grams)
+    found = language.WORD.findall((text or "").lower())
+    if not found:
+        return "und", 0.0
+    total = np.zeros(len(names))
+    for w in found:
+        if w in by_word:
+            total += by_word[w]
+            continue
+        p, hits = f"<{w}>", []
+        for i in range(len(p)):
+            hits += [by_gram[p[i : i + n]] for n in range(longest, 0, -1) if p[i : i + n] in by_gram][:1]
+        total += sum(hits) / len(hits) if hits else 0
+    share = np.exp(total / len(found) - (total / len(found)).max())
+    return names[int(share.argmax())], float(share.max() / share.sum())
+
+
+def test_language_matches_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(language, "CACHE_WORDS", 8)  # the cache starts anew within and between texts
+    rng = random.Random(11)
+    make = {g: [f"{rng.choice(a)}{rng.choice(b)}{rng.choice(a)}" for _ in range(25)] for g, a, b in (("aa", ["ka", "to", "ri"], ["n", "ss"]), ("bb", ["ze", "ul", "ri"], ["th", "n"]), ("cc", ["ka", "ul"], ["n", "x"]))}
+    docs = []
+    for i in range(120):
+        g = rng.choice(["aa", "aa", "bb", "cc"])
+        t = " ".join(rng.choice(make[g]) + rng.choice(["", "", "q", str(i), " kq"]) for _ in range(rng.randint(1, 30)))
+        docs.append((i, t, rng.choice([g, g, g, None])))
+    docs += [(200, "kann " * 4000 + "w" * 5000, None), (201, "x" * 100000, "bb"), (202, docs[0][1], None), (202, docs[0][1], None), (203, None, None), (None, "kan ri", "aa")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = language.fit(df, sample=10**6)
+    scorer = language.Scorer(model)  # in this process, so with the small cache
+    for i, t, _ in docs:
+        (lang, score), (want, share) = scorer.score(t), brute_language(docs, t)
+        assert lang == want and abs(score - share) < 1e-9
+    for r in language.predict(df, model).collect():
+        texts = {scorer.score(t)[0] for i, t, _ in docs if i == r.doc_id}
+        assert r.lang_pred in texts
+
+
+def test_every_language_can_be_predicted(spark):
+    rows = [(10 * i + j, f"w{chr(97 + i % 26)}{chr(97 + i // 26)}u " * 5, f"l{i:03d}") for i in range(90) for j in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.predict(df.select("doc_id", "text"), language.fit(df)).join(df, "doc_id")
+    assert found.filter("lang = lang_pred").count() == len(rows)
+
+
 # --- Personal data
 
 PATTERNS = {
