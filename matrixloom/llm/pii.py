@@ -1,20 +1,21 @@
 """Personal data: fixed patterns, and information-theoretic sanitisation of the terms that give entities away.
 
-In DataFrame operations only. Base kinds are found by patterns. Each distinct value found is a protected entity. From the
-words within ``around`` code points of each occurrence, the corpus tells how strongly a term reveals an entity:
+In DataFrame operations only. Base kinds are found by patterns. Each distinct value found is a protected entity. Over the
+distinct texts of the corpus (copies count once) it is counted in how many an entity stands (e), a term, which is a word of three
+letters or more outside e-mail addresses (t), and both (k), of n texts in all. How strongly a term reveals an entity is
 
-    share = log2(together * all / (occurrences * term)) / log2(all / occurrences)
+    share = log2(k * n / (e * t)) / log2(n / e)
 
-``together`` counts the distinct surroundings in which the term stands near the entity (copies of a passage count
-once), ``occurrences`` the distinct surroundings of the entity, ``term`` the term's occurrences in the whole
-corpus and ``all`` those of all terms. 1 means that the term never occurs but near the entity. Terms with at least
-``support`` joint surroundings are removed from a share of ``remove`` up, and generalised from ``generalise`` up, wherever
-they stand near that entity.
+1 means that the term never occurs without the entity. A pair counts only if it is no chance finding: with m = e * t / n joint texts
+to be expected, k * (ln(k / m) - 1), which bounds the logarithm of the chance from below, must reach ln(pairs / chance), where ``pairs``
+is the number of pairs that were looked at. So two joint texts suffice for rare terms in a large corpus, and one never
+does. Terms are removed from a share of ``remove`` up, and generalised from ``generalise`` up, wherever they stand in a text with
+that entity.
 
-The patterns are read so that no text takes quadratic time or deep recursion: a match can begin only where the run of
-its first characters begins, or where the last match ended.
+All steps are linear in a text's length and matches: matches begin only where the run of their first characters begins, or where
+the last match ended, and arrays are walked in slices.
 
-Defined results: a null text is empty; repeated rows get the same spans and count as one surrounding; extra columns are not
+Defined results: a null text is empty; repeated rows get the same spans and count as one text; extra columns are not
 read; rows without doc_id are treated like others.
 """
 
@@ -69,17 +70,38 @@ def found(text: Column, pattern: str) -> tuple[Column, Column]:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
 
 
-def placed(matches: Column, pieces: Column, kind: int) -> Column:
-    """Spans (start, kind, end, value) of matches, in code points."""
-    start = F.struct(F.length(F.get(pieces, F.lit(0))).alias("at"), F.expr("cast(array() as array<struct<s:int,k:int,e:int,v:string>>)").alias("spans"))
+#: Elements that an array is walked by at once: building an array element by element copies it each time.
+SLICE = 256
+SPANS_TYPE = "array<struct<s:int,k:int,e:int,v:string>>"
 
-    def step(a: Column, x: Column) -> Column:
-        end = a["at"] + F.length(x["m"])
-        one = F.struct(a["at"].alias("s"), F.lit(kind).alias("k"), end.alias("e"), x["m"].alias("v"))
-        return F.struct((end + F.length(x["p"])).alias("at"), F.concat(a["spans"], F.array(one)).alias("spans"))
 
-    pairs = F.zip_with(matches, F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), lambda m, p: F.struct(m.alias("m"), p.alias("p")))
-    return F.aggregate(pairs, start, step)["spans"]
+def sliced(array: Column) -> Column:
+    """An array in slices. It should be a plain column; it is referred to twice, so that it is not made anew for each slice."""
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.size(array) - 1, F.lit(0)).cast("int"), F.lit(SLICE)), lambda i: F.slice(array, i + 1, F.lit(SLICE)))
+
+
+def before_each(totals: Column, start: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """What ``add`` has made of the elements before each one of a short array."""
+    zero = F.struct(start.alias("at"), F.expr("cast(array() as array<int>)").alias("all"))
+    return F.aggregate(totals, zero, lambda a, x: F.struct(add(a["at"], x).alias("at"), F.concat(a["all"], F.array(a["at"])).alias("all")))["all"]
+
+
+def placed(docs: DataFrame, matches: str, pieces: str, kind: int, out: str) -> DataFrame:
+    """``docs`` with spans (start, kind, end, value) of the matches, in code points."""
+    cut, starts = fresh("cut", docs.columns), fresh("starts", docs.columns)
+    pairs = F.zip_with(matches, F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), lambda m, p: F.struct(m.alias("m"), p.alias("p"), (F.length(m) + F.length(p)).alias("n")))
+    docs = docs.withColumn(out, pairs).withColumn(cut, sliced(F.col(out)))
+    totals = F.transform(cut, lambda x: F.aggregate(x, F.lit(0), lambda a, y: a + y["n"]))
+    docs = docs.withColumn(starts, before_each(totals, F.length(F.get(pieces, F.lit(0))), lambda a, x: a + x))
+
+    def walk(x: Column, start: Column) -> Column:
+        def step(a: Column, y: Column) -> Column:
+            one = F.struct(a["at"].alias("s"), F.lit(kind).alias("k"), (a["at"] + F.length(y["m"])).alias("e"), y["m"].alias("v"))
+            return F.struct((a["at"] + y["n"]).alias("at"), F.concat(a["spans"], F.array(one)).alias("spans"))
+
+        return F.aggregate(x, F.struct(start.alias("at"), F.expr(f"cast(array() as {SPANS_TYPE})").alias("spans")), step)["spans"]
+
+    return docs.withColumn(out, F.flatten(F.zip_with(cut, starts, walk))).drop(cut, starts)
 
 
 def check(kind: str) -> Callable[[Column], Column]:
@@ -95,9 +117,10 @@ def with_base(docs: DataFrame, text: str, out: str) -> DataFrame:
         hit = F.col(text).rlike(HINTS[kind])
         every, between = found(F.col(text), PATTERNS[kind])
         docs = docs.withColumn(matches, F.when(hit, every)).withColumn(pieces, F.when(hit & (F.size(matches) > 0), between))
-        docs = docs.withColumn(spans, F.when(F.size(pieces) > 1, F.filter(placed(F.col(matches), F.col(pieces), k), check(kind))))
+        docs = placed(docs, matches, pieces, k, spans)
+        docs = docs.withColumn(spans, F.when(F.size(pieces) > 1, F.filter(spans, check(kind))))
         temporary += [matches, pieces, spans]
-        whole.append(F.coalesce(F.col(spans), F.expr("cast(array() as array<struct<s:int,k:int,e:int,v:string>>)")))
+        whole.append(F.coalesce(F.col(spans), F.expr(f"cast(array() as {SPANS_TYPE})")))
     return docs.withColumn(out, F.sort_array(F.concat(*whole))).drop(*temporary)
 
 
@@ -106,57 +129,61 @@ def entity(kind: Column, value: Column) -> Column:
     return F.concat_ws(":", kind.cast("string"), F.when(kind.isin(0, 1), F.lower(value)).otherwise(digits(value)))
 
 
-def surroundings(docs: DataFrame, around: int) -> DataFrame:
-    """(doc_id, text_hash, entity, context, term, s, e): each term near each base span. ``docs``: doc_id, body, base."""
-    one = docs.filter(F.size("base") > 0).withColumn("text_hash", F.xxhash64("body"))
-    one = one.select("doc_id", "text_hash", "body", F.explode("base").alias("x"))
-    low = F.greatest(F.col("x.s") - around, F.lit(0))
-    one = one.select("doc_id", "text_hash", entity(F.col("x.k"), F.col("x.v")).alias("entity"), F.col("x.e").alias("end"), low.alias("low"),
-                     F.substring("body", low + 1, F.col("x.s") - low).alias("left"), F.substring("body", F.col("x.e") + 1, F.lit(around)).alias("right"))
-    one = one.withColumn("context", F.xxhash64("left", "right"))
-    sides = F.array(F.struct(F.col("left").alias("side"), F.col("low").alias("at"), (F.col("low") > 0).alias("cut_left"), F.lit(False).alias("cut_right")),
-                    F.struct(F.col("right").alias("side"), F.col("end").alias("at"), F.lit(False).alias("cut_left"), (F.length("right") == around).alias("cut_right")))
-    one = one.select("doc_id", "text_hash", "entity", "context", F.explode(sides).alias("y")).select("doc_id", "text_hash", "entity", "context", "y.*")
-    # A word that the surrounding cuts is none of it.
-    head = F.when(F.col("cut_left"), F.length(F.regexp_extract("side", r"^\p{L}*", 0))).otherwise(0)
-    tail = F.when(F.col("cut_right"), F.length(F.regexp_extract("side", r"\p{L}*$", 0))).otherwise(0)
-    one = one.withColumn("head", head).withColumn("tail", tail)
-    one = one.withColumn("side", F.expr("substring(side, head + 1, greatest(length(side) - head - tail, 0))")).withColumn("at", F.col("at") + F.col("head"))
-    every, between = found(F.col("side"), TERM)
-    one = one.withColumn("matches", every).withColumn("pieces", between)
-    one = one.select("doc_id", "text_hash", "entity", "context", "at", F.explode(placed(F.col("matches"), F.col("pieces"), 0)).alias("t"))
-    return one.select("doc_id", "text_hash", "entity", "context", F.lower("t.v").alias("term"), (F.col("at") + F.col("t.s")).alias("s"), (F.col("at") + F.col("t.e")).alias("e"))
-
-
-def disclosures(docs: DataFrame, near: DataFrame, support: int, generalise: float) -> DataFrame:
-    """(entity, term, share) of the terms that reveal an entity. ``near``: in the shared folder."""
-    contexts = near.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("occurrences"))
-    together = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("together"))
-    together = stored(together.filter(F.col("together") >= support), "together")
-    wanted = together.select("term").distinct()
-    words = docs.select(F.explode(F.split(F.lower("body"), r"[^\p{L}]+")).alias("term")).filter(F.length("term") >= 3)
-    counts = stored(words.groupBy("term").agg(F.count("*").alias("n")), "terms")
-    total = counts.agg(F.sum("n").cast("double").alias("whole"))
-    pairs = together.join(contexts, "entity").join(counts.join(wanted, "term", "left_semi"), "term").crossJoin(F.broadcast(total))  # one row
-    information = F.log2(F.col("whole") / F.col("occurrences"))
-    mutual = F.log2(F.col("together") * F.col("whole") / (F.col("occurrences") * F.greatest("n", "together")))
-    return stored(pairs.withColumn("share", F.try_divide(mutual, information)).filter(F.col("share") >= generalise).select("entity", "term", "share"), "disclosures")
-
-
-def spans(docs: DataFrame, around: int = 64, support: int = 3, generalise: float = 0.8, remove: float = 0.95, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Base spans and added spans.
-
-    The first has doc_id, body (the text, never null) and base (array of start, kind, end, value); the second, by doc_id and text_hash, added
-    (array of s, k: 4 generalised or 5 removed, e), one row for each text that has any, in the shared folder.
+def terms_of(body: Column) -> Column:
+    """The distinct terms of a text."""
+    bare = F.when(body.contains("@"), F.regexp_replace(body, PATTERNS["email"], " ")).otherwise(body)
+    return F.array_distinct(F.transform(F.filter(F.split(bare, r"[^\p{L}]+"), lambda x: F.length(x) >= 3), F.lower))
+
+
+def disclosures(texts: DataFrame, based: DataFrame, generalise: float, chance: float) -> DataFrame:
+    """(text_hash, term, share): the terms that reveal an entity of a text, with their largest share.
+
+    ``texts``: text_hash, body of every row; ``based``: text_hash and base spans of every row, in the shared folder.
     """
-    rows = docs.select(quoted(id_column).alias("doc_id"), F.coalesce(quoted(text_column).cast("string"), F.lit("")).alias("body"))
-    based = with_base(rows, "body", "base")
-    near = stored(surroundings(based, around), "near")
-    shares = disclosures(rows, near, support, generalise)
-    hits = near.join(shares, ["entity", "term"])
-    one = hits.groupBy("doc_id", "text_hash", "s", "e").agg(F.max("share").alias("share"))
+    # Each of n copies of a text counts 1 / n, so that texts need not be gathered to be counted once.
+    copies = stored(based.groupBy("text_hash").agg(F.count("*").alias("n")).filter("n > 1"), "copies")
+    weighted = texts.join(copies, "text_hash", "left").withColumn("weight", 1.0 / F.coalesce("n", F.lit(1)))
+    in_texts = F.round(F.sum("weight")).cast("long")
+    whole = based.select("text_hash").distinct().agg(F.count("*").alias("whole"))
+    words = weighted.select("weight", F.explode(terms_of(F.col("body"))).alias("term"))
+    terms = stored(words.groupBy("term").agg(in_texts.alias("t")).filter("t > 1"), "terms")
+
+    values = based.filter(F.size("base") > 0).select("text_hash", F.explode(F.array_distinct(F.transform("base", lambda x: entity(x["k"], x["v"])))).alias("entity"))
+    values = stored(values.distinct(), "entities")
+    twice = values.groupBy("entity").agg(F.count("*").alias("e")).filter("e > 1").crossJoin(F.broadcast(whole))  # one row
+    # A term that more texts have cannot reach the least share.
+    held = stored(values.join(twice, "entity").withColumn("most", F.col("e") * F.pow(F.col("whole") / F.col("e"), F.lit(1 - generalise)) + 1e-6), "held")
+    there = texts.join(held.select("text_hash").distinct(), "text_hash", "left_semi").dropDuplicates(["text_hash"])
+    near = stored(there.select("text_hash", F.explode(terms_of(F.col("body"))).alias("term")).join(terms, "term"), "near")
+    met = held.join(near, "text_hash").filter("t <= most")
+    pairs = stored(met.groupBy("entity", "term").agg(F.count("*").alias("k"), F.first("e").alias("e"), F.first("t").alias("t"), F.first("whole").alias("whole")), "pairs")
+    number = pairs.agg(F.count("*").alias("pairs"))
+    expected = F.col("e") * F.col("t") / F.col("whole")
+    sure = F.col("k") * (F.log(F.col("k") / expected) - 1) >= F.log(F.col("pairs") / F.lit(chance))
+    share = F.try_divide(F.log2(F.col("k") / expected), F.log2(F.col("whole") / F.col("e")))
+    telling = pairs.filter("k > 1").crossJoin(F.broadcast(number)).filter(sure).withColumn("share", share).filter(F.col("share") >= generalise)  # one row
+    telling = stored(telling.select("entity", "term", "share"), "telling")
+    found_in = near.join(held.select("text_hash", "entity"), "text_hash").join(telling, ["entity", "term"])
+    return stored(found_in.groupBy("text_hash", "term").agg(F.max("share").alias("share")), "disclosures")
+
+
+def spans(docs: DataFrame, generalise: float = 0.8, remove: float = 0.95, chance: float = 0.01, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Base spans and added spans, both in the shared folder.
+
+    The first has doc_id, text_hash and base (array of start, kind, end, value) of every row; the second, by text_hash, added
+    (array of s, k: 4 generalised or 5 removed, e), one row for each text that has any.
+    """
+    rows = docs.select(quoted(id_column).alias("doc_id"), F.coalesce(quoted(text_column).cast("string"), F.lit("")).alias("body")).withColumn("text_hash", F.xxhash64("body"))
+    based = stored(with_base(rows, "body", "base").select("doc_id", "text_hash", "base"), "based")
+    texts = rows.select("text_hash", "body")
+    shares = disclosures(texts, based, generalise, chance)
+    hit = texts.join(shares.select("text_hash").distinct(), "text_hash", "left_semi").dropDuplicates(["text_hash"])
+    # An address is read as one word, so that what it holds is no term.
+    every, between = found(F.col("body"), f"{PATTERNS['email']}|{TERM}")
+    hit = placed(hit.withColumn("matches", every).withColumn("pieces", between).drop("body"), "matches", "pieces", 0, "words")
+    hit = hit.select("text_hash", F.explode("words").alias("x")).select("text_hash", F.lower("x.v").alias("term"), "x.s", "x.e")
     kind = F.when(F.col("share") >= remove, 5).otherwise(4)
-    added = one.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("s", kind.alias("k"), "e"))).alias("added"))
+    added = hit.join(shares, ["text_hash", "term"]).groupBy("text_hash").agg(F.sort_array(F.collect_list(F.struct("s", kind.alias("k"), "e"))).alias("added"))
     return based, stored(added, "added")
 
 
@@ -169,45 +196,57 @@ def listed(array: Column) -> Column:
 
 
 def together(based: DataFrame, added: DataFrame, keep: list[str]) -> DataFrame:
-    """``based`` (columns ``keep``, body, base) with ``every``: base and added spans in order."""
-    d, h = fresh("added_id", based.columns), fresh("added_hash", based.columns)
-    extra = added.select(F.col("doc_id").alias(d), F.col("text_hash").alias(h), "added")
-    whole = based.join(extra, F.col("doc_id").eqNullSafe(F.col(d)) & (F.col("text_hash") == F.col(h)), "left")
+    """``based`` (columns ``keep``, text_hash, base) with ``every``: base and added spans in order."""
+    h = fresh("added_hash", based.columns)
+    whole = based.join(added.select(F.col("text_hash").alias(h), "added"), F.col("text_hash") == F.col(h), "left")
     plain = F.transform("base", lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e")))
     none = F.expr(f"cast(array() as array<{SPAN}>)")
     return whole.select(*keep, F.sort_array(F.concat(plain, F.coalesce("added", none))).alias("every"))
 
 
 def detected(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, the base counts, base (array), every (array of s, k, e): all spans of every whole text."""
-    based, added = spans(docs, **options)
-    slim = based.select("doc_id", "base", F.xxhash64("body").alias("text_hash"))
-    return together(slim, added, ["doc_id", "base"])
+    """doc_id, base (array of s, k, e, v), every (array of s, k, e): all spans of every whole text."""
+    return together(*spans(docs, **options), ["doc_id", "base"])
 
 
 def of_kind(base: Column, kind: int) -> Column:
     return F.size(F.filter(base, lambda x: x["k"] == kind)).cast("long")
 
 
+#: Code points of the blocks that a text is cut into, so that no part of it has to be counted out from its beginning.
+BLOCK = 64
+
+
 def sanitised(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """``docs`` with personal data replaced by [EMAIL], [IP], [CARD], [PHONE], generalised terms by [TERM] and removed terms by nothing.
 
     Where spans overlap, the one that begins first is replaced and the rest of the other with it. A null text stays null.
     """
-    based, added = spans(docs, id_column=id_column, text_column=text_column, **options)
-    row, key, body, text_hash = "row", "doc_id", "body", "text_hash"
-    rows = docs.select(F.struct(*(quoted(c) for c in docs.columns)).alias(row), quoted(id_column).alias(key), F.coalesce(quoted(text_column).cast("string"), F.lit("")).alias(body))
-    rows = with_base(rows, body, "base").withColumn(text_hash, F.xxhash64(body))
-    rows = together(rows, added, [row, body])
+    _, added = spans(docs, id_column=id_column, text_column=text_column, **options)
+    rows = docs.select(F.struct(*(quoted(c) for c in docs.columns)).alias("row"), F.coalesce(quoted(text_column).cast("string"), F.lit("")).alias("body"))
+    rows = with_base(rows, "body", "base").withColumn("text_hash", F.xxhash64("body"))
+    rows = together(rows, added, ["row", "body"])
+    # The end of all spans before each span: where the text goes on.
+    rows = rows.withColumn("cut", sliced(F.col("every")))
+    rows = rows.withColumn("starts", before_each(F.transform("cut", lambda x: F.coalesce(F.array_max(F.transform(x, lambda y: y["e"])), F.lit(0))), F.lit(0), F.greatest))
+
+    def walk(x: Column, start: Column) -> Column:
+        def step(a: Column, y: Column) -> Column:
+            one = F.struct(a["at"].alias("at"), y["s"].alias("s"), y["k"].alias("k"))
+            return F.struct(F.greatest(a["at"], y["e"]).alias("at"), F.concat(a["all"], F.array(one)).alias("all"))
+
+        return F.aggregate(x, F.struct(start.alias("at"), F.expr("cast(array() as array<struct<at:int,s:int,k:int>>)").alias("all")), step)["all"]
+
+    rows = rows.withColumn("walked", F.when(F.size("every") > 0, F.flatten(F.zip_with("cut", "starts", walk))))
+    rows = rows.withColumn("blocks", F.when(F.size("every") > 0, F.regexp_extract_all("body", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))))
     mask = F.array(*(F.lit(x) for x in ["[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[TERM]", ""]))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("parts"))
 
-    def step(a: Column, x: Column) -> Column:
-        inside = x["s"] < a["at"]
-        gap = F.substring(F.col(body), a["at"] + 1, F.greatest(x["s"] - a["at"], F.lit(0)))
-        return F.struct(F.greatest(a["at"], x["e"]).alias("at"), F.when(inside, a["parts"]).otherwise(F.concat(a["parts"], F.array(gap, F.element_at(mask, x["k"] + 1)))).alias("parts"))
+    def part(a: Column, b: Column) -> Column:
+        first = F.floor(a / BLOCK).cast("int")
+        whole = F.array_join(F.slice("blocks", first + 1, F.floor((b - 1) / BLOCK).cast("int") - first + 1), "")
+        return F.when(b > a, F.substring(whole, a % BLOCK + 1, b - a)).otherwise("")
 
-    done = F.aggregate("every", start, step)
-    rows = rows.withColumn("done", F.when(F.size("every") > 0, done))
-    text = F.when(F.col("done").isNull(), F.col(row)[text_column]).otherwise(F.concat(F.array_join("done.parts", ""), F.expr(f"substring({body}, done.at + 1)")))
-    return rows.select(*(text.alias(c) if c == text_column else F.col(row)[c].alias(c) for c in docs.columns))
+    parts = F.transform("walked", lambda x: F.when(x["s"] < x["at"], "").otherwise(F.concat(part(x["at"], x["s"]), F.element_at(mask, x["k"] + 1))))
+    last = F.array_max(F.transform("every", lambda x: x["e"]))
+    text = F.when(F.size("blocks") > 0, F.concat(F.array_join(parts, ""), part(last, F.length("body")))).otherwise(F.col("row")[text_column])
+    return rows.select(*(text.alias(c) if c == text_column else F.col("row")[c].alias(c) for c in docs.columns))
