@@ -1,11 +1,12 @@
 """Quality rules with cross-document line frequency, in DataFrame operations only.
 
 Lines are normalised (lower case, digits as 0, white space as one blank) and hashed. For each host the distinct
-documents of a line are counted; copies of one text are one document. A line is above the limit if it stands in
-more than ``least`` documents and in more than ``share`` of the host's documents. Such lines are removed, and a
-document is depleted if fewer than ``words`` words are left or less than ``left`` of what it had.
+documents of a line are counted; copies of one text are one document, since else a document that was copied often would have
+nothing but frequent lines. A line is above the limit if it stands in more than ``most`` documents of its host, however
+large the host is. Such lines are removed, and a document is depleted if fewer than ``words`` words are left or less than ``left``
+of what it had.
 
-Defined results: a null text has no words and fails the base rules; a null host is a host of its own; repeated rows are
+Defined results: a null text has no words and fails the base rules; a null host is a host of its own, and so is an empty one; repeated rows are
 judged alike and count once; extra columns are kept where rows are kept.
 """
 
@@ -70,9 +71,9 @@ def normal(line: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(F.trim(line), r"\s+", " "), "[0-9]", "0"))
 
 
-def frequent_lines(docs: DataFrame, least: int = 20, share: float = 0.01, text_column: str = "text", host_column: str = "source") -> DataFrame:
+def frequent_lines(docs: DataFrame, most: int = 20, text_column: str = "text", host_column: str = "source") -> DataFrame:
     """(host, text_hash, place, words) of every line above its host's limit, for each distinct text, in the shared folder."""
-    host = F.coalesce(quoted(host_column).cast("string"), F.lit("")).alias("host")
+    host = quoted(host_column).cast("string").alias("host")
     text = quoted(text_column).cast("string")
     rows = docs.filter(text.isNotNull()).select(host, F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n")).alias("place", "line"))
     rows = rows.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
@@ -80,24 +81,23 @@ def frequent_lines(docs: DataFrame, least: int = 20, share: float = 0.01, text_c
     lines = stored(rows.distinct(), "lines")
     # By way of distinct rows, so that a line in a third of all documents is added up before it is shuffled.
     counts = lines.select("host", "line_hash", "text_hash").distinct().groupBy("host", "line_hash").agg(F.count("*").alias("n"))
-    hosts = lines.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("texts"))
-    above = counts.filter(F.col("n") > least).join(hosts, "host").filter(F.col("n") > share * F.col("texts"))
-    above = stored(above.select("host", "line_hash"), "frequent")
-    return lines.join(above, ["host", "line_hash"]).select("host", "text_hash", "place", "words")
+    above = stored(counts.filter(F.col("n") > most).select(F.col("host").alias("above_host"), F.col("line_hash").alias("above_line")), "frequent")
+    same = F.col("host").eqNullSafe(F.col("above_host")) & (F.col("line_hash") == F.col("above_line"))
+    return lines.join(above, same).select("host", "text_hash", "place", "words")
 
 
-def judged(docs: DataFrame, least: int = 20, share: float = 0.01, words: int = 50, left: float = 0.5, text_column: str = "text", host_column: str = "source") -> DataFrame:
+def judged(docs: DataFrame, most: int = 20, words: int = 50, left: float = 0.5, text_column: str = "text", host_column: str = "source") -> DataFrame:
     """``docs`` with the base counts, base_failed, n_line_words_removed and kept."""
-    frequent = frequent_lines(docs, least, share, text_column, host_column)
+    frequent = frequent_lines(docs, most, text_column, host_column)
     gone = stored(frequent.groupBy("host", "text_hash").agg(F.sum("words").alias("gone")), "depleted")
     names = [c for c in docs.columns if c != text_column]
     out, _ = counted(docs, text_column)
     host, text_hash, g1, g2, g3 = (fresh(x, out.columns) for x in ("host_of_row", "hash_of_row", "gone_host", "gone_hash", "gone_words"))
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    out = out.withColumns({host: F.coalesce(quoted(host_column).cast("string"), F.lit("")), text_hash: F.xxhash64(quoted(text_column).cast("string"))})
+    out = out.withColumns({host: quoted(host_column).cast("string"), text_hash: F.xxhash64(quoted(text_column).cast("string"))})
     out = out.select(*(quoted(c) for c in dict.fromkeys([*names, *added])), host, text_hash)
     gone = gone.select(F.col("host").alias(g1), F.col("text_hash").alias(g2), F.col("gone").alias(g3))
-    out = out.join(gone, (F.col(host) == F.col(g1)) & (F.col(text_hash) == F.col(g2)), "left")
+    out = out.join(gone, F.col(host).eqNullSafe(F.col(g1)) & (F.col(text_hash) == F.col(g2)), "left")
     removed = F.coalesce(F.col(g3), F.lit(0)).cast("long")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     stay = F.col("n_words") - removed
@@ -105,12 +105,12 @@ def judged(docs: DataFrame, least: int = 20, share: float = 0.01, words: int = 5
     return out.drop(host, text_hash, g1, g2, g3)
 
 
-def cleaned(docs: DataFrame, least: int = 20, share: float = 0.01, text_column: str = "text", host_column: str = "source") -> DataFrame:
+def cleaned(docs: DataFrame, most: int = 20, text_column: str = "text", host_column: str = "source") -> DataFrame:
     """``docs`` without the lines above their host's limit; the other lines keep their order."""
-    frequent = frequent_lines(docs, least, share, text_column, host_column)
+    frequent = frequent_lines(docs, most, text_column, host_column)
     host, text_hash, places = (fresh(x, docs.columns) for x in ("frequent_host", "frequent_hash", "frequent_places"))
     lists = stored(frequent.groupBy(F.col("host").alias(host), F.col("text_hash").alias(text_hash)).agg(F.collect_set("place").alias(places)), "line-places")
-    same = (F.coalesce(quoted(host_column).cast("string"), F.lit("")) == F.col(host)) & (F.xxhash64(quoted(text_column).cast("string")) == F.col(text_hash))
+    same = quoted(host_column).cast("string").eqNullSafe(F.col(host)) & (F.xxhash64(quoted(text_column).cast("string")) == F.col(text_hash))
     text = F.when(F.col(places).isNull(), quoted(text_column)).otherwise(
         F.array_join(F.filter(F.split(quoted(text_column).cast("string"), "\n"), lambda x, i: ~F.array_contains(F.col(places), i)), "\n")
     )
@@ -120,7 +120,7 @@ def cleaned(docs: DataFrame, least: int = 20, share: float = 0.01, text_column:
 #: The query's DuckDB twin. Lines are compared by their normalised text.
 ORACLE = r"""
 WITH d AS (
-  SELECT doc_id, coalesce(source, '') AS host, text,
+  SELECT doc_id, source AS host, text,
          list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM documents
@@ -143,17 +143,15 @@ WITH d AS (
          len(list_filter(string_split_regex(x, '[\x20\x09-\x0D]+'), lambda y: y <> '')) AS words
   FROM (SELECT host, text, unnest(string_split(text, chr(10))) AS x FROM t)
   WHERE regexp_matches(x, '[^\x20\x09-\x0D]')
-), h AS (SELECT host, count(DISTINCT text) AS texts FROM n GROUP BY host
 ), f AS (
-  SELECT host, line FROM (SELECT host, line, count(DISTINCT text) AS k FROM n GROUP BY host, line) JOIN h USING (host)
-  WHERE k > 20 AND k > 0.01 * texts
+  SELECT host, line FROM n GROUP BY host, line HAVING count(DISTINCT text) > 20
 ), g AS (
-  SELECT host, text, sum(words) AS gone FROM n JOIN f USING (host, line) GROUP BY host, text
+  SELECT n.host, text, sum(words) AS gone FROM n JOIN f ON n.host IS NOT DISTINCT FROM f.host AND n.line = f.line GROUP BY n.host, text
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
        (n_words < 50 OR 100 * coalesce(c.n, 0) > 50 * n_words) AS base_failed,
        CAST(coalesce(gone, 0) AS BIGINT) AS n_line_words_removed,
        NOT (n_words < 50 OR 100 * coalesce(c.n, 0) > 50 * n_words)
          AND (coalesce(gone, 0) = 0 OR (n_words - gone >= 50 AND n_words - gone >= 0.5 * n_words)) AS kept
-FROM b LEFT JOIN c USING (doc_id) LEFT JOIN g USING (host, text)
+FROM b LEFT JOIN c USING (doc_id) LEFT JOIN g ON b.host IS NOT DISTINCT FROM g.host AND b.text = g.text
 """

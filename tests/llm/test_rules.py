@@ -326,14 +326,18 @@ def test_line_frequency(spark):
     own = lambda i: " ".join(f"{hex(i).translate(letters)}x{j}" for j in range(90))
     bar = "Menu  Home 7 About " + " ".join(f"m{j}" for j in range(70))
     docs = [(i, f"{own(i)}\n{bar}", "h") for i in range(40)] + [(100 + i, f"k{i}\n{bar}", "h") for i in range(3)]
-    docs += [(200 + i, own(999), "h") for i in range(60)] + [(300, f"{own(5000)}\n{bar}", None), (301, None, "h"), (302, "", "h"), (303, own(1) * 2, "h")]
+    docs += [(200 + i, own(999), "h") for i in range(60)] + [(300, f"{own(5000)}\n{bar}", None), (310, "long " * 60000, "h"), (301, None, "h"), (302, "", "h"), (303, own(1) * 2, "h")]
     df = spark.createDataFrame(docs, "doc_id long, text string, source string").withColumn("hash_of_row", F.lit(1))
-    got = {r.doc_id: r for r in quality.judged(df, least=20).collect()}
+    got = {r.doc_id: r for r in quality.judged(df, most=20).collect()}
     assert all(got[i].kept and got[i].n_line_words_removed == 74 for i in range(40))
     assert all(not got[100 + i].kept and not got[100 + i].base_failed for i in range(3))
     assert all(got[200 + i].kept for i in range(60))  # copies of a text are one document
     assert got[300].kept and got[301].base_failed and got[302].base_failed
-    clean = {r.doc_id: r.text for r in quality.cleaned(df, least=20).collect()}
+    hosts = [(400 + i, f"{own(400 + i)}\n{bar}", None if i % 2 else "") for i in range(26)]
+    for most, n in ((12, 74), (13, 0)):  # null and empty are two hosts of 13 documents each
+        apart = quality.judged(spark.createDataFrame(hosts, "doc_id long, text string, source string"), most=most)
+        assert {r.n_line_words_removed for r in apart.collect()} == {n}
+    clean = {r.doc_id: r.text for r in quality.cleaned(df, most=20).collect()}
     assert clean[0] == own(0) and clean[300].endswith(bar) and clean[301] is None
     assert quality.judged(df.limit(0)).count() == 0
 
