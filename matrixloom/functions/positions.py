@@ -15,22 +15,22 @@ def labels() -> list[str]:
     return out
 
 
-#: Regions: fixed values, each with the numbers it covers.
+#: Regions: fixed values, each with the numbers it covers, both ends included. The labels e1 to e19 are the extensionloop.
 REGIONS = [
-    ("fiveprime_acceptorstem", range(-1, 8)),
-    ("a_to_d_internal", range(8, 10)),
-    ("fiveprime_dstem", range(10, 14)),
-    ("dloop", range(14, 22)),
-    ("threeprime_dstem", range(22, 26)),
-    ("d_to_anticodon_internal", range(26, 27)),
-    ("fiveprime_anticodonstem", range(27, 32)),
-    ("anticodonloop", range(32, 39)),
-    ("threeprime_anticodonstem", range(39, 44)),
-    ("extensionloop", range(44, 49)),
-    ("fiveprime_tstem", range(49, 54)),
-    ("tloop", range(54, 61)),
-    ("threeprime_tstem", range(61, 66)),
-    ("threeprime_acceptorstem", range(66, 77)),
+    ("fiveprime_acceptorstem", -1, 7),
+    ("a_to_d_internal", 8, 9),
+    ("dstem", 10, 13),
+    ("dloop", 14, 21),
+    ("dstem", 22, 25),
+    ("d_to_anticodon_internal", 26, 26),
+    ("fiveprime_anticodonstem", 27, 31),
+    ("anticodonloop", 32, 38),
+    ("threeprime_anticodonstem", 39, 43),
+    ("anticodon_to_t_internal", 44, 48),
+    ("tstem", 49, 53),
+    ("tloop", 54, 60),
+    ("tstem", 61, 65),
+    ("threeprime_acceptorstem", 66, 76),
 ]
 
 
@@ -45,8 +45,8 @@ def region(label: str, compat: bool = False) -> tuple[str | None, str | None]:
     n = int(number)
     if compat and (27 <= n <= 31 or 39 <= n <= 43):
         return None, None
-    for name, numbers in REGIONS:
-        if n in numbers:
+    for name, first, last in REGIONS:
+        if first <= n <= last:
             return name, "fiveprime" if n <= 26 else "center" if n <= 43 else "threeprime"
     return None, None
 

@@ -6,7 +6,6 @@ are linked; components of at least ``min_cluster_size`` are clusters, everything
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,40 +18,45 @@ def distance(a: str, b: str) -> Column:
     return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
 
 
-def neighbours(df: DataFrame, row: str, vector: str, eps: float, projections: int = 2, seed: int = 7) -> DataFrame:
-    """(a, b, d): pairs a < b of rows at a distance of at most ``eps``.
+def neighbours(df: DataFrame, row: str, vector: str, eps: float, pivots: int = 64) -> DataFrame:
+    """(a, b, d): pairs a < b of rows at a distance of at most ``eps``; equal vectors should be one row.
 
-    Rows meet only if their cells on ``projections`` random unit directions touch; a projection never lengthens a distance, so no pair
-    is missed, and there is no cross join.
+    Each row has its home at the nearest of ``pivots`` rows. A neighbour of a row lies no more than 2 eps further from its own
+    nearest pivot than from this one, so it also visits each pivot that is at most 2 eps further than its home, and rows meet where
+    one is at home. Of those, pairs whose distances to that pivot differ by more than eps are dropped before vectors are compared. No pair
+    is missed; how many meet depends on how far the data spread against eps.
     """
-    width = df.select(F.max(F.size(vector)).alias("n")).first()["n"] or 1
-    axes = np.random.default_rng(seed).normal(size=(projections, width))
-    axes /= np.linalg.norm(axes, axis=1, keepdims=True)
     rows = df.select(F.col(row).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    cells = [F.floor(F.aggregate(F.zip_with("v", F.lit(axis.tolist()).cast("array<double>"), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x) / eps) for axis in axes]
-    placed = rows.select("id", "v", *(c.cast("long").alias(f"c{i}") for i, c in enumerate(cells)))
-    near = placed
-    for i in range(projections):
-        near = near.withColumn(f"c{i}", F.explode(F.sequence(F.col(f"c{i}") - 1, F.col(f"c{i}") + 1)))
-    names = [f"c{i}" for i in range(projections)]
-    left = placed.withColumnsRenamed({"id": "a", "v": "va"})
-    right = near.withColumnsRenamed({"id": "b", "v": "vb"})
-    return left.join(right, names).filter("a < b").withColumn("d", distance("va", "vb")).filter(F.col("d") <= eps).select("a", "b", "d")
+    chosen = rows.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
+    if not chosen:
+        return rows.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("d")).limit(0)
+    axes = [F.struct(F.lit(i).alias("cell"), F.sqrt(F.aggregate(F.zip_with("v", F.array(*map(F.lit, r["v"])), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)).alias("far")) for i, r in enumerate(chosen)]
+    placed = stored(rows.withColumn("cells", F.array(*axes)).withColumn("home", F.array_min(F.transform("cells", lambda c: F.struct(c["far"].alias("far"), c["cell"].alias("cell"))))), "homes")
+    left = placed.select(F.col("home.cell").alias("cell"), F.col("home.far").alias("fa"), F.col("id").alias("a"), F.col("v").alias("va"))
+    visits = F.explode(F.filter("cells", lambda c: c["far"] <= F.col("home.far") + 2 * eps + 1e-9)).alias("c")
+    right = placed.select(F.col("id").alias("b"), F.col("v").alias("vb"), F.col("home.cell").alias("hb"), visits).select("c.cell", F.col("c.far").alias("fb"), "b", "vb", "hb")
+    # Two rows that are at home in one cell meet there once; others meet in both homes and count in the lesser one's.
+    met = left.join(right, "cell").filter((F.abs(F.col("fa") - F.col("fb")) <= eps + 1e-9) & (F.col("a") != F.col("b")) & ((F.col("hb") > F.col("cell")) | ((F.col("hb") == F.col("cell")) & (F.col("a") < F.col("b")))))
+    near = met.withColumn("d", distance("va", "vb")).filter(F.col("d") <= eps)
+    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "d")
 
 
 def density_clusters(df: DataFrame, row: str, vector: str, eps: float, min_samples: int = 6, min_cluster_size: int = 10) -> DataFrame:
-    """(id, label): cluster number from 0, largest cluster first, or -1."""
-    pairs = stored(neighbours(df, row, vector, eps), "pairs")
-    ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id")))
-    core = stored(ends.groupBy("id").agg(F.count("*").alias("n")).filter(F.col("n") + 1 >= min_samples).select("id"), "core")
-    linked = pairs.join(core.withColumnRenamed("id", "a"), "a", "left_semi").join(core.withColumnRenamed("id", "b"), "b", "left_semi")
+    """(id, label): cluster number from 0, largest cluster first, or -1. Equal vectors are compared once and count as often as they occur."""
+    rows = stored(df.select(F.col(row).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")), "vectors")
+    nodes = stored(rows.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("n")), "nodes")
+    pairs = stored(neighbours(nodes, "id", "v", eps), "pairs")
+    weight = nodes.select(F.col("id").alias("other"), F.col("n").alias("weight"))
+    ends = pairs.select(F.col("a").alias("id"), F.col("b").alias("other")).unionAll(pairs.select(F.col("b").alias("id"), F.col("a").alias("other"))).join(weight, "other")
+    around = nodes.join(ends.groupBy("id").agg(F.sum("weight").alias("near")), "id", "left").withColumn("near", F.col("n") + F.coalesce("near", F.lit(0)))
+    core = stored(around.filter(F.col("near") >= min_samples).select("id", "n"), "core")
+    linked = pairs.join(core.select(F.col("id").alias("a")), "a", "left_semi").join(core.select(F.col("id").alias("b")), "b", "left_semi")
     roots = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    member = core.join(roots, core.id == roots.node, "left").select("id", F.coalesce("root", "id").alias("root"))
-    sizes = member.groupBy("root").agg(F.count("*").alias("n")).filter(F.col("n") >= min_cluster_size)
+    member = core.join(roots, core.id == roots.node, "left").select("id", "n", F.coalesce("root", "id").alias("root"))
+    sizes = member.groupBy("root").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_cluster_size)
     numbered = sizes.select("root", (F.row_number().over(W.orderBy(F.desc("n"), "root")) - 1).alias("label"))  # clusters, not rows
-    named = member.join(numbered, "root").select("id", "label")
-    rows = df.select(F.col(row).cast("long").alias("id"))
-    return rows.join(named, "id", "left").select("id", F.coalesce("label", F.lit(-1)).alias("label"))
+    named = member.drop("n").join(numbered, "root").join(nodes.drop("n"), "id").select(F.col("v").alias("known"), "label")
+    return rows.join(named, F.col("v") == F.col("known"), "left").select("id", F.coalesce("label", F.lit(-1)).alias("label"))
 
 
 def attach(df: DataFrame, clusters: DataFrame, keys: list[str]) -> DataFrame:

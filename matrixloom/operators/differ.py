@@ -32,7 +32,7 @@ def log2fc(df: DataFrame, feature: str, group: str, value: str, cutoff: float =
     """(by..., feature, g1, g2, log2fc, pval) for every pair of groups g1 < g2.
 
     A feature takes part if the mean of its group means is at least ``cutoff`` and it has mean, deviation and count in every
-    group that occurs (within ``by``).
+    group that has a feature with a value (within ``by``).
     """
     return log2fc_cutoffs(df, feature, group, value, [cutoff], by).drop("cutoff")
 
@@ -42,8 +42,8 @@ def log2fc_cutoffs(df: DataFrame, feature: str, group: str, value: str, cutoffs:
     stats = group_stats(df, [*by, feature, group], value)
     one = F.struct(F.col(group).alias("g"), "mean", "sd", "n")
     wide = stats.groupBy(*by, feature).agg(F.avg("mean").alias("level"), F.collect_list(F.when(F.col("sd").isNotNull(), one)).alias("groups"))
-    number = df.dropna(subset=[*by, group]).groupBy(*by).agg(F.count_distinct(group).alias("n_groups"))
-    wide = wide.join(F.broadcast(number), list(by)) if by else wide.crossJoin(F.broadcast(number))  # one row
+    number = stats.filter("n > 0").groupBy(*by).agg(F.count_distinct(group).alias("n_groups"))
+    wide = wide.join(number, list(by)) if by else wide.crossJoin(number)  # one row
     full = wide.filter((F.size("groups") == F.col("n_groups")) & (F.col("level") >= min(cutoffs)))
     pairs = full.select(*by, F.col(feature).alias("feature"), "level", F.explode(pairs_of(F.col("groups"))).alias("pair"))
     out = tested(pairs, [*by, "feature", "level"])
@@ -56,16 +56,21 @@ def log2fc_compare(df: DataFrame, entity: str, first: str, second: str, value: s
     known = df.dropna(subset=[entity, first, second])
     has = known.select(first, second).distinct()
     every = has.agg(F.count_distinct(first).alias("n_first"))
-    common = has.groupBy(second).agg(F.count("*").alias("n")).crossJoin(F.broadcast(every)).filter("n = n_first").select(second)
+    common = has.groupBy(second).agg(F.count("*").alias("n")).crossJoin(every).filter("n = n_first").select(second)
     cells = has.join(common, second, "left_semi").agg(F.count("*").alias("n_cells"))
-    stats = group_stats(known, [entity, first, second], value).join(F.broadcast(common), second, "left_semi").filter("sd is not null")
-    whole = stats.withColumn("cells", F.count("*").over(W.partitionBy(entity))).crossJoin(F.broadcast(cells)).filter("cells = n_cells")
+    stats = group_stats(known, [entity, first, second], value).join(common, second, "left_semi").filter("sd is not null")
+    whole = stats.withColumn("cells", F.count("*").over(W.partitionBy(entity))).crossJoin(cells).filter("cells = n_cells")
     one = F.struct(F.col(second).alias("g"), "mean", "sd", "n")
     wide = whole.groupBy(entity, first).agg(F.collect_list(one).alias("groups"))
     pairs = wide.select(F.col(entity).alias("entity"), F.col(first).alias("cgrp1"), F.explode(pairs_of(F.col("groups"))).alias("pair"))
     return tested(pairs, ["entity", "cgrp1"])
 
 
+def with_large(compared: DataFrame, least: float = 1) -> DataFrame:
+    """``compared`` with is_large: whether the fold change is shown, being at least ``least`` either way."""
+    return compared.withColumn("is_large", F.coalesce(F.abs("log2fc") >= least, F.lit(False)))
+
+
 def entity_order(compared: DataFrame) -> DataFrame:
     """Entities by mean absolute log2 fold change, with their place from 0."""
     means = compared.groupBy("entity").agg(F.avg(F.abs("log2fc")).alias("mean_abs"))

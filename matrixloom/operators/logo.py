@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .matrix import trimmed
+
 #: In the order in which ties are decided.
 BASES = ["A", "C", "G", "T"]
 
@@ -20,6 +22,23 @@ def base_matrix(x: DataFrame, group: str, position: str, coverage: str, value: s
     return rows.groupBy(group, position, name[F.col(coverage)].alias("base")).agg((F.avg(value) + pseudocount).alias("n"))
 
 
+def logo_entries(x: DataFrame, size: str = "full", drop_cca: bool = True, drop_pseudogenes: bool = False, features: list[str] | None = None) -> DataFrame:
+    """Entries (feature, position, gap, location, ...) that a logo shows, always without position -1.
+
+    ``size``: full, noloop (without the extension loop) or sprinzl (without gap positions). ``features``: only these.
+    """
+    if size not in ("full", "noloop", "sprinzl"):
+        raise ValueError(f"no such size: {size}")
+    out = trimmed(x, drop_cca)
+    if size == "noloop":
+        out = out.filter(F.coalesce(F.col("location") != "extensionloop", F.lit(True)))
+    elif size == "sprinzl":
+        out = out.filter(~F.col("gap"))
+    if drop_pseudogenes:
+        out = out.filter(F.split("feature", "-")[0] != "tRX")
+    return out if features is None else out.filter(F.col("feature").isin(*features))
+
+
 def dense(cells: DataFrame, keys: list[str], alphabet: list[str]) -> DataFrame:
     """A row for each base of each key, missing ones null."""
     every = cells.select(*keys).distinct().withColumn("base", F.explode(F.array(*map(F.lit, alphabet))))
@@ -27,9 +46,12 @@ def dense(cells: DataFrame, keys: list[str], alphabet: list[str]) -> DataFrame:
 
 
 def weighted_matrix(bases: DataFrame, weights: DataFrame, feature: str, keys: list[str], alphabet: list[str] = BASES, pseudocount: float = 20) -> DataFrame:
-    """(keys, base, n): each feature adds its weight to its base at each position; bases outside the alphabet add nothing."""
-    known = bases.filter(F.col("base").isin(*alphabet)).join(weights, feature)
-    sums = known.groupBy(*keys, "base").agg(F.sum("weight").alias("n"))
+    """(keys, base, n): each feature adds its weight to its base at each position; bases outside the alphabet add nothing.
+
+    A feature's equal bases of a key are counted before they meet their weight.
+    """
+    known = bases.filter(F.col("base").isin(*alphabet)).groupBy(feature, *keys, "base").agg(F.count("*").alias("times")).join(weights, feature)
+    sums = known.groupBy(*keys, "base").agg(F.sum(F.col("weight") * F.col("times")).alias("n"))
     return dense(sums, keys, alphabet).withColumn("n", F.coalesce("n", F.lit(0.0)) + pseudocount)
 
 
@@ -54,12 +76,12 @@ def reference_consensus(bases: DataFrame, keys: list[str], least: float = 0.35)
 
 
 def read_consensus(matrix: DataFrame, reference: DataFrame, keys: list[str], least: float = 0.35) -> DataFrame:
-    """(keys, consensus, share) of a base matrix; a gap where the reference has one, blank below ``least``."""
+    """(keys, consensus, share) of a base matrix; blank below ``least``, else a gap where the reference has one."""
     w = W.partitionBy(*keys)
     share = F.try_divide(F.col("n"), F.sum("n").over(w))
     top = matrix.withColumn("share", share).withColumn("place", F.row_number().over(w.orderBy(F.desc("n"), "base"))).filter("place = 1")
     out = top.join(reference.select(*keys, F.col("consensus").alias("ref")), keys, "left")
-    letter = F.when(F.col("ref") == "-", "-").when(F.col("share") < least, "").otherwise(F.col("base"))
+    letter = F.when(F.col("share") < least, "").when(F.col("ref") == "-", "-").otherwise(F.col("base"))
     return out.select(*keys, letter.alias("consensus"), "share")
 
 

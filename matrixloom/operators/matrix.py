@@ -61,17 +61,22 @@ def raw_layer(x: DataFrame, value: str = "norm") -> DataFrame:
     return x.withColumn("raw", F.col(value) * F.col("size_factor"))
 
 
-def read_counts(unique: DataFrame, every: DataFrame, factors: DataFrame, keys: tuple[str, str, str] = ("feature", "readtype", "sample")) -> DataFrame:
+def read_counts(unique: DataFrame, every: DataFrame, factors: DataFrame, keys: tuple[str, str, str] = ("feature", "readtype", "sample"), obs: DataFrame | None = None) -> DataFrame:
     """(feature, sample, readtype, unique_raw, unique_norm, all_raw, all_norm) from unique raw and normalised counts.
 
-    A feature that has no unique counts has 0; a feature that has some, but none for a sample, has null there.
+    A row for each read type and each (feature, sample) of ``obs``, or else of both tables. A feature without counts of a read type
+    has 0; one with some, but none for the sample, has null there.
     """
-    feature, _, sample = keys
-    out = every.select(*keys, F.col("value").alias("all_norm")).join(unique.select(*keys, F.col("value").alias("u")), list(keys), "left")
-    seen = unique.select(feature).distinct().withColumn("seen", F.lit(True))
-    out = out.join(seen, feature, "left").join(factors, sample, "left")
-    raw = F.when(F.col("seen").isNull(), F.lit(0.0)).otherwise(F.col("u"))
-    return out.select(*keys, raw.alias("unique_raw"), F.try_divide(raw, F.col("size_factor")).alias("unique_norm"), (F.col("all_norm") * F.col("size_factor")).alias("all_raw"), "all_norm")
+    feature, readtype, sample = keys
+    pairs = (unique.select(feature, sample).unionByName(every.select(feature, sample)) if obs is None else obs.select(feature, sample)).distinct()
+    types = unique.select(readtype).unionByName(every.select(readtype)).distinct()
+    out = pairs.crossJoin(types)  # a dozen read types
+    for table, name in ((unique, "u"), (every, "a")):
+        seen = table.select(feature, readtype).distinct().withColumn(f"seen_{name}", F.lit(True))
+        out = out.join(table.select(*keys, F.col("value").alias(name)), list(keys), "left").join(seen, [feature, readtype], "left")
+    raw, norm = (F.when(F.col(f"seen_{n}").isNull(), F.lit(0.0)).otherwise(F.col(n)) for n in ("u", "a"))
+    out = out.join(factors, sample, "left")
+    return out.select(*keys, raw.alias("unique_raw"), F.try_divide(raw, F.col("size_factor")).alias("unique_norm"), (norm * F.col("size_factor")).alias("all_raw"), norm.alias("all_norm"))
 
 
 def read_totals(counts: DataFrame, keys: list[str], readtype: str = "readtype", types: list[str] = TOTAL_TYPES, values: list[str] | None = None) -> DataFrame:

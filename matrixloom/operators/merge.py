@@ -15,7 +15,7 @@ def counts(a: DataFrame, b: DataFrame, key: str, sample: str, value: str, drop:
         keys = a.select(key).distinct().join(b.select(key).distinct(), key, "left_semi")
         keys = keys.join(whole.filter(F.col(value).isNull()).select(key), key, "left_anti")
         return whole.join(keys, key, "left_semi")
-    every = whole.select(key).distinct().crossJoin(F.broadcast(whole.select(sample).distinct()))  # samples are few
+    every = whole.select(key).distinct().crossJoin(whole.select(sample).distinct())  # samples are few
     return every.join(whole, [key, sample], "left").withColumn(value, F.coalesce(value, F.lit(0.0))).select(*a.columns)
 
 

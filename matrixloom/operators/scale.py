@@ -2,51 +2,124 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..tables import stored
 
-def group_means(df: DataFrame, feature: str, group: str, value: str, least: float | None = None) -> DataFrame:
-    """(feature, g, v): mean value by feature and group; nothing if no mean reaches ``least``."""
-    means = df.dropna(subset=[feature, group]).groupBy(feature, group).agg(F.avg(value).alias("v")).withColumnRenamed(group, "g")
+
+def group_means(df: DataFrame, feature: str, group: str, value: str, least: float | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by..., feature, g, v): mean value by feature and group; nothing (within ``by``, as of a read type) if no mean reaches ``least``."""
+    means = df.dropna(subset=[*by, feature, group]).groupBy(*by, feature, group).agg(F.avg(value).alias("v")).withColumnRenamed(group, "g")
     if least is None:
         return means
-    top = means.agg(F.max("v").alias("most"))
-    return means.crossJoin(F.broadcast(top)).filter(F.col("most") >= least).drop("most")  # one row
+    top = means.groupBy(*by).agg(F.max("v").alias("most")).filter(F.col("most") >= least)
+    return means.join(top.select(*by), list(by), "left_semi") if by else means.crossJoin(top).drop("most")  # one row
 
 
-def paired(means: DataFrame, feature: str) -> DataFrame:
-    """(g1, g2, x, y): values of every pair of groups g1 <= g2 on the features that both have."""
-    a = means.select(feature, F.col("g").alias("g1"), F.col("v").alias("x"))
-    b = means.select(feature, F.col("g").alias("g2"), F.col("v").alias("y"))
-    return a.join(b, feature).filter("g1 <= g2")
+def paired(means: DataFrame, feature: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by..., g1, g2, x, y): values of every pair of groups g1 <= g2 on the features that both have."""
+    a = means.select(*by, feature, F.col("g").alias("g1"), F.col("v").alias("x"))
+    b = means.select(*by, feature, F.col("g").alias("g2"), F.col("v").alias("y"))
+    return a.join(b, [*by, feature]).filter("g1 <= g2")
 
 
-def correlations(means: DataFrame, feature: str, method: str = "pearson") -> DataFrame:
-    """(g1, g2, r, r2) of every pair of groups, on pairwise complete features."""
-    pairs = paired(means, feature)
+def correlations(means: DataFrame, feature: str, method: str = "pearson", by: tuple[str, ...] = ()) -> DataFrame:
+    """(by..., g1, g2, r, r2) of every pair of groups, on pairwise complete features."""
+    keys = [*by, "g1", "g2"]
+    pairs = paired(means, feature, by).filter("x is not null and y is not null")
     if method == "kendall":
-        return kendall(pairs)
+        return kendall(pairs, keys)
     if method == "spearman":
+        pairs = stored(pairs, "pairs")
         for c in ("x", "y"):
-            tied = W.partitionBy("g1", "g2", c)
-            pairs = pairs.withColumn(f"r{c}", F.rank().over(W.partitionBy("g1", "g2").orderBy(c)) + (F.count("*").over(tied) - 1) / 2)
-        pairs = pairs.select("g1", "g2", F.col("rx").alias("x"), F.col("ry").alias("y"))
+            places = below(pairs.groupBy(*keys, c).agg(F.count("*").alias("n")), keys, c)
+            pairs = pairs.join(places.select(*keys, c, (F.col("below") + (F.col("n") + 1) / 2).alias(f"r{c}")), [*keys, c])
+        pairs = pairs.select(*keys, F.col("rx").alias("x"), F.col("ry").alias("y"))
     elif method != "pearson":
         raise ValueError(f"no such method: {method}")
-    return pairs.groupBy("g1", "g2").agg(F.corr("x", "y").alias("r")).withColumn("r2", F.col("r") * F.col("r"))
+    return pairs.groupBy(*keys).agg(F.corr("x", "y").alias("r")).withColumn("r2", F.col("r") * F.col("r"))
+
 
+def below(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``counts`` (keys, value: distinct, n) with ``below``: how many of the same keys have smaller values.
 
-def kendall(pairs: DataFrame) -> DataFrame:
-    """Kendall's tau-b by comparing all pairs of features of a pair of groups: for some thousands of features at most."""
-    a, b = pairs.alias("a"), pairs.alias("b")
-    both = a.join(b, (F.col("a.g1") == F.col("b.g1")) & (F.col("a.g2") == F.col("b.g2")))
-    dx, dy = F.signum(F.col("a.x") - F.col("b.x")), F.signum(F.col("a.y") - F.col("b.y"))
-    tau = F.try_divide(F.sum(dx * dy), F.sqrt(F.sum(dx * dx)) * F.sqrt(F.sum(dy * dy)))
-    return both.groupBy(F.col("a.g1").alias("g1"), F.col("a.g2").alias("g2")).agg(tau.alias("r")).withColumn("r2", F.col("r") * F.col("r"))
+    Values are dealt by range; sums within ranges are added to those of the ranges before, so no key's values meet in one task.
+    """
+    dealt = stored(counts.repartitionByRange(*keys, value).withColumn("range_", F.spark_partition_id()), "ranges")
+    def before(order: str, *within: str) -> Column:
+        return F.coalesce(F.sum("n").over(W.partitionBy(*keys, *within).orderBy(order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+
+    totals = dealt.groupBy(*keys, "range_").agg(F.sum("n").alias("n"))
+    offsets = totals.select(*keys, "range_", before("range_").alias("offset_"))  # a row a range
+    inside = dealt.withColumn("inside_", before(value, "range_"))
+    return inside.join(offsets, [*keys, "range_"]).withColumn("below", F.col("inside_") + F.col("offset_")).drop("range_", "inside_", "offset_")
+
+
+def inversions(y: np.ndarray, n: np.ndarray) -> int:
+    """Sum of n[i] * n[j] over i < j with y[i] > y[j], by merging sorted halves of all widths at once."""
+    rank = np.unique(y, return_inverse=True)[1]
+    total, width = 0, 1
+    where = np.arange(len(rank))
+    while width < len(rank):
+        block = where // (2 * width)
+        order = np.lexsort((rank, block))
+        left = (order // width) % 2 == 0
+        # Of each right element: the weight of the left ones of its block that are larger.
+        weight = np.where(left, n[order], 0)
+        seen = np.cumsum(weight)
+        group = block[order] * (len(rank) + 1) + rank[order]
+        last = np.searchsorted(group, group, "right") - 1  # equal ones count as seen
+        end = np.searchsorted(block[order], block[order], "right") - 1
+        total += int((n[order] * (seen[end] - seen[last]))[~left].sum())
+        width *= 2
+    return total
+
+
+def kendall(pairs: DataFrame, keys: list[str], size: int = 4096) -> DataFrame:
+    """Kendall's tau-b. Discordant pairs are counted by blocks of about ``size`` ranks on either side: between blocks from the
+    cells' counts, inside blocks by inversions. A value that fills a block is a block of its own and has none inside."""
+    points = stored(pairs.groupBy(*keys, "x", "y").agg(F.count("*").alias("n")), "points")
+    blocks = {}
+    for c in ("x", "y"):
+        places = below(points.groupBy(*keys, c).agg(F.sum("n").alias("n")), keys, c)
+        number = 2 * F.floor(F.col("below") / size) + F.when(F.col("n") > size, 1).otherwise(0)
+        blocks[c] = stored(places.select(*keys, c, number.alias(f"b{c}"), F.col("n").alias(f"n{c}")), "blocks")
+    placed = stored(points.join(blocks["x"], [*keys, "x"]).join(blocks["y"], [*keys, "y"]), "placed")
+
+    def counted(*by: str) -> DataFrame:
+        def count(table: pa.Table) -> pa.Table:
+            rows = table.sort_by([("x", "ascending"), ("y", "ascending")])
+            found = inversions(rows["y"].to_numpy(), rows["n"].to_numpy())
+            return pa.table({**{k: table[k].slice(0, 1) for k in keys}, "d": pa.array([found], pa.int64())})
+
+        # A block of one value has no inversions and may be of any size.
+        single = [f"n{c[1]} <= {size}" for c in by]
+        schema = ", ".join(f"`{k}` {placed.schema[k].dataType.simpleString()}" for k in keys) + ", d long"
+        return placed.filter(" and ".join(single)).groupBy(*keys, *by).applyInArrow(count, schema).groupBy(*keys).agg(F.sum("d").alias("_".join(by)))
+
+    cells = placed.groupBy(*keys, "bx", "by").agg(F.sum("n").alias("c"))
+    grid = placed.select(*keys, "bx").distinct().join(placed.select(*keys, "by").distinct(), keys).join(cells, [*keys, "bx", "by"], "left").fillna(0, ["c"])
+    lower = F.coalesce(F.sum("c").over(W.partitionBy(*keys, "bx").orderBy("by").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    later = F.coalesce(F.sum("lower").over(W.partitionBy(*keys, "by").orderBy(F.desc("bx")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    across = grid.withColumn("lower", lower).withColumn("later", later).groupBy(*keys).agg(F.sum(F.col("c") * F.col("later")).alias("across"))
+
+    def ties(*by: str) -> DataFrame:
+        return points.groupBy(*keys, *by).agg(F.sum("n").alias("n")).groupBy(*keys).agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("_".join(["ties", *by])))
+
+    out = across
+    for part in (counted("bx"), counted("by"), counted("bx", "by"), ties(), ties("x"), ties("y"), ties("x", "y")):
+        out = out.join(part, keys, "left")
+    zero = {n: F.coalesce(F.col(n), F.lit(0)) for n in ("bx", "by", "bx_by")}
+    discordant = F.col("across") + zero["bx"] + zero["by"] - zero["bx_by"]
+    both = F.col("ties") - F.col("ties_x") - F.col("ties_y") + F.col("ties_x_y")  # concordant and discordant
+    tau = F.try_divide(both - 2 * discordant, F.sqrt(F.col("ties") - F.col("ties_x")) * F.sqrt(F.col("ties") - F.col("ties_y")))
+    return out.select(*keys, tau.alias("r")).withColumn("r2", F.col("r") * F.col("r"))
 
 
 def standard_scaled(long: DataFrame, column: str, value: str) -> DataFrame:

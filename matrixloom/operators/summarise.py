@@ -25,16 +25,17 @@ def ordinals(df: DataFrame, column: str, by: str | None = None) -> DataFrame:
     return table.select(column, (F.dense_rank().over(W.orderBy("key", column)) - 1).alias("place"))
 
 
-def bars(df: DataFrame, column: str, group: str, value: str, sort_by: str | None = None) -> DataFrame:
-    """Mean, median, max, sum and count per (column, group), missing combinations as 0, each also as share of its
+def bars(df: DataFrame, column: str, group: str, value: str, sort_by: str | None = None, excluded: tuple[str, ...] = (), amino: str = "amino") -> DataFrame:
+    """Rows whose ``amino`` is in ``excluded`` left out: mean, median, max, sum and count per (column, group), missing combinations as 0, each also as share of its
     group, the column's place, and where its sum's share begins when the group's shares are stacked."""
     names = ["mean", "median", "max", "sum", "count"]
     known = df.dropna(subset=[column, group])
+    known = known.filter(~F.coalesce(F.col(amino).isin(*excluded), F.lit(False))) if excluded else known
     stats = known.groupBy(column, group).agg(*(METHODS[m](value).cast("double").alias(m) for m in names))
-    every = stats.select(column).distinct().crossJoin(F.broadcast(stats.select(group).distinct()))
+    every = stats.select(column).distinct().crossJoin(stats.select(group).distinct())
     full = every.join(stats, [column, group], "left").fillna(0.0, names)
     full = full.withColumns({f"{m}_share": F.coalesce(share(m, group), F.lit(0.0)) for m in names})
-    full = full.join(F.broadcast(ordinals(known, column, sort_by)), column)
+    full = full.join(ordinals(known, column, sort_by), column)
     before = W.partitionBy(group).orderBy("place", column).rowsBetween(W.unboundedPreceding, -1)
     return full.withColumn("stack_from", F.coalesce(F.sum("sum_share").over(before), F.lit(0.0)))
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.checks import metadata_names
 from ..operators.matrix import COVERAGE_TYPES
 
 
@@ -37,7 +39,7 @@ def row_named(spark: SparkSession, path: str, key: str = "key") -> DataFrame:
     first = header(spark, path)
     names = first.split("\t")
     parts = F.split("value", "\t")
-    lines = spark.read.text(path).filter(F.col("value") != first)
+    lines = spark.read.text(path).filter(F.col("value") != first)  # rows have one field more than the header
     wide = lines.select(parts[0].alias(key), *(F.expr(f"try_cast(try_element_at(split(value, '\\t'), {i + 2}) as double)").alias(n) for i, n in enumerate(names)))
     return nan_to_null(wide).unpivot([key], names, "sample", "value")
 
@@ -59,9 +61,17 @@ def category_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 def metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Metadata, all strings; the separator goes by the name's ending."""
+    """Metadata, all strings; the separator goes by the name's ending.
+
+    Names are checked; rows of more fields than names get further names, surplus names go.
+    """
     sep = "\t" if path.endswith(".tsv") else "," if path.endswith(".csv") else " "
-    return spark.read.option("sep", sep).option("header", True).csv(path)
+    first = header(spark, path)
+    lines = spark.read.text(path).filter((F.col("value") != first) & (F.trim("value") != ""))
+    cells = F.split("value", re.escape(sep))
+    width = lines.agg(F.max(F.size(cells)).alias("n")).first()["n"]
+    names = metadata_names(first.split(sep), width)
+    return lines.select(*(F.nullif(F.get(cells, F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)))
 
 
 def run_info(spark: SparkSession, path: str) -> DataFrame:

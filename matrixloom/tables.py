@@ -11,9 +11,11 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only where the session has none (local tests) a temporary folder is set."""
+    """``spark.checkpoint.dir``; only where a local session has none (tests) a temporary folder is set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")

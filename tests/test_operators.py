@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from matrixloom.functions import positions
 from matrixloom.functions.stats import minus_log10, with_t_test
-from matrixloom.operators import checks, cluster, differ, matrix, merge, scale, select, summarise
+from matrixloom.operators import checks, cluster, differ, logo, matrix, merge, scale, select, summarise
 from matrixloom.operators.components import components
 from matrixloom.plans import build
 from matrixloom.sources import runs
@@ -256,3 +256,113 @@ def test_clustered_plan(spark):
     out = build.clustered(spark.createDataFrame(rows, "f string, c int, v double"), ["f"], "c", "v", 0.5)
     labels = {r.f: r.label for r in out.collect()}
     assert len(labels) == 40 and len({labels[f"f{i}"] for i in range(0, 40, 2)}) == 1
+
+
+def test_kendall_in_blocks(spark):
+    rng = np.random.default_rng(5)
+    x, y = rng.integers(0, 30, 200), rng.integers(0, 12, 200)
+    x[:70] = 7  # a value that fills blocks
+    y[40:120] = np.where(rng.random(80) < 0.7, 3, y[40:120])
+    pairs = spark.createDataFrame([("a", "b", float(p), float(q)) for p, q in zip(x, y)], "g1 string, g2 string, x double, y double")
+    s, t = np.sign(x[:, None] - x[None, :]), np.sign(y[:, None] - y[None, :])
+    want = (s * t).sum() / np.sqrt((s * s).sum() * (t * t).sum())
+    for size in (5, 16, 4096):
+        assert scale.kendall(pairs, ["g1", "g2"], size).first().r == pytest.approx(want)
+
+
+def test_places_below(spark):
+    rows = [("a", v, v % 3 + 1) for v in range(50)] + [("b", v, 2) for v in range(7)]
+    got = {(r.k, r.v): r.below for r in scale.below(spark.createDataFrame(rows, "k string, v int, n int"), ["k"], "v").collect()}
+    assert got == {(k, v): sum(n for j, u, n in rows if j == k and u < v) for k, v, _ in rows}
+
+
+def test_group_without_values_does_not_count(spark):
+    rows = [("f", g, v) for g, vs in {"a": [1.0, 2.0, 3.0], "b": [4.0, 5.0, 9.0]}.items() for v in vs] + [("f", "c", None), (None, "d", 1.0)]
+    out = differ.log2fc(spark.createDataFrame(rows, "f string, g string, v double"), "f", "g", "v", 0)
+    assert [(r.g1, r.g2) for r in out.collect()] == [("a", "b")]
+    flagged = differ.with_large(spark.createDataFrame([(1.0,), (-1.5,), (0.9,), (None,)], "log2fc double")).collect()
+    assert [r.is_large for r in flagged] == [True, True, False, False]
+
+
+def test_read_counts_of_missing_types_and_samples(spark):
+    unique = spark.createDataFrame([("f", "fiveprime", "s1", 4.0), ("g", "threeprime", "s1", 6.0)], "feature string, readtype string, sample string, value double")
+    every = spark.createDataFrame([("f", "fiveprime", "s1", 3.0), ("f", "fiveprime", "s2", 5.0), ("f", "other", "s1", 1.0)], unique.schema)
+    factors = spark.createDataFrame([("s1", 2.0), ("s2", 1.0)], "sample string, size_factor double")
+    got = {(r.feature, r["sample"], r.readtype): (r.unique_raw, r.unique_norm, r.all_raw, r.all_norm) for r in matrix.read_counts(unique, every, factors).collect()}
+    assert got["f", "s1", "fiveprime"] == (4.0, 2.0, 6.0, 3.0) and got["f", "s2", "fiveprime"] == (None, None, 5.0, 5.0)
+    assert got["f", "s1", "other"] == (0.0, 0.0, 2.0, 1.0) and got["f", "s2", "other"][3] is None
+    assert got["g", "s1", "threeprime"] == (6.0, 3.0, 0.0, 0.0) and len(got) == 9
+    obs = spark.createDataFrame([("h", "s1")], "feature string, sample string")
+    totals = matrix.read_totals(matrix.read_counts(unique, every, factors, obs=obs), ["feature", "sample"]).collect()
+    assert [tuple(r) for r in totals] == [("h", "s1", 0.0, 0.0, 0.0, 0.0)]
+
+
+def test_blank_wins_over_gap(spark):
+    cells = spark.createDataFrame([(p, b, float(n)) for p in (1, 2, 3) for b, n in zip("ACGT", [(9.0, 1, 1, 1), (1.0, 1, 1, 1), (9.0, 1, 1, 1)][p - 1])], "p int, base string, n double")
+    ref = spark.createDataFrame([(1, "-", 1.0), (2, "-", 1.0), (3, "C", 1.0)], "p int, consensus string, share double")
+    assert {r.p: r.consensus for r in logo.read_consensus(cells, ref, ["p"]).collect()} == {1: "-", 2: "", 3: "A"}
+
+
+def test_logo_switches(spark):
+    rows = [(f, p, positions.region(p)[0], "a" in p or "e" in p or p == "-1") for f in ("tRNA-Ala-AGC-1", "tRX-Gly-GCC-2") for p in ("-1", "1", "17a", "e3", "44", "e20", "75")]
+    x = spark.createDataFrame(rows, "feature string, position string, location string, gap boolean")
+    shown = lambda **o: sorted(r.position for r in logo.logo_entries(x, **o).filter("feature like 'tRNA%'").collect())
+    assert shown() == ["1", "17a", "44", "e20", "e3"] and shown(drop_cca=False)[3] == "75"
+    assert shown(size="noloop") == ["1", "17a", "44", "e20"] and shown(size="sprinzl") == ["1", "44"]
+    assert logo.logo_entries(x, drop_pseudogenes=True).filter("feature like 'tRX%'").count() == 0
+    assert logo.logo_entries(x, features=["tRX-Gly-GCC-2"]).select("feature").distinct().count() == 1
+    with pytest.raises(ValueError):
+        logo.logo_entries(x, "wide")
+
+
+def test_region_values():
+    spots = {n: positions.region(str(n)) for n in range(-1, 77)}
+    assert [spots[n][0] for n in (10, 13, 22, 25)] == ["dstem"] * 4 and [spots[n][0] for n in (49, 53, 61, 65)] == ["tstem"] * 4
+    assert {spots[n] for n in range(44, 49)} == {("anticodon_to_t_internal", "threeprime")} and spots[26] == ("d_to_anticodon_internal", "fiveprime")
+    assert len({r[0] for r in spots.values()} | {"extensionloop"}) == 13
+
+
+def test_metadata_is_padded_and_cut(spark, tmp_path):
+    (tmp_path / "m.tsv").write_text("sample\tgroup\ns1\tg1\tx\ns2\tg2\n")
+    with pytest.warns(UserWarning):
+        meta = runs.metadata(spark, str(tmp_path / "m.tsv"))
+    assert meta.columns == ["sample", "group", "obs_0"] and sorted(map(tuple, meta.collect())) == [("s1", "g1", "x"), ("s2", "g2", None)]
+    (tmp_path / "n.csv").write_text("sample,group,more\ns1,g1\n")
+    with pytest.warns(UserWarning):
+        assert runs.metadata(spark, str(tmp_path / "n.csv")).columns == ["sample", "group"]
+
+
+def test_clusters_count_equal_vectors(spark):
+    rows = [(i, [0.0, 0.0]) for i in range(4)] + [(10, [0.1, 0.0]), (11, [5.0, 5.0]), (12, [5.0, 5.0]), (13, None)]
+    got = {r.id: r.label for r in cluster.density_clusters(spark.createDataFrame(rows[:-1], "i long, x array<double>"), "i", "x", 0.2, 4, 5).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 0, 10: 0, 11: -1, 12: -1}
+    assert cluster.density_clusters(spark.createDataFrame([], "i long, x array<double>"), "i", "x", 0.2).count() == 0
+
+
+def test_cluster_levels(spark):
+    rng = np.random.default_rng(7)
+    x = [(f"tRNA-{i}", s, c, p, p == "17a", float(rng.normal(20 * (i % 2), 0.1))) for i in range(12) for s in ("s1", "s2") for c in ("uniquecoverage", "deletions", "coverage") for p in ("1", "2", "17a")]
+    x = spark.createDataFrame(x, "feature string, sample string, coverage string, position string, gap boolean, value double")
+    obs = [(f"tRNA-{i}", s, "g", "Und" if i == 11 else "Ala", 5.0 if i == 10 else 50.0, float(i % 2)) for i in range(12) for s in ("s1", "s2")]
+    obs = spark.createDataFrame(obs, 'feature string, sample string, `group` string, amino string, total_unique_raw double, more double')
+    out = build.cluster_levels({"x": x, "obs": obs}, {"sample": 0.5, "group": 0.5}, extra=["more"], levels={"sample": (2, 3), "group": (2, 3)})
+    rows = {(r.feature, r["sample"]): r for r in out["obs"].collect()}
+    assert len(rows) == 24 and rows["tRNA-10", "s1"].sample_cluster is None and rows["tRNA-11", "s1"].group_cluster is None
+    for level in ("sample_cluster", "group_cluster"):
+        even, odd = ({rows[f"tRNA-{i}", s][level] for i in range(k, 10, 2) for s in ("s1", "s2")} for k in (0, 1))
+        assert len(even) == len(odd) == 1 and even != odd and -1 not in even | odd
+    assert out["cluster_runinfo"].count() == 2
+    with pytest.raises(checks.CheckError):
+        build.cluster_levels(out, {"sample": 0.5, "group": 0.5})
+
+
+def test_heatmap_csv(spark, tmp_path):
+    heat = spark.createDataFrame([("f", "a", "b", 1.0, "x"), ("h", "a", "b", 2.0, "y")], "feature string, g1 string, g2 string, log2fc double, readtype string")
+    build.heatmap_csv(heat, str(tmp_path / "h"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "h"))
+    assert sorted((r.feature, r.readtype, r.of_readtype) for r in back.collect()) == [("f", "x", "x"), ("h", "y", "y")]
+
+
+def test_bars_leave_out_aminos(spark):
+    df = spark.createDataFrame([("p", "g", 1.0, "Ala"), ("q", "g", 3.0, "Und"), ("q", "g", 5.0, None)], "c string, g string, v double, amino string")
+    assert {r.c: r.sum for r in summarise.bars(df, "c", "g", "v", excluded=("Und", "Sup")).collect()} == {"p": 1.0, "q": 5.0}
