@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +86,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # beside the package, which it imports
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_licences": op1_licences,
@@ -99,7 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_quality": op9_quality,
         "op10_byte_bpe": op10_byte_bpe,
-        "pipeline": corpus_pipeline.run,
+        "pipeline": pipeline,
     }
 
 
