@@ -56,13 +56,18 @@ def best_fit_decreasing(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, n
     return bins, offsets, used
 
 
-def lower_bound(sizes: np.ndarray, capacity: int, most: int = 24) -> int:
-    """No packing has fewer bins: the best of three families of dual feasible functions.
+def lower_bound(sizes: np.ndarray, capacity: int) -> int:
+    """No packing of items of these sizes has fewer bins."""
+    return bound_of(np.bincount(sizes, minlength=capacity + 1), capacity)
+
+
+def bound_of(counts: np.ndarray, capacity: int, most: int = 24) -> int:
+    """No packing of ``counts[s]`` items of each size s has fewer bins: the best of three families of dual feasible functions.
 
     Identity; the threshold functions (large items count whole, items below the threshold nothing); and rounding
     to multiples of capacity / (k + 1), which keeps exact multiples.
     """
-    counts = np.bincount(sizes, minlength=capacity + 1).astype(np.int64)
+    counts = counts.astype(np.int64)
     values = np.arange(capacity + 1)
     mass = np.cumsum(counts * values)
     number = np.cumsum(counts)

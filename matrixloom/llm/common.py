@@ -69,5 +69,21 @@ def text_slices(batch: pa.RecordBatch, name: str, limit: int = 2 << 20) -> Itera
         yield batch.slice(a, b - a)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], name: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of record batches in batches of about ``limit`` bytes of text (a longer text alone)."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        for part in text_slices(batch, name, limit):
+            n = pa.compute.sum(pa.compute.binary_length(part.column(name))).as_py() or 0
+            if held and size + n > limit:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+            held.append(part)
+            size += n
+    if held:
+        yield pa.concat_batches(held)
+
+
 def binaries(parts: list[bytes | None]) -> pa.Array:
     return pa.array(parts, type=pa.binary())

@@ -7,7 +7,8 @@ sequences: id matrix rows, cumulative segment lengths and positions that restart
 best-fit-decreasing, dual feasible functions certify how many sequences a part needs at least, and parts with a gap exchange
 documents - they give their least filled sequences to common pools - and are packed again. Of every part the open
 sequences at the end go along, so that not each part leaves one unfilled. A pool's new packing counts only if it has no
-more sequences than the old one.
+more sequences than the old one. Rounds end when the pools' sequences are as few as the bound on all that is in the
+pools, or a round has saved none. ``certificate`` gives the number of sequences of a packing and the bound on all its pieces.
 
 Documents of more than ``length`` tokens, and only they, are cut into pieces of ``length`` tokens, the last shorter.
 
@@ -25,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bins import best_fit_decreasing, lower_bound
-from .common import fresh, quoted, small_batches, stored, text_slices
+from .bins import best_fit_decreasing, bound_of, lower_bound
+from .common import fresh, gathered, quoted, small_batches, stored
 from .wordpieces import encoder
 
 #: Pieces of a part or pool: bounds what a task holds.
@@ -48,16 +49,15 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end: int = 0, id
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
-                cut = [cut_up(ids, length) for ids in encode(texts, stop)]
-                counts = np.array([len(c) for c in cut])
-                row = np.repeat(np.arange(len(texts)), counts)
-                number = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-                flat = [x for c in cut for x in c]
-                sizes = np.array([len(x) // 4 for x in flat], np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(number.astype(np.int32)), pa.array(number * length), pa.array(sizes), pa.array(flat, pa.binary())], ["doc_id", "piece", "start", "length", "ids"])
+        for part in gathered(batches, "text"):
+            texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
+            cut = [cut_up(ids, length) for ids in encode(texts, stop)]
+            counts = np.array([len(c) for c in cut])
+            row = np.repeat(np.arange(len(texts)), counts)
+            number = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            flat = [x for c in cut for x in c]
+            sizes = np.array([len(x) // 4 for x in flat], np.int64)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(number.astype(np.int32)), pa.array(number * length), pa.array(sizes), pa.array(flat, pa.binary())], ["doc_id", "piece", "start", "length", "ids"])
 
     return source(docs, id_column, text_column).mapInArrow(rows, "doc_id long, piece int, start long, length long, ids binary")
 
@@ -100,15 +100,14 @@ def matrices(docs: DataFrame, tokenizer: str, length: int = 2048, end: int = 0,
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         keys, texts, total = [], [], 0
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                made = encode([t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()], stop)
-                keys += part.column(0).to_pylist()
-                texts += made
-                total += sum(map(len, made)) // 4
-                if total >= held:
-                    yield from packed(keys, texts)
-                    keys, texts, total = [], [], 0
+        for part in gathered(batches, "text"):
+            made = encode([t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()], stop)
+            keys += part.column(0).to_pylist()
+            texts += made
+            total += sum(map(len, made)) // 4
+            if total >= held:
+                yield from packed(keys, texts)
+                keys, texts, total = [], [], 0
         yield from packed(keys, texts)
 
     return source(docs, id_column, text_column).mapInArrow(rows, "ids binary, cu_seqlens array<int>, positions binary, doc_ids array<bigint>, pieces array<int>, n_tokens int")
@@ -119,7 +118,7 @@ def write_matrices(packed: DataFrame, path: str, rows: int = 1024) -> None:
     packed.write.option("maxRecordsPerFile", rows).mode("overwrite").parquet(path)
 
 
-def pack(items: DataFrame, length: int = 2048, part: int = PART, rounds: int = 5, share: float = 0.25, open_below: float = 0.9) -> DataFrame:
+def pack(items: DataFrame, length: int = 2048, part: int = PART, share: float = 0.25, open_below: float = 0.9) -> DataFrame:
     """``items`` (with a column ``length``) with sequence_id and offset.
 
     ``share``: how much of its sequences, least filled first, a part with a gap gives to the pools; ``open_below``: sequences
@@ -132,6 +131,7 @@ def pack(items: DataFrame, length: int = 2048, part: int = PART, rounds: int = 5
     now = items.select(F.struct(*(quoted(c) for c in names)).alias(row), quoted("length").cast("long").alias("size_"), key.alias(old), F.lit(0).cast("long").alias(offset))
     row_type = now.schema[row].dataType.simpleString()
     schema = f"`{row}` {row_type}, size_ long, `{old}` long, `{offset}` long, `{last}` boolean"
+
     def repack(n: int) -> Callable[[pa.Table], pa.Table]:
         def packed_part(table: pa.Table) -> pa.Table:
             sizes = table.column("size_").to_numpy()
@@ -154,20 +154,35 @@ def pack(items: DataFrame, length: int = 2048, part: int = PART, rounds: int = 5
 
         return packed_part
 
-    count = items.count()
     finished: DataFrame | None = None
-    for n in range(rounds):
-        parts = max(1, math.ceil(count / part))
-        final = n == rounds - 1 or (parts == 1 and n > 0)
-
+    before: int | None = None
+    n = 0
+    while True:
+        counts = by_length(now, "size_", length)
+        parts = max(1, math.ceil(int(counts.sum()) / part))
         dealt = now.withColumn(group, F.pmod(F.xxhash64(old), F.lit(parts)))
         out = stored(dealt.groupBy(group).applyInArrow(repack(n), schema), "packed")
+        used = out.filter(F.col(offset) == 0).count()  # a sequence's first piece
+        final = used == bound_of(counts, length) or (n > 0 and (used == before or parts == 1))
+        more = out.limit(0) if final else out.filter(F.col(last))
         kept = out if final else out.filter(~F.col(last))
         finished = kept if finished is None else finished.unionByName(kept)
-        if final:
-            break
-        now = out.filter(F.col(last)).drop(last)
-        count = now.count()
-        if not count:
+        before = more.filter(F.col(offset) == 0).count()
+        if not before:
             break
+        now = more.drop(last)
+        n += 1
     return finished.select(f"`{row}`.*", F.col(old).alias("sequence_id"), F.col(offset).alias("offset"))
+
+
+def by_length(items: DataFrame, column: str, length: int) -> np.ndarray:
+    """How many items there are of each length from 0 to ``length``."""
+    counts = np.zeros(length + 1, np.int64)
+    for r in items.groupBy(F.col(column).alias("size")).count().collect():  # ``length`` rows at most
+        counts[r["size"]] = r["count"]
+    return counts
+
+
+def certificate(packed: DataFrame, length: int = 2048) -> tuple[int, int]:
+    """The number of sequences of a packing, and how many any packing of its pieces has at least."""
+    return packed.select("sequence_id").distinct().count(), bound_of(by_length(packed, "length", length), length)

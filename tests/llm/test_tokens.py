@@ -71,7 +71,7 @@ def test_encode_round_trip_and_offsets(spark):
 
 def test_word_encoder_matches_library():
     tk, e = Tokenizer.from_file(WORDS), wordpieces.WordEncoder(WORDS)
-    for t in [*sample(4000, 4), "A<|endoftext|>b", "A<|ENDOFTEXT|>B.", "Word. word, it's!. x.\ny"]:
+    for t in [*sample(4000, 4), "A<|endoftext|>b", "A<|ENDOFTEXT|>B.", "Word. word, it's!. x.\ny", "a|b | c.| d", "Straße ß. é, e\u0301. ÷ x÷y Ωé", "one." * 3, ".", ", ."]:
         assert np.frombuffer(e.encode([t.encode()])[0], "<u4").tolist() == tk.encode(t, add_special_tokens=False).ids
 
 
@@ -126,6 +126,7 @@ def test_pack(spark):
         assert at <= 2048
     sizes = np.array([r.length for r in rows])
     assert len(held) <= bins.lower_bound(sizes, 2048) + 1
+    assert packing.certificate(packing.pack(cut, part=64)) == (len(held), bins.lower_bound(sizes, 2048))
     assert packing.pack(cut.limit(0)).count() == 0
 
 
@@ -142,3 +143,24 @@ def test_matrices(spark, tmp_path):
             seen.append((d or -1, n, zlib.crc32(ids[a:b].tobytes())))
         assert not ids[r.n_tokens :].any()
     assert sorted(seen) == sorted((d or -1, n, zlib.crc32(p.tobytes())) for d, t in DOCS for n, p in enumerate(pieces_of(t)))
+    assert packing.matrices(df.limit(0), WORDS).count() == 0
+
+
+def test_encoder_with_a_full_cache(monkeypatch):
+    monkeypatch.setattr(wordpieces, "CACHE_WORDS", 4)
+    tk, e = Tokenizer.from_file(WORDS), wordpieces.WordEncoder(WORDS)
+    texts = ["aa bb cc dd", "ee aa ff bb gg hh ii", "aa|x aa", "", "jj"]
+    for part in (texts, texts[::-1]):
+        assert [np.frombuffer(x, "<u4").tolist() for x in e.encode([t.encode() for t in part])] == [tk.encode(t, add_special_tokens=False).ids for t in part]
+
+
+def test_batches_are_gathered_whole():
+    import pyarrow as pa
+
+    from matrixloom.llm.common import gathered
+
+    rows = [(i, None if i % 5 == 0 else "x" * (i * 7 % 40)) for i in range(60)] + [(99, "y" * 500)]
+    batches = [pa.RecordBatch.from_pylist([{"doc_id": a, "text": b} for a, b in rows[i : i + 4]], pa.schema([("doc_id", pa.int64()), ("text", pa.string())])) for i in range(0, 61, 4)]
+    out = list(gathered(batches, "text", 100))
+    assert [(r["doc_id"], r["text"]) for b in out for r in b.to_pylist()] == rows and len(out) < len(batches) + 10
+    assert list(gathered([], "text")) == []
