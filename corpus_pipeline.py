@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matrixloom.llm import copies, language, packing, pii, simhash, suffix
+from matrixloom.llm import language, packing, pii, simhash, suffix
 from matrixloom.llm.common import quoted, stored
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -32,22 +32,15 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest doc_id.
 
-    Groups are joined by pairs whose exact similarity of five-word shingles is 0.8 or more. The four words and four bits of
-    ``simhash.groups`` are the contract of operator 7's query and too narrow for that.
+    Near duplicates share 0.8 or more of their five-word shingles: the fingerprints find candidates, with files and a radius that are wide
+    enough for that, and each link is verified. The four words and four bits of ``simhash.groups`` are for operator 7's query only.
     """
-    return simhash.one_of_each(docs, copies.groups(docs, shingle=5, least=0.8))
+    return simhash.one_of_each(docs, simhash.similar_groups(docs, shingle=5, least=0.8))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of repeated 100-byte passages. Bytes of a character that was cut through go too."""
-    cut = suffix.cut(docs, suffix.repeats(docs))
-    text = F.when(F.size("removed") == 0, F.col("text")).otherwise(whole_characters(F.col("kept")))
-    return with_text(cut.withColumn("cut_text", text), "cut_text", docs.columns)
-
-
-def whole_characters(data):
-    """UTF-8 bytes as a string; bytes that are part of no character become nothing."""
-    return F.translate(F.make_valid_utf8(data.cast("string")), "\ufffd", "")
+    return with_text(suffix.cut(docs, suffix.repeats(docs)), "kept_text", docs.columns)
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

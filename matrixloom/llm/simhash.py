@@ -10,6 +10,11 @@ which loses no link; the components of the edges are the groups.
 Files above ``tile`` fingerprints are cut into tiles that meet pairwise in tasks of their own, so no task
 holds more than about two tiles and none is skipped.
 
+``similar_groups`` links documents by an exact similarity of shingle sets instead, for which fingerprints of more bits only
+find candidates: two texts at similarity J differ in a share of acos(2 J / (1 + J)) / pi of the bits, so files are made of bits chosen
+at random, as many to a file as keep its size, and as many files as keep the chance that a pair at the least similarity meets in none
+below ``miss``; within files the comparison is the same, with a radius of four deviations above that share.
+
 Defined results: a null or empty text has fingerprint 0 and links like any other; equal texts and repeated
 rows share a fingerprint; a row without doc_id gets the group of its fingerprint, and null if no row of the group has a
 doc_id; extra columns are not read.
@@ -17,6 +22,7 @@ doc_id; extra columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -78,12 +84,57 @@ def signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
+class Counters:
+    """Vertical counters of 64 lanes a word, kept in carry-save form: up to two planes of each weight wait for a third."""
+
+    def __init__(self, radius: int, words: int):
+        self.radius, self.width = radius, radius.bit_length()
+        self.waiting: list[list[np.ndarray]] = [[] for _ in range(self.width)]
+        self.over = np.zeros(words, np.uint64)
+
+    def add(self, plane: np.ndarray, weight: int = 0) -> None:
+        while weight < self.width:
+            waiting = self.waiting[weight]
+            if len(waiting) < 2:
+                waiting.append(plane)
+                return
+            b, a = waiting.pop(), waiting.pop()
+            some = a ^ b
+            waiting.append(some ^ plane)
+            plane = a & b | some & plane
+            weight += 1
+        self.over |= plane  # at least twice the highest bit of the radius
+
+    def above(self) -> np.ndarray:
+        """Lanes whose count is above the radius."""
+        for weight in range(self.width):
+            while len(waiting := self.waiting[weight]) > 1:
+                b, a = waiting.pop(), waiting.pop()
+                waiting.append(a ^ b)
+                self.add(a & b, weight + 1)
+        more, equal = self.over.copy(), np.full(len(self.over), FULL)
+        for weight in reversed(range(self.width)):
+            plane = self.waiting[weight][0] if self.waiting[weight] else np.zeros_like(self.over)
+            if self.radius >> weight & 1:
+                equal &= plane
+            else:
+                more |= equal & plane
+                equal &= ~plane
+        return more
+
+    def keep(self, chosen: np.ndarray) -> None:
+        self.waiting = [[p[chosen] for p in w] for w in self.waiting]
+        self.over = self.over[chosen]
+
+
 def near(prints: np.ndarray, first: np.ndarray, size: np.ndarray, radius: int, chunk: int = 1 << 14) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (i, j), j < i, of fingerprints of one run at a distance of at most ``radius``.
 
-    Runs lie one after another: ``first`` and ``size`` of each fingerprint's run are given per fingerprint.
+    ``prints``: a row of 64-bit words for each. Runs lie one after another: ``first`` and ``size`` of each fingerprint's run are
+    given per fingerprint.
     """
-    n = len(prints)
+    prints = prints.reshape(len(prints), -1)
+    n, width = len(prints), 64 * prints.shape[1]
     place = np.arange(n) - first
     # A run's planes fill whole words, so no word holds two runs.
     heads = np.flatnonzero(place == 0)
@@ -92,12 +143,12 @@ def near(prints: np.ndarray, first: np.ndarray, size: np.ndarray, radius: int, c
     word_start[heads] = np.cumsum(words) - words
     word_start = word_start[first]
     lane, word = place & 63, word_start + (place >> 6)
-    planes = np.zeros((64, int(words.sum())), np.uint64)
+    planes = np.zeros((width, int(words.sum())), np.uint64)
     # Members of a word are consecutive: sum their lane bits plane by plane.
     cuts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
     lanes = ONE << lane.astype(np.uint64)
-    for b in range(64):
-        planes[b] = np.bitwise_or.reduceat(np.where(prints >> np.uint64(b) & ONE, lanes, np.uint64(0)), cuts)
+    for b in range(width):
+        planes[b] = np.bitwise_or.reduceat(np.where(prints[:, b >> 6] >> np.uint64(b & 63) & ONE, lanes, np.uint64(0)), cuts)
     # Each fingerprint meets the words of its run up to its own.
     many = (place >> 6) + 1
     step = max(1, chunk)
@@ -111,25 +162,20 @@ def near(prints: np.ndarray, first: np.ndarray, size: np.ndarray, radius: int, c
         # Lanes of earlier members of the run only.
         limit = place[who] - 64 * offset
         open_ = np.where(limit >= 64, FULL, (ONE << np.minimum(limit, 63).astype(np.uint64)) - ONE)
-        ones, twos, fours, over = (np.zeros(len(who), np.uint64) for _ in range(4))
-        for b in range(64):
-            add = planes[b][which] ^ (np.uint64(0) - (prints[who] >> np.uint64(b) & ONE))
-            carry = ones & add
-            ones ^= add
-            carry2 = twos & carry
-            twos ^= carry
-            carry4 = fours & carry2
-            fours ^= carry2
-            over |= carry4
-            if b % 8 == 7:
-                beyond = over | exceeds(ones, twos, fours, radius)
-                over = beyond
-                if not (keep := (open_ & ~beyond) != 0).all():
-                    who, which, offset, open_, ones, twos, fours, over = (x[keep] for x in (who, which, offset, open_, ones, twos, fours, over))
-                    if not len(who):
-                        break
+        counters = Counters(radius, len(who))
+        for b in range(width):
+            counters.add(planes[b][which] ^ (np.uint64(0) - (prints[who, b >> 6] >> np.uint64(b & 63) & ONE)))
+            if b % 8 == 7 and b > 2 * radius:
+                open_ &= ~counters.above()
+                keep = open_ != 0
+                if not keep.any():
+                    who = who[:0]
+                    break
+                if keep.mean() < 0.75:
+                    who, which, offset, open_ = (x[keep] for x in (who, which, offset, open_))
+                    counters.keep(keep)
         if len(who):
-            hit = open_ & ~(over | exceeds(ones, twos, fours, radius))
+            hit = open_ & ~counters.above()
             some = np.flatnonzero(hit)
             row, bit = np.nonzero(np.unpackbits(hit[some].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
             i = who[some[row]]
@@ -137,14 +183,6 @@ def near(prints: np.ndarray, first: np.ndarray, size: np.ndarray, radius: int, c
         at = to
 
 
-def exceeds(ones: np.ndarray, twos: np.ndarray, fours: np.ndarray, radius: int) -> np.ndarray:
-    """Lanes whose three-bit count is above ``radius`` (below 7)."""
-    out = np.zeros_like(ones)
-    for value in range(radius + 1, 8):
-        out |= (ones if value & 1 else ~ones) & (twos if value & 2 else ~twos) & (fours if value & 4 else ~fours)
-    return out
-
-
 def merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Join the groups of a and b in ``labels`` (each points to a smaller or equal index)."""
     while True:
@@ -211,8 +249,8 @@ def links(prints: DataFrame, radius: int, tile: int) -> DataFrame:
 
 def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 4, radius: int = 4, tile: int = 4096) -> DataFrame:
     """One row per document: doc_id, bits (the fingerprint) and component_id (the least doc_id reachable by links)."""
-    if not 0 <= radius <= 6:
-        raise ValueError("radius must be from 0 to 6")
+    if not 0 <= radius <= 12:
+        raise ValueError("radius must be from 0 to 12: the files of a wider one hold too much, see similar_groups")
     prints = stored(fingerprints(docs, id_column, text_column, shingle), "prints")
     reps = stored(prints.groupBy("bits").agg(F.min("doc_id").alias("rep")), "reps")
     roots = components(links(reps.filter("rep is not null"), radius, tile))
@@ -228,3 +266,173 @@ def one_of_each(docs: DataFrame, grouped: DataFrame) -> DataFrame:
     """``docs`` without those that are not the first of their group; columns stay. Rows without doc_id stay."""
     gone = grouped.filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*(quoted(c) for c in docs.columns))
+
+
+# --- Groups by exact similarity
+
+
+def grams(text: bytes, shingle: int) -> np.ndarray:
+    """Sorted distinct hashes of the text's shingles."""
+    words = text.lower().split()  # of bytes: A-Z and ASCII white space only
+    k = min(shingle, len(words))
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(b" ".join(words[i : i + k]), 42) for i in range(len(words) - k + 1)] if words else [], np.uint64))
+
+
+def wide_print(hashes: np.ndarray, words: int) -> np.ndarray:
+    """A fingerprint of ``words`` 64-bit words of a set of hashes."""
+    counts = np.zeros((words, 64), np.int64)
+    for a in range(0, len(hashes), 4096):
+        for k in range(words):
+            # Independent bits for each word: the hash is mixed anew.
+            h = (hashes[a : a + 4096] ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) % (1 << 64))) * np.uint64(0xD6E8FEB86659FD93)
+            h = (h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+            h ^= h >> np.uint64(32)
+            counts[k] += np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return (2 * counts > len(hashes)) @ (ONE << np.arange(64, dtype=np.uint64))
+
+
+def lists(parts: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *(len(p) for p in parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)))
+
+
+def shingled(docs: DataFrame, shingle: int, words: int, id_column: str, text_column: str) -> DataFrame:
+    """doc_id, node (a hash of the set of shingles) and ``of``: the set's fingerprint, or the set itself if ``words`` is 0. Map-only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                sets = [grams(t or b"", shingle) for t in part.column(1).cast(pa.binary()).to_pylist()]
+                keys = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys), lists([wide_print(x, words) for x in sets] if words else sets)], ["doc_id", "node", "of"])
+
+    small_batches(docs.sparkSession)
+    source = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text_column).cast("string").alias("text"))
+    return source.filter("doc_id is not null").mapInArrow(run, "doc_id long, node long, of array<long>")
+
+
+def chosen_bits(count: int, words: int, flip: float, fill: int, miss: float) -> np.ndarray:
+    """The bits of each file, for ``count`` fingerprints whose linked pairs differ in a share ``flip`` of their bits."""
+    bits = min(62, max(6, math.ceil(math.log2(max(count, 1) / fill)) if count > fill else 6))
+    files = math.ceil(math.log(miss) / math.log(1 - (1 - flip) ** bits))
+    rng = np.random.default_rng(7)
+    return np.stack([np.sort(rng.choice(64 * words, bits, replace=False)) for _ in range(files)])
+
+
+def filed_by(nodes: DataFrame, bits: np.ndarray, words: int) -> DataFrame:
+    """(file, node, p0, p1, ...): each fingerprint in every file. ``nodes``: node, of."""
+    names = ["file", "node", *(f"p{k}" for k in range(words))]
+    power = np.int64(1) << np.arange(bits.shape[1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 4096):
+                part = batch.slice(a, 4096)
+                prints = part.column(1).flatten().to_numpy().view(np.uint64).reshape(part.num_rows, words)
+                flat = np.unpackbits(prints.astype("<u8").view(np.uint8), axis=1, bitorder="little")
+                columns = [pa.array(prints[:, k].view(np.int64)) for k in range(words)]
+                for k, chosen in enumerate(bits):
+                    key = flat[:, chosen] @ power * len(bits) + k
+                    yield pa.RecordBatch.from_arrays([pa.array(key), part.column(0), *columns], names)
+
+    return nodes.select("node", "of").mapInArrow(run, ", ".join(f"{n} long" for n in names))
+
+
+def tiled(filed: DataFrame, tile: int) -> DataFrame:
+    """``filed`` with the tiles (lo, hi) that a row meets in and its own one; files above ``tile`` rows are cut, none is skipped."""
+    large = stored(filed.groupBy("file").agg(F.count("*").alias("n")).filter(F.col("n") > tile), "large-files")
+    cut = filed.join(large, "file", "left").withColumn("tiles", F.coalesce(F.ceil(F.col("n") / tile), F.lit(1)).cast("int"))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return cut.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("n", "tiles", "other")
+
+
+def candidate_links(cut: DataFrame, words: int, radius: int) -> DataFrame:
+    """Edges (u, v) of a spanning forest of each tile pair of ``cut``, within ``radius`` bits."""
+    names = ["file", "lo", "hi", "node", *(f"p{k}" for k in range(words))]
+    rows = cut.select(*names).repartition("file", "lo", "hi").sortWithinPartitions("file", "lo", "hi")
+
+    def edges(starts: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+        u, v = forest(starts, np.stack(columns[4:], 1).view(np.uint64), columns[3], radius)
+        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if held is not None:
+                columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
+            if not len(columns[0]):
+                continue
+            starts = np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns[:3]])])
+            last = int(np.flatnonzero(starts)[-1])
+            held = [c[last:] for c in columns]
+            yield edges(starts[:last], [c[:last] for c in columns])
+        if held is not None:
+            yield edges(np.arange(len(held[0])) == 0, held)
+
+    return rows.mapInArrow(run, "u long, v long").distinct()
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    same = len(np.intersect1d(a, b, assume_unique=True))
+    return same / max(1, len(a) + len(b) - same)
+
+
+def verified_meetings(rows: DataFrame, words: int, radius: int, least: float) -> DataFrame:
+    """Links (u, v) that join what is similar within each (file, lo, hi) of ``rows``, over its given roots; ``of``: the sets."""
+
+    def meet(group: pa.Table) -> pa.Table:
+        node = group.column("node").to_numpy()
+        label = np.unique(group.column("root").to_numpy(), return_inverse=True)[1]
+        prints = np.stack([group.column(f"p{k}").to_numpy() for k in range(words)], 1).view(np.uint64)
+        sets = [x.values.to_numpy() for x in group.column("of")]
+        u, v = [], []
+        for some, other in near(prints, np.zeros(len(node), np.int64), np.full(len(node), len(node)), radius):
+            apart = label[some] != label[other]
+            for i, j in zip(some[apart].tolist(), other[apart].tolist(), strict=True):
+                a, b = sets[i], sets[j]
+                if label[i] != label[j] and min(len(a), len(b)) >= least * max(len(a), len(b)) - 1e-6 and similarity(a, b) >= least:
+                    u.append(node[i])
+                    v.append(node[j])
+                    label[label == label[j]] = label[i]
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return rows.groupBy("file", "lo", "hi").applyInArrow(meet, "u long, v long")
+
+
+def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5, least: float = 0.8, words: int = 2, fill: int = 256, miss: float = 1e-4, tile: int = 2048) -> DataFrame:
+    """One row per document with an id: doc_id and component_id (the least doc_id reachable by links).
+
+    Documents are linked if the Jaccard similarity of their sets of shingles (64-bit hashes of ``shingle`` words) is at least ``least``; every
+    link that counts has been verified on the sets. Equal sets are one node; texts without words are equal; a text below ``shingle`` words is one
+    shingle. A candidate forest is verified first; files in which several verified groups have candidates are then compared in full.
+    """
+    flip = math.acos(2 * least / (1 + least)) / math.pi
+    radius = math.ceil(64 * words * flip + 4 * math.sqrt(64 * words * flip * (1 - flip)))
+    sketches = stored(shingled(docs, shingle, words, id_column, text_column), "sketches")
+    nodes = stored(sketches.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("of").alias("of")), "nodes")
+    bits = chosen_bits(nodes.count(), words, flip, fill, miss)
+    first = stored(candidate_links(tiled(filed_by(nodes, bits, words), tile), words, radius), "candidates")
+
+    met = stored(first.select(F.col("u").alias("node")).union(first.select("v")).distinct(), "met")
+    # Only candidates' sets are written.
+    found = docs.join(nodes.join(met, "node").select(F.col("rep").alias("rep_")), quoted(id_column).cast("long") == F.col("rep_"), "left_semi")
+    sets = shingled(found, shingle, 0, id_column, text_column).join(met, "node", "left_semi")
+    sets = stored(sets.groupBy("node").agg(F.first("of").alias("of")), "sets")
+    both = first.join(sets.select(F.col("node").alias("u"), F.col("of").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("of").alias("b")), "v")
+    same = F.size(F.array_intersect("a", "b"))
+    links = stored(both.filter(same / (F.size("a") + F.size("b") - same) >= least).select("u", "v"), "links")
+
+    roots = components(links)
+    rooted = stored(met.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots")
+    again = stored(filed_by(nodes.join(met, "node", "left_semi"), bits, words).join(rooted, "node"), "filed-again")
+    mixed = again.groupBy("file").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("file")
+    more = verified_meetings(tiled(again.join(mixed, "file", "left_semi"), tile).join(sets, "node"), words, radius, least)
+
+    last = components(links.unionByName(more))
+    named = stored(nodes.join(last, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "rooted")
+    least_of = named.groupBy("root").agg(F.min("rep").alias("component_id"))
+    named = stored(named.join(least_of, "root").select("node", "component_id"), "named")
+    return sketches.select("doc_id", "node").join(named, "node").select("doc_id", "component_id")

@@ -225,9 +225,10 @@ def spans_of(runs: np.ndarray, length: int, size: int) -> tuple[np.ndarray, np.n
 
 
 def cut(docs: DataFrame, repeated: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = 100) -> DataFrame:
-    """``docs`` with two more columns: ``kept`` (binary, the bytes that stay) and ``removed`` (array of start, end in bytes)."""
+    """``docs`` with ``kept`` (binary, the bytes that stay), ``kept_text`` (the whole characters among them; null for a null text) and
+    ``removed`` (array of start, end in bytes)."""
     names = docs.columns
-    key, kept, removed, runs = (fresh(x, [*names, "kept", "removed"]) for x in ("key", "kept_bytes", "removed_spans", "runs"))
+    key, kept, removed, runs = (fresh(x, [*names, "kept", "kept_text", "removed"]) for x in ("key", "kept_bytes", "removed_spans", "runs"))
     marks = repeated.select(F.col("doc_id").alias(key), F.col("runs").alias(runs))
     joined = docs.join(marks, quoted(id_column).cast("long") == F.col(key), "left")
     source = joined.select(F.struct(*(quoted(c) for c in names)).alias("row"), F.col(runs).alias("runs"))
@@ -237,9 +238,9 @@ def cut(docs: DataFrame, repeated: DataFrame, id_column: str = "doc_id", text_co
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in row_slices(batch, text_column):
-                stay, gone = [], []
+                stay, whole, gone = [], [], []
                 for text, packed in zip(texts, part.column(1), strict=True):
-                    text = text or b""
+                    null, text = text is None, text or b""
                     spans: list[list[int]] = []
                     if packed.is_valid and len(packed) and text:
                         a, b = spans_of(packed.values.to_numpy(zero_copy_only=False), length, len(text))
@@ -249,8 +250,10 @@ def cut(docs: DataFrame, repeated: DataFrame, id_column: str = "doc_id", text_co
                         left.append(text[at:x])
                         at = y
                     stay.append(b"".join([*left, text[at:]]))
+                    # Only a cut breaks characters: what is no part of one goes.
+                    whole.append(None if null else stay[-1].decode("utf-8", "ignore") if spans else text.decode())
                     gone.append(spans)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(stay, pa.binary()), pa.array(gone, pa.list_(pa.list_(pa.int64())))], ["row", "kept", "removed"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(stay, pa.binary()), pa.array(whole, pa.string()), pa.array(gone, pa.list_(pa.list_(pa.int64())))], ["row", "kept", "kept_text", "removed"])
 
-    out = source.mapInArrow(rows, f"row {row_type}, kept binary, removed array<array<long>>")
-    return out.select("row.*", "kept", "removed")
+    out = source.mapInArrow(rows, f"row {row_type}, kept binary, kept_text string, removed array<array<long>>")
+    return out.select("row.*", "kept", "kept_text", "removed")

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from matrixloom.llm import copies, simhash, suffix
+from matrixloom.llm import simhash, suffix
 
 
 def brute_fingerprint(text):
@@ -51,6 +51,13 @@ def test_bit_sliced_comparison():
             want |= {(at + int(x), at + int(y)) for x, y in zip(i, j) if y < x}
             at += len(r)
         assert got == want
+    wide = rng.integers(0, 1 << 63, (3, 2), dtype=np.uint64)[rng.integers(0, 3, 200)]
+    for _ in range(40):
+        wide = wide ^ np.where(rng.random(wide.shape) < 0.5, np.uint64(1) << rng.integers(0, 64, wide.shape).astype(np.uint64), np.uint64(0))
+    distance = np.bitwise_count(wide[:, None] ^ wide[None, :]).sum(2)
+    for radius in (0, 20, 36, 37):
+        got = {(int(i), int(j)) for a, b in simhash.near(wide, np.zeros(200, int), np.full(200, 200), radius, 97) for i, j in zip(a, b)}
+        assert got == {(i, j) for i, j in zip(*map(np.ndarray.tolist, np.nonzero(distance <= radius))) if j < i}
 
 
 def test_groups_match_brute_force(spark):
@@ -155,7 +162,7 @@ def test_pipeline_drops_by_exact_similarity(spark):
     assert kept == set(range(0, 300, 2)) | apart
 
 
-def test_copies_against_brute_force(spark):
+def test_similar_groups_match_brute_force(spark):
     rng = random.Random(6)
     new = lambda: f"w{rng.randrange(300)}"
     base = [new() for _ in range(120)]
@@ -174,5 +181,32 @@ def test_copies_against_brute_force(spark):
                 a, b = sorted((root[i], root[j]))
                 root = [a if r == b else r for r in root]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r.component_id for r in copies.groups(docs, tile=8).collect()}
-    assert got == dict(enumerate(root))
+    for tile in (8, 2048):
+        got = {r.doc_id: r.component_id for r in simhash.similar_groups(docs, tile=tile).collect()}
+        assert got == dict(enumerate(root))
+    assert simhash.similar_groups(docs.limit(0)).count() == 0
+
+
+def test_files_find_pairs_at_the_least_similarity():
+    rng = np.random.default_rng(8)
+    flip = np.arccos(2 * 0.8 / 1.8) / np.pi
+    bits = simhash.chosen_bits(10**6, 2, flip, 256, 1e-4)
+    found = near = 0
+    for _ in range(300):
+        h = rng.integers(0, 1 << 63, 1100, np.uint64)
+        a, b = simhash.wide_print(h[:900], 2), simhash.wide_print(np.concatenate([h[:800], h[1000:]]), 2)  # 800 of 1,000
+        x, y = (np.unpackbits(p.view(np.uint8), bitorder="little") for p in (a, b))
+        near += (x != y).sum() <= 37
+        found += (x[bits] == y[bits]).all(1).any()
+    assert near >= 299 and found >= 297
+
+
+def test_genuine_replacement_characters_stay(spark):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    passage = "é" + "".join(rng.choice("abcdefgh ") for _ in range(130)) + "😀"
+    docs = [(1, passage, "x"), (2, f"a\ufffdb\u00a9{passage[1:]}c\ufffd", "y"), (3, None, "z")]  # the cut begins inside a character
+    df = spark.createDataFrame(docs, "doc_id long, text string, kept_bytes string")
+    got = {r.doc_id: (r.text, r.kept_bytes) for r in corpus_pipeline.cut_repeats(spark, df, "").collect()}
+    assert got == {1: (passage, "x"), 2: ("a\ufffdbc\ufffd", "y"), 3: (None, "z")}
