@@ -1,10 +1,11 @@
 """Licence recognition by sentences.
 
-A text is cut into sentences; each is normalised (lower case, letters, digits and dots in numbers, single blanks) and mapped to
-the identifier of a known licence sentence, if it is one. The text's sequence of identifiers is matched against
-ordered rules: a rule holds if its identifiers occur in its order with at most ``gap`` other known sentences in between. The first rules take
-their sentences first, so that a specific licence hides a general one. Sentences that no rule has used are reported as
-unmatched.
+A text is cut into sentences, which end at a stop, mark or semicolon before white space, or at a blank line; a sentence may go on
+over line ends, and a line, or the lines from any one to the sentence's end, may be a sentence as well, so that headings and wrapping do no
+harm. Each is normalised (lower case, letters, digits and dots in numbers, single blanks) and mapped to the identifier of a known licence
+sentence, if it is one. The text's sequence of identifiers is matched against ordered rules: a rule holds if its identifiers occur in
+its order with at most ``gap`` other known sentences in between. The first rules take their sentences first, so that a specific licence hides a
+general one. Sentences that no rule has used are reported as unmatched.
 
 Map-only, in DataFrame operations. Sentences that are not known are dropped by a hash look-up before anything else
 is done with them.
@@ -15,90 +16,195 @@ repeated results; extra columns are kept but for those the result needs, which g
 
 from __future__ import annotations
 
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fresh, quoted
 
-#: Known licence sentences, normalised, by identifier.
+#: Known licence sentences, by identifier.
 SENTENCES = {
-    "mit-released": "released under the mit license",
-    "mit-licensed": "licensed under the mit license",
-    "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction",
-    "mit-notice": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
-    "mit-disclaimer": "the software is provided as is without warranty of any kind express or implied",
-    "apache2-licensed": "licensed under the apache license version 2.0",
-    "apache2-licensed-you": "licensed under the apache license version 2.0 the license",
-    "apache2-comply": "you may not use this file except in compliance with the license",
-    "apache2-copy": "you may obtain a copy of the license at",
-    "gpl3-work": "this work is licensed under the gnu general public license version 3",
-    "gpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
-    "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
-    "gpl-received": "you should have received a copy of the gnu general public license along with this program",
-    "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
-    "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
-    "bsd-endorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
-    "cc-by-nc-4": "licensed under cc by nc 4.0",
-    "cc-by-4": "licensed under cc by 4.0",
-    "cc-by-sa-4": "licensed under cc by sa 4.0",
-    "all-rights": "all rights reserved",
+    "mit-grant": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:',
+    "mit-notice": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "mit-as-is": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.',
+    "mit-liability": "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "zero-bsd-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "isc-as-is": 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.',
+    "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "bsd-endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "apache2-header": 'Licensed under the Apache License, Version 2.0 (the "License");',
+    "apache2-comply": "you may not use this file except in compliance with the License.",
+    "apache2-copy": "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    "apache2-unless": 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
+    "gpl2-free": "This program is free software;",
+    "gpl2-redistribute": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation;",
+    "gpl2-later": "either version 2 of the License, or (at your option) any later version.",
+    "gpl2-only": "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    "gpl3-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "gpl3-only": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, version 3.",
+    "agpl3-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl21-free": "This library is free software;",
+    "lgpl21-redistribute": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation;",
+    "lgpl21-later": "either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl3-later": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "mpl2-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v",
+    "mpl2-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "unlicense-free": "This is free and unencumbered software released into the public domain.",
+    "unlicense-anyone": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "zlib-as-is": "This software is provided 'as-is', without any express or implied warranty.",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "bsl-header": "Distributed under the Boost Software License, Version 1.0.",
+    "wtfpl-what": "You just DO WHAT THE FUCK YOU WANT TO.",
+    "ofl-header": "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+    "epl2-header": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "epl1-header": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    "postgres-grant": "Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted, provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies.",
+    "cc0-header": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide.",
+    "all-rights": "All rights reserved.",
 }
-#: Ordered rules: licence, then the identifiers in their order.
-RULES = [
-    ("MIT", ["mit-grant", "mit-notice", "mit-disclaimer"]),
-    ("MIT", ["mit-released"]),
-    ("MIT", ["mit-licensed"]),
-    ("Apache-2.0", ["apache2-licensed-you", "apache2-comply", "apache2-copy"]),
-    ("Apache-2.0", ["apache2-licensed"]),
-    ("GPL-3.0-or-later", ["gpl-free", "gpl-hope", "gpl-received"]),
-    ("GPL-3.0-only", ["gpl3-work"]),
-    ("BSD-3-Clause", ["bsd-source", "bsd-binary", "bsd-endorse"]),
-    ("BSD-2-Clause", ["bsd-source", "bsd-binary"]),
-    ("CC-BY-NC-4.0", ["cc-by-nc-4"]),
-    ("CC-BY-SA-4.0", ["cc-by-sa-4"]),
-    ("CC-BY-4.0", ["cc-by-4"]),
-    ("Proprietary", ["all-rights"]),
+#: Licences and the names that notices call them by.
+NAMES = {
+    "MIT": ["MIT License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"],
+    "GPL-2.0-only": ["GNU General Public License, version 2", "GPLv2", "GPL v2"],
+    "GPL-2.0-or-later": ["GNU General Public License, version 2 or later", "GPLv2+"],
+    "GPL-3.0-only": ["GNU General Public License, version 3", "GNU General Public License v3.0", "GPLv3", "GPL v3"],
+    "GPL-3.0-or-later": ["GNU General Public License, version 3 or later", "GPLv3+"],
+    "LGPL-2.1-only": ["GNU Lesser General Public License, version 2.1", "LGPLv2.1"],
+    "LGPL-3.0-only": ["GNU Lesser General Public License, version 3", "LGPLv3"],
+    "AGPL-3.0-only": ["GNU Affero General Public License, version 3", "AGPLv3"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "New BSD License", "Modified BSD License"],
+    "ISC": ["ISC License"],
+    "0BSD": ["BSD Zero Clause License"],
+    "MPL-2.0": ["Mozilla Public License, Version 2.0", "Mozilla Public License 2.0", "MPL 2.0"],
+    "EPL-1.0": ["Eclipse Public License 1.0", "Eclipse Public License v1.0"],
+    "EPL-2.0": ["Eclipse Public License 2.0", "Eclipse Public License v2.0"],
+    "CC0-1.0": ["CC0 1.0", "Creative Commons CC0 1.0 Universal License"],
+    "CC-BY-3.0": ["CC BY 3.0", "Creative Commons Attribution 3.0 Unported License"],
+    "CC-BY-SA-3.0": ["CC BY-SA 3.0", "Creative Commons Attribution-ShareAlike 3.0 Unported License"],
+    "CC-BY-4.0": ["CC BY 4.0", "Creative Commons Attribution 4.0 International License"],
+    "CC-BY-SA-4.0": ["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"],
+    "CC-BY-NC-4.0": ["CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"],
+    "CC-BY-ND-4.0": ["CC BY-ND 4.0", "Creative Commons Attribution-NoDerivatives 4.0 International License"],
+    "CC-BY-NC-SA-4.0": ["CC BY-NC-SA 4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"],
+    "CC-BY-NC-ND-4.0": ["CC BY-NC-ND 4.0", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"],
+    "Unlicense": ["Unlicense"],
+    "Zlib": ["zlib License"],
+    "BSL-1.0": ["Boost Software License 1.0", "Boost Software License, Version 1.0"],
+    "WTFPL": ["WTFPL"],
+    "Artistic-2.0": ["Artistic License 2.0"],
+    "CDDL-1.0": ["Common Development and Distribution License 1.0", "CDDL 1.0"],
+    "EUPL-1.2": ["European Union Public Licence 1.2", "EUPL 1.2"],
+    "OFL-1.1": ["SIL Open Font License 1.1", "SIL Open Font License, Version 1.1"],
+    "PostgreSQL": ["PostgreSQL License"],
+    "MS-PL": ["Microsoft Public License"],
+    "Python-2.0": ["Python Software Foundation License"],
+}
+#: How notices begin before the licence's name, in the normal form; all are read as "notice".
+NOTICE = r"^(?:this (?:work|software|project|program|library|code|file) is |it is )?(?:licensed|released|distributed|available) under (?:the |an? )?|^spdx license identifier "
+#: Ordered rules of licences in full: licence, then the identifiers in their order. Notices come after these.
+FULL_RULES = [
+    ("MIT", ["mit-grant", "mit-notice", "mit-as-is"]),
+    ("ISC", ["isc-grant", "isc-as-is"]),
+    ("0BSD", ["zero-bsd-grant", "isc-as-is"]),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"]),
+    ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
+    ("Apache-2.0", ["apache2-header", "apache2-comply"]),
+    ("AGPL-3.0-or-later", ["agpl3-later"]),
+    ("GPL-3.0-or-later", ["gpl3-later"]),
+    ("GPL-3.0-only", ["gpl3-only"]),
+    ("GPL-2.0-or-later", ["gpl2-free", "gpl2-redistribute", "gpl2-later"]),
+    ("GPL-2.0-only", ["gpl2-free", "gpl2-only"]),
+    ("LGPL-2.1-or-later", ["lgpl21-free", "lgpl21-redistribute", "lgpl21-later"]),
+    ("LGPL-3.0-or-later", ["lgpl3-later"]),
+    ("MPL-2.0", ["mpl2-header", "mpl2-copy"]),
+    ("Unlicense", ["unlicense-free", "unlicense-anyone"]),
+    ("Zlib", ["zlib-as-is", "zlib-grant"]),
+    ("BSL-1.0", ["bsl-header"]),
+    ("WTFPL", ["wtfpl-what"]),
+    ("OFL-1.1", ["ofl-header"]),
+    ("EPL-2.0", ["epl2-header"]),
+    ("EPL-1.0", ["epl1-header"]),
+    ("PostgreSQL", ["postgres-grant"]),
+    ("CC0-1.0", ["cc0-header"]),
 ]
-#: A sentence ends at the end of a line, or after a stop, mark or colon that white space follows.
-END = r"[.!?;:]+(?=\s|$)|[\r\n]+"
+LAST_RULES = [("Proprietary", ["all-rights"])]
+
+
+def identifier(licence: str) -> str:
+    return f"notice-{licence.lower().replace('.', '-')}"
+
+
+def known_sentences() -> dict[str, list[str]]:
+    """All known sentences by identifier: those stated, and a notice for each name of a licence."""
+    return {name: [text] for name, text in SENTENCES.items()} | {identifier(x): [f"notice {n}" for n in [*names, x]] for x, names in NAMES.items()}
+
+
+RULES = [*FULL_RULES, *((licence, [identifier(licence)]) for licence in NAMES), *LAST_RULES]
+#: A sentence ends at a stop, mark or semicolon before white space, or at a blank line.
+END = r"[.!?;]+(?=\s|$)|\r?\n[^\p{L}\p{N}\n]*\r?\n"
+LINE_END = r"[\r\n]+"
 
 
 def normalised(sentence: Column) -> Column:
-    """Lower case; everything but letters, digits and dots between digits is a gap."""
+    """Lower case; everything but letters, digits and dots between digits is a gap; a notice begins with "notice"."""
     plain = F.regexp_replace(F.lower(sentence), r"(?<![0-9])\.|\.(?![0-9])|[^\p{L}\p{N}.]+", " ")
-    return F.trim(F.regexp_replace(plain, " +", " "))
+    return told(F.trim(F.regexp_replace(plain, " +", " ")))
+
+
+def told(sentence: Column) -> Column:
+    return F.regexp_replace(sentence, NOTICE, "notice ")
 
 
-def hash_of(spark: SparkSession, sentences: dict[str, str]) -> dict[int, str]:
-    """The hash of each known sentence, by the engine's own function."""
-    names = list(sentences)
-    row = spark.range(1).select(*(F.xxhash64(F.lit(sentences[n])).alias(f"h{i}") for i, n in enumerate(names))).first()
-    return dict(zip(row, names, strict=True))
+def hash_of(spark: SparkSession, sentences: dict[str, list[str]]) -> tuple[dict[int, str], int]:
+    """The hash of each known sentence in its normal form, by the engine's own functions, and the most words of one."""
+    told = spark.createDataFrame([(name, text) for name, texts in sentences.items() for text in texts], "name string, text string")
+    rows = told.select("name", normalised(F.col("text")).alias("text")).select("name", F.xxhash64("text").alias("h"), F.size(F.split("text", " ")).alias("n")).collect()
+    return {r["h"]: r["name"] for r in rows}, max(r["n"] for r in rows)
 
 
-def recognised(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES, gap: int = 5, text_column: str = "text") -> DataFrame:
+def recognised(docs: DataFrame, sentences: dict[str, list[str]] | None = None, rules: list[tuple[str, list[str]]] = RULES, gap: int = 5, text_column: str = "text") -> DataFrame:
     """``docs`` with licence_sentences (identifiers in order), licences (in the rules' order, each once) and unmatched."""
-    known = hash_of(docs.sparkSession, sentences)
+    known, most = hash_of(docs.sparkSession, sentences or known_sentences())
     names = docs.columns
-    found, left = fresh("found_sentences", names), [fresh(f"left_{i}", names) for i in range(len(rules) + 1)]
+    lines, found, left = fresh("lines_of_sentences", names), fresh("found_sentences", names), [fresh(f"left_{i}", names) for i in range(len(rules) + 1)]
     made = [fresh(x, names) for x in ("licence_sentences", "licences", "unmatched")]
-    texts = F.split(F.coalesce(quoted(text_column).cast("string"), F.lit("")), END)
-    least = min(map(len, sentences.values()))
-    # Normalising only shortens: longer sentences may still become known ones, shorter ones can't.
-    hashes = F.transform(F.filter(texts, lambda s: F.length(s) >= least), lambda s: F.xxhash64(normalised(s)))
-    hits = F.filter(hashes, lambda h: h.isin(list(known)))
+    cut = F.split(F.coalesce(quoted(text_column).cast("string"), F.lit("")), END)
+    normal_lines = F.transform(cut, lambda s: F.filter(F.transform(F.split(s, LINE_END), normalised), lambda x: x != ""))
+
+    def hits(sentence: Column) -> Column:
+        alone = F.filter(F.transform(sentence, lambda x: F.xxhash64(x)), lambda h: h.isin(list(known)))
+        n = F.size(sentence)
+        # Each line has a word, so lines further from the end belong to no known sentence that ends there.
+        joined = F.transform(F.sequence(F.greatest(n - most, F.lit(1)), n - 1), lambda i: F.xxhash64(told(F.array_join(F.slice(sentence, i, n - i + 1), " "))))
+        return F.when(n > 1, F.concat(alone, F.filter(joined, lambda h: h.isin(list(known))))).otherwise(alone)
+
     name = F.create_map(*(x for h, n in known.items() for x in (F.lit(h), F.lit(n))))
-    out = docs.withColumn(found, hits).withColumn(made[0], F.transform(found, lambda h: name[h]))
+    out = docs.withColumn(lines, normal_lines).withColumn(found, F.flatten(F.transform(F.filter(lines, lambda x: F.size(x) > 0), hits)))
+    out = out.withColumn(made[0], F.transform(found, lambda h: name[h]))
     # The sequence as text, each identifier between blanks; a rule takes its own out.
     out = out.withColumn(left[0], F.concat(F.lit(" "), F.array_join(made[0], "  "), F.lit(" ")))
     held: list[Column] = []
-    for i, (licence, order) in enumerate(rules):
+    # Rules of one identifier that follow each other cannot hinder each other and go in one step.
+    for i, (single, some) in enumerate((k, list(g)) for k, g in groupby(rules, lambda r: len(r[1]) == 1 or r)):
+        if single is True:
+            held += [F.when(F.contains(F.col(left[i]), F.lit(f" {order[0]} ")), F.lit(licence)) for licence, order in some]
+            out = out.withColumn(left[i + 1], F.regexp_replace(left[i], " (?:" + "|".join(order[0] for _, order in some) + ") ", ""))
+            last = left[i + 1]
+            continue
+        licence, order = some[0]
         other = r"((?: [a-z0-9-]+ ){0,%d}?)" % gap
         pattern = other.join(f" {x} " for x in order)
         kept = "".join(f"${k}" for k in range(1, len(order)))
         held.append(F.when(F.col(left[i]).rlike(pattern), F.lit(licence)))
         # Each column refers to the last one once, so that substituting them into a filter stays small.
         out = out.withColumn(left[i + 1], F.regexp_replace(left[i], pattern, kept))
+        last = left[i + 1]
     licences = F.array_distinct(F.array_compact(F.array(*held)))
-    out = out.withColumn(made[1], licences).withColumn(made[2], F.array_remove(F.split(left[-1], " +"), ""))
-    return out.drop(found, *left)
+    out = out.withColumn(made[1], licences).withColumn(made[2], F.array_remove(F.split(last, " +"), ""))
+    return out.drop(lines, found, *left)

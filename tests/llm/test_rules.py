@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import time
 import zlib
 from collections import Counter
@@ -24,27 +25,77 @@ def test_query_matches_sql(spark, name):
 # --- Licences
 
 
-def test_licence_rules(spark):
-    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction."
-    notice = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
-    warranty = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED."
-    docs = [
-        (1, "Licensed under the Apache License, Version 2.0."),
-        (2, f"Intro.\n{mit} {notice} {warranty}\nText"),
-        (3, f"{warranty} {notice} {mit}"),
-        (4, "This work is licensed under the GNU General Public License, version 3.\nReleased under the MIT License."),
-        (5, None),
-        (6, ""),
-        (7, "Licensed under CC BY-NC 4.0.\nLicensed under CC BY-NC 4.0."),
-        (8, "word " * 30000),
-        (9, "All rights reserved.\nlicensed under the apache license version 2.0"),
-    ]
+HEADERS = {
+    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
+    "GPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\n\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "GPL-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "GPL-2.0-only": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    "LGPL-2.1-or-later": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "AGPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "MIT": 'MIT License\n\nCopyright (c) 2020 Some One\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
+    "BSD-2-Clause": "Copyright (c) 2020, Some One\n\nRedistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "CC-BY-SA-4.0": "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "BSL-1.0": "SPDX-License-Identifier: BSL-1.0",
+}
+HEADERS["BSD-3-Clause"] = HEADERS["BSD-2-Clause"] + "\n\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+
+
+def wrapped(text, width, mark):
+    return "\n".join(mark + line for part in text.split("\n\n") for line in [*textwrap.wrap(part.strip(), width), ""])
+
+
+def test_standard_licences_joined_and_wrapped(spark):
+    shapes = [(None, ""), (78, ""), (60, "# "), (40, " * "), (90, "// ")]
+    docs = [(name, f"Some words before\n{wrapped(text, w, m) if w else text}\n\nint main() {{ return 0; }}\nand after") for name, text in HEADERS.items() for w, m in shapes]
+    found = licences.recognised(spark.createDataFrame(docs, "want string, text string")).collect()
+    assert [(r.want, r.licences) for r in found if r.licences != [r.want]] == []
+
+
+def brute_licences(text, gap=5):
+    """Sentences and rules by plain loops."""
+    told = lambda s: re.sub(licences.NOTICE, "notice ", s)
+    plain = lambda s: told(" ".join(re.sub(r"(?<![0-9])\.|\.(?![0-9])|[^\w.]+|_", " ", s.lower()).split()))
+    known = {plain(t): n for n, ts in licences.known_sentences().items() for t in ts}
+    ids = []
+    for sentence in re.split(r"[.!?;]+(?=\s|$)|\r?\n[^\w\n]*\r?\n", text or ""):
+        lines = [x for x in map(plain, re.split(r"[\r\n]+", sentence)) if x]
+        ids += [known[x] for x in lines if x in known]
+        ids += [known[x] for x in (told(" ".join(lines[i:])) for i in range(len(lines) - 1)) if x in known]
+    told = list(ids)
+    licence = []
+    for name, order in licences.RULES:
+        a = 0
+        while a < len(ids):
+            at, taken = a, []
+            for n, want in enumerate(order):
+                stop = at + 1 if n == 0 else at + gap + 1
+                hit = next((i for i in range(at, min(stop, len(ids))) if ids[i] == want), None)
+                if hit is None:
+                    break
+                taken.append(hit)
+                at = hit + 1
+            if len(taken) == len(order):
+                licence.append(name)
+                ids = [x for i, x in enumerate(ids) if i not in taken]
+                a = taken[-1] + 1 - len(taken)
+            else:
+                a += 1
+    return told, list(dict.fromkeys(licence)), ids
+
+
+def test_licences_match_brute_force(spark):
+    rng = random.Random(13)
+    pool = [*licences.SENTENCES.values(), *HEADERS.values(), "Released under the MIT License", "Some other words here.", "Licensed under CC BY-NC 4.0.", "All rights reserved."]
+    docs = [(i, rng.choice([" ", "\n", "\n\n"]).join(textwrap.fill(rng.choice(pool), rng.choice([50, 10**6])) for _ in range(rng.randint(0, 9)))) for i in range(200)]
+    docs += [(900, None), (901, ""), (902, "line without an end\n" * 3000 + "released under the MIT License."), (903, "word " * 60000)]
     df = spark.createDataFrame(docs, "doc_id int, text string").withColumn("found_sentences", F.lit(1)).withColumn("left_0", F.lit(2))
-    got = {r.doc_id: (r.licences, r.unmatched) for r in licences.recognised(df).collect()}
-    assert got == {
-        1: (["Apache-2.0"], []), 2: (["MIT"], []), 3: ([], ["mit-disclaimer", "mit-notice", "mit-grant"]), 4: (["MIT", "GPL-3.0-only"], []), 5: ([], []), 6: ([], []),
-        7: (["CC-BY-NC-4.0"], []), 8: ([], []), 9: (["Apache-2.0", "Proprietary"], []),
-    }
+    got = {r.doc_id: (r.licence_sentences, r.licences, r.unmatched) for r in licences.recognised(df).collect()}
+    for i, t in docs:
+        assert got[i] == brute_licences(t), (i, t)
     assert licences.recognised(df.limit(0)).count() == 0
 
 
