@@ -339,22 +339,24 @@ def filed_by(nodes: DataFrame, bits: np.ndarray, words: int) -> DataFrame:
     return nodes.select("node", "of").mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
-def tiled(filed: DataFrame, tile: int) -> DataFrame:
-    """``filed`` with the tiles (lo, hi) that a row meets in and its own one; files above ``tile`` rows are cut, none is skipped."""
-    large = stored(filed.groupBy("file").agg(F.count("*").alias("n")).filter(F.col("n") > tile), "large-files")
-    cut = filed.join(large, "file", "left").withColumn("tiles", F.coalesce(F.ceil(F.col("n") / tile), F.lit(1)).cast("int"))
-    cut = cut.withColumn("own", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
-    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    return cut.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("n", "tiles", "other")
+def meetings(rows: DataFrame, tiles: Column, group: str) -> DataFrame:
+    """``rows`` of each ``group`` cut into ``tiles``, with the ``meeting`` of two tiles, or of one with itself, that a row takes part in.
 
+    A meeting is a hash: should two be equal, their rows are compared too, which adds nothing wrong.
+    """
+    cut = rows.withColumn("tiles_", tiles).withColumn("own_", F.pmod(F.xxhash64("node"), "tiles_").cast("int"))
+    cut = cut.withColumn("other_", F.explode(F.sequence(F.lit(0), F.col("tiles_") - 1)))
+    return cut.withColumn("meeting", F.xxhash64(group, F.least("own_", "other_"), F.greatest("own_", "other_"))).drop("tiles_", "own_", "other_")
 
-def candidate_links(cut: DataFrame, words: int, radius: int) -> DataFrame:
-    """Edges (u, v) of a spanning forest of each tile pair of ``cut``, within ``radius`` bits."""
-    names = ["file", "lo", "hi", "node", *(f"p{k}" for k in range(words))]
-    rows = cut.select(*names).repartition("file", "lo", "hi").sortWithinPartitions("file", "lo", "hi")
+
+def candidate_links(filed: DataFrame, words: int, radius: int, tile: int) -> DataFrame:
+    """Edges (u, v) of a spanning forest of each file within ``radius`` bits; files above ``tile`` rows are cut, none is skipped."""
+    large = stored(filed.groupBy("file").agg(F.count("*").alias("n")).filter(F.col("n") > tile), "large-files")
+    cut = meetings(filed.join(large, "file", "left"), F.coalesce(F.ceil(F.col("n") / tile), F.lit(1)).cast("int"), "file")
+    rows = cut.select("meeting", "node", *(f"p{k}" for k in range(words))).repartition("meeting").sortWithinPartitions("meeting")
 
     def edges(starts: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
-        u, v = forest(starts, np.stack(columns[4:], 1).view(np.uint64), columns[3], radius)
+        u, v = forest(starts, np.stack(columns[2:], 1).view(np.uint64), columns[1], radius)
         return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,7 +367,7 @@ def candidate_links(cut: DataFrame, words: int, radius: int) -> DataFrame:
                 columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
             if not len(columns[0]):
                 continue
-            starts = np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns[:3]])])
+            starts = np.concatenate([[True], columns[0][1:] != columns[0][:-1]])
             last = int(np.flatnonzero(starts)[-1])
             held = [c[last:] for c in columns]
             yield edges(starts[:last], [c[:last] for c in columns])
@@ -380,26 +382,32 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return same / max(1, len(a) + len(b) - same)
 
 
-def verified_meetings(rows: DataFrame, words: int, radius: int, least: float) -> DataFrame:
-    """Links (u, v) that join what is similar within each (file, lo, hi) of ``rows``, over its given roots; ``of``: the sets."""
+def verified_links(rows: DataFrame, words: int, radius: int, least: float) -> DataFrame:
+    """Links (u, v) that join what is similar within each meeting of ``rows`` (meeting, node, bits, of: the set)."""
 
     def meet(group: pa.Table) -> pa.Table:
         node = group.column("node").to_numpy()
-        label = np.unique(group.column("root").to_numpy(), return_inverse=True)[1]
-        prints = np.stack([group.column(f"p{k}").to_numpy() for k in range(words)], 1).view(np.uint64)
+        label = np.arange(len(node))
+        prints = np.stack([x.values.to_numpy() for x in group.column("bits")]).view(np.uint64)
         sets = [x.values.to_numpy() for x in group.column("of")]
+        size = np.array([len(x) for x in sets])
         u, v = [], []
         for some, other in near(prints, np.zeros(len(node), np.int64), np.full(len(node), len(node)), radius):
-            apart = label[some] != label[other]
-            for i, j in zip(some[apart].tolist(), other[apart].tolist(), strict=True):
-                a, b = sets[i], sets[j]
-                if label[i] != label[j] and min(len(a), len(b)) >= least * max(len(a), len(b)) - 1e-6 and similarity(a, b) >= least:
-                    u.append(node[i])
-                    v.append(node[j])
-                    label[label == label[j]] = label[i]
+            close = np.minimum(size[some], size[other]) >= least * np.maximum(size[some], size[other]) - 1e-6
+            some, other = some[close], other[close]
+            while len(some):
+                # Pairs of one group are joined already; of the others a batch is looked at before labels are read again.
+                apart = label[some] != label[other]
+                some, other = some[apart], other[apart]
+                for i, j in zip(some[:256].tolist(), other[:256].tolist(), strict=True):
+                    if label[i] != label[j] and similarity(sets[i], sets[j]) >= least:
+                        u.append(node[i])
+                        v.append(node[j])
+                        label[label == label[j]] = label[i]
+                some, other = some[256:], other[256:]
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    return rows.groupBy("file", "lo", "hi").applyInArrow(meet, "u long, v long")
+    return rows.groupBy("meeting").applyInArrow(meet, "u long, v long")
 
 
 def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5, least: float = 0.8, words: int = 2, fill: int = 256, miss: float = 1e-4, tile: int = 2048) -> DataFrame:
@@ -407,31 +415,27 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     Documents are linked if the Jaccard similarity of their sets of shingles (64-bit hashes of ``shingle`` words) is at least ``least``; every
     link that counts has been verified on the sets. Equal sets are one node; texts without words are equal; a text below ``shingle`` words is one
-    shingle. A candidate forest is verified first; files in which several verified groups have candidates are then compared in full.
+    shingle. The files give the groups of candidates; within each, all pairs within the radius that are not joined yet are verified, by
+    tiles of about ``tile`` nodes or 512 of their shingles each.
     """
     flip = math.acos(2 * least / (1 + least)) / math.pi
     radius = math.ceil(64 * words * flip + 4 * math.sqrt(64 * words * flip * (1 - flip)))
     sketches = stored(shingled(docs, shingle, words, id_column, text_column), "sketches")
     nodes = stored(sketches.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("of").alias("of")), "nodes")
     bits = chosen_bits(nodes.count(), words, flip, fill, miss)
-    first = stored(candidate_links(tiled(filed_by(nodes, bits, words), tile), words, radius), "candidates")
-
-    met = stored(first.select(F.col("u").alias("node")).union(first.select("v")).distinct(), "met")
-    # Only candidates' sets are written.
-    found = docs.join(nodes.join(met, "node").select(F.col("rep").alias("rep_")), quoted(id_column).cast("long") == F.col("rep_"), "left_semi")
-    sets = shingled(found, shingle, 0, id_column, text_column).join(met, "node", "left_semi")
-    sets = stored(sets.groupBy("node").agg(F.first("of").alias("of")), "sets")
-    both = first.join(sets.select(F.col("node").alias("u"), F.col("of").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("of").alias("b")), "v")
-    same = F.size(F.array_intersect("a", "b"))
-    links = stored(both.filter(same / (F.size("a") + F.size("b") - same) >= least).select("u", "v"), "links")
-
-    roots = components(links)
-    rooted = stored(met.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots")
-    again = stored(filed_by(nodes.join(met, "node", "left_semi"), bits, words).join(rooted, "node"), "filed-again")
-    mixed = again.groupBy("file").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("file")
-    more = verified_meetings(tiled(again.join(mixed, "file", "left_semi"), tile).join(sets, "node"), words, radius, least)
-
-    last = components(links.unionByName(more))
+    first = stored(candidate_links(filed_by(nodes, bits, words), words, radius, tile), "candidates")
+
+    # Groups of candidates: their sets are written, and read once for each meeting of tiles.
+    ends = components(first)
+    comp = stored(ends.select("node", F.col("root").alias("comp")).unionByName(ends.select(F.col("root").alias("node"), F.col("root").alias("comp")).distinct()), "groups")
+    chosen = nodes.join(comp, "node").select("node", "comp", "rep", F.col("of").alias("bits"))
+    found = docs.join(chosen.select(F.col("rep").alias("rep_")), quoted(id_column).cast("long") == F.col("rep_"), "left_semi")
+    sets = shingled(found, shingle, 0, id_column, text_column).join(comp.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    sets = stored(chosen.drop("rep").join(sets.select("node", "of"), "node"), "sets")
+    large = sets.groupBy("comp").agg(F.greatest(F.count("*") / tile, F.sum(F.size("of")) / (512 * tile)).alias("large"))
+    links = verified_links(meetings(sets.join(large, "comp"), F.ceil("large").cast("int"), "comp"), words, radius, least)
+
+    last = components(links)
     named = stored(nodes.join(last, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "rooted")
     least_of = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = stored(named.join(least_of, "root").select("node", "component_id"), "named")
