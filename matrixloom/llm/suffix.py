@@ -1,7 +1,7 @@
-"""Removal of repeated byte windows: a radix sort of suffixes that goes only to the threshold's depth.
+"""Removal of repeated byte windows by passes over wide digits, down to the threshold's depth.
 
-Suffixes are ordered by most-significant digits until ``length`` bytes are used up; groups that are still together then are
-exactly the repeated windows. A digit here is as wide as it helps:
+Windows are parted by digits until all their ``length`` bytes are used up; groups that are still together then are
+exactly the repeated windows. The digits are not read from each suffix's start, as a plain radix sort of suffixes would:
 
 1. The first digit is a window's least ``GRAM``-byte string (by a fixed scramble). Equal windows have it at
    the same place, so windows next to each other share one occurrence of it, an *anchor*, and are sorted as one run.
