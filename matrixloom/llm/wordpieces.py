@@ -14,7 +14,7 @@ import pyarrow as pa
 from tokenizers import Tokenizer, pre_tokenizers
 
 #: Words kept by a worker's cache before it starts anew, and the longest word it keeps.
-CACHE_WORDS, LONGEST = 900_000, 64
+CACHE_WORDS, LONGEST = 250_000, 64
 #: New words are encoded together, this many in one text, with a mark between them that is one token and in none of them.
 TOGETHER, MARK = 256, "|"
 #: Words that normaliser and pre-tokeniser leave as they are: small Latin letters, composed.
