@@ -115,27 +115,28 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.grams = {g: s for g, s in zip(model.grams, map(tuple, model.gram_scores.tolist()), strict=True)}
+        self.grams = {g: i for i, g in enumerate(model.grams)}
         self.base = len(model.words)
-        self.scores = np.concatenate([model.word_scores, np.zeros((CACHE_WORDS, len(model.languages)))])
+        # Rows of the cache take memory only once they are written.
+        self.scores = np.zeros((self.base + CACHE_WORDS, len(model.languages)))
+        self.scores[: self.base] = model.word_scores
         self.forget()
 
     def forget(self) -> None:
         self.known = {w: i for i, w in enumerate(self.model.words)}
         self.used = self.base
 
-    def backoff(self, word: str) -> list[float]:
+    def backoff(self, word: str) -> np.ndarray:
         """The mean over places of the longest known n-gram that begins there."""
         grams, longest = self.grams, self.model.longest
         p = padded(word)
-        total, n = [0.0] * len(self.model.languages), 0
+        rows: list[int] = []
         for i in range(len(p)):
             for size in range(longest, 0, -1):
-                if (s := grams.get(p[i : i + size])) is not None:
-                    total = [a + b for a, b in zip(total, s, strict=True)]
-                    n += 1
+                if (row := grams.get(p[i : i + size])) is not None:
+                    rows.append(row)
                     break
-        return [x / n for x in total] if n else total
+        return self.model.gram_scores[rows].sum(0) / len(rows) if rows else np.zeros(len(self.model.languages))
 
     def places(self, words: list[str]) -> list[int]:
         """Rows of ``scores``; there are at most CACHE_WORDS words."""
