@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, licences, packing, pii, quality, simhash, suffix, topk
+from . import bpe, language, licences, packing, pii, pstable, quality, simhash, suffix, topk
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -86,6 +86,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pstable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pstable.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # beside the package, which it imports
 
@@ -104,9 +109,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_quality": op9_quality,
         "op10_byte_bpe": op10_byte_bpe,
+        "op11_pstable": op11_pstable,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_topk": topk.ORACLE, "op9_quality": quality.ORACLE}
+    return {"op5_topk": topk.ORACLE, "op9_quality": quality.ORACLE, "op11_pstable": pstable.ORACLE}
