@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, licences, packing, pii, pstable, quality, simhash, suffix, topk
+from . import bpe, collocations, language, lexical, licences, packing, pii, pstable, quality, simhash, suffix, topk
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -91,6 +91,14 @@ def op11_pstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mined(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # beside the package, which it imports
 
@@ -110,9 +118,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality": op9_quality,
         "op10_byte_bpe": op10_byte_bpe,
         "op11_pstable": op11_pstable,
+        "op12_lexical": op12_lexical,
+        "op13_collocations": op13_collocations,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_topk": topk.ORACLE, "op9_quality": quality.ORACLE, "op11_pstable": pstable.ORACLE}
+    return {"op5_topk": topk.ORACLE, "op9_quality": quality.ORACLE, "op11_pstable": pstable.ORACLE, "op12_lexical": lexical.ORACLE, "op13_collocations": collocations.ORACLE}
