@@ -17,7 +17,8 @@ Digits are compared by 64-bit hashes (the last by 128 bits). All groups are coun
 gathered, so a passage in a third of all documents is no special case.
 
 Defined results: a null text is empty; rows without doc_id are neither compared nor cut; repeated rows (same doc_id, same
-text) are one document and are cut alike; extra columns are not read.
+text) are one document and are cut alike; different texts of one doc_id are documents of their own, in the order of their hashes; extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -201,17 +202,31 @@ def divided(held: DataFrame, last: bool = False) -> tuple[DataFrame, DataFrame |
 
 
 def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = 100) -> DataFrame:
-    """(doc_id, runs: array of longs) of every document with windows that also start earlier, in the shared folder."""
+    """(doc_id, of, runs: array of longs) of every document with windows that also start earlier, in the shared folder.
+
+    ``of``: the hash of its text if its doc_id has other texts too, else null.
+    """
     if not GRAM <= length <= GRAM + 127:
         raise ValueError(f"length must be from {GRAM} to {GRAM + 127}")
     small_batches(docs.sparkSession)
     texts = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text_column).cast("string").alias("text")).filter("doc_id is not null and text is not null")
+    clash = texts.select("doc_id", F.xxhash64("text").alias("of")).groupBy("doc_id").agg(F.min("of").alias("a"), F.max("of").alias("b")).filter("a <> b")
+    names = None
+    if clash.limit(1).count():
+        # Documents get numbers instead, in the order of doc_id.
+        hashed = texts.withColumn("of", F.xxhash64("text"))
+        dealt = hashed.select("doc_id", "of").distinct().repartitionByRange("doc_id", "of").sortWithinPartitions("doc_id", "of")
+        names = stored(dealt.withColumn("number", F.monotonically_increasing_id()), "numbers")
+        texts = stored(hashed.join(names, ["doc_id", "of"]).select(F.col("number").alias("doc_id"), "text"), "texts")
     twice = stored(anchor_rows(texts, length, False).groupBy("gram").count().filter("count > 1").select("gram"), "grams")
     later, doubt = divided(stored(anchor_rows(texts, length, True).join(twice, "gram", "left_semi"), "anchors"))
     later2, doubt2 = divided(sorted_again(texts, doubt, blocks, length))
     later3, _ = divided(sorted_again(texts, doubt2, windows, length), last=True)
     every = later.unionByName(later2).unionByName(later3)
-    return stored(every.groupBy("doc_id").agg(F.collect_set("run").alias("runs")), "repeats")
+    found = every.groupBy("doc_id").agg(F.collect_set("run").alias("runs"))
+    if names is None:
+        return stored(found.select("doc_id", F.lit(None).cast("long").alias("of"), "runs"), "repeats")
+    return stored(found.withColumnRenamed("doc_id", "number").join(names, "number").select("doc_id", "of", "runs"), "repeats")
 
 
 def spans_of(runs: np.ndarray, length: int, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -228,9 +243,10 @@ def cut(docs: DataFrame, repeated: DataFrame, id_column: str = "doc_id", text_co
     """``docs`` with ``kept`` (binary, the bytes that stay), ``kept_text`` (the whole characters among them; null for a null text) and
     ``removed`` (array of start, end in bytes)."""
     names = docs.columns
-    key, kept, removed, runs = (fresh(x, [*names, "kept", "kept_text", "removed"]) for x in ("key", "kept_bytes", "removed_spans", "runs"))
-    marks = repeated.select(F.col("doc_id").alias(key), F.col("runs").alias(runs))
-    joined = docs.join(marks, quoted(id_column).cast("long") == F.col(key), "left")
+    key, of, runs = (fresh(x, [*names, "kept", "kept_text", "removed"]) for x in ("key", "of", "runs"))
+    marks = repeated.select(F.col("doc_id").alias(key), F.col("of").alias(of), F.col("runs").alias(runs))
+    own = F.col(of).isNull() | (F.col(of) == F.xxhash64(quoted(text_column).cast("string")))
+    joined = docs.join(marks, (quoted(id_column).cast("long") == F.col(key)) & own, "left")
     source = joined.select(F.struct(*(quoted(c) for c in names)).alias("row"), F.col(runs).alias("runs"))
     small_batches(docs.sparkSession)
     row_type = source.schema["row"].dataType.simpleString()

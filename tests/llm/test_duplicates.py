@@ -136,6 +136,27 @@ def test_cut_of_odd_rows(spark):
     assert own_cut(spark.createDataFrame([], "doc_id long, text string")) == []
 
 
+def test_cut_keeps_texts_of_one_id_apart(spark):
+    rng = random.Random(11)
+    new = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    base = new(300)
+    docs = [(1, base), (2, new(180)), (2, base[:90] + new(180)), (2, new(50) + base[100:250]), (3, base[:120]), (None, base)]
+    docs.append(docs[3])
+    got = spark.createDataFrame(docs, "doc_id long, text string")
+    removed = {(r.doc_id, r.text): [tuple(x) for x in r.removed] for r in suffix.cut(got, suffix.repeats(got)).collect()}
+    assert removed == {**{d: [] for d in docs}, docs[3]: [(50, 200)], docs[4]: [(0, 120)]}
+
+
+def test_cut_of_long_texts(spark):
+    """Texts beyond the chunk that is handled at once, with more runs than a slice has, and repeats across both edges."""
+    rng = random.Random(12)
+    long = "".join(rng.choices("abcdefgh é", k=1_150_000))
+    blocks = "".join(long[i : i + 130] + str(i) for i in range(0, 700_000, 140))
+    docs = [(1, long), (2, "x" + long[(1 << 19) - 900 : (1 << 19) + 700]), (3, blocks)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert dict(own_cut(df)) == brute_cut(docs)
+
+
 def five_word_similarity(a, b):
     a, b = ({" ".join(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a.lower().split(), b.lower().split()))
     return len(a & b) / len(a | b)
