@@ -259,7 +259,7 @@ def peak_intervals(spark, sf_dir):
     return summarise.peaks(hourly(spark, sf_dir), ["event_type"], "hour", 0.042)
 
 
-PLACES = "row_number() OVER (ORDER BY regexp_extract(name, '^(.*)#[^#]*$', 1), TRY_CAST(regexp_extract(name, '#([^#]*)$', 1) AS INTEGER) NULLS FIRST, name) AS place"
+PLACES = "row_number() OVER (ORDER BY regexp_extract(name, '^(.*)#[^#]*$', 1), CAST(nullif(regexp_extract(name, '#([0-9]{1,38})$', 1), '') AS DECIMAL(38, 0)) NULLS FIRST, name) AS place"
 
 
 @query(f"WITH n AS (SELECT DISTINCT c_name AS name FROM customer) SELECT name AS c_name, {PLACES} FROM n")
@@ -419,9 +419,18 @@ def ref_sequence(spark, sf_dir):
     return matrix.sequences(rows, ["doc_id"], "place", rna=True)
 
 
+#: The same letters, counted by position and base.
+LETTERS = logo.Alphabet(dict.fromkeys("aei", "A") | dict.fromkeys("oun", "C") | dict.fromkeys("tsr", "G") | {" ": "-"}, "T", 76)
+
+
+def letter_counts(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*keys, "text")
+    return logo.letter_sums(logo.letter_arrays(docs, "text", LETTERS), list(keys), LETTERS)
+
+
 @query(f"""SELECT location, base, count(*) AS n FROM (SELECT base, CAST(position AS VARCHAR) AS position FROM ({BASES})) JOIN {DIMENSION} USING (position) WHERE position NOT IN ('74', '75', '76') AND NOT gap GROUP BY ALL""")
 def logo_positions(spark, sf_dir):
-    rows = letters(spark, sf_dir).groupBy(F.col("position").cast("string").alias("position"), "base").agg(F.count("*").alias("n"))
+    rows = letter_counts(spark, sf_dir).withColumn("position", F.col("position").cast("string"))
     x = rows.join(positions.dimension(spark), "position").withColumn("feature", F.lit("tRNA"))
     return logo.logo_entries(x, "sprinzl", drop_pseudogenes=True).groupBy("location", "base").agg(F.sum("n").alias("n"))
 
@@ -542,8 +551,9 @@ def corr_spearman(spark, sf_dir):
     return rounded(scale.correlations(means, "l_partkey", "spearman"), "r", "r2", digits=4)
 
 
-#: All pairs of features take too long in SQL for the whole table; tests compare the operator with its definition.
-@query()
+@query(f"""WITH {MEANS.format(f='l_partkey', g='l_returnflag', items='SELECT * FROM lineitem')},
+o AS (SELECT a.g1, a.g2, sum(sign(a.x - b.x) * sign(a.y - b.y)) AS s, sum(abs(sign(a.x - b.x))) AS n, sum(abs(sign(a.y - b.y))) AS m FROM p a JOIN p b ON a.g1 = b.g1 AND a.g2 = b.g2 GROUP BY a.g1, a.g2),
+r AS (SELECT g1, g2, s / (sqrt(n) * sqrt(m)) AS r FROM o) SELECT g1, g2, round(r, 6) AS r, round(r * r, 6) AS r2 FROM r""")
 def corr_kendall(spark, sf_dir):
     means = scale.group_means(table(spark, sf_dir, "lineitem"), "l_partkey", "l_returnflag", "l_quantity")
     return rounded(scale.correlations(means, "l_partkey", "kendall"), "r", "r2")
@@ -601,9 +611,7 @@ def base_matrix(spark, sf_dir):
 
 
 def bases_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = letters(spark, sf_dir).select("lang", "position", *((F.col("base") == b).cast("double").alias(n) for b, n in zip("ACGT", ("adenines", "cytosines", "guanines", "thymines"), strict=True)))
-    types = {"adenines": "A", "cytosines": "C", "guanines": "G", "thymines": "T"}
-    return logo.base_matrix(matrix.to_long(wide, ["lang", "position"], list(types)), "lang", "position", "coverage", "value", types)
+    return logo.frequency_matrix(letter_counts(spark, sf_dir, "lang"), ["lang", "position"])
 
 
 WEIGHTED = f"""b AS ({BASES}), w AS (SELECT doc_id, n_chars / 100.0 AS weight FROM documents WHERE n_chars >= 20), s AS (SELECT lang, position, base, sum(weight) AS n FROM b JOIN w USING (doc_id) WHERE base <> '-' GROUP BY ALL),
@@ -611,9 +619,11 @@ m AS (SELECT lang, position, base, coalesce(n, 0) + 20 AS n FROM (SELECT DISTINC
 
 
 def weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reads_ = table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").alias("reads"))
+    docs = table(spark, sf_dir, "documents")
+    reads_ = docs.select("doc_id", F.col("n_chars").alias("reads"))
     weights = select.enough(reads_, ["doc_id"], "reads", 20).select("doc_id", (F.col("reads") / 100).alias("weight"))
-    return logo.weighted_matrix(letters(spark, sf_dir), weights, "doc_id", ["lang", "position"])
+    counts = logo.letter_arrays(docs.select("doc_id", "lang", "text"), "text", LETTERS).join(weights, "doc_id")
+    return logo.with_pseudocount(logo.letter_sums(counts, ["lang"], LETTERS, "weight"), ["lang", "position"])
 
 
 @query(f"WITH {WEIGHTED} SELECT lang, position, base, round(n, 4) AS n FROM m")
@@ -633,7 +643,7 @@ ref AS (SELECT lang, position, CASE WHEN share < 0.35 THEN '' ELSE base END AS c
 
 @query(f"WITH {REFERENCE} SELECT lang, position, consensus, round(share, 6) AS share FROM ref")
 def consensus(spark, sf_dir):
-    return rounded(logo.reference_consensus(letters(spark, sf_dir), ["lang", "position"]), "share")
+    return rounded(logo.reference_consensus(letter_counts(spark, sf_dir, "lang"), ["lang", "position"], number="n"), "share")
 
 
 @query(f"""WITH {REFERENCE}, m AS (SELECT lang, position, t AS base, round(20 + avg(CASE WHEN base = t THEN 1.0 ELSE 0 END), 9) AS n FROM b CROSS JOIN (SELECT unnest(['A', 'C', 'G', 'T']) AS t) GROUP BY ALL),
@@ -641,13 +651,13 @@ r AS (SELECT *, n / sum(n) OVER (PARTITION BY lang, position) AS share, row_numb
 SELECT lang, position, CASE WHEN r.share < 0.25 THEN '' WHEN ref.consensus = '-' THEN '-' ELSE base END AS consensus, round(r.share, 6) AS share FROM r JOIN ref USING (lang, position) WHERE place = 1""")
 def read_consensus(spark, sf_dir):
     keys = ["lang", "position"]
-    reference = logo.reference_consensus(letters(spark, sf_dir), keys)
+    reference = logo.reference_consensus(letter_counts(spark, sf_dir, "lang"), keys, number="n")
     return rounded(logo.read_consensus(rounded(bases_by_language(spark, sf_dir), "n", digits=9), reference, keys, 0.25), "share")
 
 
 @query(f"SELECT lang, position, count(DISTINCT base) = 1 AS is_identical FROM ({BASES}) GROUP BY ALL")
 def column_identity(spark, sf_dir):
-    return logo.identical(letters(spark, sf_dir), ["lang", "position"])
+    return logo.identical(letter_counts(spark, sf_dir, "lang"), ["lang", "position"])
 
 
 @query("WITH m AS (SELECT l_returnflag, l_linenumber, sum(l_discount) AS v FROM lineitem GROUP BY ALL) SELECT l_returnflag, l_linenumber, round(v / max(v) OVER (PARTITION BY l_returnflag), 6) AS scaled FROM m")

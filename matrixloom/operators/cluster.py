@@ -2,61 +2,245 @@
 
 Rows within ``eps`` of at least ``min_samples`` rows (themselves included) are core rows; core rows within ``eps`` of each other
 are linked; components of at least ``min_cluster_size`` are clusters, everything else is noise (-1).
+
+Rows meet by an exact radius join. Vectors are turned to principal axes (any orthonormal axes are right; these prune best). Along the first
+axes rows lie in cells of side ``eps``: rows at most ``eps`` apart lie in the same cell or in two that touch, and meet in one of them. A meeting of
+more than ``tile`` rows is cut into tiles that meet pairwise in tasks of their own. Within a task rows are sorted into strips; by Cauchy-Schwarz two
+vectors are at least as far apart as their leading coordinates and the lengths of what remains, so strips whose boxes of these are further than ``eps``
+apart are not compared. Of what is compared only counts, or the edges of a spanning forest, leave the task, never all pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from itertools import product
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..tables import stored
+from ..tables import dealt, stored
 from .components import components
 
+#: Rows that the axes are taken from; leading coordinates of boxes; rows of a strip.
+SAMPLE, LEADING, STRIP = 10_000, 8, 256
+
+
+def axes(rows: DataFrame, vector: str) -> tuple[np.ndarray, np.ndarray]:
+    """The middle and the principal axes (columns, the widest first) of a sample of at most ``SAMPLE`` vectors.
+
+    They only decide how well the join prunes: it is exact for any.
+    """
+    drawn = [r[0] for r in rows.select(vector).limit(SAMPLE).collect()]
+    width = max((len(v) for v in drawn), default=0)
+    matrix = np.zeros((len(drawn), width))
+    for i, v in enumerate(drawn):
+        matrix[i, : len(v)] = v
+    if not matrix.size:
+        return np.zeros(width), np.eye(width)
+    middle = matrix.mean(0)
+    return middle, np.linalg.svd(matrix - middle, full_matrices=True)[2].T if len(drawn) <= width else np.linalg.eigh(np.cov(matrix.T).reshape(width, width))[1][:, ::-1]
+
+
+@dataclass
+class Join:
+    """Rows by the tasks in which they meet: (cell, lo, hi, own, home, id, n, v), each run of equal (cell, lo, hi) whole in one partition.
+
+    ``home``: whether the row lies in the cell; others are visitors from cells next to it, so that every pair meets once.
+    """
+
+    meet: DataFrame
+    middle: np.ndarray
+    turn: np.ndarray
+    eps: float
+
+
+def placed(rows: DataFrame, eps: float, tile: int, cells: int = 2) -> Join:
+    """The radius join of ``rows`` (id, n, v: array of finite doubles, of one width)."""
+    middle, turn = axes(rows, "v")
+    width = len(middle)
+    cells = min(cells, width)
+    names = [f"c{i}" for i in range(cells)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = (matrix_of(batch.column("v"), width) - middle) @ turn[:, :cells]
+            # A little wider than eps: coordinates are rounded.
+            at = np.floor(v / (eps * (1 + 1e-9) + 1e-12)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "n", "v")), *map(pa.array, at.T)], ["id", "n", "v", *names])
+
+    turned = rows.select("id", "n", "v").mapInArrow(run, "id long, n long, v array<double>" + "".join(f", {c} long" for c in names))
+    turned = stored(turned, "turned")
+    # Half of the cells around one, so that two cells meet in one of them only.
+    steps = [s for s in product((-1, 0, 1), repeat=cells) if s > (0,) * cells]
+    here = F.array(*names) if cells else F.array().cast("array<long>")
+    spots = [F.struct(here.alias("cell"), F.lit(True).alias("home"))]
+    spots += [F.struct(F.array(*(F.col(c) - s for c, s in zip(names, step, strict=True))).alias("cell"), F.lit(False).alias("home")) for step in steps]
+    every = turned.withColumn("at", F.explode(F.array(*spots)))
+    held = every.select("at").groupBy("at.cell").agg(F.count("*").alias("rows"), F.max("at.home").alias("lived_in"))
+    known = stored(held.filter("lived_in").select("cell", F.ceil(F.col("rows") / tile).alias("tiles")), "cells")
+    cut = every.select("id", "n", "v", "at.cell", "at.home").join(known, "cell")
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("id"), "tiles")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    cut = cut.select("cell", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "home", "id", "n", "v")
+    return Join(cut.repartition("cell", "lo", "hi").sortWithinPartitions("cell", "lo", "hi"), middle, turn, eps)
+
+
+def matrix_of(column: pa.Array, width: int) -> np.ndarray:
+    """Lists as rows, filled with zeros."""
+    sizes = np.diff(column.offsets.to_numpy())
+    out = np.zeros((len(column), width))
+    out[np.arange(width) < sizes[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+    return out
+
+
+class Met:
+    """Rows of one meeting, and how many pairs of them were compared."""
+
+    def __init__(self, v: np.ndarray, join: tuple[np.ndarray, np.ndarray, float], cross_only: bool, own: np.ndarray, home: np.ndarray):
+        middle, turn, eps = join
+        turned = (v - middle) @ turn
+        lead = turned[:, :LEADING]
+        rest = np.sqrt((turned[:, LEADING:] ** 2).sum(1))
+        key = lead[:, min(2, lead.shape[1] - 1)] if lead.shape[1] else rest
+        self.order = np.argsort(key, kind="stable")
+        self.v, self.own, self.home = v[self.order], own[self.order], home[self.order]
+        self.box = np.concatenate([lead, rest[:, None]], axis=1)[self.order]
+        self.eps, self.cross_only, self.compared = eps, cross_only, 0
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(i, j, distance) of rows at most eps apart, each pair once, by places in the given order."""
+        starts = np.arange(0, len(self.v), STRIP)
+        low, high = np.minimum.reduceat(self.box, starts, axis=0), np.maximum.reduceat(self.box, starts, axis=0)
+        square = (self.v**2).sum(1)
+        for s, a in enumerate(starts.tolist()):
+            gap = np.maximum(0, np.maximum(low[s:] - high[s], low[s] - high[s:]))
+            near = s + np.flatnonzero((gap**2).sum(1) <= (self.eps * (1 + 1e-9)) ** 2 + 1e-12)
+            j_all = np.concatenate([np.arange(starts[t], min(starts[t] + STRIP, len(self.v))) for t in near.tolist()])
+            i_all = np.arange(a, min(a + STRIP, len(self.v)))
+            may = (i_all[:, None] < j_all) & (self.home[i_all][:, None] | self.home[j_all])
+            if self.cross_only:
+                may &= self.own[i_all][:, None] != self.own[j_all]
+            self.compared += int(may.sum())
+            about = square[i_all][:, None] + square[j_all] - 2 * self.v[i_all] @ self.v[j_all].T
+            slack = 1e-9 * (square[i_all].max(initial=0) + square[j_all].max(initial=0) + self.eps**2)
+            i, j = np.nonzero(may & (about <= self.eps**2 + slack))
+            i, j = i_all[i], j_all[j]
+            for k in range(0, len(i), 1 << 16):
+                x, y = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
+                d = np.sqrt(((self.v[x] - self.v[y]) ** 2).sum(1))
+                keep = d <= self.eps
+                yield self.order[x[keep]], self.order[y[keep]], d[keep]
+
+
+def meetings(join: Join, schema: str, made: Callable[[np.ndarray, np.ndarray, Met], pa.RecordBatch]) -> DataFrame:
+    """``made`` (ids, weights, met) of every meeting."""
+    how = join.middle, join.turn, join.eps
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None
+        for batch in batches:
+            held = batch if held is None else pa.concat_batches([held, batch])
+            ends = whole_runs(held)
+            for a, b in zip([0, *ends], ends, strict=False):
+                yield one(held.slice(a, b - a))
+            held = held.slice(ends[-1]) if ends else held
+        if held is not None and held.num_rows:
+            yield one(held)
+
+    def one(run: pa.RecordBatch) -> pa.RecordBatch:
+        own, home, ids, n = (run.column(c).to_numpy(zero_copy_only=False) for c in ("own", "home", "id", "n"))
+        return made(ids, n, Met(matrix_of(run.column("v"), len(how[0])), how, run.column("lo")[0] != run.column("hi")[0], own, home))
+
+    return join.meet.mapInArrow(run, schema)
+
+
+def whole_runs(batch: pa.RecordBatch) -> list[int]:
+    """Where runs of equal (cell, lo, hi) end; the last run is left out, since it may go on."""
+    lo, hi = batch.column("lo").to_numpy(), batch.column("hi").to_numpy()
+    cell = matrix_of(batch.column("cell"), int(np.diff(batch.column("cell").offsets.to_numpy()).max(initial=0))).astype(np.int64)
+    new = (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]) | (cell[1:] != cell[:-1]).any(1)
+    return (np.flatnonzero(new) + 1).tolist()
+
+
+def neighbours(df: DataFrame, row: str, vector: str, eps: float, tile: int = 4096) -> DataFrame:
+    """(a, b, d): all pairs a < b of rows at a distance of at most ``eps``. Rows need vectors of one width.
+
+    There are as many rows as pairs: clusters are made from counts and forests instead.
+    """
+    rows = df.select(F.col(row).cast("long").alias("id"), F.lit(1).cast("long").alias("n"), F.col(vector).cast("array<double>").alias("v"))
+
+    def made(ids: np.ndarray, n: np.ndarray, met: Met) -> pa.RecordBatch:
+        found = [*met.pairs(), (np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
+        i, j, d = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j])), pa.array(d)], ["a", "b", "d"])
+
+    return meetings(placed(sound(rows), eps, tile), "a long, b long, d double", made)
+
+
+def sound(rows: DataFrame) -> DataFrame:
+    """Rows whose vector v is there, and finite throughout."""
+    return rows.filter(F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False)))
+
+
+def counted(join: Join) -> DataFrame:
+    """(id, near): weight of the other rows within ``eps`` of each row that has any; compared: pairs compared in the row's meeting (in one row of each)."""
+
+    def made(ids: np.ndarray, n: np.ndarray, met: Met) -> pa.RecordBatch:
+        near = np.zeros(len(ids), np.int64)
+        for i, j, _ in met.pairs():
+            np.add.at(near, i, n[j])
+            np.add.at(near, j, n[i])
+        compared = np.zeros(len(ids), np.int64)
+        compared[:1] = met.compared
+        some = (near > 0) | (compared > 0)
+        return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(near[some]), pa.array(compared[some])], ["id", "near", "compared"])
+
+    return meetings(join, "id long, near long, compared long", made).groupBy("id").agg(F.sum("near").alias("near"), F.sum("compared").alias("compared"))
+
+
+def forest(join: Join) -> DataFrame:
+    """Edges (u, v) that join all rows within ``eps`` of each other: a spanning forest of each meeting."""
+
+    def made(ids: np.ndarray, n: np.ndarray, met: Met) -> pa.RecordBatch:
+        root = np.arange(len(ids))
+        for i, j, _ in met.pairs():
+            joined(root, i, j)
+        child = np.flatnonzero(root != np.arange(len(ids)))
+        return pa.RecordBatch.from_arrays([pa.array(ids[child]), pa.array(ids[root[child]])], ["u", "v"])
+
+    return meetings(join, "u long, v long", made)
+
 
-def distance(a: str, b: str) -> Column:
-    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
+def joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Let ``root`` (each row's smallest so far, flat) join the sets of a and b."""
+    while len(a):
+        x, y = root[a], root[b]
+        open_ = x != y
+        a, b, x, y = a[open_], b[open_], x[open_], y[open_]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(up := root[root], root):
+            root[:] = up
 
 
-def neighbours(df: DataFrame, row: str, vector: str, eps: float, pivots: int = 64) -> DataFrame:
-    """(a, b, d): pairs a < b of rows at a distance of at most ``eps``; equal vectors should be one row.
+def density_clusters(df: DataFrame, row: str, vector: str, eps: float, min_samples: int = 6, min_cluster_size: int = 10, tile: int = 4096) -> DataFrame:
+    """(id, label): cluster number from 0, largest cluster first, or -1. Equal vectors are compared once and count as often as they occur.
 
-    Each row has its home at the nearest of ``pivots`` rows. A neighbour of a row lies no more than 2 eps further from its own
-    nearest pivot than from this one, so it also visits each pivot that is at most 2 eps further than its home, and rows meet where
-    one is at home. Of those, pairs whose distances to that pivot differ by more than eps are dropped before vectors are compared. No pair
-    is missed; how many meet depends on how far the data spread against eps.
+    Vectors need one width; those that are null or hold null or non-finite numbers are noise.
     """
-    rows = df.select(F.col(row).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    chosen = rows.orderBy(F.xxhash64("id"), "id").limit(pivots).collect()
-    if not chosen:
-        return rows.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("d")).limit(0)
-    axes = [F.struct(F.lit(i).alias("cell"), F.sqrt(F.aggregate(F.zip_with("v", F.array(*map(F.lit, r["v"])), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)).alias("far")) for i, r in enumerate(chosen)]
-    placed = stored(rows.withColumn("cells", F.array(*axes)).withColumn("home", F.array_min(F.transform("cells", lambda c: F.struct(c["far"].alias("far"), c["cell"].alias("cell"))))), "homes")
-    left = placed.select(F.col("home.cell").alias("cell"), F.col("home.far").alias("fa"), F.col("id").alias("a"), F.col("v").alias("va"))
-    visits = F.explode(F.filter("cells", lambda c: c["far"] <= F.col("home.far") + 2 * eps + 1e-9)).alias("c")
-    right = placed.select(F.col("id").alias("b"), F.col("v").alias("vb"), F.col("home.cell").alias("hb"), visits).select("c.cell", F.col("c.far").alias("fb"), "b", "vb", "hb")
-    # Two rows that are at home in one cell meet there once; others meet in both homes and count in the lesser one's.
-    met = left.join(right, "cell").filter((F.abs(F.col("fa") - F.col("fb")) <= eps + 1e-9) & (F.col("a") != F.col("b")) & ((F.col("hb") > F.col("cell")) | ((F.col("hb") == F.col("cell")) & (F.col("a") < F.col("b")))))
-    near = met.withColumn("d", distance("va", "vb")).filter(F.col("d") <= eps)
-    return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "d")
-
-
-def density_clusters(df: DataFrame, row: str, vector: str, eps: float, min_samples: int = 6, min_cluster_size: int = 10) -> DataFrame:
-    """(id, label): cluster number from 0, largest cluster first, or -1. Equal vectors are compared once and count as often as they occur."""
-    rows = stored(df.select(F.col(row).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")), "vectors")
-    nodes = stored(rows.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("n")), "nodes")
-    pairs = stored(neighbours(nodes, "id", "v", eps), "pairs")
-    weight = nodes.select(F.col("id").alias("other"), F.col("n").alias("weight"))
-    ends = pairs.select(F.col("a").alias("id"), F.col("b").alias("other")).unionAll(pairs.select(F.col("b").alias("id"), F.col("a").alias("other"))).join(weight, "other")
-    around = nodes.join(ends.groupBy("id").agg(F.sum("weight").alias("near")), "id", "left").withColumn("near", F.col("n") + F.coalesce("near", F.lit(0)))
-    core = stored(around.filter(F.col("near") >= min_samples).select("id", "n"), "core")
-    linked = pairs.join(core.select(F.col("id").alias("a")), "a", "left_semi").join(core.select(F.col("id").alias("b")), "b", "left_semi")
-    roots = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    member = core.join(roots, core.id == roots.node, "left").select("id", "n", F.coalesce("root", "id").alias("root"))
+    keyed = df.select(F.col(row).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    keyed = keyed.withColumns({"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(1), "v")})  # 128 bits stand for a vector
+    nodes = stored(sound(keyed).groupBy("h1", "h2", "v").agg(F.min("id").alias("id"), F.count("*").alias("n")), "nodes")
+    near = counted(placed(nodes, eps, tile))
+    core = stored(nodes.join(near, "id", "left").filter(F.col("n") + F.coalesce("near", F.lit(0)) >= min_samples).select("id", "n", "v", "h1", "h2"), "core")
+    roots = components(forest(placed(core, eps, tile)))
+    member = core.join(roots, core.id == roots.node, "left").select("h1", "h2", "n", F.coalesce("root", "id").alias("root"))
     sizes = member.groupBy("root").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_cluster_size)
     numbered = sizes.select("root", (F.row_number().over(W.orderBy(F.desc("n"), "root")) - 1).alias("label"))  # clusters, not rows
-    named = member.drop("n").join(numbered, "root").join(nodes.drop("n"), "id").select(F.col("v").alias("known"), "label")
-    return rows.join(named, F.col("v") == F.col("known"), "left").select("id", F.coalesce("label", F.lit(-1)).alias("label"))
+    named = stored(member.join(numbered, "root").select("h1", "h2", "label"), "labels")
+    return dealt(keyed.select("id", "h1", "h2"), named, ["h1", "h2"]).select("id", F.coalesce("label", F.lit(-1)).alias("label"))
 
 
 def attach(df: DataFrame, clusters: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -77,8 +82,42 @@ def entity_order(compared: DataFrame) -> DataFrame:
     return means.withColumn("place", F.row_number().over(W.orderBy("mean_abs", "entity")) - 1)
 
 
+def ends(df: DataFrame, keys: tuple[str, ...], value: str, tie: str, bound: int) -> DataFrame:
+    """Each task's rows that may be among the ``bound`` largest or smallest of their keys, ties by ``tie``: 2 x ``bound`` a task and key.
+
+    A null is the smallest value and NaN the largest, as in sorting.
+    """
+
+    def cut(table: pa.Table) -> pa.Table:
+        values = table[value].combine_chunks()
+        level = np.unique(values.to_numpy(zero_copy_only=False), return_inverse=True)[1] + 1  # NaN is the last
+        level[values.is_null().to_numpy(zero_copy_only=False)] = 0
+        name = pc.rank(table[tie].combine_chunks(), sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64)
+        key = np.zeros(len(level), np.int64)
+        for k in keys:
+            code = table[k].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy().astype(np.int64)
+            key = np.unique(np.array([key, code]), axis=1, return_inverse=True)[1].ravel()
+        keep = np.zeros(len(level), bool)
+        for order in (np.lexsort((name, -level, key)), np.lexsort((name, level, key))):
+            start = np.searchsorted(key[order], key[order])
+            keep[order] |= np.arange(len(order)) - start < bound
+        return table.filter(pa.array(keep))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if len(held) > 16:
+                held = cut(pa.Table.from_batches(held)).combine_chunks().to_batches()
+        if held and sum(b.num_rows for b in held):
+            yield from cut(pa.Table.from_batches(held)).to_batches()
+
+    return df.mapInArrow(run, df.schema)
+
+
 def heatmap(diff: DataFrame, bound: int = 25, keys: tuple[str, ...] = ("g1", "g2")) -> DataFrame:
-    """The ``bound`` largest and smallest fold changes of each pair, each row once, with -log10 p."""
+    """The ``bound`` largest and smallest fold changes of each pair, each row once, with -log10 p. Only each task's ends are shuffled."""
+    diff = ends(diff, keys, "log2fc", "feature", bound)
     up = F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("log2fc"), "feature"))
     down = F.row_number().over(W.partitionBy(*keys).orderBy("log2fc", "feature"))
     out = diff.withColumn("up", up).withColumn("down", down).filter((F.col("up") <= bound) | (F.col("down") <= bound))

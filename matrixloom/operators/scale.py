@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import PCA
@@ -11,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..tables import stored
+from .quantiles import quantiles
 
 
 def group_means(df: DataFrame, feature: str, group: str, value: str, least: float | None = None, by: tuple[str, ...] = ()) -> DataFrame:
@@ -81,47 +84,76 @@ def inversions(y: np.ndarray, n: np.ndarray) -> int:
     return total
 
 
-def kendall(pairs: DataFrame, keys: list[str], size: int = 4096) -> DataFrame:
-    """Kendall's tau-b. Discordant pairs are counted by blocks of about ``size`` ranks on either side: between blocks from the
-    cells' counts, inside blocks by inversions. A value that fills a block is a block of its own and has none inside."""
+def kendall(pairs: DataFrame, keys: list[str], size: int = 4096, fan: int = 256) -> DataFrame:
+    """Kendall's tau-b. Discordant pairs are counted by a merge sort over blocks of about ``size`` ranks of x.
+
+    Blocks form a tree with ``fan`` children a node. Pairs of one block are counted by inversions; pairs of two blocks meet at one level
+    of the tree, where a node's points are sorted by y: into chunks of about ``size``, counted by inversions of the child's number inside, and
+    between chunks from the chunks' counts by child. Each level handles each point once and has fan / size counts a point, so the work
+    is n log n. A value that fills a block or chunk is one of its own, and has no inversions.
+    """
     points = stored(pairs.groupBy(*keys, "x", "y").agg(F.count("*").alias("n")), "points")
-    blocks = {}
-    for c in ("x", "y"):
-        places = below(points.groupBy(*keys, c).agg(F.sum("n").alias("n")), keys, c)
-        number = 2 * F.floor(F.col("below") / size) + F.when(F.col("n") > size, 1).otherwise(0)
-        blocks[c] = stored(places.select(*keys, c, number.alias(f"b{c}"), F.col("n").alias(f"n{c}")), "blocks")
-    placed = stored(points.join(blocks["x"], [*keys, "x"]).join(blocks["y"], [*keys, "y"]), "placed")
-
-    def counted(*by: str) -> DataFrame:
-        def count(table: pa.Table) -> pa.Table:
-            rows = table.sort_by([("x", "ascending"), ("y", "ascending")])
-            found = inversions(rows["y"].to_numpy(), rows["n"].to_numpy())
-            return pa.table({**{k: table[k].slice(0, 1) for k in keys}, "d": pa.array([found], pa.int64())})
-
-        # A block of one value has no inversions and may be of any size.
-        single = [f"n{c[1]} <= {size}" for c in by]
-        schema = ", ".join(f"`{k}` {placed.schema[k].dataType.simpleString()}" for k in keys) + ", d long"
-        return placed.filter(" and ".join(single)).groupBy(*keys, *by).applyInArrow(count, schema).groupBy(*keys).agg(F.sum("d").alias("_".join(by)))
-
-    cells = placed.groupBy(*keys, "bx", "by").agg(F.sum("n").alias("c"))
-    grid = placed.select(*keys, "bx").distinct().join(placed.select(*keys, "by").distinct(), keys).join(cells, [*keys, "bx", "by"], "left").fillna(0, ["c"])
-    lower = F.coalesce(F.sum("c").over(W.partitionBy(*keys, "bx").orderBy("by").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    later = F.coalesce(F.sum("lower").over(W.partitionBy(*keys, "by").orderBy(F.desc("bx")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    across = grid.withColumn("lower", lower).withColumn("later", later).groupBy(*keys).agg(F.sum(F.col("c") * F.col("later")).alias("across"))
+    blocks = with_block(points.groupBy(*keys, "x").agg(F.sum("n").alias("n")), keys, "x", size)
+    placed = stored(points.join(blocks.withColumnsRenamed({"block": "bx", "alone": "ax"}), [*keys, "x"]), "placed")
+    most = placed.agg(F.max("bx")).first()[0] or 0
+    # A block of one value has no inversions and may be of any size.
+    parts = [discordant(placed.filter("not ax"), keys, ["bx"], "x")]
+    width = 1
+    while width <= most:
+        node = placed.withColumn("node", F.floor(F.col("bx") / (width * fan))).withColumn("child", F.floor(F.col("bx") / width) % fan)
+        parts += merged(node.groupBy(*keys, "node", "child", "y").agg(F.sum("n").alias("n")), keys, size, fan)
+        width *= fan
+    against = reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(F.sum("d").alias("discordant"))
 
     def ties(*by: str) -> DataFrame:
         return points.groupBy(*keys, *by).agg(F.sum("n").alias("n")).groupBy(*keys).agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("_".join(["ties", *by])))
 
-    out = across
-    for part in (counted("bx"), counted("by"), counted("bx", "by"), ties(), ties("x"), ties("y"), ties("x", "y")):
+    out = ties()
+    for part in (against, ties("x"), ties("y"), ties("x", "y")):
         out = out.join(part, keys, "left")
-    zero = {n: F.coalesce(F.col(n), F.lit(0)) for n in ("bx", "by", "bx_by")}
-    discordant = F.col("across") + zero["bx"] + zero["by"] - zero["bx_by"]
     both = F.col("ties") - F.col("ties_x") - F.col("ties_y") + F.col("ties_x_y")  # concordant and discordant
-    tau = F.try_divide(both - 2 * discordant, F.sqrt(F.col("ties") - F.col("ties_x")) * F.sqrt(F.col("ties") - F.col("ties_y")))
+    tau = F.try_divide(both - 2 * F.coalesce("discordant", F.lit(0)), F.sqrt(F.col("ties") - F.col("ties_x")) * F.sqrt(F.col("ties") - F.col("ties_y")))
     return out.select(*keys, tau.alias("r")).withColumn("r2", F.col("r") * F.col("r"))
 
 
+def with_block(counts: DataFrame, keys: list[str], value: str, size: int) -> DataFrame:
+    """(keys, value, block, alone): blocks of about ``size`` in the order of values; ``alone``: the value has one to itself."""
+    places = below(counts, keys, value)
+    alone = F.col("n") > size
+    return places.select(*keys, value, (2 * F.floor(F.col("below") / size) + alone.cast("int")).alias("block"), alone.alias("alone"))
+
+
+def discordant(points: DataFrame, keys: list[str], block: list[str], x: str) -> DataFrame:
+    """(keys, d): pairs within blocks that x and y order differently. Blocks are bounded."""
+
+    def count(table: pa.Table) -> pa.Table:
+        rows = table.sort_by([(x, "ascending"), ("y", "ascending")])
+        found = inversions(rows["y"].to_numpy(), rows["n"].to_numpy())
+        return pa.table({**{k: table[k].slice(0, 1) for k in keys}, "d": pa.array([found], pa.int64())})
+
+    schema = ", ".join(f"`{k}` {points.schema[k].dataType.simpleString()}" for k in keys) + ", d long"
+    return points.groupBy(*keys, *block).applyInArrow(count, schema)
+
+
+def merged(points: DataFrame, keys: list[str], size: int, fan: int) -> list[DataFrame]:
+    """(keys, d): discordant pairs of different children of a node, of points (keys, node, child, y, n)."""
+    inner = [*keys, "node"]
+    points = stored(points, "level")
+    chunks = with_block(points.groupBy(*inner, "y").agg(F.sum("n").alias("n")), inner, "y", size)
+    dealt = stored(points.join(chunks.withColumnRenamed("block", "chunk"), [*inner, "y"]), "chunks")
+    within = discordant(dealt.filter("not alone"), keys, ["node", "chunk"], "child")
+    cells = dealt.groupBy(*inner, "chunk", "child").agg(F.sum("n").alias("c"))
+    # Of each chunk a row a child up to the last one, so that sums over lower chunks reach every cell.
+    last = cells.groupBy(*inner).agg(F.max("child").alias("last"))
+    grid = cells.select(*inner, "chunk").distinct().join(last, inner).withColumn("child", F.explode(F.sequence(F.lit(0).cast("long"), "last"))).drop("last")
+    full = grid.join(cells, [*inner, "chunk", "child"], "left").fillna(0, ["c"])
+    # Of each cell: the points of lower chunks and higher children.
+    lower = F.coalesce(F.sum("c").over(W.partitionBy(*inner, "child").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    higher = F.coalesce(F.sum("lower").over(W.partitionBy(*inner, "chunk").orderBy(F.desc("child")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    across = full.withColumn("lower", lower).withColumn("higher", higher).filter("c > 0")
+    return [within, across.groupBy(*keys).agg(F.sum(F.col("c") * F.col("higher")).alias("d"))]
+
+
 def standard_scaled(long: DataFrame, column: str, value: str) -> DataFrame:
     """Each column to mean 0 and population deviation 1; a constant column to 0."""
     stats = long.groupBy(column).agg(F.avg(value).alias("mean"), F.stddev_pop(value).alias("sd"))
@@ -130,8 +162,8 @@ def standard_scaled(long: DataFrame, column: str, value: str) -> DataFrame:
 
 
 def robust_scaled(long: DataFrame, columns: list[str], value: str) -> DataFrame:
-    """Each column less its median, over its interquartile range (1 if that is 0); percentiles are exact."""
-    stats = long.groupBy(*columns).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+    """Each column less its median, over its interquartile range (1 if that is 0); quantiles are exact."""
+    stats = quantiles(long, columns, value, [0.25, 0.5, 0.75])
     wide = F.col("q")[2] - F.col("q")[0]
     scaled = (F.col(value) - F.col("q")[1]) / F.when(wide == 0, 1.0).otherwise(wide)
     return long.join(stats, columns).withColumn("scaled", scaled).drop("q")

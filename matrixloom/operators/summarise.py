@@ -7,8 +7,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..tables import stored
+from .quantiles import quantiles
 
-METHODS = {"mean": F.avg, "median": F.median, "max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
+METHODS = {"mean": F.avg, "max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
+
+
+def statistics(known: DataFrame, keys: list[str], value: str, methods: list[str]) -> DataFrame:
+    """(keys, methods...) of rows without null keys; a median is selected, see ``quantiles``."""
+    out = known.groupBy(*keys).agg(F.count("*").alias("rows_"), *(METHODS[m](value).cast("double").alias(m) for m in methods if m != "median"))
+    if "median" in methods:
+        out = out.join(quantiles(known, keys, value, [0.5]).select(*keys, F.col("q")[0].alias("median")), keys, "left")
+    return out.select(*keys, *methods)
 
 
 def share(value: str, *keys: str) -> Column:
@@ -31,7 +40,7 @@ def bars(df: DataFrame, column: str, group: str, value: str, sort_by: str | None
     names = ["mean", "median", "max", "sum", "count"]
     known = df.dropna(subset=[column, group])
     known = known.filter(~F.coalesce(F.col(amino).isin(*excluded), F.lit(False))) if excluded else known
-    stats = known.groupBy(column, group).agg(*(METHODS[m](value).cast("double").alias(m) for m in names))
+    stats = statistics(known, [column, group], value, names)
     every = stats.select(column).distinct().crossJoin(stats.select(group).distinct())
     full = every.join(stats, [column, group], "left").fillna(0.0, names)
     full = full.withColumns({f"{m}_share": F.coalesce(share(m, group), F.lit(0.0)) for m in names})
@@ -59,7 +68,7 @@ def radar(df: DataFrame, iso: str, group: str, value: str, methods: list[str] |
     if dropped:
         known = known.filter(~F.col(iso).isin(*dropped))
     methods = methods or ["mean", "median", "max", "sum"]
-    stats = known.groupBy(*keys).agg(*(METHODS[m](value).cast("double").alias(m) for m in methods))
+    stats = statistics(known, keys, value, methods)
     long = stats.unpivot(keys, methods, "method", "value")
     cell = [k for k in keys if k != group] + ["method"]
     long = long.withColumn("percent", 100 * F.col("value") / F.nullif(F.sum("value").over(W.partitionBy(*cell)), F.lit(0.0)))
@@ -82,7 +91,7 @@ def combined(counts: DataFrame, key: str, group: str, value: str) -> DataFrame:
 def profile(df: DataFrame, entity: str, position: str, group: str, value: str, methods: list[str] | None = None) -> DataFrame:
     """Values by (entity, position, group): mean, median, max, min and sum, or those asked for."""
     known = df.dropna(subset=[entity, position, group])
-    return known.groupBy(entity, position, group).agg(*(METHODS[m](value).cast("double").alias(m) for m in methods or ["mean", "median", "max", "min", "sum"]))
+    return statistics(known, [entity, position, group], value, methods or ["mean", "median", "max", "min", "sum"])
 
 
 def band(df: DataFrame, entity: str, position: str, group: str, value: str, low: float = 20) -> DataFrame:
@@ -99,9 +108,10 @@ def profile_order(profiles: DataFrame, group: str, value: str = "mean") -> DataF
 
 
 def natural_order(name: str | Column) -> list[Column]:
-    """Sort keys: prefix up to the last hyphen, then the number after it."""
+    """Sort keys: prefix up to the last hyphen, then the number after it (of up to 38 digits; what is no number comes first)."""
     c = F.col(name) if isinstance(name, str) else name
-    return [F.regexp_extract(c, "^(.*)-[^-]*$", 1), F.expr(f"try_cast(regexp_extract({name}, '-([^-]*)$', 1) as int)") if isinstance(name, str) else F.regexp_extract(c, "-([^-]*)$", 1), c]
+    number = F.nullif(F.regexp_extract(c, "-([0-9]{1,38})$", 1), F.lit("")).cast("decimal(38,0)")
+    return [F.regexp_extract(c, "^(.*)-[^-]*$", 1), number, c]
 
 
 def natural_places(names: DataFrame, name: str) -> DataFrame:
@@ -118,8 +128,8 @@ def natural_places(names: DataFrame, name: str) -> DataFrame:
 
 
 def scaled_profile(df: DataFrame, keys: list[str], position: str, value: str, method: str = "sum") -> DataFrame:
-    """(keys, position, share): values by position scaled to 1 within ``keys``; keys without signal go."""
-    table = df.groupBy(*keys, position).agg(METHODS[method](value).cast("double").alias("value"))
+    """(keys, position, share): values by position scaled to 1 within ``keys``; keys without signal go, and rows with a null key."""
+    table = statistics(df.dropna(subset=[*keys, position]), [*keys, position], value, [method]).withColumnRenamed(method, "value")
     whole = F.sum("value").over(W.partitionBy(*keys))
     return table.withColumn("whole", whole).filter("whole <> 0").select(*keys, position, (F.col("value") / F.col("whole")).alias("share"))
 
