@@ -1,10 +1,13 @@
-"""Checks that raise or report. Those on names run no job; those on rows stop at the first offender."""
+"""Checks that raise or report. Those on names run no job, those on rows stop at the first offender.
+
+``one_a_key``, ``no_doubles`` and ``apart`` are parts of a plan: they run with it, and fail its job.
+"""
 
 from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Metadata names that the build makes itself: fixed values.
@@ -57,6 +60,27 @@ def no_duplicates(df: DataFrame, keys: list[str]) -> None:
         raise CheckError(f"duplicate key: {found[0].asDict()}")
 
 
+def one_a_key(value: Column, keys: list[str]) -> Column:
+    """An aggregate: the only value of a group; more than one row fails the job."""
+    key = F.concat_ws(", ", *(F.concat(F.lit(f"{k}="), F.first(F.col(k).cast("string"))) for k in keys))
+    return F.when(F.count(F.lit(1)) > 1, F.raise_error(F.concat(F.lit("duplicate key: "), key))).otherwise(F.first(value))
+
+
+def no_doubles(df: DataFrame, keys: list[str], item: str) -> DataFrame:
+    """(keys): the distinct keys of ``df``; an ``item`` that a key has twice fails the job. A key's items are few."""
+    sizes = df.groupBy(*keys).agg(F.count(item).alias("rows_"), F.size(F.collect_set(item)).alias("items_"))
+    key = F.concat_ws(", ", *(F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys))
+    return sizes.filter(F.when(F.col("rows_") > F.col("items_"), F.raise_error(F.concat(F.lit(f"duplicate {item}: "), key)).cast("boolean")).otherwise(True)).select(*keys)
+
+
+def apart(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """``a``; keys that are in ``b`` too fail the job. Only keys are shuffled, and one row is joined to all."""
+    shared = a.select(*keys).join(b.select(*keys), keys, "left_semi")
+    key = F.concat_ws(", ", *(F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys))
+    found = shared.agg(F.min(key).alias("in_both"))  # one row
+    return a.crossJoin(F.broadcast(found)).filter(F.when(F.col("in_both").isNotNull(), F.raise_error(F.concat(F.lit("in both: "), "in_both")).cast("boolean")).otherwise(True)).drop("in_both")
+
+
 def key_mismatch(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that only one side has, with the side."""
     left, right = a.select(*keys).distinct(), b.select(*keys).distinct()

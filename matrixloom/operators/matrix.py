@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .checks import no_duplicates
+from .checks import one_a_key
 
 #: Coverage types that are raw counts and are divided by the size factor, and the others: fixed values.
 RAW_TYPES = ["adenines", "thymines", "cytosines", "guanines", "deletions"]
@@ -22,9 +22,9 @@ def to_long(df: DataFrame, keys: list[str], measures: list[str], name: str = "co
 
 
 def to_wide(long: DataFrame, keys: list[str], column: str, value: str, columns: list, check: bool = True) -> DataFrame:
-    """One column for each of ``columns``, which are given so that no job has to find them; duplicates are an error."""
+    """One column for each of ``columns``, which are given so that no job has to find them; duplicates fail the job."""
     if check:
-        no_duplicates(long, [*keys, column])
+        long = long.groupBy(*keys, column).agg(one_a_key(F.col(value), [*keys, column]).alias(value))
     return long.groupBy(*keys).pivot(column, columns).agg(F.first(value))
 
 

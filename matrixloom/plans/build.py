@@ -16,11 +16,13 @@ def dataset(coverage: DataFrame, factors: DataFrame, unique: DataFrame, every: D
     """The tables x, obs, obs_counts, seq and positions of a run.
 
     ``unique`` and ``every``: (feature, readtype, sample, value). ``meta``: one row a sample. ``info``: the run's information.
-    The checks run here; nulls in the observations are reported by a warning.
+    Names and nulls are checked here, nulls in the observations by a warning. A feature that has a position twice in a sample, and a sample
+    that has metadata twice, fail whatever job makes obs, and so keep a dataset from being committed.
     """
     checks.metadata_names(meta.columns)
     if info is not None:
         checks.run_info(info)
+    meta = meta.groupBy("sample").agg(checks.one_a_key(F.struct(*meta.columns[1:]), ["sample"]).alias("m")).select("sample", "m.*")
     where = positions.dimension(coverage.sparkSession, compat)
     rows = coverage.withColumnsRenamed({"Feature": "feature", "Sample": "sample"})
     long = matrix.to_long(rows, ["feature", "sample", "position"], matrix.COVERAGE_TYPES)
@@ -34,9 +36,9 @@ def dataset(coverage: DataFrame, factors: DataFrame, unique: DataFrame, every: D
     )
     labelled = matrix.fragment_class(stats.join(one, ["feature", "sample"], "left").join(totals.select("feature", "sample", F.col("total_unique_norm").alias("total")), ["feature", "sample"], "left"))
     keyed = matrix.parse_keys(labelled.withColumn("key", F.concat_ws("_", "feature", "sample")), "key")
+    keyed = keyed.join(checks.no_doubles(rows, ["feature", "sample"], "position"), ["feature", "sample"])
     obs = matrix.with_metadata(keyed, meta).join(factors, "sample", "left").join(totals, ["feature", "sample"], "left")
     obs = obs.withColumns({"dataset": F.lit(name), "id": F.concat_ws("_", F.lit(name), "feature", "sample")})
-    checks.same_keys(obs, rows, ["feature", "sample"])
     if lost := checks.samples_with_nulls(obs, meta.columns[1:]).collect():  # a row a sample
         warnings.warn(f"null metadata: {[tuple(r) for r in lost]}", stacklevel=2)
     seq = rows.join(F.broadcast(where.select("position", "pos_ord")), "position", "left").select("feature", "sample", "position", "pos_ord", F.col("actualbase").alias("base"))

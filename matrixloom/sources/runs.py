@@ -1,11 +1,19 @@
-"""Readers of sequencing runs, and datasets of Parquet tables with CSV export."""
+"""Readers of sequencing runs, and datasets of Parquet tables with CSV export.
+
+Datasets and kept tables have versions. A version's tables are written to a folder of their own; then one row is appended to the table
+``commits`` beside them, which makes it the current one. So a dataset can be saved over itself in the job that reads it, a writer that fails leaves the
+last version in place, and readers keep the version that they found. Folders of old versions stay until they are cleared away.
+"""
 
 from __future__ import annotations
 
+import csv
 import json
-import re
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.checks import metadata_names
@@ -34,14 +42,24 @@ def size_factors(spark: SparkSession, path: str) -> DataFrame:
     return wide.unpivot([], wide.columns, "sample", "size_factor").withColumn("size_factor", F.col("size_factor").cast("double"))
 
 
+def delimited(spark: SparkSession, path: str, sep: str, names: list[str]) -> DataFrame:
+    """All columns as strings, quotes read, without the first line; fields beyond ``names`` go, missing and empty ones are null."""
+    schema = ", ".join(f"`c{i}` string" for i in range(len(names)))
+    options = {"sep": sep, "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    table = spark.read.options(**options).schema(schema).csv(path)
+    return table.select(*(F.nullif(f"c{i}", F.lit("")).alias(n) for i, n in enumerate(names)))
+
+
+def fields(line: str, sep: str) -> list[str]:
+    return next(csv.reader([line], delimiter=sep))
+
+
 def row_named(spark: SparkSession, path: str, key: str = "key") -> DataFrame:
     """(key, sample, value) of a table whose header lacks the row names' column."""
-    first = header(spark, path)
-    names = first.split("\t")
-    parts = F.split("value", "\t")
-    lines = spark.read.text(path).filter(F.col("value") != first)  # rows have one field more than the header
-    wide = lines.select(parts[0].alias(key), *(F.expr(f"try_cast(try_element_at(split(value, '\\t'), {i + 2}) as double)").alias(n) for i, n in enumerate(names)))
-    return nan_to_null(wide).unpivot([key], names, "sample", "value")
+    names = fields(header(spark, path), "\t")
+    wide = delimited(spark, path, "\t", [key, *(f"value {i}" for i in range(len(names)))])  # rows have one field more than the header
+    numbers = wide.select(key, *(F.expr(f"try_cast(`value {i}` as double)").alias(n) for i, n in enumerate(names)))
+    return nan_to_null(numbers).unpivot([key], names, "sample", "value")
 
 
 def split_read_types(counts: DataFrame, key: str = "key") -> tuple[DataFrame, DataFrame]:
@@ -61,17 +79,16 @@ def category_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 def metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Metadata, all strings; the separator goes by the name's ending.
+    """Metadata, all strings, quotes read; the separator goes by the name's ending.
 
     Names are checked; rows of more fields than names get further names, surplus names go.
     """
     sep = "\t" if path.endswith(".tsv") else "," if path.endswith(".csv") else " "
-    first = header(spark, path)
-    lines = spark.read.text(path).filter((F.col("value") != first) & (F.trim("value") != ""))
-    cells = F.split("value", re.escape(sep))
-    width = lines.agg(F.max(F.size(cells)).alias("n")).first()["n"]
-    names = metadata_names(first.split(sep), width)
-    return lines.select(*(F.nullif(F.get(cells, F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)))
+    # Separators outside of quotes: an even number of quotes follows.
+    outside = F.regexp_count("value", F.lit(f'{sep}(?=(?:[^"]*"[^"]*")*[^"]*$)'))
+    lines = spark.read.text(path).withColumn("line", F.monotonically_increasing_id()).filter("line > 0").filter(F.trim("value") != "")
+    width = lines.agg(F.max(outside + 1).alias("n")).first()["n"]
+    return delimited(spark, path, sep, metadata_names(fields(header(spark, path), sep), width)).na.drop("all")
 
 
 def run_info(spark: SparkSession, path: str) -> DataFrame:
@@ -89,16 +106,51 @@ def configuration(text: str) -> dict:
     return config
 
 
-def save(tables: dict[str, DataFrame], path: str, partitions: dict[str, list[str]] | None = None) -> None:
-    """Write a dataset's tables below ``path``, which must not be where they were read from."""
+COMMITS = "dataset string, version long, folder string, tables array<string>"
+
+
+def commits(spark: SparkSession, path: str) -> DataFrame:
+    """(dataset, version, folder, tables): what has been committed below ``path``."""
+    try:
+        return spark.read.schema(COMMITS).parquet(f"{path}/commits")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], COMMITS)
+
+
+def current(spark: SparkSession, path: str, dataset: str = "", version: int | None = None):
+    """The row of ``commits`` with the dataset's last version, or the one asked for; None if there is none. Of two
+    writers of one version the one with the lesser folder counts."""
+    rows = commits(spark, path).filter(F.col("dataset") == dataset)
+    rows = rows if version is None else rows.filter(F.col("version") == version)
+    return rows.orderBy(F.desc("version"), "folder").first()
+
+
+def save(tables: dict[str, DataFrame], path: str, partitions: dict[str, list[str]] | None = None, dataset: str = "") -> int:
+    """Write a dataset's tables as its next version below ``path``, which may be where they were read from; gives the version.
+
+    Fails if another writer has committed this version first.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    before = current(spark, path, dataset)
+    version = before["version"] + 1 if before else 1
+    folder = f"v{version}-{uuid.uuid4().hex}"
     for name, df in tables.items():
-        writer = df.write.mode("overwrite")
         keys = (partitions or {}).get(name)
-        (writer.partitionBy(*keys) if keys else writer).parquet(f"{path}/{name}")
+        (df.write.partitionBy(*keys) if keys else df.write).parquet(f"{path}/{folder}/{name}")
+    spark.createDataFrame([(dataset, version, folder, list(tables))], COMMITS).coalesce(1).write.mode("append").parquet(f"{path}/commits")
+    if current(spark, path, dataset, version)["folder"] != folder:
+        raise RuntimeError(f"version {version} has been committed by another writer")
+    return version
 
 
-def load(spark: SparkSession, path: str, names: list[str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{path}/{name}") for name in names}
+def load(spark: SparkSession, path: str, names: list[str] | None = None, version: int | None = None, dataset: str = "") -> dict[str, DataFrame]:
+    """Tables (all unless named) of the current version, or of the one given. Later saves do not change what was loaded."""
+    found = current(spark, path, dataset, version)
+    if found is None:
+        raise FileNotFoundError(f"no such dataset: {path}")
+    return {name: spark.read.parquet(f"{path}/{found['folder']}/{name}") for name in names or found["tables"]}
 
 
 def export_csv(tables: dict[str, DataFrame], path: str) -> None:
@@ -108,23 +160,10 @@ def export_csv(tables: dict[str, DataFrame], path: str) -> None:
         df.select(*flat).write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
 
 
-def cached_diff(spark: SparkSession, path: str, config: str, compare: str, readtype: str, cutoff: int, make, overwrite: bool = False) -> DataFrame:
-    """A differential table kept under (config, compare, readtype, cutoff): read if it is there, else made and written."""
+def cached_diff(spark: SparkSession, path: str, config: str, compare: str, readtype: str, cutoff: int, make: Callable[[], DataFrame], overwrite: bool = False) -> DataFrame:
+    """A differential table kept under (config, compare, readtype, cutoff): read if it is there, else made and committed."""
     keys = {"config_name": config, "compare": compare, "readtype": readtype, "cutoff": cutoff}
-    def there() -> Column:
-        out = F.lit(True)
-        for k, v in keys.items():
-            out = out & (F.col(k) == v)
-        return out
-
-    if not overwrite:
-        try:
-            kept = spark.read.parquet(path).filter(there())
-            if kept.limit(1).count():
-                return kept
-        except Exception as e:  # no table yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-    made = make().withColumns({k: F.lit(v) for k, v in keys.items()})
-    made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
-    return spark.read.parquet(path).filter(there())
+    dataset = json.dumps(keys, sort_keys=True)
+    if overwrite or current(spark, path, dataset) is None:
+        save({"diff": make().withColumns({k: F.lit(v) for k, v in keys.items()})}, path, dataset=dataset)
+    return load(spark, path, ["diff"], dataset=dataset)["diff"]
