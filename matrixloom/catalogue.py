@@ -175,6 +175,29 @@ def bar_subgroups(spark, sf_dir):
     return rounded(rounded(summarise.bars(rows, "sub", "l_returnflag", "l_quantity"), *SHARES), "sum", digits=4)
 
 
+@query("""WITH g AS (SELECT p_brand, l_returnflag FROM (SELECT DISTINCT p_brand FROM lineitem JOIN part ON l_partkey = p_partkey) CROSS JOIN (SELECT DISTINCT l_returnflag FROM lineitem)),
+p AS (SELECT p_brand, round(avg(CAST(p_size AS DOUBLE)), 9) AS key FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)
+SELECT p_brand, l_returnflag, row_number() OVER (ORDER BY key, p_brand, l_returnflag) - 1 AS "row" FROM g JOIN p USING (p_brand)""")
+def bar_order(spark, sf_dir):
+    bars = summarise.bars(items_of_parts(spark, sf_dir), "p_brand", "l_returnflag", "l_quantity", "p_size")
+    return summarise.bar_rows(bars, "p_brand", "l_returnflag").select("p_brand", "l_returnflag", "row")
+
+
+@query("""WITH k AS (SELECT l_suppkey, min(n_name) AS n_name FROM (SELECT s_suppkey AS l_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 9 <> 4) GROUP BY 1)
+SELECT n_name, l_returnflag, count(*) AS n, round(sum(l_quantity), 4) AS total FROM lineitem LEFT JOIN k USING (l_suppkey) GROUP BY ALL""")
+def category_lookup(spark, sf_dir):
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
+    known = table(spark, sf_dir, "supplier").filter("s_suppkey % 9 <> 4").join(nations, "s_nationkey").select(F.col("s_suppkey").alias("l_suppkey"), "n_name")
+    rows = summarise.with_category(table(spark, sf_dir, "lineitem"), known, "l_suppkey", "n_name")
+    return rounded(rows.groupBy("n_name", "l_returnflag").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("total")), "total", digits=4)
+
+
+@query("""WITH l AS (SELECT p_partkey, min(p_name) AS p_name FROM part GROUP BY 1)
+SELECT p_partkey, CASE WHEN count(*) OVER (PARTITION BY p_name) > 1 THEN p_name || ' (' || p_partkey || ')' ELSE p_name END AS p_name FROM l""")
+def label_disambiguation(spark, sf_dir):
+    return summarise.distinct_labels(table(spark, sf_dir, "part"), "p_partkey", "p_name")
+
+
 @query("SELECT l_suppkey, min(l_shipmode) AS l_shipmode FROM (SELECT l_suppkey, l_returnflag || l_linestatus AS l_shipmode FROM lineitem) GROUP BY l_suppkey")
 def label_lookup(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select("l_suppkey", F.concat("l_returnflag", "l_linestatus").alias("l_shipmode"))
@@ -584,16 +607,30 @@ def robust_scale(spark, sf_dir):
     return rounded(scale.robust_scaled(exploded(spark, sf_dir), ["dim"], "value"), "scaled", digits=5).drop("value")
 
 
-@query(f"""WITH {EXPLODED}, s AS (SELECT dim, avg(value) AS m, stddev_pop(value) AS d FROM e GROUP BY dim), z AS (SELECT dim, (value - m) / CASE WHEN d = 0 THEN 1 ELSE d END AS v FROM e JOIN s USING (dim)),
-t AS (SELECT sum(u) AS total FROM (SELECT var_samp(v) AS u FROM z GROUP BY dim)) SELECT CAST(c AS INTEGER) AS component, 1.0::DOUBLE AS length, 0.0::DOUBLE AS overlap, round(total, 4) AS total FROM t CROSS JOIN (SELECT unnest(range(1, 6)) AS c)""")
+def first_variance_sql() -> str:
+    """CTEs to ``top``: the largest eigenvalue of the covariance c, from the 2**14th power of it, by squaring."""
+    power = "m0 AS MATERIALIZED (SELECT i, j, x / max(abs(x)) OVER () AS x FROM c)"
+    for k in range(14):
+        power += f", m{k + 1} AS MATERIALIZED (SELECT i, j, x / max(abs(x)) OVER () AS x FROM (SELECT a.i, b.j, sum(a.x * b.x) AS x FROM m{k} a JOIN m{k} b ON a.j = b.i GROUP BY a.i, b.j))"
+    return power + ", top AS (SELECT (SELECT sum(c.x * m.x) FROM c JOIN m14 m ON c.i = m.j AND c.j = m.i) / (SELECT sum(x) FROM m14 WHERE i = j) AS first)"
+
+
+@query(f"""WITH {EXPLODED}, s AS (SELECT dim, avg(value) AS m, stddev_pop(value) AS d FROM e GROUP BY dim), z AS MATERIALIZED (SELECT vec_id, dim, (value - m) / CASE WHEN d = 0 THEN 1 ELSE d END AS v FROM e JOIN s USING (dim)),
+t AS (SELECT sum(u) AS total FROM (SELECT var_samp(v) AS u FROM z GROUP BY dim)), c AS MATERIALIZED (SELECT a.dim AS i, b.dim AS j, sum(a.v * b.v) / ((SELECT count(DISTINCT vec_id) FROM z) - 1) AS x FROM z a JOIN z b USING (vec_id) GROUP BY ALL), {first_variance_sql()}
+SELECT CAST(c AS INTEGER) AS component, 1.0::DOUBLE AS length, 0.0::DOUBLE AS overlap, round(total, 4) AS total, round(first, 6) AS first, 0.0::DOUBLE AS residual FROM t CROSS JOIN top CROSS JOIN (SELECT unnest(range(1, 6)) AS c)""")
 def pca_loadings(spark, sf_dir):
-    """Of each component: the length of its loadings, their largest product with another component's, and the variance of all columns."""
-    loadings, variance = scale.pca(exploded(spark, sf_dir), "vec_id", "dim", "value", list(range(64)))
+    """Of each component: the length of its loadings, their largest product with another component's, the variance of all columns and of the
+    first component, and by how much it fails to be an eigenvector of the covariance."""
+    long = exploded(spark, sf_dir)
+    loadings, variance = scale.pca(long, "vec_id", "dim", "value", list(range(64)))
     other = loadings.select("column", F.col("component").alias("other"), F.col("loading").alias("theirs"))
     products = loadings.join(other, "column").groupBy("component", "other").agg(F.sum(F.col("loading") * F.col("theirs")).alias("p"))
     each = products.groupBy("component").agg(F.max(F.when(F.col("component") == F.col("other"), F.col("p"))).alias("length"), F.max(F.when(F.col("component") != F.col("other"), F.abs("p"))).alias("overlap"))
     total = (F.col("variance") / F.col("ratio")).alias("total")
-    return rounded(rounded(each.join(variance, "component").select("component", "length", "overlap", total), "length", "overlap"), "total", digits=4)
+    first = variance.agg(F.max("variance").alias("first"))  # one row
+    left = scale.residuals(long, "vec_id", "dim", "value", loadings, variance)
+    out = each.join(variance, "component").join(left, "component").crossJoin(first).select("component", "length", "overlap", total, "first", "residual")
+    return rounded(rounded(out, "length", "overlap", "first", "residual"), "total", digits=4)
 
 
 #: A projection's coordinates depend on rounding; tests compare the variances.

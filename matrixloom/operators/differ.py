@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.stats import log2_ratio, minus_log10, nonzero, with_t_test
+from .ranking import numbered
 
 
 def group_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -79,7 +80,7 @@ def with_large(compared: DataFrame, least: float = 1) -> DataFrame:
 def entity_order(compared: DataFrame) -> DataFrame:
     """Entities by mean absolute log2 fold change, with their place from 0."""
     means = compared.groupBy("entity").agg(F.avg(F.abs("log2fc")).alias("mean_abs"))
-    return means.withColumn("place", F.row_number().over(W.orderBy("mean_abs", "entity")) - 1)
+    return numbered(means, ["mean_abs", "entity"]).withColumn("place", F.col("place").cast("int"))
 
 
 def ends(df: DataFrame, keys: tuple[str, ...], value: str, tie: str, bound: int) -> DataFrame:

@@ -189,6 +189,19 @@ def pca(long: DataFrame, row: str, column: str, value: str, columns: list, k: in
     return spark.createDataFrame(loadings, "column string, component int, loading double"), parts.crossJoin(variance).select("component", "ratio", (F.col("ratio") * F.col("total")).alias("variance"))
 
 
+def residuals(long: DataFrame, row: str, column: str, value: str, loadings: DataFrame, variances: DataFrame) -> DataFrame:
+    """(component, residual): the largest |C v - lambda v| over a component's columns, C being the covariance of the standard-scaled matrix.
+
+    Two joins with the loadings; neither C nor a row of the matrix is made.
+    """
+    scaled = standard_scaled(long, column, value).withColumn("column", F.col(column).cast("string")).select(row, "column", "scaled")
+    scores = scaled.join(loadings, "column").groupBy(row, "component").agg(F.sum(F.col("scaled") * F.col("loading")).alias("score"))
+    number = scaled.agg(F.count_distinct(row).alias("rows_"))  # one row
+    image = scaled.join(scores, row).groupBy("component", "column").agg(F.sum(F.col("scaled") * F.col("score")).alias("image"))
+    both = image.join(loadings, ["component", "column"]).join(variances, "component").crossJoin(number)
+    return both.groupBy("component").agg(F.max(F.abs(F.col("image") / (F.col("rows_") - 1) - F.col("variance") * F.col("loading"))).alias("residual"))
+
+
 def embedded(df: DataFrame, vector: str, k: int = 2) -> DataFrame:
     """``df`` with d1 ... dk: its vectors' projection on their first k principal components, signs fixed by the largest loading."""
     rows = df.withColumn("v_", array_to_vector(F.col(vector).cast("array<double>")))

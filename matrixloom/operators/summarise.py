@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..tables import stored
+from ..tables import dealt
 from .quantiles import quantiles
+from .ranking import numbered
 
 METHODS = {"mean": F.avg, "max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
 
@@ -25,13 +26,10 @@ def share(value: str, *keys: str) -> Column:
 
 
 def ordinals(df: DataFrame, column: str, by: str | None = None) -> DataFrame:
-    """(column, place): 0-based place of each value by name, or by the mean of column ``by``.
-
-    Only the distinct values are ranked, after aggregation.
-    """
+    """(column, place): 0-based place of each value by name, or by the mean of column ``by``."""
     key = F.avg(F.expr(f"try_cast({by} as double)")) if by else F.lit(0.0)
     table = df.groupBy(column).agg(key.alias("key"))
-    return table.select(column, (F.dense_rank().over(W.orderBy("key", column)) - 1).alias("place"))
+    return numbered(table, ["key", column]).select(column, F.col("place").cast("int").alias("place"))
 
 
 def bars(df: DataFrame, column: str, group: str, value: str, sort_by: str | None = None, excluded: tuple[str, ...] = (), amino: str = "amino") -> DataFrame:
@@ -49,11 +47,29 @@ def bars(df: DataFrame, column: str, group: str, value: str, sort_by: str | None
     return full.withColumn("stack_from", F.coalesce(F.sum("sum_share").over(before), F.lit(0.0)))
 
 
+def bar_rows(table: DataFrame, column: str, group: str) -> DataFrame:
+    """``bars`` with the row in which each bar is drawn, from 0: by place, then by group."""
+    return numbered(table, ["place", column, group], "row")
+
+
 def labels(df: DataFrame, key: str, label: str) -> DataFrame:
     """One label for each key: the least."""
     return df.groupBy(key).agg(F.min(label).alias(label))
 
 
+def with_category(df: DataFrame, known: DataFrame, key: str, category: str) -> DataFrame:
+    """``df`` with the category of each row's key, as a sample's group, from any table that has both; a key that has several gets the least, an unknown one null."""
+    return dealt(df, labels(known.dropna(subset=[key]), key, category), [key])
+
+
+def distinct_labels(df: DataFrame, key: str, label: str) -> DataFrame:
+    """(key, label): the keys' labels, with the key in brackets behind a label that several keys have."""
+    named = labels(df, key, label)
+    shared = named.groupBy(label).agg(F.count("*").alias("keys_")).filter("keys_ > 1")
+    out = named.join(shared, label, "left")
+    return out.select(key, F.when(F.col("keys_").isNotNull(), F.concat(F.col(label).cast("string"), F.lit(" ("), F.col(key).cast("string"), F.lit(")"))).otherwise(F.col(label).cast("string")).alias(label))
+
+
 def radar(df: DataFrame, iso: str, group: str, value: str, methods: list[str] | None = None, entity: str | None = None, dropped: tuple[str, ...] = (), least_iso: int = 3, least_percent: float = 1) -> DataFrame:
     """(iso, group, method, value, percent): each group's share of an iso in percent of the iso's total over groups.
 
@@ -104,7 +120,8 @@ def band(df: DataFrame, entity: str, position: str, group: str, value: str, low:
 
 def profile_order(profiles: DataFrame, group: str, value: str = "mean") -> DataFrame:
     """Groups by mean profile, the largest first, with their place from 0."""
-    return profiles.groupBy(group).agg(F.avg(value).alias("level")).withColumn("place", F.row_number().over(W.orderBy(F.desc("level"), group)) - 1)
+    levels = profiles.groupBy(group).agg(F.avg(value).alias("level"))
+    return numbered(levels, [F.desc("level"), group]).withColumn("place", F.col("place").cast("int"))
 
 
 def natural_order(name: str | Column) -> list[Column]:
@@ -115,16 +132,8 @@ def natural_order(name: str | Column) -> list[Column]:
 
 
 def natural_places(names: DataFrame, name: str) -> DataFrame:
-    """``names`` with the place of every row in natural order, from 1: numbers within ranges of the keys, and the ranges' offsets."""
-    keys = natural_order(name)
-    dealt = names.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    # A row's id is its range's number times 2**33 and its place in the range. Ranges come from a sample, so they are drawn once.
-    dealt = stored(dealt.withColumn("id_", F.monotonically_increasing_id()), "natural-order")
-    dealt = dealt.withColumns({"range_": F.shiftright("id_", 33), "place_": F.col("id_").bitwiseAND((1 << 33) - 1)})
-    counts = dealt.groupBy("range_").agg(F.count("*").alias("n_"))
-    before = F.coalesce(F.sum("n_").over(W.orderBy("range_").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))  # a row a range
-    out = dealt.join(F.broadcast(counts.select("range_", before.alias("before_"))), "range_")
-    return out.withColumn("place", F.col("before_") + F.col("place_") + 1).drop("id_", "range_", "place_", "before_", "n_")
+    """``names`` with the place of every row in natural order, from 1."""
+    return numbered(names, natural_order(name), start=1)
 
 
 def scaled_profile(df: DataFrame, keys: list[str], position: str, value: str, method: str = "sum") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import positions
@@ -104,3 +104,14 @@ def cluster_levels(tables: dict[str, DataFrame], eps: dict[str, float], types: l
         info.append((level, float(eps[level]), samples, size, float(cutoff), ",".join(types), ",".join(extra)))
     run = obs.sparkSession.createDataFrame(info, "level string, eps double, min_samples int, min_cluster_size int, readcutoff double, coveragetypes string, extra string")
     return tables | {"obs": out, "cluster_runinfo": run}
+
+
+def cluster_tables(tables: dict[str, DataFrame], level: str, category: str, masked: Column, name: str) -> dict[str, DataFrame] | None:
+    """Centres and the mask report of a dataset's clusters at one level; nothing, with a warning, if it has no clusters."""
+    if "cluster_runinfo" not in tables:
+        warnings.warn("the dataset has no clusters: make them first", stacklevel=2)
+        return None
+    return {
+        "centroids": cluster.centroids(tables["obs"], f"{level}_cluster", [f"{level}_d1", f"{level}_d2"], name),
+        "masked": cluster.masked_categories(tables["obs"], category, masked),
+    }

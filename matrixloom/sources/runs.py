@@ -3,6 +3,8 @@
 Datasets and kept tables have versions. A version's tables are written to a folder of their own; then one row is appended to the table
 ``commits`` beside them, which makes it the current one. So a dataset can be saved over itself in the job that reads it, a writer that fails leaves the
 last version in place, and readers keep the version that they found. Folders of old versions stay until they are cleared away.
+
+Tables can be stored in buckets of a column, as x and obs_counts by feature: what groups or joins them by it later needs no shuffle.
 """
 
 from __future__ import annotations
@@ -106,11 +108,11 @@ def configuration(text: str) -> dict:
     return config
 
 
-COMMITS = "dataset string, version long, folder string, tables array<string>"
+COMMITS = "dataset string, version long, folder string, tables array<string>, buckets map<string, struct<column: string, number: int>>"
 
 
 def commits(spark: SparkSession, path: str) -> DataFrame:
-    """(dataset, version, folder, tables): what has been committed below ``path``."""
+    """(dataset, version, folder, tables, buckets): what has been committed below ``path``."""
     try:
         return spark.read.schema(COMMITS).parquet(f"{path}/commits")
     except AnalysisException as e:
@@ -127,10 +129,10 @@ def current(spark: SparkSession, path: str, dataset: str = "", version: int | No
     return rows.orderBy(F.desc("version"), "folder").first()
 
 
-def save(tables: dict[str, DataFrame], path: str, partitions: dict[str, list[str]] | None = None, dataset: str = "") -> int:
+def save(tables: dict[str, DataFrame], path: str, partitions: dict[str, list[str]] | None = None, dataset: str = "", buckets: dict[str, tuple[str, int]] | None = None) -> int:
     """Write a dataset's tables as its next version below ``path``, which may be where they were read from; gives the version.
 
-    Fails if another writer has committed this version first.
+    ``partitions``: columns by table. ``buckets``: a column and the number of its buckets by table. Fails if another writer has committed this version first.
     """
     spark = next(iter(tables.values())).sparkSession
     before = current(spark, path, dataset)
@@ -138,8 +140,15 @@ def save(tables: dict[str, DataFrame], path: str, partitions: dict[str, list[str
     folder = f"v{version}-{uuid.uuid4().hex}"
     for name, df in tables.items():
         keys = (partitions or {}).get(name)
-        (df.write.partitionBy(*keys) if keys else df.write).parquet(f"{path}/{folder}/{name}")
-    spark.createDataFrame([(dataset, version, folder, list(tables))], COMMITS).coalesce(1).write.mode("append").parquet(f"{path}/commits")
+        writer = df.write.partitionBy(*keys) if keys else df.write
+        if name in (buckets or {}):
+            column, number = buckets[name]
+            table = f"bucketed_{uuid.uuid4().hex}"
+            writer.bucketBy(number, column).sortBy(column).option("path", f"{path}/{folder}/{name}").saveAsTable(table)
+            spark.sql(f"DROP TABLE {table}")  # its files stay
+        else:
+            writer.parquet(f"{path}/{folder}/{name}")
+    spark.createDataFrame([(dataset, version, folder, list(tables), buckets or {})], COMMITS).coalesce(1).write.mode("append").parquet(f"{path}/commits")
     if current(spark, path, dataset, version)["folder"] != folder:
         raise RuntimeError(f"version {version} has been committed by another writer")
     return version
@@ -150,7 +159,18 @@ def load(spark: SparkSession, path: str, names: list[str] | None = None, version
     found = current(spark, path, dataset, version)
     if found is None:
         raise FileNotFoundError(f"no such dataset: {path}")
-    return {name: spark.read.parquet(f"{path}/{found['folder']}/{name}") for name in names or found["tables"]}
+    out = {}
+    for name in names or found["tables"]:
+        where = f"{path}/{found['folder']}/{name}"
+        out[name] = spark.read.parquet(where)
+        if name in found["buckets"]:
+            # The session's catalogue has to know of the buckets; the files do not say.
+            column, number = found["buckets"][name]
+            table = f"{found['folder'].replace('-', '_')}_{name}"
+            fields = ", ".join(f"`{c}` {kind}" for c, kind in out[name].dtypes)
+            spark.sql(f"CREATE TABLE IF NOT EXISTS `{table}` ({fields}) USING parquet CLUSTERED BY (`{column}`) SORTED BY (`{column}`) INTO {number} BUCKETS LOCATION '{where}'")
+            out[name] = spark.table(table)
+    return out
 
 
 def export_csv(tables: dict[str, DataFrame], path: str) -> None:

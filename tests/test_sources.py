@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from matrixloom.operators import checks, matrix, merge
+from matrixloom.operators import checks, differ, matrix, merge
 from matrixloom.plans import build
 from matrixloom.sources import runs
 
@@ -48,6 +48,28 @@ def test_versions_of_a_dataset(spark, tmp_path):
     assert runs.load(spark, path, ["u"], version=1)["u"].count() == 1
 
 
+def test_buckets_spare_the_shuffle_by_feature(spark, tmp_path):
+    path = str(tmp_path / "d")
+    rows = [(f"f{i % 40}", rt, g, float(i % 13 + len(g))) for i in range(400) for rt in ("a", "b") for g in ("x", "yy")]
+    counts = spark.createDataFrame(rows, "feature string, readtype string, grp string, value double")
+    runs.save({"obs_counts": counts}, path, buckets={"obs_counts": ("feature", 8)})
+    table = runs.load(spark, path)["obs_counts"]
+    assert table.count() == 1600 and runs.load(spark, path)["obs_counts"].count() == 1600
+    own, plain = (differ.log2fc(t, "feature", "grp", "value", 0) for t in (table, counts))
+    assert sorted(map(tuple, own.collect())) == sorted(map(tuple, plain.collect()))
+    assert "hashpartitioning(feature" in plain._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(feature" not in own._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tables_of_absent_clusters_are_skipped(spark):
+    with pytest.warns(UserWarning):
+        assert build.cluster_tables({"obs": spark.range(1)}, "sample", "amino", F.lit(True), "amino") is None
+    obs = spark.createDataFrame([("A", 0, 1.0, 2.0), ("A", -1, 5.0, 5.0), ("B", 0, 3.0, 4.0)], "amino string, sample_cluster int, sample_d1 double, sample_d2 double")
+    out = build.cluster_tables({"obs": obs, "cluster_runinfo": spark.range(1)}, "sample", "amino", F.col("sample_cluster") < 0, "amino")
+    assert [(r.sample_d1, r.sample_d2, r.name, r.n) for r in out["centroids"].collect()] == [(2.0, 3.0, "A", 2)]
+    assert {(r.amino, r.state) for r in out["masked"].collect()} == {("A", "partial"), ("B", "none")}
+
+
 def test_failed_save_leaves_the_last_version(spark, tmp_path):
     path = str(tmp_path / "d")
     runs.save({"t": spark.range(3).toDF("x")}, path)
