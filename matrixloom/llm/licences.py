@@ -1,10 +1,11 @@
 """Licence recognition by sentences.
 
 A text is cut into sentences, which end at a stop, mark or semicolon before white space, or at a blank line; a sentence may go on
-over line ends, and a line, or the lines from any one to the sentence's end, may be a sentence as well, so that headings and wrapping do no
+over line ends, and a line, or the lines from any one to the sentence's end or to a colon at a line's end, may be a sentence as well, so that headings and wrapping do no
 harm. Each is normalised (lower case, letters, digits and dots in numbers, single blanks) and mapped to the identifier of a known licence
 sentence, if it is one. The text's sequence of identifiers is matched against ordered rules: a rule holds if its identifiers occur in
-its order with at most ``gap`` other known sentences in between. The first rules take their sentences first, so that a specific licence hides a
+its order with at most ``gap`` other known sentences in between. List marks are not read, owners' names and the tails of notices are slots that any words fill,
+and a notice or an SPDX expression that names several licences counts as one notice for each. The first rules take their sentences first, so that a specific licence hides a
 general one. Sentences that no rule has used are reported as unmatched.
 
 Map-only, in DataFrame operations. Sentences that are not known are dropped by a hash look-up before anything else
@@ -16,7 +17,7 @@ repeated results; extra columns are kept but for those the result needs, which g
 
 from __future__ import annotations
 
-from itertools import groupby
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,18 +66,33 @@ SENTENCES = {
     "postgres-grant": "Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted, provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies.",
     "cc0-header": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide.",
     "all-rights": "All rights reserved.",
+    "bsd-endorse-author": "The name of the author may not be used to endorse or promote products derived from this software without specific prior written permission.",
+    "bsd-advert": "All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the organization.",
+    "lgpl2-redistribute": "you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation;",
+    "gpl1-title": "GNU GENERAL PUBLIC LICENSE Version 1, February 1989",
+    "gpl2-title": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "gpl3-title": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "lgpl2-title": "GNU LIBRARY GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "lgpl21-title": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "lgpl3-title": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "agpl3-title": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    "gfdl13-title": "GNU Free Documentation License Version 1.3, 3 November 2008",
+    "apache2-title": "Apache License Version 2.0, January 2004",
+    "apache2-title-where": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+    "mpl2-title": "Mozilla Public License Version 2.0",
+    "mpl11-title": "Mozilla Public License Version 1.1",
+    "epl1-title": "Eclipse Public License - v 1.0",
+    "epl2-title": "Eclipse Public License - v 2.0",
+    "bsl-title": "Boost Software License - Version 1.0 - August 17th, 2003",
+    "artistic2-title": "The Artistic License 2.0",
+    "cddl1-title": "COMMON DEVELOPMENT AND DISTRIBUTION LICENSE (CDDL) Version 1.0",
+    "ofl-title": "SIL OPEN FONT LICENSE Version 1.1 - 26 February 2007",
+    "bsl-grant": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:",
 }
 #: Licences and the names that notices call them by.
 NAMES = {
-    "MIT": ["MIT License"],
+    "MIT": ["MIT License", "Expat License", "X11 License"],
     "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"],
-    "GPL-2.0-only": ["GNU General Public License, version 2", "GPLv2", "GPL v2"],
-    "GPL-2.0-or-later": ["GNU General Public License, version 2 or later", "GPLv2+"],
-    "GPL-3.0-only": ["GNU General Public License, version 3", "GNU General Public License v3.0", "GPLv3", "GPL v3"],
-    "GPL-3.0-or-later": ["GNU General Public License, version 3 or later", "GPLv3+"],
-    "LGPL-2.1-only": ["GNU Lesser General Public License, version 2.1", "LGPLv2.1"],
-    "LGPL-3.0-only": ["GNU Lesser General Public License, version 3", "LGPLv3"],
-    "AGPL-3.0-only": ["GNU Affero General Public License, version 3", "AGPLv3"],
     "BSD-2-Clause": ["BSD 2-Clause License", "Simplified BSD License"],
     "BSD-3-Clause": ["BSD 3-Clause License", "New BSD License", "Modified BSD License"],
     "ISC": ["ISC License"],
@@ -104,15 +120,74 @@ NAMES = {
     "PostgreSQL": ["PostgreSQL License"],
     "MS-PL": ["Microsoft Public License"],
     "Python-2.0": ["Python Software Foundation License"],
+    "BSD-4-Clause": ["BSD 4-Clause License", "Original BSD License"],
+    "MIT-0": ["MIT No Attribution License", "MIT No Attribution"],
+    "MPL-1.1": ["Mozilla Public License, Version 1.1", "Mozilla Public License 1.1", "MPL 1.1"],
+    "AFL-3.0": ["Academic Free License 3.0", "Academic Free License version 3.0"],
+    "OSL-3.0": ["Open Software License 3.0", "Open Software License version 3.0"],
+    "Artistic-1.0": ["Artistic License 1.0"],
+    "CPL-1.0": ["Common Public License 1.0", "Common Public License Version 1.0"],
+    "NCSA": ["University of Illinois/NCSA Open Source License", "NCSA License"],
+    "Apache-1.1": ["Apache License, Version 1.1", "Apache License 1.1", "Apache Software License 1.1"],
+    "CC-BY-2.0": ["CC BY 2.0", "Creative Commons Attribution 2.0 Generic License"],
+    "CC-BY-SA-2.0": ["CC BY-SA 2.0", "Creative Commons Attribution-ShareAlike 2.0 Generic License"],
+    "PHP-3.01": ["PHP License, version 3.01", "PHP License 3.01"],
+    "UPL-1.0": ["Universal Permissive License v1.0", "Universal Permissive License 1.0"],
+    "SSPL-1.0": ["Server Side Public License, version 1", "Server Side Public License v1"],
+    "BUSL-1.1": ["Business Source License 1.1"],
+    "Elastic-2.0": ["Elastic License 2.0"],
+    "MulanPSL-2.0": ["Mulan PSL v2", "Mulan Permissive Software License, Version 2"],
+    "LPPL-1.3c": ["LaTeX Project Public License, version 1.3c", "LaTeX Project Public License 1.3c"],
+    "MS-RL": ["Microsoft Reciprocal License"],
+    "BlueOak-1.0.0": ["Blue Oak Model License 1.0.0"],
 }
+#: Families of licences with their versions.
+FAMILIES = {
+    "GPL": ("GNU General Public License", ["1", "2", "3"]),
+    "LGPL": ("GNU Lesser General Public License", ["2", "2.1", "3"]),
+    "AGPL": ("GNU Affero General Public License", ["1", "3"]),
+    "GFDL": ("GNU Free Documentation License", ["1.1", "1.2", "1.3"]),
+}
+
+
+def named_versions() -> dict[str, list[str]]:
+    """Names of each version of a family, alone and "or later", by rule."""
+    out = {}
+    for short, (full, versions) in FAMILIES.items():
+        for v in versions:
+            dotted = v if "." in v else f"{v}.0"
+            spellings = [f"{short}{x}{y}" for x in (" ", "v", " v", " version ") for y in {v, dotted}] + [f"{full} {x}{y}" for x in ("v", "version ", "") for y in {v, dotted}]
+            out[f"{short}-{dotted}-only"] = sorted([*spellings, *(f"{s} only" for s in spellings)])
+            out[f"{short}-{dotted}-or-later"] = sorted(f"{s} or {x}later" for s in spellings for x in ("", "any "))
+    return out
+
+
+NAMES |= named_versions()
 #: How notices begin before the licence's name, in the normal form; all are read as "notice".
-NOTICE = r"^(?:this (?:work|software|project|program|library|code|file) is |it is )?(?:licensed|released|distributed|available) under (?:the |an? )?|^spdx license identifier "
+NOTICE = r"^(?:this (?:work|software|project|program|library|package|code|file) is |it is )?(?:dual |double )?(?:licensed|released|distributed|available|published) under (?:the terms (?:and conditions )?of )?(?:either )?(?:of )?(?:the |an? )?"
+SPDX = "^spdx license identifier "
+#: What may follow a licence's name in a notice, in the normal form.
+TAIL = r"^(notice .*?) (?:see|as (?:described|found|stated) in|(?:which is )?(?:found|included) in|for (?:more )?details|at your option|with no warranty)(?: .*)?$"
+#: Slots: sentences in the normal form that any owner's name may stand in, and how they are read.
+SLOTS = [
+    (r"^neither the names? of .{1,160}? nor the names? of (?:its |their |his |her |any |the )?(?:contributors|authors) ", "neither the name of the copyright holder nor the names of its contributors "),
+    (r"^the names? of .{1,160}? may not be used to endorse ", "the name of the author may not be used to endorse "),
+    (r"^(all advertising materials mentioning features or use of this software must display the following) acknowledge?ment this product includes software developed by .*$", "$1 acknowledgement this product includes software developed by the organization"),
+]
 #: Ordered rules of licences in full: licence, then the identifiers in their order. Notices come after these.
 FULL_RULES = [
+    ("GPL-2.0-only", ["gpl2-title", "gpl2-free", "gpl2-redistribute", "gpl2-later"]),
+    ("GPL-3.0-only", ["gpl3-title", "gpl3-later"]),
+    ("AGPL-3.0-only", ["agpl3-title", "agpl3-later"]),
+    ("LGPL-2.1-only", ["lgpl21-title", "lgpl21-free", "lgpl21-redistribute", "lgpl21-later"]),
+    ("LGPL-2.0-only", ["lgpl2-title", "lgpl21-free", "lgpl2-redistribute", "gpl2-later"]),
     ("MIT", ["mit-grant", "mit-notice", "mit-as-is"]),
     ("ISC", ["isc-grant", "isc-as-is"]),
     ("0BSD", ["zero-bsd-grant", "isc-as-is"]),
+    ("BSD-4-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-advert", "bsd-endorse"]),
+    ("BSD-4-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-advert", "bsd-endorse-author"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"]),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse-author"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
     ("Apache-2.0", ["apache2-header", "apache2-comply"]),
     ("AGPL-3.0-or-later", ["agpl3-later"]),
@@ -120,6 +195,7 @@ FULL_RULES = [
     ("GPL-3.0-only", ["gpl3-only"]),
     ("GPL-2.0-or-later", ["gpl2-free", "gpl2-redistribute", "gpl2-later"]),
     ("GPL-2.0-only", ["gpl2-free", "gpl2-only"]),
+    ("LGPL-2.0-or-later", ["lgpl21-free", "lgpl2-redistribute", "gpl2-later"]),
     ("LGPL-2.1-or-later", ["lgpl21-free", "lgpl21-redistribute", "lgpl21-later"]),
     ("LGPL-3.0-or-later", ["lgpl3-later"]),
     ("MPL-2.0", ["mpl2-header", "mpl2-copy"]),
@@ -132,6 +208,25 @@ FULL_RULES = [
     ("EPL-1.0", ["epl1-header"]),
     ("PostgreSQL", ["postgres-grant"]),
     ("CC0-1.0", ["cc0-header"]),
+    ("GPL-1.0-only", ["gpl1-title"]),
+    ("GPL-2.0-only", ["gpl2-title"]),
+    ("GPL-3.0-only", ["gpl3-title"]),
+    ("LGPL-2.0-only", ["lgpl2-title"]),
+    ("LGPL-2.1-only", ["lgpl21-title"]),
+    ("LGPL-3.0-only", ["lgpl3-title"]),
+    ("AGPL-3.0-only", ["agpl3-title"]),
+    ("GFDL-1.3-only", ["gfdl13-title"]),
+    ("Apache-2.0", ["apache2-title"]),
+    ("Apache-2.0", ["apache2-title-where"]),
+    ("MPL-2.0", ["mpl2-title"]),
+    ("MPL-1.1", ["mpl11-title"]),
+    ("EPL-1.0", ["epl1-title"]),
+    ("EPL-2.0", ["epl2-title"]),
+    ("BSL-1.0", ["bsl-title"]),
+    ("BSL-1.0", ["bsl-grant"]),
+    ("Artistic-2.0", ["artistic2-title"]),
+    ("CDDL-1.0", ["cddl1-title"]),
+    ("OFL-1.1", ["ofl-title"]),
 ]
 LAST_RULES = [("Proprietary", ["all-rights"])]
 
@@ -146,19 +241,41 @@ def known_sentences() -> dict[str, list[str]]:
 
 
 RULES = [*FULL_RULES, *((licence, [identifier(licence)]) for licence in NAMES), *LAST_RULES]
-#: A sentence ends at a stop, mark or semicolon before white space, or at a blank line.
-END = r"[.!?;]+(?=\s|$)|\r?\n[^\p{L}\p{N}\n]*\r?\n"
+#: A sentence ends at a stop (but not one of these abbreviations'), mark or semicolon before white space, or at a blank line.
+ABBREVIATIONS = ["inc", "ltd", "corp", "co", "jr", "dr"]
+END = "(?i)" + "".join(rf"(?<!\b{a})" for a in ABBREVIATIONS) + r"[.!?;]+(?=\s|$)|\r?\n[^\p{L}\p{N}\n]*\r?\n"
 LINE_END = r"[\r\n]+"
+#: List marks in brackets; those with a stop are sentences of their own.
+MARK = r"^[^\p{L}\p{N}(]*\(?(?:[0-9]{1,2}|[a-z]|[ivx]{2,4})\)\s+"
+#: What stands between licences in a notice and in an SPDX expression.
+OR = " or (?!(?:any )?later)(?:the )?"
+BETWEEN = " or (?!later)| and | with "
 
 
 def normalised(sentence: Column) -> Column:
     """Lower case; everything but letters, digits and dots between digits is a gap; a notice begins with "notice"."""
-    plain = F.regexp_replace(F.lower(sentence), r"(?<![0-9])\.|\.(?![0-9])|[^\p{L}\p{N}.]+", " ")
+    plain = F.regexp_replace(F.lower(sentence), MARK, "")
+    plain = F.regexp_replace(F.regexp_replace(plain, r"([0-9])\+", "$1 or later"), "licence", "license")
+    plain = F.regexp_replace(plain, r"(?<![0-9])\.|\.(?![0-9])|[^\p{L}\p{N}.]+", " ")
     return told(F.trim(F.regexp_replace(plain, " +", " ")))
 
 
 def told(sentence: Column) -> Column:
-    return F.regexp_replace(sentence, NOTICE, "notice ")
+    """The normal form with notices, SPDX expressions and slots read alike."""
+    out = F.regexp_replace(F.regexp_replace(sentence, NOTICE, "notice "), SPDX, "spdx ")
+    out = F.when(F.startswith(out, F.lit("notice ")), F.regexp_replace(out, TAIL, "$1")).otherwise(out)
+    for slot, filled in SLOTS:
+        out = F.regexp_replace(out, slot, filled)
+    return out
+
+
+def entries(sentence: Column) -> Column:
+    """What a sentence in the normal form is looked up as: itself, and for each licence that it offers a notice."""
+    spdx = F.transform(F.split(F.substr(sentence, F.lit(len("spdx ") + 1)), BETWEEN), lambda x: F.concat(F.lit("notice "), x))
+    offered = F.split(F.substr(sentence, F.lit(len("notice ") + 1)), OR)
+    either = F.concat(F.array(sentence), F.transform(offered, lambda x: F.concat(F.lit("notice "), x)))
+    several = F.startswith(sentence, F.lit("notice ")) & sentence.rlike(OR)
+    return F.when(F.startswith(sentence, F.lit("spdx ")), spdx).when(several, either).otherwise(F.array(sentence))
 
 
 def hash_of(spark: SparkSession, sentences: dict[str, list[str]]) -> tuple[dict[int, str], int]:
@@ -172,39 +289,44 @@ def recognised(docs: DataFrame, sentences: dict[str, list[str]] | None = None, r
     """``docs`` with licence_sentences (identifiers in order), licences (in the rules' order, each once) and unmatched."""
     known, most = hash_of(docs.sparkSession, sentences or known_sentences())
     names = docs.columns
-    lines, found, left = fresh("lines_of_sentences", names), fresh("found_sentences", names), [fresh(f"left_{i}", names) for i in range(len(rules) + 1)]
+    # Each one literal, so that copies of the expression, which filters on the result make, stay small.
+    hashes = F.from_json(F.lit(json.dumps(list(known))), "array<bigint>")
+    name = F.from_json(F.lit(json.dumps({str(h): n for h, n in known.items()})), "map<string, string>")
+    lines, found, state = (fresh(x, names) for x in ("lines_of_sentences", "found_sentences", "rules_so_far"))
     made = [fresh(x, names) for x in ("licence_sentences", "licences", "unmatched")]
     cut = F.split(F.coalesce(quoted(text_column).cast("string"), F.lit("")), END)
-    normal_lines = F.transform(cut, lambda s: F.filter(F.transform(F.split(s, LINE_END), normalised), lambda x: x != ""))
+    line = lambda x: F.struct(normalised(x).alias("said"), x.rlike(r":\s*$").alias("opens"))
+    normal_lines = F.transform(cut, lambda s: F.filter(F.transform(F.split(s, LINE_END), line), lambda x: x["said"] != ""))
+
+    def hits(lines_: Column) -> Column:
+        sentence = lines_["said"]
 
-    def hits(sentence: Column) -> Column:
-        alone = F.filter(F.transform(sentence, lambda x: F.xxhash64(x)), lambda h: h.isin(list(known)))
+        def look_up(said: Column) -> Column:
+            return F.filter(F.transform(F.flatten(F.transform(said, entries)), lambda x: F.xxhash64(x)), lambda h: F.array_contains(hashes, h))
+
+        alone = look_up(sentence)
         n = F.size(sentence)
         # Each line has a word, so lines further from the end belong to no known sentence that ends there.
-        joined = F.transform(F.sequence(F.greatest(n - most, F.lit(1)), n - 1), lambda i: F.xxhash64(told(F.array_join(F.slice(sentence, i, n - i + 1), " "))))
-        return F.when(n > 1, F.concat(alone, F.filter(joined, lambda h: h.isin(list(known))))).otherwise(alone)
+        joined = F.transform(F.sequence(F.greatest(n - most, F.lit(1)), n - 1), lambda i: told(F.array_join(F.slice(sentence, i, n - i + 1), " ")))
+        # What a line with a colon ends may be a sentence too, as before a list.
+        opening = F.filter(F.sequence(F.lit(1), n - 1), lambda j: (j > 1) & F.element_at(lines_, j)["opens"])
+        before = F.flatten(F.transform(opening, lambda j: F.transform(F.sequence(F.greatest(j - most, F.lit(1)), j - 1), lambda i: told(F.array_join(F.slice(sentence, i, j - i + 1), " ")))))
+        told_first = F.when(F.exists(lines_, lambda x: x["opens"]), look_up(before)).otherwise(F.array().cast("array<bigint>"))
+        return F.when(n > 1, F.concat(told_first, alone, look_up(joined))).otherwise(alone)
 
-    name = F.create_map(*(x for h, n in known.items() for x in (F.lit(h), F.lit(n))))
     out = docs.withColumn(lines, normal_lines).withColumn(found, F.flatten(F.transform(F.filter(lines, lambda x: F.size(x) > 0), hits)))
-    out = out.withColumn(made[0], F.transform(found, lambda h: name[h]))
+    out = out.withColumn(made[0], F.transform(found, lambda h: name[h.cast("string")]))
     # The sequence as text, each identifier between blanks; a rule takes its own out.
-    out = out.withColumn(left[0], F.concat(F.lit(" "), F.array_join(made[0], "  "), F.lit(" ")))
-    held: list[Column] = []
-    # Rules of one identifier that follow each other cannot hinder each other and go in one step.
-    for i, (single, some) in enumerate((k, list(g)) for k, g in groupby(rules, lambda r: len(r[1]) == 1 or r)):
-        if single is True:
-            held += [F.when(F.contains(F.col(left[i]), F.lit(f" {order[0]} ")), F.lit(licence)) for licence, order in some]
-            out = out.withColumn(left[i + 1], F.regexp_replace(left[i], " (?:" + "|".join(order[0] for _, order in some) + ") ", ""))
-            last = left[i + 1]
-            continue
-        licence, order = some[0]
-        other = r"((?: [a-z0-9-]+ ){0,%d}?)" % gap
-        pattern = other.join(f" {x} " for x in order)
-        kept = "".join(f"${k}" for k in range(1, len(order)))
-        held.append(F.when(F.col(left[i]).rlike(pattern), F.lit(licence)))
-        # Each column refers to the last one once, so that substituting them into a filter stays small.
-        out = out.withColumn(left[i + 1], F.regexp_replace(left[i], pattern, kept))
-        last = left[i + 1]
-    licences = F.array_distinct(F.array_compact(F.array(*held)))
-    out = out.withColumn(made[1], licences).withColumn(made[2], F.array_remove(F.split(last, " +"), ""))
-    return out.drop(lines, found, *left)
+    other = r"((?: [a-z0-9-]+ ){0,%d}?)" % gap
+    told_rules = [{"licence": licence, "first": f" {order[0]} ", "pattern": other.join(f" {x} " for x in order), "kept": "".join(f"${k}" for k in range(1, len(order)))} for licence, order in rules]
+    every = F.from_json(F.lit(json.dumps(told_rules)), "array<struct<licence: string, first: string, pattern: string, kept: string>>")
+    sequence = F.concat(F.lit(" "), F.array_join(made[0], "  "), F.lit(" "))
+
+    def taken(state: Column, rule: Column) -> Column:
+        holds = F.contains(state["left"], rule["first"]) & F.rlike(state["left"], rule["pattern"])
+        return F.when(holds, F.struct(F.regexp_replace(state["left"], rule["pattern"], rule["kept"]).alias("left"), F.concat(state["held"], F.array(rule["licence"])).alias("held"))).otherwise(state)
+
+    start = F.struct(sequence.alias("left"), F.array().cast("array<string>").alias("held"))
+    out = out.withColumn(state, F.when(F.size(made[0]) > 0, F.aggregate(every, start, taken)).otherwise(start))
+    out = out.withColumn(made[1], F.array_distinct(F.col(state)["held"])).withColumn(made[2], F.array_remove(F.split(F.col(state)["left"], " +"), ""))
+    return out.drop(lines, found, state)

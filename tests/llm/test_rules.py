@@ -55,16 +55,35 @@ def test_standard_licences_joined_and_wrapped(spark):
     assert [(r.want, r.licences) for r in found if r.licences != [r.want]] == []
 
 
+def brute_told(s):
+    s = re.sub(licences.SPDX, "spdx ", re.sub(licences.NOTICE, "notice ", s))
+    s = re.sub(licences.TAIL, r"\1", s) if s.startswith("notice ") else s
+    for slot, filled in licences.SLOTS:
+        s = re.sub(slot, filled.replace("$1", r"\1"), s)
+    return s
+
+
+def brute_entries(s):
+    if s.startswith("spdx "):
+        return ["notice " + x for x in re.split(licences.BETWEEN, s[5:])]
+    parts = re.split(licences.OR, s[7:]) if s.startswith("notice ") else []
+    return [s] + ["notice " + x for x in parts if len(parts) > 1]
+
+
 def brute_licences(text, gap=5):
     """Sentences and rules by plain loops."""
-    told = lambda s: re.sub(licences.NOTICE, "notice ", s)
-    plain = lambda s: told(" ".join(re.sub(r"(?<![0-9])\.|\.(?![0-9])|[^\w.]+|_", " ", s.lower()).split()))
+    told = brute_told
+    mark = r"^[^\w(]*\(?(?:[0-9]{1,2}|[a-z]|[ivx]{2,4})\)\s+"
+    spelt = lambda s: re.sub(r"([0-9])\+", r"\1 or later", re.sub(mark, "", s.lower())).replace("licence", "license")
+    plain = lambda s: told(" ".join(re.sub(r"(?<![0-9])\.|\.(?![0-9])|[^\w.]+|_", " ", spelt(s)).split()))
     known = {plain(t): n for n, ts in licences.known_sentences().items() for t in ts}
     ids = []
-    for sentence in re.split(r"[.!?;]+(?=\s|$)|\r?\n[^\w\n]*\r?\n", text or ""):
-        lines = [x for x in map(plain, re.split(r"[\r\n]+", sentence)) if x]
-        ids += [known[x] for x in lines if x in known]
-        ids += [known[x] for x in (told(" ".join(lines[i:])) for i in range(len(lines) - 1)) if x in known]
+    for sentence in re.split(r"(?i)(?<!\binc)(?<!\bltd)(?<!\bcorp)(?<!\bco)(?<!\bjr)(?<!\bdr)[.!?;]+(?=\s|$)|\r?\n[^\w\n]*\r?\n", text or ""):
+        raw = [x for x in re.split(r"[\r\n]+", sentence) if plain(x)]
+        lines = list(map(plain, raw))
+        opened = [told(" ".join(lines[i : j + 1])) for j in range(1, len(lines) - 1) if re.search(r":\s*$", raw[j]) for i in range(j)]
+        for said in (opened, lines, [told(" ".join(lines[i:])) for i in range(len(lines) - 1)]):
+            ids += [known[x] for s in said for x in brute_entries(s) if x in known]
     told = list(ids)
     licence = []
     for name, order in licences.RULES:
@@ -89,16 +108,54 @@ def brute_licences(text, gap=5):
 
 def test_licences_match_brute_force(spark):
     rng = random.Random(13)
-    pool = [*licences.SENTENCES.values(), *HEADERS.values(), "Released under the MIT License", "Some other words here.", "Licensed under CC BY-NC 4.0.", "All rights reserved."]
+    pool = [*licences.SENTENCES.values(), *HEADERS.values(), "Released under the MIT License", "SPDX-License-Identifier: (GPL-2.0+ OR MIT) AND BSD-3-Clause WITH x-exception", "Dual licensed under either of Apache License, Version 2.0 or the MIT licence at your option.", "(a) Neither the name of Some Corp. nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", "Some other words here.", "Licensed under CC BY-NC 4.0.", "All rights reserved."]
     docs = [(i, rng.choice([" ", "\n", "\n\n"]).join(textwrap.fill(rng.choice(pool), rng.choice([50, 10**6])) for _ in range(rng.randint(0, 9)))) for i in range(200)]
     docs += [(900, None), (901, ""), (902, "line without an end\n" * 3000 + "released under the MIT License."), (903, "word " * 60000)]
-    df = spark.createDataFrame(docs, "doc_id int, text string").withColumn("found_sentences", F.lit(1)).withColumn("left_0", F.lit(2))
+    df = spark.createDataFrame(docs, "doc_id int, text string").withColumn("found_sentences", F.lit(1)).withColumn("rules_so_far", F.lit(2))
     got = {r.doc_id: (r.licence_sentences, r.licences, r.unmatched) for r in licences.recognised(df).collect()}
     for i, t in docs:
         assert got[i] == brute_licences(t), (i, t)
     assert licences.recognised(df.limit(0)).count() == 0
 
 
+AS_IS = 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.'
+
+
+def bsd(a, b, *more):
+    return "\n".join(["Copyright (c) 1999, Some One", "All rights reserved.", "", "Redistribution and use in source and binary forms, with or without", "modification, are permitted provided that the following conditions are met:", f"{a} Redistributions of source code must retain the above copyright", "   notice, this list of conditions and the following disclaimer.", f"{b} Redistributions in binary form must reproduce the above copyright notice,", "   this list of conditions and the following disclaimer in the", "   documentation and/or other materials provided with the distribution.", *more, "", AS_IS])
+
+
+GNU = "{what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation; either version {v} of the License, or (at your option) any later version."
+PROBES = [
+    (bsd("(a)", "(b)"), ["BSD-2-Clause"]),
+    (bsd("  i)", " ii)"), ["BSD-2-Clause"]),
+    (bsd("*", "*", "* Neither the name of Google Inc. nor the names of its", "contributors may be used to endorse or promote products derived from", "this software without specific prior written permission."), ["BSD-3-Clause"]),
+    (bsd("1.", "2.", "3. The name of Some Other Person may not be used to endorse or promote products derived from this software without specific prior written permission."), ["BSD-3-Clause"]),
+    (bsd("1.", "2.", "3. All advertising materials mentioning features or use of this software must display the following acknowledgment: This product includes software developed by the University of X and others.", "4. Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."), ["BSD-4-Clause"]),
+    (GNU.format(what="This library", name="Library General Public License", v=2), ["LGPL-2.0-or-later"]),
+    ("// SPDX-License-Identifier: Apache-2.0 OR MIT\nint x;", ["MIT", "Apache-2.0"]),
+    ("# SPDX-License-Identifier: (GPL-2.0-or-later WITH Classpath-exception-2.0) AND BSD-3-Clause", ["BSD-3-Clause", "GPL-2.0-or-later"]),
+    ("/* SPDX-License-Identifier: GPL-2.0+ */", ["GPL-2.0-or-later"]),
+    ("This project is licensed under the MIT License - see the LICENSE file for details.", ["MIT"]),
+    ("This project is licensed under the terms of the GNU General Public License v3.0 or later (see COPYING).", ["GPL-3.0-or-later"]),
+    ("Licensed under either of Apache License, Version 2.0 or MIT license at your option.", ["MIT", "Apache-2.0"]),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.,\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.\n", ["GPL-2.0-only"]),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n\nHow to Apply These Terms\n\n" + GNU.format(what="This program", name="General Public License", v=2), ["GPL-2.0-only"]),
+    ("                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n", ["Apache-2.0"]),
+    ("           DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE\n                   Version 2, December 2004\n\n Everyone is permitted to copy and distribute verbatim or modified\n copies of this license document, and changing it is allowed as long\n as the name is changed.\n\n            DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE\n   TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION\n\n  0. You just DO WHAT THE FUCK YOU WANT TO.\n", ["WTFPL"]),
+    ("Boost Software License - Version 1.0 - August 17th, 2003\n\nPermission is hereby granted, free of charge, to any person or organization\nobtaining a copy of the software and accompanying documentation covered by\nthis license (the \"Software\") to use, reproduce, display, distribute,\nexecute, and transmit the Software, and to prepare derivative works of the\nSoftware, and to permit third-parties to whom the Software is furnished to\ndo so, all subject to the following:\n", ["BSL-1.0"]),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES\nWITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF\nMERCHANTABILITY AND FITNESS.\n", ["0BSD"]),
+    ("We met under the old bridge. The name of the game is chess, and (a) nobody wins.", []),
+    ("I wrote about the MIT License or the BSD one, but this text has neither.", []),
+]
+
+
+def test_slots_marks_expressions_and_titles(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(PROBES)], "i int, text string")
+    got = {r.i: [x for x in r.licences if x != "Proprietary"] for r in licences.recognised(df).collect()}
+    assert [(PROBES[i][0], x) for i, x in got.items() if sorted(x) != sorted(PROBES[i][1])] == []
+
+
 def test_licences_of_the_given_documents(spark):
     docs = queries.documents(spark, "/root/testdata/sf0.01")
     found = licences.recognised(docs)
