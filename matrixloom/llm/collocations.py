@@ -33,8 +33,8 @@ from .common import gathered, quoted, small_batches, stored
 END = 255
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BYTES = bytes(END if c in PIECE_ENDS else 32 if c == 9 else c for c in bytes(range(256)).lower())
-#: A task's words have codes of 21 bits and are forgotten at half as many; distinct phrases held by a task.
-BITS, WORDS, PHRASES = 21, 1 << 20, 1 << 20
+#: Bits of a word's code; words after which a task sends what it has and forgets them; distinct phrases that it holds.
+BITS, WORDS, PHRASES = 21, 1 << 18, 1 << 19
 FREQUENT, PREFIX, SUFFIX, CONTENDER = 1, 2, 4, 8
 
 

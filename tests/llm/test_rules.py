@@ -483,3 +483,20 @@ def test_pipeline_stages(spark):
     for _, stage in corpus_pipeline.STAGES:
         empty = corpus_pipeline.stored(stage(spark, empty, SF), "test")
     assert empty.count() == 0
+
+
+def test_pipeline_stages_of_odd_rows(spark):
+    import corpus_pipeline
+
+    text = "the cat and the dog are here with me today and " * 3 + "one"
+    rows = [(1, text, "en", "h", 1), (1, text, "en", "h", 1), (None, text, "en", "h", 1), (2, None, "en", "h", 1), (3, None, None, None, None), (4, "", "de", "h", 0), (5, "12 %", "de", "h", 0), (6, text, "en", "g", 1), (7, "mail bob@x.org or else", "en", "g", 1), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = {name: stage(spark, docs, "").collect() for name, stage in corpus_pipeline.STAGES}
+    ids = {name: sorted((r.doc_id or 0) for r in found) for name, found in out.items()}
+    every = [0, 0, 1, 1, 2, 3, 4, 5, 6, 7]
+    assert ids == {"language identification": [0, 1, 1, 6, 7], "near-duplicate removal": [0, 0, 1, 1, 2, 5, 7], "repeated-passage removal": every, "personal data": every, "packing": every}
+    cut = {(r.doc_id, r.source): (r.text, r.n_chars) for r in out["repeated-passage removal"]}
+    assert cut[2, "h"] == (None, None) and cut[4, "h"] == ("", 0) and cut[6, "g"] == ("", 0) and cut[1, "h"] == cut[None, "h"] == (text, len(text))
+    told = {r.doc_id: r.text for r in out["personal data"]}
+    assert told[2] is None and told[4] == "" and told[7] == "mail [EMAIL] or else"
+    assert {r.doc_id: r.length for r in out["packing"] if r.doc_id in (2, 3, 4)} == {2: 1, 3: 1, 4: 1}

@@ -35,6 +35,14 @@ def test_encoder_matches_library():
         assert got == [enc.encode_ordinary(t) for t in part]
 
 
+def test_every_code_point_matches_library():
+    enc = reference()
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{c} {c}1" for c in points[a : a + 2048]) for a in range(0, len(points), 2048)]
+    for text in texts:
+        assert np.frombuffer(next(bpe.encoded([text.encode()], RANKS)), "<u4").tolist() == enc.encode_ordinary(text)
+
+
 def test_long_slice_matches_library():
     rng = random.Random(2)
     word = "".join(rng.choice("abcdefgh") for _ in range(3000))
