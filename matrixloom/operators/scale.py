@@ -189,6 +189,75 @@ def pca(long: DataFrame, row: str, column: str, value: str, columns: list, k: in
     return spark.createDataFrame(loadings, "column string, component int, loading double"), parts.crossJoin(variance).select("component", "ratio", (F.col("ratio") * F.col("total")).alias("variance"))
 
 
+def pca_by_iteration(long: DataFrame, row: str, column: str, value: str, k: int = 5, more: int = 8, tolerance: float = 1e-6, rounds: int = 200) -> tuple[DataFrame, DataFrame]:
+    """``pca`` for any number of columns: block power iteration on the long matrix, with ``more`` vectors than asked for.
+
+    A round multiplies the block by the covariance, which is a join on columns and one on rows, and turns it to its own principal
+    directions; only the block's inner products, a matrix of k + more, reach the driver. It ends when |C v - lambda v| of the first ``k`` is at most
+    ``tolerance`` times the largest lambda, and fails after ``rounds``. Rows need a value in every column. A column's loading is found
+    under its name as a string.
+    """
+    scaled = standard_scaled(long.withColumn(column, F.col(column).cast("string")), column, value).select(F.col(row).alias("row_"), F.col(column).alias("column"), F.col("scaled").alias("z"))
+    scaled = stored(scaled, "scaled")
+    n_rows, n_columns, squares = scaled.agg(F.count_distinct("row_"), F.count_distinct("column"), F.sum(F.col("z") * F.col("z"))).first()
+    size = min(k + more, n_columns)
+    start = F.array(*(F.xxhash64("column", F.lit(i)) / F.lit(2.0**63) for i in range(size)))
+    block = scaled.select("column").distinct().withColumn("q", start)
+    turn, settled = np.eye(size), False
+    for at in range(rounds):
+        q = block if at == 0 else turned(block, turn)
+        scores = scaled.join(q, "column").groupBy("row_").agg(F.array(*(F.sum(F.col("z") * F.col("q")[i]) for i in range(size))).alias("y"))
+        images = scaled.join(scores, "row_").groupBy("column").agg(F.array(*(F.sum(F.col("z") * F.col("y")[i]) / (n_rows - 1) for i in range(size))).alias("w"))
+        block = stored(images.join(q, "column"), "block")
+        products, along = inner_products(block, size)
+        if at:
+            left = np.sqrt(np.maximum(0, np.diag(products) - along**2))
+            settled = bool((left[:k] <= tolerance * along[0]).all())
+        if settled:
+            break
+        level, vectors = np.linalg.eigh(products)
+        keep = level > level[-1] * 1e-24
+        turn = np.where(keep, vectors / np.sqrt(np.where(keep, level, 1.0)), 0.0)[:, ::-1]
+    if not settled:
+        raise ValueError(f"no convergence in {rounds} rounds")
+    k = min(k, size)
+    spark = long.sparkSession
+    firsts = block.select("column", F.posexplode(F.slice("q", 1, k)).alias("at", "loading"))
+    sign = firsts.groupBy("at").agg(F.max_by(F.signum("loading"), F.struct(F.round(F.abs("loading"), 9), "column")).alias("sign"))
+    loadings = firsts.join(F.broadcast(sign), "at").select("column", (F.col("at") + 1).alias("component"), (F.col("loading") * F.when(F.col("sign") < 0, -1.0).otherwise(1.0)).alias("loading"))
+    total = squares / (n_rows - 1)
+    variances = spark.createDataFrame([(j + 1, float(along[j] / total), float(along[j])) for j in range(k)], "component int, ratio double, variance double")
+    return loadings, variances
+
+
+def turned(block: DataFrame, turn: np.ndarray) -> DataFrame:
+    """(column, q): w times ``turn``."""
+
+    def run(batches):
+        for batch in batches:
+            w = batch.column("w").flatten().to_numpy().reshape(-1, len(turn))
+            offsets = pa.array(np.arange(len(w) + 1, dtype=np.int32) * len(turn))
+            yield pa.RecordBatch.from_arrays([batch.column("column"), pa.ListArray.from_arrays(offsets, pa.array((w @ turn).ravel()))], ["column", "q"])
+
+    return block.select("column", "w").mapInArrow(run, "column string, q array<double>")
+
+
+def inner_products(block: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """All w_i w_j, and q_i w_i; a task gives one row a product."""
+
+    def run(batches):
+        total = np.zeros((size + 1, size))
+        for batch in batches:
+            w, q = (batch.column(c).flatten().to_numpy().reshape(-1, size) for c in ("w", "q"))
+            total += np.concatenate([w.T @ w, (q * w).sum(0)[None]])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], ["at", "p"])
+
+    out = np.zeros((size + 1) * size)
+    for r in block.select("w", "q").mapInArrow(run, "at long, p double").groupBy("at").agg(F.sum("p").alias("p")).collect():
+        out[r["at"]] = r["p"]
+    return out.reshape(size + 1, size)[:size], out[size * size :]
+
+
 def residuals(long: DataFrame, row: str, column: str, value: str, loadings: DataFrame, variances: DataFrame) -> DataFrame:
     """(component, residual): the largest |C v - lambda v| over a component's columns, C being the covariance of the standard-scaled matrix.
 

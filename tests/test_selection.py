@@ -164,3 +164,22 @@ def test_natural_order_of_long_numbers(spark):
     want = ["a-", "a-x", "a-5", "a-3000000000", "a-30000000000000000000", "a-1-2", "b-1"]
     assert [r.f for r in df.orderBy(*summarise.natural_order("f")).collect()] == want
     assert [r.f for r in summarise.natural_places(df, "f").orderBy("place").collect()] == want
+
+
+def test_pca_by_iteration_needs_no_wide_table(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((80, 6)) @ (np.array([9, 7, 5, 4, 3, 2])[:, None] * rng.standard_normal((6, 150))) + 0.3 * rng.standard_normal((80, 150))
+    long = spark.createDataFrame([(i, f"c{j}", float(v)) for i, r in enumerate(x) for j, v in enumerate(r)], "i int, c string, v double")
+    loadings, variances = scale.pca_by_iteration(long, "i", "c", "v", 4)
+    z = (x - x.mean(0)) / x.std(0)
+    level, vectors = np.linalg.eigh(np.cov(z.T))
+    got = {r.component: r for r in variances.collect()}
+    for j in range(4):
+        assert got[j + 1].variance == pytest.approx(level[-1 - j], rel=1e-7) and got[j + 1].ratio == pytest.approx(level[-1 - j] / level.sum(), rel=1e-7)
+        own = {r["column"]: r.loading for r in loadings.filter(F.col("component") == j + 1).collect()}
+        want = vectors[:, -1 - j] * np.sign(vectors[np.abs(vectors[:, -1 - j]).argmax(), -1 - j])
+        assert np.array([own[f"c{i}"] for i in range(150)]) == pytest.approx(want, abs=1e-4)
+    left = {r.component: r.residual for r in scale.residuals(long, "i", "c", "v", loadings, variances).collect()}
+    assert max(left.values()) < 1e-4 * level[-1]
+    with pytest.raises(ValueError):
+        scale.pca_by_iteration(long, "i", "c", "v", 4, more=0, tolerance=1e-12, rounds=2)
