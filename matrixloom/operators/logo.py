@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..tables import texts_in_small_batches
 from .matrix import trimmed
 
 #: In the order in which ties are decided.
@@ -36,6 +37,7 @@ class Alphabet:
 
 def letter_arrays(df: DataFrame, text: str, alphabet: Alphabet, name: str = "letters") -> DataFrame:
     """``df`` without ``text`` and with its counts by position and base, as one array a row; a null text has none of any. Map-only."""
+    texts_in_small_batches(df.sparkSession)
     kept = [c for c in df.columns if c != text]
     size = alphabet.period * len(alphabet.bases)
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,6 +12,12 @@ from ..tables import stored
 LIMIT, BINS = 1 << 17, 1 << 12
 
 
+def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, v_, n_): how often each key has each value, in the shared folder; rows with a null key are left out."""
+    counts = df.dropna(subset=keys).groupBy(*keys, F.col(value).cast("double").alias("v_")).agg(F.count("*").alias("n_"))
+    return stored(counts, "value-counts")
+
+
 def quantiles(df: DataFrame, keys: list[str], value: str, probabilities: list[float], name: str = "q", limit: int = LIMIT, bins: int = BINS) -> DataFrame:
     """(keys, ``name``: array): the exact quantiles of each key's values, in the order asked for, interpolated between neighbours.
 
@@ -21,20 +25,27 @@ def quantiles(df: DataFrame, keys: list[str], value: str, probabilities: list[fl
     wanted rank go on, until none has more: so no task sorts more than that many values, and none is held in a buffer. Nulls do not count, NaN
     is the largest value, a key without values has nulls; rows with a null key are left out.
     """
-    counts = df.dropna(subset=keys).groupBy(*keys, F.col(value).cast("double").alias("v_")).agg(F.count("*").alias("n_"))
-    counts = stored(counts, "value-counts")
+    return quantiles_of(value_counts(df, keys, value), keys, probabilities, name, limit, bins)
+
+
+def quantiles_of(counts: DataFrame, keys: list[str], probabilities: list[float], name: str = "q", limit: int = LIMIT, bins: int = BINS) -> DataFrame:
+    """``quantiles`` of ``value_counts``."""
     known = counts.filter("v_ is not null")
-    whole = known.groupBy(*keys).agg(F.sum("n_").alias("total_"), F.count("*").alias("distinct_"), F.min("v_").alias("lo_"), F.max("v_").alias("hi_"))
-    wanted = [near(p * (F.col("total_") - 1)).cast("long") for p in probabilities for near in (F.floor, F.ceil)]
-    ranges = whole.withColumn("ranks_", F.array_sort(F.array_distinct(F.array(*wanted)))).withColumn("below_", F.lit(0).cast("long"))
-    every, most = ranges.agg(F.sum("distinct_"), F.max("distinct_")).first()
-    # Keys of over a hundredth of all values: a hundred at most.
-    hot = F.col("distinct_") > max(limit, (every or 0) / 100)
-    ranges = ranges.withColumn("hot_", hot)
-    while (most or 0) > limit:
-        ranges = stored(narrowed(known, ranges, keys, limit, bins), "ranges")
-        most = ranges.agg(F.max("distinct_")).first()[0]
-    found = at_ranks(known, ranges, keys)
+    near = [rank(p * (F.col("total_") - 1)).cast("long") for p in probabilities for rank in (F.floor, F.ceil)]
+    ranks = F.array_sort(F.array_distinct(F.array(*near)))
+    every, most = known.groupBy(*keys).agg(F.count("*").alias("d")).agg(F.sum("d"), F.max("d")).first()
+    if (most or 0) <= limit:
+        whole = known.withColumn("total_", F.sum("n_").over(W.partitionBy(*keys))).withColumn("below_", F.lit(0).cast("long"))
+        found = at_ranks(whole.withColumn("ranks_", ranks).withColumn("lo_", F.lit(0.0)), keys)
+    else:
+        whole = known.groupBy(*keys).agg(F.sum("n_").alias("total_"), F.count("*").alias("distinct_"), F.min("v_").alias("lo_"), F.max("v_").alias("hi_"))
+        ranges = whole.withColumn("ranks_", ranks).withColumn("below_", F.lit(0).cast("long"))
+        # Keys of over a hundredth of all values: a hundred at most.
+        ranges = ranges.withColumn("hot_", F.col("distinct_") > max(limit, every / 100))
+        while most > limit:
+            ranges = stored(narrowed(known, ranges, keys, limit, bins), "ranges")
+            most = ranges.agg(F.max("distinct_")).first()[0]
+        found = at_ranks(within(known, ranges, keys), keys)
     at = F.map_from_entries(F.collect_set(F.struct("rank_", "v_")))
     rows = found.groupBy(*keys).agg(at.alias("at_"), F.first("total_").alias("total_"))
 
@@ -73,9 +84,8 @@ def narrowed(known: DataFrame, ranges: DataFrame, keys: list[str], limit: int, b
     return ranges.filter(F.col("distinct_") <= limit).unionByName(cut)
 
 
-def at_ranks(known: DataFrame, ranges: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, total_, rank_, v_): the value at each wanted rank."""
-    rows = within(known, ranges, keys)
+def at_ranks(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, total_, rank_, v_): the value at each wanted rank, of values with their ranges."""
     before = F.coalesce(F.sum("n_").over(W.partitionBy(*keys, "lo_", "below_").orderBy("v_").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     rows = rows.withColumn("at_", F.col("below_") + before)
     hit = F.filter("ranks_", lambda r: (r >= F.col("at_")) & (r < F.col("at_") + F.col("n_")))

@@ -9,8 +9,15 @@ from pyspark.sql import functions as F
 from ..tables import stored
 
 
-def numbered(df: DataFrame, order: list[str | Column], name: str = "place", start: int = 0) -> DataFrame:
-    """``df`` with the place of every row in the order, from ``start``: numbers within ranges of the keys, and the ranges' offsets."""
+#: Rows that one task may sort.
+FEW = 100_000
+
+
+def numbered(df: DataFrame, order: list[str | Column], name: str = "place", start: int = 0, few: int = FEW) -> DataFrame:
+    """``df`` with the place of every row in the order, from ``start``: above ``few`` rows from numbers within ranges of the keys, and the ranges' offsets."""
+    df = stored(df, "unordered")
+    if df.count() <= few:
+        return df.withColumn(name, F.row_number().over(W.orderBy(*order)).cast("long") + (start - 1))
     dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
     # A row's id is its range's number times 2**33 and its place in the range. Ranges come from a sample, so they are drawn once.
     dealt = stored(dealt.withColumn("id_", F.monotonically_increasing_id()), "ranges")

@@ -7,18 +7,23 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..tables import dealt
-from .quantiles import quantiles
+from .quantiles import quantiles_of, value_counts
 from .ranking import numbered
 
 METHODS = {"mean": F.avg, "max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
 
 
 def statistics(known: DataFrame, keys: list[str], value: str, methods: list[str]) -> DataFrame:
-    """(keys, methods...) of rows without null keys; a median is selected, see ``quantiles``."""
-    out = known.groupBy(*keys).agg(F.count("*").alias("rows_"), *(METHODS[m](value).cast("double").alias(m) for m in methods if m != "median"))
-    if "median" in methods:
-        out = out.join(quantiles(known, keys, value, [0.5]).select(*keys, F.col("q")[0].alias("median")), keys, "left")
-    return out.select(*keys, *methods)
+    """(keys, methods...) of rows without null keys. With a median, which is selected (see ``quantiles``), all come from one table of values and their counts."""
+    if "median" not in methods:
+        return known.groupBy(*keys).agg(*(METHODS[m](value).cast("double").alias(m) for m in methods))
+    counts = value_counts(known, keys, value)
+    number = F.sum(F.when(F.col("v_").isNotNull(), F.col("n_")).otherwise(0))
+    total = F.sum(F.col("v_") * F.col("n_"))
+    made = {"mean": F.try_divide(total, number), "sum": total, "count": number.cast("double"), "max": F.max("v_"), "min": F.min("v_")}
+    out = counts.groupBy(*keys).agg(F.count("*").alias("rows_"), *(made[m].alias(m) for m in methods if m != "median"))
+    median = quantiles_of(counts, keys, [0.5]).select(*keys, F.col("q")[0].alias("median"))
+    return out.join(median, keys, "left").select(*keys, *methods)
 
 
 def share(value: str, *keys: str) -> Column:

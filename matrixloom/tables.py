@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -52,3 +53,9 @@ def dealt(big: DataFrame, small: DataFrame, keys: list[str], share: int = 100) -
     few = small.join(F.broadcast(hot.drop("is_hot")), keys, "left_semi")
     plain = marked.filter("is_hot is null").drop("is_hot").join(small, keys, "left")
     return plain.unionByName(marked.filter("is_hot").drop("is_hot").join(F.broadcast(few), keys, "left"))
+
+
+def texts_in_small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let no more than ``rows`` whole texts be on their way between Spark and Python at once, for the rest of the session."""
+    if not 0 < int(spark.conf.get(BATCH)) <= rows:
+        spark.conf.set(BATCH, str(rows))

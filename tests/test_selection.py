@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from matrixloom.operators import cluster, differ, logo, scale, summarise
 from matrixloom.operators.quantiles import quantiles
+from matrixloom.operators.ranking import numbered
 
 INF, NAN = math.inf, math.nan
 
@@ -164,6 +165,8 @@ def test_natural_order_of_long_numbers(spark):
     want = ["a-", "a-x", "a-5", "a-3000000000", "a-30000000000000000000", "a-1-2", "b-1"]
     assert [r.f for r in df.orderBy(*summarise.natural_order("f")).collect()] == want
     assert [r.f for r in summarise.natural_places(df, "f").orderBy("place").collect()] == want
+    for few in (0, 100):
+        assert [r.f for r in numbered(df, summarise.natural_order("f"), few=few).orderBy("place").collect()] == want
 
 
 def test_pca_by_iteration_needs_no_wide_table(spark):
