@@ -166,6 +166,8 @@ NAMES |= named_versions()
 #: How notices begin before the licence's name, in the normal form; all are read as "notice".
 NOTICE = r"^(?:this (?:work|software|project|program|library|package|code|file) is |it is )?(?:dual |double )?(?:licensed|released|distributed|available|published) under (?:the terms (?:and conditions )?of )?(?:either )?(?:of )?(?:the |an? )?"
 SPDX = "^spdx license identifier "
+#: How all that ``told`` changes begins.
+BEGINNINGS = "^(?:this |it is |dual |double |licensed |released |distributed |available |published |notice |spdx |neither the |the name|all advertising )"
 #: What may follow a licence's name in a notice, in the normal form.
 TAIL = r"^(notice .*?) (?:see|as (?:described|found|stated) in|(?:which is )?(?:found|included) in|for (?:more )?details|at your option|with no warranty)(?: .*)?$"
 #: Slots: sentences in the normal form that any owner's name may stand in, and how they are read.
@@ -254,19 +256,19 @@ BETWEEN = " or (?!later)| and | with "
 
 def normalised(sentence: Column) -> Column:
     """Lower case; everything but letters, digits and dots between digits is a gap; a notice begins with "notice"."""
-    plain = F.regexp_replace(F.lower(sentence), MARK, "")
-    plain = F.regexp_replace(F.regexp_replace(plain, r"([0-9])\+", "$1 or later"), "licence", "license")
-    plain = F.regexp_replace(plain, r"(?<![0-9])\.|\.(?![0-9])|[^\p{L}\p{N}.]+", " ")
-    return told(F.trim(F.regexp_replace(plain, " +", " ")))
+    low = F.lower(sentence)
+    plain = F.when(F.contains(sentence, F.lit(")")), F.regexp_replace(low, MARK, "")).otherwise(low)
+    plain = F.replace(F.replace(plain, F.lit("+"), F.lit(" or later ")), F.lit("licence"), F.lit("license"))
+    plain = F.trim(F.regexp_replace(plain, r"(?:(?<![0-9])\.|\.(?![0-9])|[^\p{L}\p{N}.])+", " "))
+    return F.transform(F.array(plain), told)[0]  # so that it is made once
 
 
 def told(sentence: Column) -> Column:
-    """The normal form with notices, SPDX expressions and slots read alike."""
-    out = F.regexp_replace(F.regexp_replace(sentence, NOTICE, "notice "), SPDX, "spdx ")
-    out = F.when(F.startswith(out, F.lit("notice ")), F.regexp_replace(out, TAIL, "$1")).otherwise(out)
+    """The normal form with notices, SPDX expressions and slots read alike. ``sentence``: a lambda's variable, since it stands here twice."""
+    out = F.regexp_replace(F.regexp_replace(F.regexp_replace(sentence, NOTICE, "notice "), SPDX, "spdx "), TAIL, "$1")
     for slot, filled in SLOTS:
         out = F.regexp_replace(out, slot, filled)
-    return out
+    return F.when(sentence.rlike(BEGINNINGS), out).otherwise(sentence)
 
 
 def entries(sentence: Column) -> Column:
@@ -307,11 +309,12 @@ def recognised(docs: DataFrame, sentences: dict[str, list[str]] | None = None, r
         alone = look_up(sentence)
         n = F.size(sentence)
         # Each line has a word, so lines further from the end belong to no known sentence that ends there.
-        joined = F.transform(F.sequence(F.greatest(n - most, F.lit(1)), n - 1), lambda i: told(F.array_join(F.slice(sentence, i, n - i + 1), " ")))
+        joined = F.transform(F.sequence(F.greatest(n - most, F.lit(1)), n - 1), lambda i: F.array_join(F.slice(sentence, i, n - i + 1), " "))
+        joined = F.transform(joined, told)
         # What a line with a colon ends may be a sentence too, as before a list.
         opening = F.filter(F.sequence(F.lit(1), n - 1), lambda j: (j > 1) & F.element_at(lines_, j)["opens"])
-        before = F.flatten(F.transform(opening, lambda j: F.transform(F.sequence(F.greatest(j - most, F.lit(1)), j - 1), lambda i: told(F.array_join(F.slice(sentence, i, j - i + 1), " ")))))
-        told_first = F.when(F.exists(lines_, lambda x: x["opens"]), look_up(before)).otherwise(F.array().cast("array<bigint>"))
+        before = F.flatten(F.transform(opening, lambda j: F.transform(F.sequence(F.greatest(j - most, F.lit(1)), j - 1), lambda i: F.array_join(F.slice(sentence, i, j - i + 1), " "))))
+        told_first = F.when(F.exists(lines_, lambda x: x["opens"]), look_up(F.transform(before, told))).otherwise(F.array().cast("array<bigint>"))
         return F.when(n > 1, F.concat(told_first, alone, look_up(joined))).otherwise(alone)
 
     out = docs.withColumn(lines, normal_lines).withColumn(found, F.flatten(F.transform(F.filter(lines, lambda x: F.size(x) > 0), hits)))

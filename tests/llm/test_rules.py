@@ -74,7 +74,7 @@ def brute_licences(text, gap=5):
     """Sentences and rules by plain loops."""
     told = brute_told
     mark = r"^[^\w(]*\(?(?:[0-9]{1,2}|[a-z]|[ivx]{2,4})\)\s+"
-    spelt = lambda s: re.sub(r"([0-9])\+", r"\1 or later", re.sub(mark, "", s.lower())).replace("licence", "license")
+    spelt = lambda s: re.sub(mark, "", s.lower()).replace("+", " or later ").replace("licence", "license")
     plain = lambda s: told(" ".join(re.sub(r"(?<![0-9])\.|\.(?![0-9])|[^\w.]+|_", " ", spelt(s)).split()))
     known = {plain(t): n for n, ts in licences.known_sentences().items() for t in ts}
     ids = []
