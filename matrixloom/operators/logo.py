@@ -12,7 +12,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..tables import texts_in_small_batches
