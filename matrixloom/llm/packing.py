@@ -118,6 +118,13 @@ def write_matrices(packed: DataFrame, path: str, rows: int = 1024) -> None:
     packed.write.option("maxRecordsPerFile", rows).mode("overwrite").parquet(path)
 
 
+def sequence_numbers(n: int, where: int, bins: np.ndarray) -> np.ndarray:
+    """Numbers of the sequences of round n's part ``where``: no two rounds or parts share one, and none is negative."""
+    if n >= 1 << 15 or where >= 1 << 24 or (len(bins) and int(bins.max()) >= 1 << 24):
+        raise ValueError(f"no sequence number has room for round {n}, part {where}")
+    return (np.int64(n) << 48) + (np.int64(where) << 24) + bins
+
+
 def pack(items: DataFrame, length: int = 2048, part: int = PART, share: float = 0.25, open_below: float = 0.9) -> DataFrame:
     """``items`` (with a column ``length``) with sequence_id and offset.
 
@@ -149,7 +156,7 @@ def pack(items: DataFrame, length: int = 2048, part: int = PART, share: float =
             if used > lower_bound(sizes, length):
                 worst = np.argsort(fill, kind="stable")[: math.ceil(share * used)]
                 give[worst[fill[worst] < length]] = True
-            number = (np.int64(n) << 58) + (np.int64(where) << 24) + bins
+            number = sequence_numbers(n, where, bins)
             return pa.table({row: table.column(row), "size_": sizes, old: number, offset: offsets, last: give[bins]})
 
         return packed_part

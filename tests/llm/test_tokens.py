@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -138,6 +139,15 @@ def test_pack(spark):
     assert packing.pack(cut.limit(0)).count() == 0
 
 
+def test_sequence_numbers_of_many_rounds():
+    bins_ = np.arange(3)
+    made = [x for n in (0, 31, 32, 63, 64, 1000) for where in (0, 1, 1 << 20) for x in packing.sequence_numbers(n, where, bins_).tolist()]
+    assert len(set(made)) == len(made) and min(made) >= 0
+    for n, where in ((1 << 15, 0), (0, 1 << 24)):
+        with pytest.raises(ValueError, match="no sequence number"):
+            packing.sequence_numbers(n, where, bins_)
+
+
 def test_matrices(spark, tmp_path):
     df = spark.createDataFrame(DOCS, "doc_id long, text string")
     packed = packing.matrices(df, WORDS, held=4000)
