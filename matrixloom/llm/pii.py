@@ -9,12 +9,17 @@ letters or more outside e-mail addresses (t), and both (k), of n texts in all. H
 1 means that the term never occurs without the entity. A pair counts only if it is no chance finding: with m = e * t / n joint texts
 to be expected, k * (ln(k / m) - 1), which bounds the logarithm of the chance from below, must reach ln(pairs / chance), where ``pairs``
 is the number of pairs that were looked at. So two joint texts suffice for rare terms in a large corpus, and one never
-does. Terms are removed from a share of ``remove`` up, and generalised from ``generalise`` up, wherever they stand in a text with
-that entity.
+does. Terms tell too much from a share of ``generalise`` up, wherever they stand in a text with that entity.
+
+Such a term gives way to a broader one: the class of all terms that begin with its first three, two or one letters (``PREFIXES``), of which the longest is
+taken whose own share, from the texts that hold any term of the class, is below ``generalise`` for each entity of the text that the term
+reveals. Terms with a share of ``remove`` or more, and those that have no such class, are removed.
 
 All steps are linear in a text's length and matches: matches begin only where the run of their first characters begins, or where
 the last match ended, and arrays are walked in slices.
 
+Texts are told apart by 128 bits of their contents.
+
 Defined results: a null text is empty; repeated rows get the same spans and count as one text; extra columns are not
 read; rows without doc_id are treated like others.
 """
@@ -39,7 +44,7 @@ PATTERNS = {
 #: What a value must contain for its pattern to be tried at all.
 HINTS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 TERM = r"\p{L}{3,}"
-SPAN = "struct<s:int,k:int,e:int>"
+SPAN = "struct<s:int,k:int,e:int,kept:string>"
 
 
 def digits(value: Column) -> Column:
@@ -135,8 +140,47 @@ def terms_of(body: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(F.split(bare, r"[^\p{L}]+"), lambda x: F.length(x) >= 3), F.lower))
 
 
-def disclosures(texts: DataFrame, based: DataFrame, generalise: float, chance: float) -> DataFrame:
-    """(text_hash, term, share): the terms that reveal an entity of a text, with their largest share.
+#: Letters of the classes that a term may be generalised to.
+PREFIXES = [3, 2, 1]
+
+
+def text_key(body: Column) -> Column:
+    """What a text is told apart by."""
+    return F.unhex(F.md5(body))
+
+
+def classes_of(body: Column) -> Column:
+    """The distinct classes of a text's terms, which all have three letters at least."""
+
+    def first(x: Column) -> Column:
+        return F.array(*(F.substring(x, 1, n) for n in PREFIXES))
+
+    return F.array_distinct(F.flatten(F.transform(terms_of(body), first)))
+
+
+def share_of(k: Column, e: Column, t: Column, whole: Column) -> Column:
+    """How strongly what stands in t texts, k of them with an entity that stands in e, reveals it."""
+    return F.try_divide(F.log2(k * whole / (e * t)), F.log2(whole / e))
+
+
+def safe_classes(telling: DataFrame, weighted: DataFrame, held: DataFrame, there: DataFrame, generalise: float) -> DataFrame:
+    """(entity, term, n): the classes, by their number of letters, that may stand for a term that reveals an entity."""
+    wanted = stored(telling.select("entity", "term", F.explode(F.array(*map(F.lit, PREFIXES))).alias("n")).withColumn("class", F.expr("substring(term, 1, n)")), "wanted")
+    classes = wanted.select("class").distinct()
+    wide = weighted.select("weight", F.explode(classes_of(F.col("body"))).alias("class")).join(classes, "class", "left_semi")
+    wide = stored(wide.groupBy("class").agg(F.round(F.sum("weight")).cast("long").alias("t")), "classes")
+    entities = held.join(telling.select("entity").distinct(), "entity", "left_semi")
+    inside = there.join(entities.select("text_hash").distinct(), "text_hash", "left_semi")
+    inside = stored(inside.select("text_hash", F.explode(classes_of(F.col("body"))).alias("class")).join(classes, "class", "left_semi"), "text-classes")
+    # An entity's texts meet only the classes that are wanted for it.
+    asked = entities.join(wanted.select("entity", "class").distinct(), "entity").join(inside, ["text_hash", "class"])
+    joint = asked.groupBy("entity", "class").agg(F.count("*").alias("k"), F.first("e").alias("e"), F.first("whole").alias("whole")).join(wide, "class")
+    safe = joint.filter(share_of(F.col("k"), F.col("e"), F.col("t"), F.col("whole")) < generalise)
+    return wanted.join(safe.select("entity", "class"), ["entity", "class"]).select("entity", "term", "n")
+
+
+def disclosures(texts: DataFrame, based: DataFrame, generalise: float, remove: float, chance: float) -> DataFrame:
+    """(text_hash, term, letters): the terms that reveal an entity of a text, and how many of their letters may stay (0: removed).
 
     ``texts``: text_hash, body of every row; ``based``: text_hash and base spans of every row, in the shared folder.
     """
@@ -160,30 +204,35 @@ def disclosures(texts: DataFrame, based: DataFrame, generalise: float, chance: f
     number = pairs.agg(F.count("*").alias("pairs"))
     expected = F.col("e") * F.col("t") / F.col("whole")
     sure = F.col("k") * (F.log(F.col("k") / expected) - 1) >= F.log(F.col("pairs") / F.lit(chance))
-    share = F.try_divide(F.log2(F.col("k") / expected), F.log2(F.col("whole") / F.col("e")))
+    share = share_of(F.col("k"), F.col("e"), F.col("t"), F.col("whole"))
     telling = pairs.filter("k > 1").crossJoin(F.broadcast(number)).filter(sure).withColumn("share", share).filter(F.col("share") >= generalise)  # one row
     telling = stored(telling.select("entity", "term", "share"), "telling")
-    found_in = near.join(held.select("text_hash", "entity"), "text_hash").join(telling, ["entity", "term"])
-    return stored(found_in.groupBy("text_hash", "term").agg(F.max("share").alias("share")), "disclosures")
+    safe = safe_classes(telling.filter(F.col("share") < remove), weighted, held, there, generalise)
+    safe = stored(telling.join(safe, ["entity", "term"], "left").groupBy("entity", "term").agg(F.collect_set("n").alias("safe")), "safe")
+    found_in = near.join(held.select("text_hash", "entity"), "text_hash").join(safe, ["entity", "term"])
+    # A class has to be safe for all entities of a text that the term reveals.
+    agreed = [F.when(F.every(F.array_contains("safe", n)), F.lit(n)) for n in PREFIXES]
+    return stored(found_in.groupBy("text_hash", "term").agg(F.coalesce(*agreed, F.lit(0)).alias("letters")), "disclosures")
 
 
 def spans(docs: DataFrame, generalise: float = 0.8, remove: float = 0.95, chance: float = 0.01, id_column: str = "doc_id", text_column: str = "text") -> tuple[DataFrame, DataFrame]:
     """Base spans and added spans, both in the shared folder.
 
     The first has doc_id, text_hash and base (array of start, kind, end, value) of every row; the second, by text_hash, added
-    (array of s, k: 4 generalised or 5 removed, e), one row for each text that has any.
+    (array of s, k: 4 generalised or 5 removed, e, kept: the class that a generalised term gives way to), one row for each text that has any.
     """
-    rows = docs.select(quoted(id_column).alias("doc_id"), F.coalesce(quoted(text_column).cast("string"), F.lit("")).alias("body")).withColumn("text_hash", F.xxhash64("body"))
+    rows = docs.select(quoted(id_column).alias("doc_id"), F.coalesce(quoted(text_column).cast("string"), F.lit("")).alias("body")).withColumn("text_hash", text_key(F.col("body")))
     based = stored(with_base(rows, "body", "base").select("doc_id", "text_hash", "base"), "based")
     texts = rows.select("text_hash", "body")
-    shares = disclosures(texts, based, generalise, chance)
+    shares = disclosures(texts, based, generalise, remove, chance)
     hit = texts.join(shares.select("text_hash").distinct(), "text_hash", "left_semi").dropDuplicates(["text_hash"])
     # An address is read as one word, so that what it holds is no term.
     every, between = found(F.col("body"), f"{PATTERNS['email']}|{TERM}")
     hit = placed(hit.withColumn("matches", every).withColumn("pieces", between).drop("body"), "matches", "pieces", 0, "words")
     hit = hit.select("text_hash", F.explode("words").alias("x")).select("text_hash", F.lower("x.v").alias("term"), "x.s", "x.e")
-    kind = F.when(F.col("share") >= remove, 5).otherwise(4)
-    added = hit.join(shares, ["text_hash", "term"]).groupBy("text_hash").agg(F.sort_array(F.collect_list(F.struct("s", kind.alias("k"), "e"))).alias("added"))
+    kind = F.when(F.col("letters") > 0, 4).otherwise(5)
+    kept = F.expr("substring(term, 1, letters)")
+    added = hit.join(shares, ["text_hash", "term"]).groupBy("text_hash").agg(F.sort_array(F.collect_list(F.struct("s", kind.alias("k"), "e", kept.alias("kept")))).alias("added"))
     return based, stored(added, "added")
 
 
@@ -199,13 +248,13 @@ def together(based: DataFrame, added: DataFrame, keep: list[str]) -> DataFrame:
     """``based`` (columns ``keep``, text_hash, base) with ``every``: base and added spans in order."""
     h = fresh("added_hash", based.columns)
     whole = based.join(added.select(F.col("text_hash").alias(h), "added"), F.col("text_hash") == F.col(h), "left")
-    plain = F.transform("base", lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e")))
+    plain = F.transform("base", lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), F.lit("").alias("kept")))
     none = F.expr(f"cast(array() as array<{SPAN}>)")
     return whole.select(*keep, F.sort_array(F.concat(plain, F.coalesce("added", none))).alias("every"))
 
 
 def detected(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, base (array of s, k, e, v), every (array of s, k, e): all spans of every whole text."""
+    """doc_id, base (array of s, k, e, v), every (array of s, k, e, kept): all spans of every whole text."""
     return together(*spans(docs, **options), ["doc_id", "base"])
 
 
@@ -218,13 +267,13 @@ BLOCK = 64
 
 
 def sanitised(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
-    """``docs`` with personal data replaced by [EMAIL], [IP], [CARD], [PHONE], generalised terms by [TERM] and removed terms by nothing.
+    """``docs`` with personal data replaced by [EMAIL], [IP], [CARD], [PHONE], generalised terms by their class, such as [wil*], and removed terms by nothing.
 
     Where spans overlap, the one that begins first is replaced and the rest of the other with it. A null text stays null.
     """
     _, added = spans(docs, id_column=id_column, text_column=text_column, **options)
     rows = docs.select(F.struct(*(quoted(c) for c in docs.columns)).alias("row"), F.coalesce(quoted(text_column).cast("string"), F.lit("")).alias("body"))
-    rows = with_base(rows, "body", "base").withColumn("text_hash", F.xxhash64("body"))
+    rows = with_base(rows, "body", "base").withColumn("text_hash", text_key(F.col("body")))
     rows = together(rows, added, ["row", "body"])
     # The end of all spans before each span: where the text goes on.
     rows = rows.withColumn("cut", sliced(F.col("every")))
@@ -232,21 +281,21 @@ def sanitised(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
     def walk(x: Column, start: Column) -> Column:
         def step(a: Column, y: Column) -> Column:
-            one = F.struct(a["at"].alias("at"), y["s"].alias("s"), y["k"].alias("k"))
+            one = F.struct(a["at"].alias("at"), y["s"].alias("s"), y["k"].alias("k"), y["kept"].alias("kept"))
             return F.struct(F.greatest(a["at"], y["e"]).alias("at"), F.concat(a["all"], F.array(one)).alias("all"))
 
-        return F.aggregate(x, F.struct(start.alias("at"), F.expr("cast(array() as array<struct<at:int,s:int,k:int>>)").alias("all")), step)["all"]
+        return F.aggregate(x, F.struct(start.alias("at"), F.expr("cast(array() as array<struct<at:int,s:int,k:int,kept:string>>)").alias("all")), step)["all"]
 
     rows = rows.withColumn("walked", F.when(F.size("every") > 0, F.flatten(F.zip_with("cut", "starts", walk))))
     rows = rows.withColumn("blocks", F.when(F.size("every") > 0, F.regexp_extract_all("body", F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))))
-    mask = F.array(*(F.lit(x) for x in ["[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[TERM]", ""]))
+    mask = F.array(*(F.lit(x) for x in ["[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "", ""]))
 
     def part(a: Column, b: Column) -> Column:
         first = F.floor(a / BLOCK).cast("int")
         whole = F.array_join(F.slice("blocks", first + 1, F.floor((b - 1) / BLOCK).cast("int") - first + 1), "")
         return F.when(b > a, F.substring(whole, a % BLOCK + 1, b - a)).otherwise("")
 
-    parts = F.transform("walked", lambda x: F.when(x["s"] < x["at"], "").otherwise(F.concat(part(x["at"], x["s"]), F.element_at(mask, x["k"] + 1))))
+    parts = F.transform("walked", lambda x: F.when(x["s"] < x["at"], "").otherwise(F.concat(part(x["at"], x["s"]), F.when(x["k"] == 4, F.concat(F.lit("["), x["kept"], F.lit("*]"))).otherwise(F.element_at(mask, x["k"] + 1)))))
     last = F.array_max(F.transform("every", lambda x: x["e"]))
     text = F.when(F.size("blocks") > 0, F.concat(F.array_join(parts, ""), part(last, F.length("body")))).otherwise(F.col("row")[text_column])
     return rows.select(*(text.alias(c) if c == text_column else F.col("row")[c].alias(c) for c in docs.columns))

@@ -10,11 +10,12 @@ can be among the best k; these possible members are scored exactly.
 Queries are dealt into blocks too, and every query block meets every candidate block, so memory is bounded on both sides; of
 each meeting only k rows a query are kept. Contributions are shifted so that none is negative.
 
-Vectors with a component beyond 2**20 after scaling are not indexed: they are scored in Python's whole numbers.
+Vectors with a component beyond 2**20 after scaling are not indexed: they are scored in Python's whole numbers, which neither
+scaling nor a product can overflow.
 
 Defined results: vectors that are null, or hold null or non-finite components, and rows without id take no part; shorter
 vectors are filled with zeros; ties go to the smaller id; a query never meets rows with its own id; repeated rows are repeated
-candidates but ask once; a score among the best that is no long ends the run with an error; extra columns are not read.
+candidates but ask once; a score among the best that is beyond 2**63 - 1 either way ends the run with an error; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ BLOCK, QUERIES = 8192, 512
 LOOK, FEW = 256, 1 / 16
 #: Largest component of an indexed vector: sums of products stay far below 2**53.
 SMALL = 1 << 20
+LONG = (1 << 63) - 1
 
 
 class Index:
@@ -101,38 +103,43 @@ class Index:
 class Block:
     """A block of candidates: indexed vectors, and those with large components."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, step: int):
-        large = (np.abs(vectors) > SMALL).any(1)
-        self.index = Index(ids[~large], vectors[~large].astype(np.int64), step)
-        self.ids, self.vectors = ids[large], whole_numbers(vectors[large])
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, scale: int, step: int):
+        self.scale = scale
+        large = (np.abs(vectors) > SMALL // scale).any(1)
+        self.index = Index(ids[~large], np.floor(scale * vectors[~large]).astype(np.int64), step)
+        self.ids, self.vectors = ids[large], whole_numbers(vectors[large], scale)
 
     def best(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
         """(id, score) of the k best rows but those with id ``own``; ties to smaller ids."""
         small = self.index
-        whole = whole_numbers(query)
+        whole = whole_numbers(query, self.scale)
         found = scored(self.ids, self.vectors, whole)
-        if (np.abs(query) <= SMALL).all():
-            found += zip(*(x.tolist() for x in small.best(query.astype(np.int64), own, k)), strict=True)
+        if (np.abs(query) <= SMALL // self.scale).all():
+            found += zip(*(x.tolist() for x in small.best(np.floor(self.scale * query).astype(np.int64), own, k)), strict=True)
         else:
             found += scored(small.ids, small.vectors.astype(object), whole)
         return sorted((f for f in found if f[0] != own), key=lambda f: (-f[1], f[0]))[:k]
 
 
-def whole_numbers(vectors: np.ndarray) -> np.ndarray:
-    """Floored doubles as Python's whole numbers, which have no largest."""
-    return np.array([int(x) for x in vectors.ravel().tolist()], object).reshape(vectors.shape)
+def whole_numbers(vectors: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x) as Python's whole numbers, which have no largest."""
+    def one(x: float) -> int:
+        y = scale * x
+        return math.floor(y) if math.isfinite(y) else scale * int(x)  # so large a double is whole
+
+    return np.array([one(x) for x in vectors.ravel().tolist()], object).reshape(vectors.shape)
 
 
 def scored(ids: np.ndarray, vectors: np.ndarray, query: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(ids.tolist(), (vectors @ query).tolist(), strict=True)) if len(ids) else []
 
 
-def whole_vectors(table: DataFrame, scale: int, id_column: str, vector_column: str) -> DataFrame:
-    """(id, v: array of doubles, scaled) of the rows that take part."""
+def whole_vectors(table: DataFrame, id_column: str, vector_column: str) -> DataFrame:
+    """(id, v: array of doubles) of the rows that take part."""
     rows = table.select(quoted(id_column).cast("long").alias("id"), quoted(vector_column).alias("x"))
     sound = F.forall("x", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e.cast("double")) < float("inf")))
     rows = rows.filter(F.col("id").isNotNull() & F.col("x").isNotNull()).filter(F.coalesce(sound, F.lit(False)))
-    return rows.select("id", F.transform("x", lambda e: F.lit(float(scale)) * e.cast("double")).alias("v"))
+    return rows.select("id", F.transform("x", lambda e: e.cast("double")).alias("v"))
 
 
 def blocked(rows: DataFrame, size: int, count: int, name: str) -> tuple[DataFrame, int]:
@@ -143,7 +150,7 @@ def blocked(rows: DataFrame, size: int, count: int, name: str) -> tuple[DataFram
 
 def top(table: DataFrame, every: int, k: int = 5, scale: int = 256, step: int = 8, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """(query_id, rank, id, score): the k best rows for each row whose id is divisible by ``every``."""
-    rows = stored(whole_vectors(table, scale, id_column, vector_column), "vectors")
+    rows = stored(whole_vectors(table, id_column, vector_column), "vectors")
     queries = stored(rows.filter(F.col("id") % every == 0).distinct(), "queries")
     sides, n = blocked(rows, BLOCK, rows.count(), "c")
     asked, m = blocked(queries, QUERIES, queries.count(), "q")
@@ -158,19 +165,24 @@ def top(table: DataFrame, every: int, k: int = 5, scale: int = 256, step: int =
         sizes = pc.list_value_length(vectors).to_numpy()
         width = int(sizes.max())
         matrix = np.zeros((len(ids), width))
-        matrix[np.arange(width) < sizes[:, None]] = np.floor(vectors.flatten().to_numpy())
+        matrix[np.arange(width) < sizes[:, None]] = vectors.flatten().to_numpy()
         out: list[tuple[int, int, int]] = []
         if asks.any() and not asks.all() and width:
-            block = Block(ids[~asks], matrix[~asks], step)
+            block = Block(ids[~asks], matrix[~asks], scale, step)
             for own, query in zip(ids[asks].tolist(), matrix[asks], strict=True):
                 out += [(own, *found) for found in block.best(query, own, k)]
-        columns = [pa.array([o[i] for o in out], pa.int64()) for i in range(3)]
-        return pa.table(dict(zip(["query_id", "id", "score"], columns, strict=True)))
+        # A score that is no long only says on which side of all longs it lies.
+        beyond = [(o[2] > LONG) - (o[2] < -LONG) for o in out]
+        score = [0 if b else o[2] for o, b in zip(out, beyond, strict=True)]
+        columns = [[o[0] for o in out], [o[1] for o in out], beyond, score]
+        return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(["query_id", "id", "beyond", "score"], columns, strict=True)})
 
     # A query row and a candidate row meet once, so equal rows here are repeated candidates.
-    met = left.unionByName(right).groupBy("c", "q").applyInArrow(meet, "query_id long, id long, score long")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+    met = left.unionByName(right).groupBy("c", "q").applyInArrow(meet, "query_id long, id long, beyond long, score long")
+    order = W.partitionBy("query_id").orderBy(F.desc("beyond"), F.desc("score"), "id")
+    best = met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    score = F.when(F.col("beyond") == 0, F.col("score")).otherwise(F.raise_error(F.lit("a score among the best is no long")).cast("long"))
+    return best.select("query_id", "rank", "id", score.alias("score"))
 
 
 #: The query's DuckDB twin.

@@ -308,13 +308,23 @@ def brute_added(docs, generalise=0.8, remove=0.95, chance=0.01):
         m = e[v] * t_[w] / n
         if x > 1 and x * (math.log(x / m) - 1) >= math.log(len(k) / chance) and n > e[v]:
             share[v, w] = math.log2(x / m) / math.log2(n / e[v])
+    def safe(v, prefix):
+        held = [t for t in texts if any(w.startswith(prefix) for w in has[t][1])]
+        joint = sum(v in has[t][0] for t in held)
+        return n > e[v] and math.log2(joint * n / (e[v] * len(held))) / math.log2(n / e[v]) < generalise
+
     out = {}
     for i, t in docs:
         vs, ws = has[t or ""]
-        best = {w: max((share[v, w] for v in vs if (v, w) in share), default=0) for w in ws}
+        letters = {}
+        for w in ws:
+            told = [v for v in vs if share.get((v, w), 0) >= generalise]
+            if told:
+                fits = [m for m in (3, 2, 1) if all(share[v, w] < remove and safe(v, w[:m]) for v in told)]
+                letters[w] = fits[0] if fits else 0
         taken = [m.span() for m in email.finditer(t or "")]
-        spans = [(m.start(), m.end(), best.get(m[0].lower(), 0)) for m in word.finditer(t or "") if not any(a < m.end() and m.start() < b for a, b in taken)]
-        out[i] = sorted((a, "remove" if x >= remove else "generalise", b) for a, b, x in spans if x >= generalise)
+        spans = [(m.start(), m.end(), m[0].lower()) for m in word.finditer(t or "") if not any(a < m.end() and m.start() < b for a, b in taken)]
+        out[i] = sorted((a, "generalise" if letters[w] else "remove", b, w[: letters[w]]) for a, b, w in spans if w in letters)
     return out
 
 
@@ -325,14 +335,23 @@ def test_added_spans_match_brute_force(spark):
     docs = [(i, f"{filler()} Zorblatt boss@corp.example.com {filler(60)} ZORBLATT") for i in range(6)] + [(10 + i, filler()) for i in range(240)]
     docs += [(300 + i, f"{filler()} {'Semi' if i % 5 else 'semi'}word {filler()}" + " 10.0.0.1" * (i < 12)) for i in range(18)]
     docs += [(500 + i, "copied Quuxword line near twin@corp.example.com and more") for i in range(9)]
+    # Of 12 texts with "Miranda" 9 hold the address; many have words in "mir", as the filler has.
+    docs += [(700 + i, f"{filler()} Miranda {filler()}" + " seldom@corp.example.com" * (i < 9)) for i in range(12)] + [(720, f"{filler()} Mirth")]
+    # "Quillon" shares its first letter with "Quuxword", and nothing that stands often enough.
+    docs += [(740 + i, f"{filler()} Quillon {filler()}" + " rarely@corp.example.com" * (i < 9)) for i in range(12)]
+    # No other word begins with "lox", some with "lo".
+    docs += [(760 + i, f"{filler()} Loxley {filler()}" + " hidden@corp.example.com" * (i < 9)) for i in range(12)]
     docs += [(600, None), (601, ""), (602, docs[0][1]), (602, docs[0][1])]
     df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("base", F.lit(1)).withColumn("weight", F.lit(2)).repartition(3)
     want = brute_added(docs)
-    got = {r.doc_id: [(x.s, pii.NAMES[x.k], x.e) for x in r.every if x.k >= 4] for r in pii.detected(df).collect()}
+    got = {r.doc_id: [(x.s, pii.NAMES[x.k], x.e, x.kept) for x in r.every if x.k >= 4] for r in pii.detected(df).collect()}
     assert got == want
-    assert {docs[0][1][a:b] for a, _, b in want[0]} == {"Zorblatt", "ZORBLATT"} and not want[500] and any(want[i] for i in range(300, 312)) and not any(want[i] for i in range(312, 318))
+    assert {docs[0][1][a:b] for a, _, b, _ in want[0]} == {"Zorblatt", "ZORBLATT"} and not want[500] and any(want[i] for i in range(300, 312)) and not any(want[i] for i in range(312, 318))
     clean = {r.doc_id: r.text for r in pii.sanitised(df).collect()}
     assert "Zorblatt" not in clean[0] and "ZORBLATT" not in clean[0] and "boss@" not in clean[0] and "[EMAIL]" in clean[0]
+    assert [(k, c) for _, k, _, c in want[700]] == [("generalise", "mir")] and " [mir*] " in clean[700] and "Miranda" not in clean[700] and "Miranda" in clean[709]
+    assert [(k, c) for _, k, _, c in want[760]] == [("generalise", "lo")] and " [lo*] " in clean[760]
+    assert [k for _, k, _, _ in want[740]] == ["remove"] and "Quillon" not in clean[740]
     assert clean[10] == dict(docs)[10] and clean[500] == "copied Quuxword line near [EMAIL] and more"
 
 
@@ -426,6 +445,18 @@ def test_top_of_repeated_rows_and_large_components(spark):
     assert got[5] == (20, 1, 3, 2**61)
 
 
+def test_top_of_components_that_overflow(spark):
+    """A component may be too large for a double once scaled, and a score too large for a long, unless it is among the best."""
+    rows = [(0, [1.0, 0.0])] + [(i, [0.5, 0.0]) for i in range(1, 6)] + [(6, [-1e306, 1.0]), (7, [0.0, 1e308])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.id, r.score) for r in topk.top(df, 20).collect())
+    assert got == [(0, k, k, 256 * 128) for k in range(1, 6)]
+    got = sorted((r.query_id, r.rank, r.id, r.score) for r in topk.top(df, 20, k=6).collect())
+    assert got[5] == (0, 6, 7, 0)
+    with pytest.raises(Exception, match="no long"):
+        topk.top(df, 20, k=7).collect()
+
+
 # --- Quality
 
 
