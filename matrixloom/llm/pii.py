@@ -146,16 +146,12 @@ PREFIXES = [3, 2, 1]
 
 def text_key(body: Column) -> Column:
     """What a text is told apart by."""
-    return F.unhex(F.md5(body))
+    return F.struct(F.xxhash64(body).alias("a"), F.xxhash64(F.lit(1), body).alias("b"))  # two seeds
 
 
-def classes_of(body: Column) -> Column:
-    """The distinct classes of a text's terms, which all have three letters at least."""
-
-    def first(x: Column) -> Column:
-        return F.array(*(F.substring(x, 1, n) for n in PREFIXES))
-
-    return F.array_distinct(F.flatten(F.transform(terms_of(body), first)))
+def classes_of(term: Column) -> Column:
+    """The classes of a term, which has three letters at least."""
+    return F.array(*(F.substring(term, 1, n) for n in PREFIXES))
 
 
 def share_of(k: Column, e: Column, t: Column, whole: Column) -> Column:
@@ -163,15 +159,15 @@ def share_of(k: Column, e: Column, t: Column, whole: Column) -> Column:
     return F.try_divide(F.log2(k * whole / (e * t)), F.log2(whole / e))
 
 
-def safe_classes(telling: DataFrame, weighted: DataFrame, held: DataFrame, there: DataFrame, generalise: float) -> DataFrame:
+def safe_classes(telling: DataFrame, weighted: DataFrame, held: DataFrame, words: DataFrame, generalise: float) -> DataFrame:
     """(entity, term, n): the classes, by their number of letters, that may stand for a term that reveals an entity."""
     wanted = stored(telling.select("entity", "term", F.explode(F.array(*map(F.lit, PREFIXES))).alias("n")).withColumn("class", F.expr("substring(term, 1, n)")), "wanted")
     classes = wanted.select("class").distinct()
-    wide = weighted.select("weight", F.explode(classes_of(F.col("body"))).alias("class")).join(classes, "class", "left_semi")
+    wide = weighted.select("weight", F.explode(F.array_distinct(F.flatten(F.transform(terms_of(F.col("body")), classes_of)))).alias("class")).join(classes, "class", "left_semi")
     wide = stored(wide.groupBy("class").agg(F.round(F.sum("weight")).cast("long").alias("t")), "classes")
     entities = held.join(telling.select("entity").distinct(), "entity", "left_semi")
-    inside = there.join(entities.select("text_hash").distinct(), "text_hash", "left_semi")
-    inside = stored(inside.select("text_hash", F.explode(classes_of(F.col("body"))).alias("class")).join(classes, "class", "left_semi"), "text-classes")
+    inside = words.join(entities.select("text_hash").distinct(), "text_hash", "left_semi").select("text_hash", F.explode(classes_of(F.col("term"))).alias("class"))
+    inside = stored(inside.join(classes, "class", "left_semi").distinct(), "text-classes")
     # An entity's texts meet only the classes that are wanted for it.
     asked = entities.join(wanted.select("entity", "class").distinct(), "entity").join(inside, ["text_hash", "class"])
     joint = asked.groupBy("entity", "class").agg(F.count("*").alias("k"), F.first("e").alias("e"), F.first("whole").alias("whole")).join(wide, "class")
@@ -198,7 +194,8 @@ def disclosures(texts: DataFrame, based: DataFrame, generalise: float, remove: f
     # A term that more texts have cannot reach the least share.
     held = stored(values.join(twice, "entity").withColumn("most", F.col("e") * F.pow(F.col("whole") / F.col("e"), F.lit(1 - generalise)) + 1e-6), "held")
     there = texts.join(held.select("text_hash").distinct(), "text_hash", "left_semi").dropDuplicates(["text_hash"])
-    near = stored(there.select("text_hash", F.explode(terms_of(F.col("body"))).alias("term")).join(terms, "term"), "near")
+    there = stored(there.select("text_hash", F.explode(terms_of(F.col("body"))).alias("term")), "terms-near")
+    near = stored(there.join(terms, "term"), "near")
     met = held.join(near, "text_hash").filter("t <= most")
     pairs = stored(met.groupBy("entity", "term").agg(F.count("*").alias("k"), F.first("e").alias("e"), F.first("t").alias("t"), F.first("whole").alias("whole")), "pairs")
     number = pairs.agg(F.count("*").alias("pairs"))
