@@ -83,4 +83,9 @@ def log2_ratio(base: Column, other: Column) -> Column:
 
 
 def minus_log10(p: Column) -> Column:
-    return F.when(p <= 0, F.lit(float("inf"))).otherwise(-F.log10(p))
+    return F.when(p <= 0, F.lit(float("inf"))).otherwise(0.0 - F.log10(p))  # 1 gives 0, not -0
+
+
+def above(a: Column, b: Column, digits: int = 9) -> Column:
+    """a > b, where numbers whose difference rounds to 0 are equal: the last digits of sums of doubles depend on their order."""
+    return (a > b) & (F.round(a - b, digits) != 0)

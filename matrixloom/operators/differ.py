@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.stats import log2_ratio, minus_log10, nonzero, with_t_test
+from ..functions.stats import above, log2_ratio, minus_log10, nonzero, with_t_test
 from .ranking import numbered
 
 
@@ -37,7 +37,7 @@ def tested(pairs: DataFrame, keep: list[str]) -> DataFrame:
 def log2fc(df: DataFrame, feature: str, group: str, value: str, cutoff: float = 80, by: tuple[str, ...] = ()) -> DataFrame:
     """(by..., feature, g1, g2, log2fc, pval) for every pair of groups g1 < g2.
 
-    A feature takes part if the mean of its group means is at least ``cutoff`` and it has mean, deviation and count in every
+    A feature takes part if the mean of its group means is at least ``cutoff`` (to nine digits) and it has mean, deviation and count in every
     group that has a feature with a value (within ``by``).
     """
     return log2fc_cutoffs(df, feature, group, value, [cutoff], by).drop("cutoff")
@@ -50,10 +50,10 @@ def log2fc_cutoffs(df: DataFrame, feature: str, group: str, value: str, cutoffs:
     wide = stats.groupBy(*by, feature).agg(F.avg("mean").alias("level"), F.collect_list(F.when(F.col("sd").isNotNull(), one)).alias("groups"))
     number = stats.filter("n > 0").groupBy(*by).agg(F.count_distinct(group).alias("n_groups"))
     wide = wide.join(number, list(by)) if by else wide.crossJoin(number)  # one row
-    full = wide.filter((F.size("groups") == F.col("n_groups")) & (F.col("level") >= min(cutoffs)))
+    full = wide.filter((F.size("groups") == F.col("n_groups")) & ~above(F.lit(min(cutoffs)), F.col("level")))
     pairs = full.select(*by, F.col(feature).alias("feature"), "level", F.explode(pairs_of(F.col("groups"))).alias("pair"))
     out = tested(pairs, [*by, "feature", "level"])
-    limits = F.explode(F.filter(F.array(*map(F.lit, cutoffs)), lambda c: F.col("level") >= c)).alias("cutoff")
+    limits = F.explode(F.filter(F.array(*map(F.lit, cutoffs)), lambda c: ~above(c, F.col("level")))).alias("cutoff")
     return out.select(*by, limits, "feature", "g1", "g2", "log2fc", "pval")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.stats import above
 from .checks import one_a_key
 
 #: Coverage types that are raw counts and are divided by the size factor, and the others: fixed values.
@@ -101,16 +102,19 @@ def region_stats(x: DataFrame, keys: list[str], value: str = "value", half: str
 
 
 def fragment_class(stats: DataFrame, fiveprime: str = "fp", threeprime: str = "tp", total: str = "total", low: float = 20) -> DataFrame:
-    """The fragment label of each row of ``region_stats`` with its normalised unique five-prime, three-prime and total reads."""
+    """The fragment label of each row of ``region_stats`` with its normalised unique five-prime, three-prime and total reads.
+
+    Numbers that are equal to nine digits are not above each other.
+    """
     c, fp, tp = F.col, F.coalesce(F.col(fiveprime), F.lit(0.0)), F.coalesce(F.col(threeprime), F.lit(0.0))
-    close5 = F.abs(c("mean_center") - c("mean_stem5")) < c("sd_fiveprime")
-    close3 = F.abs(c("mean_center") - c("mean_stem3")) < c("sd_threeprime")
+    close5 = above(c("sd_fiveprime"), F.abs(c("mean_center") - c("mean_stem5")))
+    close3 = above(c("sd_threeprime"), F.abs(c("mean_center") - c("mean_stem3")))
     label = (
-        F.when(F.coalesce(F.col(total), F.lit(0.0)) <= low, "low_coverage")
-        .when(fp > F.abs(tp + 2 * c("sd_all")), F.when(close5, "fiveprime_half").otherwise("fiveprime_fragment"))
-        .when(tp > F.abs(fp + 2 * c("sd_all")), F.when(close3, "threeprime_half").otherwise("threeprime_fragment"))
-        .when(F.abs(c("mean_fiveprime") - c("mean_threeprime")) > c("sd_all"), "other_fragment")
-        .when(F.abs(c("mean_stem5") - c("mean_stem3")) > c("mean_center") + c("sd_center"), "multiple_fragment")
+        F.when(~above(F.coalesce(F.col(total), F.lit(0.0)), F.lit(low)), "low_coverage")
+        .when(above(fp, F.abs(tp + 2 * c("sd_all"))), F.when(close5, "fiveprime_half").otherwise("fiveprime_fragment"))
+        .when(above(tp, F.abs(fp + 2 * c("sd_all"))), F.when(close3, "threeprime_half").otherwise("threeprime_fragment"))
+        .when(above(F.abs(c("mean_fiveprime") - c("mean_threeprime")), c("sd_all")), "other_fragment")
+        .when(above(F.abs(c("mean_stem5") - c("mean_stem3")), c("mean_center") + c("sd_center")), "multiple_fragment")
         .otherwise("whole")
     )
     return stats.withColumn("fragment", label)

@@ -366,3 +366,20 @@ def test_heatmap_csv(spark, tmp_path):
 def test_bars_leave_out_aminos(spark):
     df = spark.createDataFrame([("p", "g", 1.0, "Ala"), ("q", "g", 3.0, "Und"), ("q", "g", 5.0, None)], "c string, g string, v double, amino string")
     assert {r.c: r.sum for r in summarise.bars(df, "c", "g", "v", excluded=("Und", "Sup")).collect()} == {"p": 1.0, "q": 5.0}
+
+
+def test_cutoffs_and_fragments_hold_ties_whatever_the_last_digit(spark):
+    # 0.1 + 0.2 is more than 0.3: sums in another order must not decide.
+    rows = [("f", g, m + d) for g, m in (("a", 0.1), ("b", 0.2), ("c", 0.6)) for d in (-0.05, 0.05)]
+    out = [differ.log2fc(spark.createDataFrame(r, "f string, g string, v double"), "f", "g", "v", 0.3).count() for r in (rows, rows[::-1])]
+    assert out == [3, 3] and differ.log2fc(spark.createDataFrame(rows, "f string, g string, v double"), "f", "g", "v", 0.3000001).count() == 0
+    names = [f.name for f in matrix.region_stats(spark.createDataFrame([], "k string, value double, half string, location string"), ["k"]).schema][1:]
+    level = dict.fromkeys(names, 0.0) | {"mean_center": 99.0, "fp": 0.0, "tp": 0.0, "total": 99.0}
+    stats = spark.createDataFrame([level | {"mean_fiveprime": 0.1 + 0.2, "sd_all": x} for x in (0.3, 0.1 + 0.2, 0.2999)])
+    assert [r.fragment for r in matrix.fragment_class(stats).collect()] == ["whole", "whole", "other_fragment"]
+    total = spark.createDataFrame([level | {"total": x} for x in (20.000000000000004, 20.001)])
+    assert [r.fragment for r in matrix.fragment_class(total).collect()] == ["low_coverage", "whole"]
+
+
+def test_minus_log10_of_one_has_no_sign(spark):
+    assert math.copysign(1, spark.range(1).select(minus_log10(F.col("id") + 1.0).alias("x")).first().x) == 1
