@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import above
+from ..tables import stored
 from .checks import one_a_key
 
 #: Coverage types that are raw counts and are divided by the size factor, and the others: fixed values.
@@ -126,6 +127,27 @@ def sequences(bases: DataFrame, keys: list[str], order: str = "pos_ord", base: s
     return bases.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order), letter.alias("b")))), lambda x: x["b"]), "").alias("sequence"))
 
 
+def text_sequences(df: DataFrame, key: str, text: str, letters: dict[str, str], other: str, period: int, least: int, rna: bool = False) -> DataFrame:
+    """(key, sequence): the bases of each text's characters, without those whose place modulo ``period`` is at least ``least``.
+
+    ``letters`` maps lower-case ASCII letters to bases. A text becomes its sequence within its row; only keys are shuffled. The texts of a key
+    that has several are merged place by place, as by ``sequences``.
+    """
+    both = letters | {c.upper(): b for c, b in letters.items()}
+    said = "".join(both)
+    mark = next(c for c in "#*+~" if c not in both)  # any other character
+    bases = "".join(both.values()) + other
+    plain = F.translate(F.regexp_replace(text, "[^" + "".join(f"\\x{ord(c):02x}" for c in said) + "]", mark), said + mark, bases.replace("T", "U").replace("t", "u") if rna else bases)
+    kept = F.regexp_replace(plain, f"(.{{{least}}}).{{1,{period - least}}}", "$1") if least < period else plain
+    texts = df.select(key, text).filter(F.length(text) > 0)
+    several = stored(texts.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(F.col(key).alias("several_")), "several")
+    same = F.col(key).eqNullSafe(F.col("several_"))
+    once = texts.join(several, same, "left_anti").select(key, kept.alias("sequence"))
+    rows = texts.join(several, same).select(key, F.posexplode(F.split(plain, "")).alias("place", "base"))
+    rows = rows.filter((F.col("base") != "") & (F.col("place") % period < least))
+    return once.filter(F.length("sequence") > 0).unionByName(sequences(rows, [key], "place"))
+
+
 def trimmed(bases: DataFrame, drop_cca: bool = True, drop_gaps: bool = False, position: str = "position") -> DataFrame:
     """Bases without the one before the first, without the CCA tail and, if asked for, without gaps."""
     out = bases.filter(F.col(position) != "-1")

@@ -383,3 +383,12 @@ def test_cutoffs_and_fragments_hold_ties_whatever_the_last_digit(spark):
 
 def test_minus_log10_of_one_has_no_sign(spark):
     assert math.copysign(1, spark.range(1).select(minus_log10(F.col("id") + 1.0).alias("x")).first().x) == 1
+
+
+def test_sequences_of_texts_are_made_in_their_rows(spark):
+    texts = [(1, "Tea at\nNoon, é\U0001f600 [x]^-\\ " * 20), (2, ""), (3, None), (4, "a" * 73), (5, "a" * 74 + "oE"), (6, "tat"), (6, "oo o"), (7, "b" * 150), (None, "a"), (None, "#o")]
+    df = spark.createDataFrame(texts, "k long, text string").repartition(3)
+    letters = {"a": "A", "e": "A", "o": "C", "t": "T", " ": "-"}
+    got = {r.k: r.sequence for r in matrix.text_sequences(df, "k", "text", letters, "G", 76, 73, rna=True).collect()}
+    want = {k: "".join(letters.get(c.lower(), "G") for i, c in enumerate(t) if i % 76 < 73).replace("T", "U") for k, t in texts if t}
+    assert got == want | {6: "CUAC-UC", None: "AGC"}
