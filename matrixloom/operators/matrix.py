@@ -23,6 +23,17 @@ def to_long(df: DataFrame, keys: list[str], measures: list[str], name: str = "co
     return df.select(*keys, *(F.col(m).cast("double").alias(m) for m in measures)).unpivot(keys, measures, name, value)
 
 
+def long_sums(df: DataFrame, keys: list[str], measures: dict[str, Column], name: str = "coverage", value: str = "value") -> DataFrame:
+    """(keys, name, value): sums of ``measures`` by keys. They are added up side by side and become rows afterwards, so a row is shuffled once for all of them."""
+    sums = df.groupBy(*keys).agg(*(F.sum(m.cast("double")).alias(n) for n, m in measures.items()))
+    return to_long(sums, keys, list(measures), name, value)
+
+
+def wide_sums(df: DataFrame, keys: list[str], column: str, value: str, columns: list) -> DataFrame:
+    """``to_wide`` of the sums of ``value`` by keys and ``column``, in one aggregation."""
+    return df.groupBy(*keys).agg(*(F.sum(F.when(F.col(column) == c, F.col(value))).alias(str(c)) for c in columns))
+
+
 def to_wide(long: DataFrame, keys: list[str], column: str, value: str, columns: list, check: bool = True) -> DataFrame:
     """One column for each of ``columns``, which are given so that no job has to find them; duplicates fail the job."""
     if check:
@@ -59,6 +70,12 @@ def normalised(x: DataFrame, factors: DataFrame, sample: str = "sample", coverag
     return out.withColumn("norm", F.when(F.col(coverage).isin(raw_types), F.try_divide(value, "size_factor")).otherwise(F.col(value)))
 
 
+def normalised_sums(df: DataFrame, keys: list[str], measures: list[str], factors: DataFrame, sample: str = "sample", raw_types: list[str] = RAW_TYPES) -> DataFrame:
+    """(keys, coverage, norm): sums of what ``normalised`` makes of the measures' rows; a row meets its factor once for all measures."""
+    parts = {m: F.try_divide(F.col(m).cast("double"), "size_factor") if m in raw_types else F.col(m) for m in measures}
+    return long_sums(df.join(factors, sample, "left"), keys, parts, value="norm")
+
+
 def raw_layer(x: DataFrame, value: str = "norm") -> DataFrame:
     return x.withColumn("raw", F.col(value) * F.col("size_factor"))
 

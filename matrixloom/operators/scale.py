@@ -25,11 +25,22 @@ def group_means(df: DataFrame, feature: str, group: str, value: str, least: floa
     return means.join(top.select(*by), list(by), "left_semi") if by else means.crossJoin(top).drop("most")  # one row
 
 
+def measure_means(df: DataFrame, feature: str, group: str, measures: list[str], least: float, by: str) -> DataFrame:
+    """``group_means`` within each of several measures in columns, named in ``by``. They are averaged side by side and become rows afterwards."""
+    wide = df.dropna(subset=[feature, group]).groupBy(feature, F.col(group).alias("g")).agg(*(F.avg(m).alias(m) for m in measures))
+    means = stored(wide, "means")
+    most = means.agg(*(F.max(m).alias(m) for m in measures)).first()  # one row
+    high = [m for m in measures if most[m] is not None and most[m] >= least]
+    if not high:
+        return means.select(F.lit("").alias(by), feature, "g", F.lit(0.0).alias("v")).limit(0)
+    return means.select(feature, "g", *high).unpivot([feature, "g"], high, by, "v").select(by, feature, "g", "v")
+
+
 def paired(means: DataFrame, feature: str, by: tuple[str, ...] = ()) -> DataFrame:
     """(by..., g1, g2, x, y): values of every pair of groups g1 <= g2 on the features that both have."""
-    a = means.select(*by, feature, F.col("g").alias("g1"), F.col("v").alias("x"))
-    b = means.select(*by, feature, F.col("g").alias("g2"), F.col("v").alias("y"))
-    return a.join(b, [*by, feature]).filter("g1 <= g2")
+    few = means.filter(F.col(feature).isNotNull()).groupBy(*by, feature).agg(F.collect_list(F.struct("g", "v")).alias("all_"))  # a feature has few groups
+    pairs = F.flatten(F.transform("all_", lambda a: F.transform(F.filter("all_", lambda b: a["g"] <= b["g"]), lambda b: F.struct(a["g"].alias("g1"), b["g"].alias("g2"), a["v"].alias("x"), b["v"].alias("y")))))
+    return few.select(*by, feature, F.inline(pairs))
 
 
 def correlations(means: DataFrame, feature: str, method: str = "pearson", by: tuple[str, ...] = ()) -> DataFrame:

@@ -392,3 +392,28 @@ def test_sequences_of_texts_are_made_in_their_rows(spark):
     got = {r.k: r.sequence for r in matrix.text_sequences(df, "k", "text", letters, "G", 76, 73, rna=True).collect()}
     want = {k: "".join(letters.get(c.lower(), "G") for i, c in enumerate(t) if i % 76 < 73).replace("T", "U") for k, t in texts if t}
     assert got == want | {6: "CUAC-UC", None: "AGC"}
+
+
+def exchanged(df):
+    """Columns of each exchange of the plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning"), plan
+
+
+def test_measures_are_added_up_side_by_side(spark):
+    rows = [("f", 1, 2.0, 5.0), ("f", 1, 4.0, None), ("f", 2, 1.0, 6.0), ("g", 3, None, 8.0)]
+    df = spark.createDataFrame(rows, "f string, c int, a double, b double").withColumn("s", F.when(F.col("c") == 2, "s2").otherwise("s1"))
+    long = matrix.long_sums(df, ["f"], {"a": F.col("a"), "b": F.col("b")})
+    assert {(r.f, r.coverage): r.value for r in long.collect()} == {("f", "a"): 7.0, ("f", "b"): 11.0, ("g", "a"): None, ("g", "b"): 8.0}
+    factors = spark.createDataFrame([("s1", 2.0)], "s string, size_factor double")
+    norm = matrix.normalised_sums(df, ["f"], ["a", "b"], factors, "s", ["a"])
+    plain = matrix.normalised(matrix.to_long(df, ["f", "s"], ["a", "b"]), factors, "s", raw_types=["a"]).groupBy("f", "coverage").agg(F.sum("norm").alias("norm"))
+    assert sorted(map(str, norm.collect())) == sorted(map(str, plain.collect()))
+    wide = matrix.wide_sums(df, ["f"], "c", "a", [1, 2, 4])
+    assert exchanged(wide)[0] == 1 and {tuple(r) for r in wide.collect()} == {("f", 6.0, 1.0, None), ("g", None, None, None)}
+    means = scale.measure_means(df, "f", "c", ["a", "b"], 8, "readtype")
+    long = df.unpivot(["f", "c"], ["a", "b"], "readtype", "v")
+    assert sorted(map(str, means.collect())) == sorted(map(str, scale.group_means(long, "f", "c", "v", 8, ("readtype",)).collect())) and means.count() == 3
+    assert scale.measure_means(df, "f", "c", ["a", "b"], 9, "readtype").count() == 0
+    pairs = scale.paired(means, "f", ("readtype",))
+    assert exchanged(pairs)[0] == 1 and sorted((r.f, r.g1, r.g2, r.x, r.y) for r in pairs.collect()) == [("f", 1, 1, 5.0, 5.0), ("f", 1, 2, 5.0, 6.0), ("f", 2, 2, 6.0, 6.0), ("g", 3, 3, 8.0, 8.0)]
