@@ -87,14 +87,23 @@ def read_counts(unique: DataFrame, every: DataFrame, factors: DataFrame, keys: t
     has 0; one with some, but none for the sample, has null there.
     """
     feature, readtype, sample = keys
-    pairs = (unique.select(feature, sample).unionByName(every.select(feature, sample)) if obs is None else obs.select(feature, sample)).distinct()
-    types = unique.select(readtype).unionByName(every.select(readtype)).distinct()
-    out = pairs.crossJoin(types)  # a dozen read types
-    for table, name in ((unique, "u"), (every, "a")):
-        seen = table.select(feature, readtype).distinct().withColumn(f"seen_{name}", F.lit(True))
-        out = out.join(table.select(*keys, F.col("value").alias(name)), list(keys), "left").join(seen, [feature, readtype], "left")
-    raw, norm = (F.when(F.col(f"seen_{n}").isNull(), F.lit(0.0)).otherwise(F.col(n)) for n in ("u", "a"))
-    out = out.join(factors, sample, "left")
+    rows = unique.select(*keys, "value", F.lit(True).alias("is_u")).unionByName(every.select(*keys, "value", F.lit(False).alias("is_u")))
+    rows = stored(rows.withColumn("value", F.col("value").cast("double")), "counts")  # both tables are made and read once
+    types = rows.agg(F.collect_set(F.struct(readtype)).alias("types_"))  # one row with a dozen read types
+    seen = rows.groupBy(feature).agg(*(F.collect_set(F.when(side, F.col(readtype))).alias(f"seen_{n}") for n, side in (("u", F.col("is_u")), ("a", ~F.col("is_u")))))
+    whole = F.col(feature).isNotNull() & F.col(sample).isNotNull() & F.col(readtype).isNotNull()
+    out = rows.groupBy(feature, sample).agg(F.collect_list(F.when(whole, F.struct(readtype, "value", "is_u"))).alias("cells_"))
+    if obs is not None:
+        out = obs.select(feature, sample).distinct().join(out, [feature, sample], "left")
+    out = out.join(seen, feature, "left").join(factors, sample, "left").crossJoin(F.broadcast(types))
+    out = out.withColumn(readtype, F.explode("types_")).withColumn(readtype, F.col(readtype)[readtype])
+
+    def values(unique_: bool) -> Column:
+        mine = F.transform(F.filter("cells_", lambda x: (x[readtype] == F.col(readtype)) & (x["is_u"] == unique_)), lambda x: x["value"])
+        return F.explode(F.when(F.size(mine) > 0, mine).otherwise(F.array(F.lit(None).cast("double"))))
+
+    out = out.withColumn("u", values(True)).withColumn("a", values(False))
+    raw, norm = (F.when(F.coalesce(F.array_contains(f"seen_{n}", F.col(readtype)), F.lit(False)), F.col(n)).otherwise(0.0) for n in ("u", "a"))
     return out.select(*keys, raw.alias("unique_raw"), F.try_divide(raw, F.col("size_factor")).alias("unique_norm"), (norm * F.col("size_factor")).alias("all_raw"), norm.alias("all_norm"))
 
 

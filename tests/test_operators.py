@@ -417,3 +417,14 @@ def test_measures_are_added_up_side_by_side(spark):
     assert scale.measure_means(df, "f", "c", ["a", "b"], 9, "readtype").count() == 0
     pairs = scale.paired(means, "f", ("readtype",))
     assert exchanged(pairs)[0] == 1 and sorted((r.f, r.g1, r.g2, r.x, r.y) for r in pairs.collect()) == [("f", 1, 1, 5.0, 5.0), ("f", 1, 2, 5.0, 6.0), ("f", 2, 2, 6.0, 6.0), ("g", 3, 3, 8.0, 8.0)]
+
+
+def test_read_counts_read_each_table_once(spark):
+    rows = [("f", "x", "s1", 4.0), ("f", "x", "s1", 5.0), ("f", "y", "s2", 6.0), (None, "x", "s1", 7.0), ("f", None, "s1", 8.0), ("f", "x", None, 9.0)]
+    unique = spark.createDataFrame(rows, "feature string, readtype string, sample string, value double")
+    factors = spark.createDataFrame([("s1", 2.0)], "sample string, size_factor double")
+    counts = matrix.read_counts(unique, unique.filter("sample = 's2'"), factors)
+    assert exchanged(counts)[0] <= 5
+    got = sorted([r.readtype, r.unique_raw, r.unique_norm, r.all_norm] for r in counts.filter("feature = 'f' and sample = 's1' and readtype is not null").collect())
+    assert got == [["x", 4.0, 2.0, 0.0], ["x", 5.0, 2.5, 0.0], ["y", None, None, None]]
+    assert {r.unique_raw for r in counts.filter("feature is null or readtype is null").collect()} == {0.0} and counts.count() == 4 * 3 + 1
