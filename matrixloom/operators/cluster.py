@@ -29,8 +29,8 @@ from .components import components
 SAMPLE, LEADING, STRIP = 10_000, 8, 256
 
 
-def axes(rows: DataFrame, vector: str) -> tuple[np.ndarray, np.ndarray]:
-    """The middle and the principal axes (columns, the widest first) of a sample of at most ``SAMPLE`` vectors.
+def axes(rows: DataFrame, vector: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The middle, the principal axes (columns, the widest first) and the widths along them of a sample of at most ``SAMPLE`` vectors.
 
     They only decide how well the join prunes: it is exact for any.
     """
@@ -40,9 +40,10 @@ def axes(rows: DataFrame, vector: str) -> tuple[np.ndarray, np.ndarray]:
     for i, v in enumerate(drawn):
         matrix[i, : len(v)] = v
     if not matrix.size:
-        return np.zeros(width), np.eye(width)
+        return np.zeros(width), np.eye(width), np.zeros(width)
     middle = matrix.mean(0)
-    return middle, np.linalg.svd(matrix - middle, full_matrices=True)[2].T if len(drawn) <= width else np.linalg.eigh(np.cov(matrix.T).reshape(width, width))[1][:, ::-1]
+    turn = np.linalg.svd(matrix - middle, full_matrices=True)[2].T if len(drawn) <= width else np.linalg.eigh(np.cov(matrix.T).reshape(width, width))[1][:, ::-1]
+    return middle, turn, np.ptp((matrix - middle) @ turn, axis=0)
 
 
 @dataclass
@@ -59,10 +60,14 @@ class Join:
 
 
 def placed(rows: DataFrame, eps: float, tile: int, cells: int = 2) -> Join:
-    """The radius join of ``rows`` (id, n, v: array of finite doubles, of one width)."""
-    middle, turn = axes(rows, "v")
+    """The radius join of ``rows`` (id, n, v: array of finite floats or doubles, of one width).
+
+    There are cells along at most ``cells`` axes, and along none on which the rows are not wider than three cells: nearly all of them would
+    visit one another's cells there, which sends every row several times and spares no comparison.
+    """
+    middle, turn, wide = axes(rows, "v")
     width = len(middle)
-    cells = min(cells, width)
+    cells = int((wide[:cells] > 3 * eps).sum())
     names = [f"c{i}" for i in range(cells)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,7 +77,7 @@ def placed(rows: DataFrame, eps: float, tile: int, cells: int = 2) -> Join:
             at = np.floor(v / (eps * (1 + 1e-9) + 1e-12)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "n", "v")), *map(pa.array, at.T)], ["id", "n", "v", *names])
 
-    turned = rows.select("id", "n", "v").mapInArrow(run, "id long, n long, v array<double>" + "".join(f", {c} long" for c in names))
+    turned = rows.select("id", "n", "v").mapInArrow(run, f"id long, n long, v {rows.schema['v'].dataType.simpleString()}" + "".join(f", {c} long" for c in names))
     turned = stored(turned, "turned")
     # Half of the cells around one, so that two cells meet in one of them only.
     steps = [s for s in product((-1, 0, 1), repeat=cells) if s > (0,) * cells]
@@ -110,24 +115,39 @@ class Met:
         self.box = np.concatenate([lead, rest[:, None]], axis=1)[self.order]
         self.eps, self.cross_only, self.compared = eps, cross_only, 0
 
+    def allowed(self, strip: int, at: np.ndarray) -> int:
+        """How many pairs the first ``strip`` of the rows ``at`` make with later ones, without pairs of visitors and, of two tiles, those of one."""
+
+        def both(mask: np.ndarray) -> int:
+            k, r = int(mask[:strip].sum()), int(mask[strip:].sum())
+            return k * (k - 1) // 2 + k * r
+
+        out, own = ~self.home[at], self.own[at]
+        found = both(np.ones(len(at), bool)) - both(out)
+        if self.cross_only:
+            found -= sum(both(own == o) - both((own == o) & out) for o in np.unique(own))
+        return found
+
     def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(i, j, distance) of rows at most eps apart, each pair once, by places in the given order."""
         starts = np.arange(0, len(self.v), STRIP)
         low, high = np.minimum.reduceat(self.box, starts, axis=0), np.maximum.reduceat(self.box, starts, axis=0)
         square = (self.v**2).sum(1)
+        with_half, with_square = np.concatenate([self.v, np.full((len(self.v), 1), -0.5)], 1), np.concatenate([self.v, square[:, None]], 1)
         for s, a in enumerate(starts.tolist()):
             gap = np.maximum(0, np.maximum(low[s:] - high[s], low[s] - high[s:]))
             near = s + np.flatnonzero((gap**2).sum(1) <= (self.eps * (1 + 1e-9)) ** 2 + 1e-12)
             j_all = np.concatenate([np.arange(starts[t], min(starts[t] + STRIP, len(self.v))) for t in near.tolist()])
             i_all = np.arange(a, min(a + STRIP, len(self.v)))
-            may = (i_all[:, None] < j_all) & (self.home[i_all][:, None] | self.home[j_all])
-            if self.cross_only:
-                may &= self.own[i_all][:, None] != self.own[j_all]
-            self.compared += int(may.sum())
-            about = square[i_all][:, None] + square[j_all] - 2 * self.v[i_all] @ self.v[j_all].T
+            self.compared += self.allowed(len(i_all), j_all)
             slack = 1e-9 * (square[i_all].max(initial=0) + square[j_all].max(initial=0) + self.eps**2)
-            i, j = np.nonzero(may & (about <= self.eps**2 + slack))
+            # |x - y|^2 <= eps^2 as one product with a column more: x y - y^2 / 2 >= (x^2 - eps^2) / 2.
+            i, j = np.nonzero(with_half[i_all] @ with_square[j_all].T >= (square[i_all][:, None] - self.eps**2 - slack) / 2)
             i, j = i_all[i], j_all[j]
+            may = (i < j) & (self.home[i] | self.home[j])
+            if self.cross_only:
+                may &= self.own[i] != self.own[j]
+            i, j = i[may], j[may]
             for k in range(0, len(i), 1 << 16):
                 x, y = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
                 d = np.sqrt(((self.v[x] - self.v[y]) ** 2).sum(1))
@@ -165,7 +185,7 @@ def whole_runs(batch: pa.RecordBatch) -> list[int]:
     return (np.flatnonzero(new) + 1).tolist()
 
 
-def neighbours(df: DataFrame, row: str, vector: str, eps: float, tile: int = 4096) -> DataFrame:
+def neighbours(df: DataFrame, row: str, vector: str, eps: float, tile: int = 16384) -> DataFrame:
     """(a, b, d): all pairs a < b of rows at a distance of at most ``eps``. Rows need vectors of one width.
 
     There are as many rows as pairs: clusters are made from counts and forests instead.
@@ -225,12 +245,13 @@ def joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             root[:] = up
 
 
-def density_clusters(df: DataFrame, row: str, vector: str, eps: float, min_samples: int = 6, min_cluster_size: int = 10, tile: int = 4096) -> DataFrame:
+def density_clusters(df: DataFrame, row: str, vector: str, eps: float, min_samples: int = 6, min_cluster_size: int = 10, tile: int = 16384) -> DataFrame:
     """(id, label): cluster number from 0, largest cluster first, or -1. Equal vectors are compared once and count as often as they occur.
 
     Vectors need one width; those that are null or hold null or non-finite numbers are noise.
     """
-    keyed = df.select(F.col(row).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    kind = "array<float>" if df.schema[vector].dataType.simpleString() == "array<float>" else "array<double>"  # floats are sent as such, and compared as doubles
+    keyed = df.select(F.col(row).cast("long").alias("id"), F.col(vector).cast(kind).alias("v"))
     keyed = keyed.withColumns({"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(1), "v")})  # 128 bits stand for a vector
     nodes = stored(sound(keyed).groupBy("h1", "h2", "v").agg(F.min("id").alias("id"), F.count("*").alias("n")), "nodes")
     near = counted(placed(nodes, eps, tile))

@@ -428,3 +428,18 @@ def test_read_counts_read_each_table_once(spark):
     got = sorted([r.readtype, r.unique_raw, r.unique_norm, r.all_norm] for r in counts.filter("feature = 'f' and sample = 's1' and readtype is not null").collect())
     assert got == [["x", 4.0, 2.0, 0.0], ["x", 5.0, 2.5, 0.0], ["y", None, None, None]]
     assert {r.unique_raw for r in counts.filter("feature is null or readtype is null").collect()} == {0.0} and counts.count() == 4 * 3 + 1
+
+
+def test_narrow_rows_meet_in_one_cell(spark):
+    rng = np.random.default_rng(3)
+    ball = rng.normal(size=(300, 5))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(ball / np.linalg.norm(ball, axis=1)[:, None])]
+    df = spark.createDataFrame(rows, "id long, v array<float>").withColumn("n", F.lit(1).cast("long"))
+    for eps, tile in ((0.8, 4096), (0.8, 100)):
+        join = cluster.placed(df, eps, tile)
+        meet = join.meet.groupBy("id").count().agg(F.max("count")).first()[0]
+        assert join.meet.schema["v"].dataType.simpleString() == "array<float>" and meet == -(-300 // tile)
+        v = np.array([r[1] for r in df.select("id", "v").orderBy("id").collect()])
+        d = np.sqrt(((v[:, None] - v[None]) ** 2).sum(2))
+        got = {r.id: r.near for r in cluster.counted(join).collect() if r.near}
+        assert got == {i: int(k) - 1 for i, k in enumerate((d <= eps).sum(1)) if k > 1}
