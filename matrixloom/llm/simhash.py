@@ -12,8 +12,12 @@ holds more than about two tiles and none is skipped.
 
 ``similar_groups`` links documents by an exact similarity of shingle sets instead, for which fingerprints of more bits only
 find candidates: two texts at similarity J differ in a share of acos(2 J / (1 + J)) / pi of the bits, so files are made of bits chosen
-at random, as many to a file as keep its size, and as many files as keep the chance that a pair at the least similarity meets in none
-below ``miss``; within files the comparison is the same, with a radius of four deviations above that share.
+at random, as many to a file as keep its size, and as many files as keep the chance that a pair at the least similarity, with that share,
+meets in none below ``miss``; within files the comparison is the same, with a radius of ``DEVIATIONS`` above that share.
+
+A text meets more others the more texts there are, so the fingerprint must have bits enough that meetings of unrelated texts stay without
+a candidate: where every text has one such candidate on average, most of the corpus is one group, all of whose pairs would be verified.
+The files are made ``FILES`` at a time, so what is on disk at once does not grow with their number.
 
 Defined results: a null or empty text has fingerprint 0 and links like any other; equal texts and repeated
 rows share a fingerprint; a row without doc_id gets the group of its fingerprint, and null if no row of the group has a
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -35,6 +40,11 @@ from pyspark.sql import functions as F
 from ..operators.components import components
 from .common import quoted, small_batches, stored, text_slices
 
+#: Of the bits in which texts at the least similarity differ, for the radius.
+DEVIATIONS = 4.5
+#: Files that are on disk at once.
+FILES = 8
+
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 ONE = np.uint64(1)
 
@@ -298,18 +308,19 @@ def lists(parts: list[np.ndarray]) -> pa.Array:
 
 
 def shingled(docs: DataFrame, shingle: int, words: int, id_column: str, text_column: str) -> DataFrame:
-    """doc_id, node (a hash of the set of shingles) and ``of``: the set's fingerprint, or the set itself if ``words`` is 0. Map-only."""
+    """doc_id, node (a hash of the set of shingles), its size and ``of``: the set's fingerprint, or the set itself if ``words`` is 0. Map-only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
                 sets = [grams(t or b"", shingle) for t in part.column(1).cast(pa.binary()).to_pylist()]
                 keys = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys), lists([wide_print(x, words) for x in sets] if words else sets)], ["doc_id", "node", "of"])
+                size = pa.array([len(x) for x in sets], pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys), size, lists([wide_print(x, words) for x in sets] if words else sets)], ["doc_id", "node", "size", "of"])
 
     small_batches(docs.sparkSession)
     source = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text_column).cast("string").alias("text"))
-    return source.filter("doc_id is not null").mapInArrow(run, "doc_id long, node long, of array<long>")
+    return source.filter("doc_id is not null").mapInArrow(run, "doc_id long, node long, size int, of array<long>")
 
 
 def chosen_bits(count: int, words: int, flip: float, fill: int, miss: float) -> np.ndarray:
@@ -410,7 +421,7 @@ def verified_links(rows: DataFrame, words: int, radius: int, least: float) -> Da
     return rows.groupBy("meeting").applyInArrow(meet, "u long, v long")
 
 
-def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5, least: float = 0.8, words: int = 2, fill: int = 256, miss: float = 1e-4, tile: int = 2048) -> DataFrame:
+def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5, least: float = 0.8, words: int = 3, fill: int = 256, miss: float = 1e-4, tile: int = 2048) -> DataFrame:
     """One row per document with an id: doc_id and component_id (the least doc_id reachable by links).
 
     Documents are linked if the Jaccard similarity of their sets of shingles (64-bit hashes of ``shingle`` words) is at least ``least``; every
@@ -419,11 +430,14 @@ def similar_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     tiles of about ``tile`` nodes or 512 of their shingles each.
     """
     flip = math.acos(2 * least / (1 + least)) / math.pi
-    radius = math.ceil(64 * words * flip + 4 * math.sqrt(64 * words * flip * (1 - flip)))
+    radius = math.ceil(64 * words * flip + DEVIATIONS * math.sqrt(64 * words * flip * (1 - flip)))
     sketches = stored(shingled(docs, shingle, words, id_column, text_column), "sketches")
-    nodes = stored(sketches.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("of").alias("of")), "nodes")
-    bits = chosen_bits(nodes.count(), words, flip, fill, miss)
-    first = stored(candidate_links(filed_by(nodes, bits, words), words, radius, tile), "candidates")
+    nodes = stored(sketches.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("of").alias("of")), "nodes")
+    # Sets of which no two that differ can be similar (at most size / (size + 1)) are not filed.
+    able = nodes.filter(F.col("size") / (F.col("size") + 1) >= least - 1e-6)
+    bits = chosen_bits(able.count(), words, flip, fill, miss)
+    made = [stored(candidate_links(filed_by(able, bits[a : a + FILES], words), words, radius, tile), "candidates") for a in range(0, len(bits), FILES)]
+    first = reduce(DataFrame.unionByName, made)
 
     # Groups of candidates: their sets are written, and read once for each meeting of tiles.
     ends = components(first)

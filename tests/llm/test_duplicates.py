@@ -222,6 +222,23 @@ def test_files_find_pairs_at_the_least_similarity():
     assert near >= 299 and found >= 297
 
 
+def test_unrelated_texts_are_no_candidates(spark, monkeypatch):
+    """Texts that are alike by chance would join most of a larger corpus in one group of candidates; few files are made at once."""
+    rng = random.Random(13)
+    new = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    long = new(200).split()
+    texts = [new(rng.randrange(20, 60)) for _ in range(6000)] + [new(6) for _ in range(1000)] + [" ".join(long), " ".join([*long[:-1], "x"])]
+    met, files = [], []
+    verify, file = simhash.verified_links, simhash.filed_by
+    monkeypatch.setattr(simhash, "verified_links", lambda rows, *a: met.append(rows.count()) or verify(rows, *a))
+    monkeypatch.setattr(simhash, "filed_by", lambda nodes, bits, *a: files.append(len(bits)) or file(nodes, bits, *a))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    got = simhash.similar_groups(docs).filter("doc_id <> component_id").collect()
+    assert [tuple(r) for r in got] == [(7001, 7000)]
+    assert met == [2]
+    assert max(files) <= 8 and sum(files) >= 20
+
+
 def test_genuine_replacement_characters_stay(spark):
     import corpus_pipeline
 
